@@ -1 +1 @@
-"""Placeholder docstring."""
+"""Column functions: months, text, codes and request outcomes."""

@@ -1 +1 @@
-"""Placeholder docstring."""
+"""Relational operators: functions from DataFrames to DataFrames."""

@@ -1 +1 @@
-"""Placeholder docstring."""
+"""Whole jobs: normalization, derivation, release."""

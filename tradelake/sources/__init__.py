@@ -1 +1 @@
-"""Placeholder docstring."""
+"""Readers of responses, manifests, dimensions, HTML tables and spreadsheets."""

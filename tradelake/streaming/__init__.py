@@ -1 +1 @@
-"""Placeholder docstring."""
+"""Incremental refresh of the latest sources."""
