@@ -19,12 +19,12 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SegmentCache, Workspace
+from .common import SegmentCache, Workspace, worker_value
 
 #: Bytes of a piece whose table is kept for other pieces that begin alike.
 PREFIX = 6
 #: Entries of the tables that a worker keeps; they start anew when full.
-PAIR_LIMIT, PIECE_LIMIT = 1_000_000, 200_000
+PAIR_LIMIT, PIECE_LIMIT, SEGMENT_LIMIT = 1_000_000, 300_000, 500_000
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -222,16 +222,19 @@ def encode_texts(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "
     schema = f"doc_id {docs.schema[id_col].dataType.simpleString()}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = TextCodec(load_ranks(ranks_path), pattern)
+        def make() -> SegmentCache:
+            codec = TextCodec(load_ranks(ranks_path), pattern)
 
-        def segments(parts: list[str]) -> list:
-            out = []
-            for part in parts:
-                ids = codec.encode(part)
-                out.append((",".join(map(str, ids)), codec.decode(ids), ids))
-            return out
+            def segments(parts: list[str]) -> list:
+                out = []
+                for part in parts:
+                    ids = codec.encode(part)
+                    out.append((",".join(map(str, ids)), codec.decode(ids)))
+                return out
 
-        cache = SegmentCache(segments)
+            return SegmentCache(segments, SEGMENT_LIMIT)
+
+        cache = worker_value("byte_bpe", (ranks_path, pattern), make)
         sha = hashlib.sha256
         for batch in batches:
             n, a, b, lists = [], [], [], []
@@ -242,7 +245,7 @@ def encode_texts(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "
                 a.append(sha(ids.encode()).hexdigest())
                 b.append(sha(b"".join([x[1] for x in found])).hexdigest())
                 if with_ids:
-                    lists.append([i for x in found for i in x[2]])
+                    lists.append([int(i) for i in ids.split(",")] if ids else [])
             columns = [batch.column(0), pa.array(n, pa.int64()), pa.array(a, pa.string()), pa.array(b, pa.string())]
             names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
             if with_ids:

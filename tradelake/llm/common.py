@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import atexit
+import re
+import sys
 import tempfile
+import types
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -80,6 +83,10 @@ def total_bytes(df: DataFrame, column: str) -> int:
     return df.agg(F.coalesce(F.sum(F.octet_length(column)), F.lit(0)).alias("n")).first()["n"]
 
 
+#: White space beside white space or at the end: a text without it may be cut at every space.
+UNSAFE = re.compile(r"\s\s|\s\Z")
+
+
 def safe_segments(text: str) -> list[str]:
     """Cut a text at single spaces between two other characters that aren't white space.
 
@@ -105,45 +112,47 @@ def safe_segments(text: str) -> list[str]:
 class SegmentCache:
     """Encode texts by segments, each distinct segment once while it stays in a bounded cache.
 
-    ``encode`` maps a list of segments to a list of results.  The cache is emptied when it is full, so
-    its memory is bounded however many distinct words the data have.
+    ``encode`` maps a list of segments to a list of results; segments of one call may be joined to one text,
+    in which their starts are boundaries.  The cache is emptied when it is full, so its memory is bounded however many distinct words
+    the data have.
     """
 
-    def __init__(self, encode, limit: int = 400_000):
+    def __init__(self, encode, limit: int = 250_000):
         self.encode, self.limit = encode, limit
         self.plain: dict = {}  # part -> result for " " + part
         self.other: dict = {}  # segment -> result
 
-    def _fill(self, cache: dict, keys: list[str], segments: list[str]) -> None:
-        if len(cache) + len(keys) > self.limit:
-            cache.clear()
-        cache.update(zip(keys, self.encode(segments)))
-
     def __call__(self, text: str) -> list:
-        parts = text.split(" ")
+        first, *parts = text.split(" ")
+        if UNSAFE.search(text):
+            return self._others(safe_segments(text))
         known = self.plain
-        first = parts[0]
-        if not first or not first[-1].isspace():
-            try:
-                out = [known[p] for p in parts[1:]]
-            except KeyError:
-                new = {p for p in parts[1:] if p not in known}
-                if not any(not p or p[0].isspace() or p[-1].isspace() for p in new):
-                    new = {*parts[1:]} if len(known) + len(new) > self.limit else new
-                    self._fill(known, list(new), [" " + p for p in new])
-                    out = [known[p] for p in parts[1:]]
-                else:
-                    return self._slow(text)
-            return [*self._others([first]), *out] if first else out
-        return self._slow(text)
+        out = list(map(known.get, parts))
+        if None in out:
+            new = list({p for p, x in zip(parts, out) if x is None})
+            if len(known) + len(new) > self.limit:
+                known.clear()
+                new = list({*parts})
+            known.update(zip(new, self.encode([" " + p for p in new])))
+            out = list(map(known.get, parts))
+        return self._others([first]) + out if first else out
 
     def _others(self, segments: list[str]) -> list:
-        new = {s for s in segments if s not in self.other}
-        if new:
-            if len(self.other) + len(new) > self.limit:
-                new = {*segments}
-            self._fill(self.other, list(new), list(new))
-        return [self.other[s] for s in segments]
-
-    def _slow(self, text: str) -> list:
-        return self._others(safe_segments(text))
+        known = self.other
+        for s in segments:
+            if s not in known:
+                if len(known) > self.limit:
+                    known.clear()
+                known[s] = self.encode([s])[0]
+        try:
+            return [known[s] for s in segments]
+        except KeyError:  # emptied on the way
+            return [self.encode([s])[0] for s in segments]
+
+
+def worker_value(kind: str, key, make):
+    """A value that a Python worker keeps from task to task; one for each kind, made anew for another key."""
+    kept = sys.modules.setdefault("_tradelake_worker", types.ModuleType("_tradelake_worker")).__dict__
+    if kept.get(kind, (None,))[0] != key:
+        kept[kind] = (key, make())
+    return kept[kind][1]

@@ -20,6 +20,7 @@ lost or run twice leaves no half-written or doubled file.
 
 from __future__ import annotations
 
+import os
 import struct
 import zlib
 from collections.abc import Iterator
@@ -29,10 +30,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import SegmentCache, Workspace, total_bytes
+from .common import SegmentCache, Workspace, total_bytes, worker_value
 
 #: Bytes of text that go to one record file.
-SHARD_TEXT_BYTES = 16 << 20
+SHARD_TEXT_BYTES = 8 << 20
+#: Segments that a worker keeps, rows written at once.
+CACHE_SEGMENTS, WRITE_ROWS = 200_000, 500
 MASK_DELTA = 0xA282EAD8
 HEAD_BYTES, ID_FORMAT, ID_BYTES = 12, "<qBB", 10
 INDEX_SCHEMA = "shard int, ordinal long, offset long, length long, doc_id long, n_tokens long, ids_crc32 long, local_start long"
@@ -71,6 +74,39 @@ def parse_payload(payload: bytes) -> tuple[int | None, np.ndarray]:
     return None if flags & 1 else doc_id, np.frombuffer(payload, "<u2" if width == 2 else "<u4", offset=ID_BYTES)
 
 
+def tokenizer_cache(tokenizer_path: str, end_id: int) -> tuple[str, int, SegmentCache]:
+    """(number format, its bytes, cache of segments' packed ids) of a byte-level tokenizer of the tokenizers library.
+
+    New segments are encoded as one text.  Their ends are ends of pre-tokens, so of tokens too; the bytes
+    that tokens stand for tell which ids are whose.
+    """
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are parallel already
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(tokenizer_path)
+    tokenizer.encode_special_tokens = True
+    vocabulary = tokenizer.get_vocab()
+    n = max(vocabulary.values(), default=0) + 1
+    width, kind = (2, "<u2") if max(n, end_id + 1) <= 1 << 16 else (4, "<u4")
+    sizes = np.zeros(n, np.int64)
+    for token, i in vocabulary.items():
+        sizes[i] = len(token)  # a byte-level vocabulary writes each byte as one character
+
+    def encode(segments: list[str]) -> list[bytes]:
+        ends = np.cumsum(list(map(len, map(str.encode, segments))))
+        ids = np.array(tokenizer.encode_batch_fast(["".join(segments)], add_special_tokens=False)[0].ids, np.int64)
+        cuts = np.searchsorted(np.cumsum(sizes[ids]), ends) + 1
+        if sizes[ids].sum() != ends[-1]:
+            raise ValueError("this tokenizer isn't byte-level")
+        packed, out, start = ids.astype(kind).tobytes(), [], 0
+        for cut in (cuts * width).tolist():
+            out.append(packed[start:cut])
+            start = cut
+        return out
+
+    return kind, width, SegmentCache(encode, CACHE_SEGMENTS)
+
+
 def write_token_records(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", shard_text_bytes: int = SHARD_TEXT_BYTES) -> DataFrame:
     """Encode every text, write records in ascending ``id_col`` order and the index; return the index.
 
@@ -85,19 +121,15 @@ def write_token_records(docs: DataFrame, path: str, tokenizer_path: str, end_id:
     n = 1 + total_bytes(docs, "text") // shard_text_bytes
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from tokenizers import Tokenizer
-
-        tokenizer = Tokenizer.from_file(tokenizer_path)
-        tokenizer.encode_special_tokens = True
-        width, kind = (2, "<u2") if tokenizer.get_vocab_size() <= 1 << 16 and end_id < 1 << 16 else (4, "<u4")
+        kind, width, cache = worker_value("tokenizer", (tokenizer_path, end_id), lambda: tokenizer_cache(tokenizer_path, end_id))
         last = np.array([end_id], kind).tobytes()
-        cache = SegmentCache(lambda parts: [np.array(e.ids, kind).tobytes() for e in tokenizer.encode_batch_fast(parts, add_special_tokens=False)])
-        for batch in batches:
-            out = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                head = struct.pack(ID_FORMAT, doc_id or 0, doc_id is None, width)
-                out.append(frame(b"".join((head, *cache(text.as_py()), last))))
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["value"])
+        for whole in batches:
+            for at in range(0, whole.num_rows, WRITE_ROWS):
+                batch, out = whole.slice(at, WRITE_ROWS), []
+                for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                    head = struct.pack(ID_FORMAT, doc_id or 0, doc_id is None, width)
+                    out.append(frame(b"".join((head, *cache(text.as_py()), last))))
+                yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["value"])
 
     records = docs.repartitionByRange(n, F.col("doc_id").asc_nulls_first(), F.xxhash64("text")).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.xxhash64("text")).mapInArrow(run, "value binary")
     records.select(F.col("value").cast("string").alias("value")).write.mode("overwrite").text(f"{path}/records")
