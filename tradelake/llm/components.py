@@ -2,22 +2,20 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import Workspace
 
 
-def connected_components(edges: list[DataFrame], work: Workspace, name: str) -> DataFrame:
+def connected_components(edges: DataFrame, work: Workspace, name: str) -> DataFrame:
     """``id, component`` (the smallest id reached) for every id in the edges (a, b).
 
     Each round takes the smallest label among the neighbours and then the label's own label, so long paths
     shorten at twice the pace.  Labels are written to the shared folder after each round; a hub's edges are
     combined before they are shuffled.
     """
-    both = reduce(DataFrame.unionByName, [e.select("a", "b").union(e.select(F.col("b").alias("a"), F.col("a").alias("b"))) for e in edges])
+    both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     labels = work.table(f"{name}-0", both.groupBy(F.col("a").alias("id")).agg(F.least(F.min("b"), F.first("a")).alias("component")))
     k = 0
     while True:

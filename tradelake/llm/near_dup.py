@@ -10,11 +10,18 @@ of agreeing bins as concentrated as independent hashes would.  A set of n elemen
 Banding: ``bands`` bands of ``rows`` bins.  Two sets of similarity s share a bucket with probability
 ``1 - (1 - s^rows)^bands``: 1 - 5e-8 at 0.8 with 32 bands of 4.
 
-Verification is exact on whole sets, and complete within buckets without listing a bucket's pairs: copies
-of one set are one class with its smallest id; in each bucket all are compared with the first; buckets
-that then lie in one component are done, the others go on with 8, 64, 512, ... firsts against the later
-members of other components, until no pair is left.  A group of copies costs as many comparisons as it has
-members, however large it is.
+Verification is exact on whole sets, and complete within buckets without listing a bucket's pairs:
+
+1. Copies of one set are one class, named by its smallest id.
+2. In each bucket all are compared with the bucket's centre, the member whose buckets are fullest (for
+   edited copies of one text that is a copy near the original).  Most links show up here, as many
+   comparisons as members.
+3. A bucket that now lies in one component is done.  In the others, pairs from different components are
+   compared unless the counts known by then exclude a link.  With x, y members shared with the centre and
+   f, g further members that any other candidate has at all, two sets share min(x, y) + min(f, g) at most.
+
+Edits that no other copy has are thus never paired, so a large group of copies with edits of their own
+costs about as many comparisons as it has members, and no link is lost.
 """
 
 from __future__ import annotations
@@ -24,7 +31,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import Workspace
@@ -106,48 +113,54 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands:
     real = own.where("n_shingles > 0 and doc_id is not null")
     classes = real.groupBy("set_key").agg(F.min("doc_id").alias("id"))
     firsts = real.join(classes, "set_key").where("doc_id = id").select("id", F.explode("bands").alias("bucket"))
-    shared = firsts.groupBy("bucket").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last")
-    members = work.table("members", firsts.join(shared, "bucket").select("bucket", "id", "first").distinct())
-    needed = members.select("id").distinct()
-    sets = work.table("sets", shingle_sets(docs.join(needed, F.col("doc_id") == F.col("id"), "left_semi").dropDuplicates(["doc_id"]), shingle))
-
-    pairs = [work.table("pairs1", members.where("id > first").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct())]
-    links = [work.table("links1", verified(pairs[0], sets, percent))]
-    firsts_done, k = 1, 1
-    while True:
-        components = connected_components(links, work, f"components{k}")
-        labelled = members.select("bucket", "id").join(components, "id", "left").select("bucket", "id", F.coalesce("component", "id").alias("component"))
-        open_ = labelled.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n")).where(f"lo < hi and n > {firsts_done + 1}")
-        rest = labelled.join(open_.select("bucket"), "bucket", "left_semi")
-        nth = F.row_number().over(Window.partitionBy("bucket").orderBy("id"))
-        upto = firsts_done * 8
-        leaders = rest.withColumn("nth", nth).where(F.col("nth") <= upto).where(F.col("nth") > firsts_done).select("bucket", F.col("id").alias("a"), F.col("component").alias("a_component"))
-        k += 1
-        new = rest.join(leaders, "bucket").where("id > a and component <> a_component").select("a", F.col("id").alias("b")).distinct()
-        for old in pairs:
-            new = new.join(old, ["a", "b"], "left_anti")
-        new = work.table(f"pairs{k}", new)
-        if new.isEmpty() and open_.where(f"n > {upto}").isEmpty():
-            break
-        pairs.append(new)
-        links.append(work.table(f"links{k}", verified(new, sets, percent)))
-        firsts_done = upto
-    work.drop("sets", "members", *(f"pairs{i + 1}" for i in range(k)))
+    shared = firsts.groupBy("bucket").agg(F.min("id").alias("first"), F.max("id").alias("last"), F.count("*").alias("n")).where("first < last")
+    members = work.table("members", firsts.join(shared, "bucket").select("bucket", "id", "n").distinct())
+    weights = work.table("weights", members.groupBy("id").agg(F.sum("n").alias("weight")))
+    sets = work.table("sets", shingle_sets(docs.join(weights, F.col("doc_id") == F.col("id"), "left_semi").dropDuplicates(["doc_id"]), shingle))
+    weighed = members.join(weights, "id").select("bucket", "id", "weight")
+    centres = weighed.groupBy("bucket").agg(F.max_by("id", F.struct(F.col("weight"), -F.col("id"))).alias("centre"))
+    members = work.table("centred", weighed.join(centres, "bucket").select("bucket", "id", "centre"))
+    work.drop("members", "weights")
+
+    compared = work.table("compared", scored(members.where("id <> centre").select(F.col("centre").alias("a"), F.col("id").alias("b")).distinct(), sets))
+    components = connected_components(compared.where(linked(percent)).select("a", "b"), work, "components")
+    labelled = members.join(components, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    undone = labelled.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n")).where("lo < hi and n > 2").select("bucket")
+    rest = work.table("rest", labelled.join(undone, "bucket", "left_semi"))
+    items = sets.join(rest.select("id").distinct(), "id", "left_semi").select("id", F.explode("items").alias("item"))
+    only = items.groupBy("item").agg(F.min("id").alias("id"), F.count("*").alias("n")).where("n = 1").groupBy("id").agg(F.count("*").alias("own"))
+    known = compared.select(F.col("a").alias("centre"), F.col("b").alias("id"), F.col("n_b").alias("size"), F.col("both").alias("x"))
+    facts = rest.join(known, ["centre", "id"]).join(only, "id", "left").select("bucket", "id", "component", "size", "x", F.greatest(F.col("size") - F.col("x") - F.coalesce("own", F.lit(0)), F.lit(0)).alias("f"))
+    left = facts.select("bucket", *[F.col(c).alias(f"a_{c}") for c in facts.columns[1:]])
+    right = facts.select("bucket", *[F.col(c).alias(f"b_{c}") for c in facts.columns[1:]])
+    most = F.least("a_x", "b_x") + F.least("a_f", "b_f")
+    possible = most * 100 >= (F.col("a_size") + F.col("b_size") - most) * percent
+    pairs = left.join(right, (left["bucket"] == right["bucket"]) & (F.col("a_id") < F.col("b_id")) & (F.col("a_component") != F.col("b_component")) & possible)
+    pairs = pairs.select(F.col("a_id").alias("a"), F.col("b_id").alias("b")).distinct()
+    late = work.table("late", scored(pairs, sets).where(linked(percent)).select("a", "b"))
+    # links found late join whole components
+    name = lambda c: components.select(F.col("id").alias(c), F.col("component").alias(f"{c}_component"))
+    bridges = late.join(name("a"), "a", "left").join(name("b"), "b", "left").select(F.coalesce("a_component", "a").alias("a"), F.coalesce("b_component", "b").alias("b")).where("a <> b").distinct()
+    joined = connected_components(bridges, work, "joined").select(F.col("id").alias("component_id"), F.col("component").alias("lowest"))
+    work.drop("sets", "centred", "compared", "rest", "late")
 
     named = classes.join(components, "id", "left").select("set_key", F.coalesce("component", "id").alias("component_id"))
+    named = named.join(joined, "component_id", "left").select("set_key", F.coalesce("lowest", "component_id").alias("component_id"))
     out = own.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("set_key")).alias("set_key")).join(named, "set_key", "left")
     component = F.coalesce("component_id", "doc_id")
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Those pairs whose whole sets are similar enough."""
+def scored(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs with their sets' sizes and the size of the intersection."""
     a = sets.select(F.col("id").alias("a"), F.col("items").alias("a_items"))
     b = sets.select(F.col("id").alias("b"), F.col("items").alias("b_items"))
-    both, n_a, n_b = F.size(F.array_intersect("a_items", "b_items")), F.size("a_items"), F.size("b_items")
-    close = F.least(n_a, n_b) * 100 >= F.greatest(n_a, n_b) * percent
-    joined = pairs.join(a, "a").join(b, "b").where(close)
-    return joined.where(both * 100 >= (n_a + n_b - both) * percent).select("a", "b")
+    joined = pairs.join(a, "a").join(b, "b")
+    return joined.select("a", "b", F.size("a_items").alias("n_a"), F.size("b_items").alias("n_b"), F.size(F.array_intersect("a_items", "b_items")).alias("both"))
+
+
+def linked(percent: int):
+    return F.col("both") * 100 >= (F.col("n_a") + F.col("n_b") - F.col("both")) * percent
 
 
 def deduplicate(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
