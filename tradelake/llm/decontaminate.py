@@ -5,6 +5,11 @@ So every item is cut into its error budget plus one pieces, an automaton finds a
 pass over a text, and at each hit Myers' algorithm computes the smallest distance between the item and any
 part of the text around that place, one machine-number step a character.
 
+Chance hits are told apart early: runs of j neighbouring pieces, halved again and again, form a tree in
+which a run has a budget of j - 1.  If both halves of a run had more edits than their budgets, the run
+would have more than its own; so a true occurrence leads from some piece up to the whole item through runs
+within their budgets, and a hit is followed upwards only as far as that holds.
+
 Both sides are compared as lower-cased words joined by single spaces, so case, punctuation and white space
 cost no edits.  Items travel to the executors in blocks of bounded size, one pass each.
 """
@@ -37,12 +42,32 @@ def pieces(item: str, budget: int) -> list[tuple[int, str]]:
     return [(a, item[a:b]) for a, b in zip(cuts, cuts[1:])]
 
 
-def myers(item: str, text: str) -> tuple[int, int]:
-    """Smallest edit distance between ``item`` and any part of ``text``, and the end of the first such part."""
-    n = len(item)
+def character_masks(item: str) -> dict[str, int]:
     masks: dict[str, int] = {}
     for i, c in enumerate(item):
         masks[c] = masks.get(c, 0) | 1 << i
+    return masks
+
+
+def runs(n: int) -> list[list[tuple[int, int]]]:
+    """For each of ``n`` pieces the runs [a, b) above it, from its parent to the whole."""
+    out: list[list[tuple[int, int]]] = [[] for _ in range(n)]
+
+    def halve(a: int, b: int) -> None:
+        if b - a > 1:
+            halve(a, (a + b) // 2)
+            halve((a + b) // 2, b)
+            for i in range(a, b):
+                out[i].append((a, b))
+
+    halve(0, n)
+    return out
+
+
+def myers(item: str, text: str, masks: dict[str, int] | None = None) -> tuple[int, int]:
+    """Smallest edit distance between ``item`` and any part of ``text``, and the end of the first such part."""
+    n = len(item)
+    masks = masks or character_masks(item)
     full, top = (1 << n) - 1, 1 << (n - 1)
     up, down, score, best, at = full, 0, n, n, 0
     for j, c in enumerate(text, 1):
@@ -63,10 +88,13 @@ def myers(item: str, text: str) -> tuple[int, int]:
 class Matcher:
     def __init__(self, items: list[tuple[int, str]], error_rate: float):
         self.items = [(i, t, int(len(t) * error_rate)) for i, t in items if t]
-        where: dict[str, list[tuple[int, int]]] = {}
+        where: dict[str, list[tuple[int, int, list]]] = {}
         for k, (_, item, budget) in enumerate(self.items):
-            for offset, piece in pieces(item, budget):
-                where.setdefault(piece, []).append((k, offset))
+            cut = pieces(item, budget)
+            at = [offset for offset, _ in cut] + [len(item)]
+            nodes = {r: (at[r[0]], at[r[1]], r[1] - r[0] - 1, part := item[at[r[0]] : at[r[1]]], character_masks(part)) for above in runs(len(cut)) for r in above}
+            for (offset, piece), above in zip(cut, runs(len(cut))):
+                where.setdefault(piece, []).append((k, offset, [nodes[r] for r in above[:-1]]))
         self.automaton = ahocorasick.Automaton()
         for piece, places in where.items():
             self.automaton.add_word(piece, (len(piece), places))
@@ -80,21 +108,25 @@ class Matcher:
         seen: dict[int, tuple[int, int]] = {}
         best: dict[int, tuple[int, int, int]] = {}
         for end, (n, places) in self.automaton.iter(text):
-            for k, offset in places:
+            for k, offset, above in places:
                 if k in best and best[k][0] == 0:
                     continue
-                item_id, item, budget = self.items[k]
                 at = end + 1 - n - offset
-                start, stop = max(0, at - budget), min(len(text), at + len(item) + budget)
-                if k in seen and seen[k][0] <= start and stop <= seen[k][1]:
-                    continue
-                if at >= 0 and text.startswith(item, at):
-                    best[k] = (0, at, at + len(item))
-                    continue
-                distance, length = myers(item, text[start:stop])
-                seen[k] = (start, stop)
-                if distance <= budget and (k not in best or distance < best[k][0]):
-                    best[k] = (distance, max(0, start + length - len(item)), start + length)
+                for a, b, spare, part, masks in above:
+                    if myers(part, text[max(0, at + a - spare) : at + b + spare], masks)[0] > spare:
+                        break
+                else:
+                    item_id, item, budget = self.items[k]
+                    start, stop = max(0, at - budget), min(len(text), at + len(item) + budget)
+                    if k in seen and seen[k][0] <= start and stop <= seen[k][1]:
+                        continue
+                    if at >= 0 and text.startswith(item, at):
+                        best[k] = (0, at, at + len(item))
+                        continue
+                    distance, length = myers(item, text[start:stop])
+                    seen[k] = (start, stop)
+                    if distance <= budget and (k not in best or distance < best[k][0]):
+                        best[k] = (distance, max(0, start + length - len(item)), start + length)
         return sorted((self.items[k][0], *x) for k, x in best.items())
 
 
