@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from .common import Workspace
 
 #: Rows that centroids are fitted on, rows of a block and queries of a group (about), dimensions of a column block.
-SAMPLE_ROWS, BLOCK_ROWS, GROUP_QUERIES, STEP = 20_000, 4_096, 2_048, 16
+SAMPLE_ROWS, BLOCK_ROWS, GROUP_QUERIES, STEP = 20_000, 4_096, 4_096, 16
 #: Share of the sample's true neighbours that the probed lists must hold, and the test's strictness.
 COVER, EPSILON = 0.97, 2.1
 MAX_LISTS = 4_096
@@ -144,12 +144,13 @@ def nearest(vectors: DataFrame, is_query, k: int = 5, id_col: str = "vec_id", ve
 
     kind = "vec_id long, v array<double>, list int"
     index = work.table("index", rows.withColumn("vec_id", F.col("vec_id").cast("long")).mapInArrow(deal, kind))
-    counts = {r["list"]: r["count"] for r in index.groupBy("list").count().collect()}  # MAX_LISTS rows at most
-    cuts = F.create_map(*[F.lit(z) for i, n in counts.items() for z in (i, max(1, math.ceil(n / block_rows)))])
-    blocks = index.withColumn("block", F.pmod(F.xxhash64("vec_id"), cuts[F.col("list")]).cast("int"))
+    cuts = work.table("cuts", index.groupBy("list").agg(F.ceil(F.count("*") / block_rows).cast("int").alias("blocks")))  # MAX_LISTS rows at most
+    blocks = index.join(F.broadcast(cuts), "list").withColumn("block", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int")).drop("blocks")
+    groups = 1 + rows.where(is_query).count() // GROUP_QUERIES
+    blocks = blocks.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
     queries = rows.where(is_query).withColumn("vec_id", F.col("vec_id").cast("long")).mapInArrow(ask, "query_id long, q array<double>, lists array<int>")
-    asked = queries.select("query_id", "q", F.explode("lists").alias("list")).where(F.array_contains(F.lit(list(counts)), F.col("list")))
-    asked = asked.withColumn("block", F.explode(F.sequence(F.lit(0), cuts[F.col("list")] - 1)))
+    asked = queries.select("query_id", "q", F.explode("lists").alias("list")).join(F.broadcast(cuts), "list")
+    asked = asked.select("query_id", "q", "list", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.pmod(F.xxhash64("query_id"), F.lit(groups)).cast("int").alias("part"))
 
     def search(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         out: list[tuple] = []
@@ -182,6 +183,6 @@ def nearest(vectors: DataFrame, is_query, k: int = 5, id_col: str = "vec_id", ve
                 out += zip(q_ids[qi[top]].tolist(), ids[xi[top]].tolist(), score[top].tolist())
         return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(zip(*out) if out else ([], [], []), kinds)], names=names)
 
-    found = blocks.groupBy("list", "block").cogroup(asked.groupBy("list", "block")).applyInArrow(search, "query_id long, vec_id long, score double")
+    found = blocks.groupBy("list", "block", "part").cogroup(asked.groupBy("list", "block", "part")).applyInArrow(search, "query_id long, vec_id long, score double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
