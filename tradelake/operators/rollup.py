@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import LEVELS, MEASURES, level_of, reaches_level
@@ -39,14 +39,24 @@ def with_residuals(facts: DataFrame, residuals: DataFrame, level: int) -> DataFr
     return out.withColumn("has_residual", F.col("exception_row_count") > 0).withColumns({f"hs{n}": level_of(F.col(f"hs{level}"), n) for n in hierarchy(level)[1:]})
 
 
+def reached(length) -> Column:
+    """The levels that a code of a length has digits for."""
+    return F.filter(F.array(*map(F.lit, LEVELS)), lambda n: n <= length)
+
+
 def all_levels(facts: DataFrame, residuals: DataFrame | None = None) -> DataFrame:
-    """Every level in long form (level, code), each from the next finer one's groups where no residuals enter."""
+    """Every level in long form (level, code): one scan, each row dealt to its levels, one shuffle after map-side sums."""
+    own = facts.select("month", "country_code", F.col("hs10").alias("code"), *MEASURES, F.lit(0).alias("is_residual"))
+    if residuals is not None:
+        extra = residuals.where(reaches_level(F.col("hs_code_raw"), LEVELS[-1])).join(facts.select("month").distinct(), "month", "left_semi")
+        own = own.unionByName(extra.select("month", F.col("requested_country").alias("country_code"), F.col("hs_code_raw").alias("code"), *MEASURES, F.lit(1).alias("is_residual")))
+    dealt = own.withColumn("level", F.explode(reached(F.length("code")))).withColumn("code", F.substring("code", F.lit(1), F.col("level")))
+    sums = [F.sum(m).alias(m) for m in MEASURES]
     if residuals is None:
-        finest = facts.groupBy("month", "country_code", level_of(F.col("hs10"), LEVELS[0]).alias("code")).agg(*[F.sum(m).alias(m) for m in MEASURES], F.count("*").alias("source_row_count"))
-        levels = finest.select("*", F.explode(F.array(*map(F.lit, LEVELS))).alias("level")).withColumn("code", F.substring("code", F.lit(1), F.col("level")))
-        return levels.groupBy("level", "month", "country_code", "code").agg(*[F.sum(m).alias(m) for m in MEASURES], F.sum("source_row_count").alias("source_row_count"))
-    parts = [with_residuals(facts, residuals, n).select(F.lit(n).alias("level"), "month", "country_code", F.col(f"hs{n}").alias("code"), *MEASURES, *[f"residual_{m}" for m in MEASURES], "source_row_count", "exception_row_count", "has_residual") for n in LEVELS]
-    return reduce(DataFrame.unionByName, parts)
+        return dealt.groupBy("level", "month", "country_code", "code").agg(*sums, F.count("*").alias("source_row_count"))
+    part = [F.sum(F.col(m) * F.col("is_residual")).alias(f"residual_{m}") for m in MEASURES]
+    out = dealt.groupBy("level", "month", "country_code", "code").agg(*sums, *part, F.count("*").alias("source_row_count"), F.sum("is_residual").alias("exception_row_count"))
+    return out.withColumn("has_residual", F.col("exception_row_count") > 0)
 
 
 def totals(facts: DataFrame) -> DataFrame:
@@ -56,10 +66,10 @@ def totals(facts: DataFrame) -> DataFrame:
 def reconciliation(facts: DataFrame, residuals: DataFrame) -> DataFrame:
     """Per level: the roll-up's totals against facts plus the residuals that reach it."""
     rolled = all_levels(facts, residuals).groupBy("level").agg(*[F.sum(m).alias(m) for m in MEASURES], F.sum("exception_row_count").alias("exceptions"))
-    months = facts.select("month").distinct()
-    near = residuals.join(months, "month", "left_semi")
-    reached = [near.where(reaches_level(F.col("hs_code_raw"), n)).agg(F.lit(n).alias("level"), *[F.coalesce(F.sum(m), F.lit(0)).alias(f"r_{m}") for m in MEASURES], F.count("*").alias("mapped")) for n in LEVELS]
+    near = residuals.where(reaches_level(F.col("hs_code_raw"), LEVELS[-1])).join(facts.select("month").distinct(), "month", "left_semi")
+    near = near.select(F.explode(reached(F.length("hs_code_raw"))).alias("level"), *MEASURES).groupBy("level").agg(*[F.sum(m).alias(f"r_{m}") for m in MEASURES], F.count("*").alias("mapped"))
     base = totals(facts).select(*[F.col(m).alias(f"f_{m}") for m in MEASURES])
-    joined = rolled.join(F.broadcast(reduce(DataFrame.unionByName, reached)), "level").crossJoin(F.broadcast(base))  # a row a level, and one row
+    joined = rolled.join(F.broadcast(near), "level", "left").crossJoin(F.broadcast(base))  # a row a level, and one row
+    joined = joined.na.fill(0, ["mapped", *[f"r_{m}" for m in MEASURES]])
     same = reduce(lambda a, b: a & b, [F.col(m) == F.col(f"f_{m}") + F.col(f"r_{m}") for m in MEASURES]) & (F.col("exceptions") == F.col("mapped"))
     return joined.select("level", *MEASURES, "exceptions", "mapped", same.alias("reconciles"))
