@@ -34,6 +34,7 @@ def run(spark: SparkSession, manifests: str, raw: str, editions: DataFrame, part
     bad = normalize.anomalies(rows)
     bad.write.mode("overwrite").parquet(f"{staging}/anomalies")
     report = normalize.row_reconciliation(rows)
+    figures = report.first().asDict()
     quality.require_zero(report.select("fatal", (~F.col("reconciles")).cast("int").alias("unreconciled")), ["fatal", "unreconciled"])
     written = spark.read.parquet(f"{staging}/hs10")
     checked = quality.partition_metrics(written, ["country_code", "hs10"]).agg(F.sum("misplaced").alias("misplaced"), F.sum("duplicates").alias("duplicates"))
@@ -45,4 +46,4 @@ def run(spark: SparkSession, manifests: str, raw: str, editions: DataFrame, part
         raise ValueError("a level's totals differ from its facts and residuals")
     storage.delete(spark, f"{staging}/classified")
     storage.swap(spark, staging, target)
-    return report.first().asDict()
+    return figures
