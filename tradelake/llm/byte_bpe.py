@@ -24,7 +24,7 @@ from .common import SegmentCache, Workspace, worker_value
 #: Bytes of a piece whose table is kept for other pieces that begin alike.
 PREFIX = 6
 #: Entries of the tables that a worker keeps; they start anew when full.
-PAIR_LIMIT, PIECE_LIMIT, SEGMENT_LIMIT = 1_000_000, 300_000, 500_000
+PAIR_LIMIT, PIECE_LIMIT, SEGMENT_LIMIT = 1_000_000, 300_000, 900_000
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -225,10 +225,10 @@ def encode_texts(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "
         def make() -> SegmentCache:
             codec = TextCodec(load_ranks(ranks_path), pattern)
 
-            def segments(parts: list[str]) -> list:
+            def segments(parts: list[str], before: str) -> list:
                 out = []
                 for part in parts:
-                    ids = codec.encode(part)
+                    ids = codec.encode(before + part)
                     out.append((",".join(map(str, ids)), codec.decode(ids)))
                 return out
 

@@ -112,8 +112,8 @@ def safe_segments(text: str) -> list[str]:
 class SegmentCache:
     """Encode texts by segments, each distinct segment once while it stays in a bounded cache.
 
-    ``encode`` maps a list of segments to a list of results; segments of one call may be joined to one text,
-    in which their starts are boundaries.  The cache is emptied when it is full, so its memory is bounded however many distinct words
+    ``encode(parts, before)`` gives the results of the segments ``before + part``; where ``before`` is a space
+    they may be joined to one text, in which their starts are boundaries.  The cache is emptied when it is full, so its memory is bounded however many distinct words
     the data have.
     """
 
@@ -133,7 +133,7 @@ class SegmentCache:
             if len(known) + len(new) > self.limit:
                 known.clear()
                 new = list({*parts})
-            known.update(zip(new, self.encode([" " + p for p in new])))
+            known.update(zip(new, self.encode(new, " ")))
             out = list(map(known.get, parts))
         return self._others([first]) + out if first else out
 
@@ -143,11 +143,11 @@ class SegmentCache:
             if s not in known:
                 if len(known) > self.limit:
                     known.clear()
-                known[s] = self.encode([s])[0]
+                known[s] = self.encode([s], "")[0]
         try:
             return [known[s] for s in segments]
         except KeyError:  # emptied on the way
-            return [self.encode([s])[0] for s in segments]
+            return [self.encode([s], "")[0] for s in segments]
 
 
 def worker_value(kind: str, key, make):
