@@ -415,3 +415,12 @@ def test_pipeline_stages(spark):
     out = corpus_pipeline.run(spark, SF)
     assert out.count() == docs.count() > 0
     assert {r["doc_id"] for r in out.collect()} == {r["doc_id"] for r in docs.collect()}
+
+
+@pytest.mark.parametrize("name", ["op2_near_dup", "op6_html_text"])
+def test_queries_match_sql(spark, name):
+    c = duckdb.connect()
+    for t in ("documents", "pages"):
+        c.sql(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
+    want = c.sql(sql.oracle_sql()[name])
+    assert {tuple(r) for r in queries.queries()[name](spark, SF).select(*want.columns).collect()} == set(want.fetchall())

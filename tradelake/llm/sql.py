@@ -18,5 +18,33 @@ FROM parsed p LEFT JOIN (SELECT * FROM judged WHERE k = 1) j ON p.host = j.host
 """
 
 
+NEAR_DUP = """
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS ws
+  FROM documents),
+s AS (
+  SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 4 THEN [array_to_string(ws, ' ')] ELSE list_distinct(list_transform(range(1, len(ws) - 2), lambda i: array_to_string(ws[i:i + 3], ' '))) END AS sh
+  FROM w),
+items AS (SELECT doc_id, len(sh) AS n, unnest(sh) AS x FROM s),
+links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM items a JOIN items b ON a.x = b.x AND a.doc_id < b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+edges AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach(id, other) AS (SELECT a, b FROM edges UNION SELECT r.id, e.b FROM reach r JOIN edges e ON r.other = e.a),
+lowest AS (SELECT id, least(id, min(other)) AS component_id FROM reach GROUP BY id)
+SELECT s.doc_id, CAST(len(sh) AS BIGINT) AS n_shingles, coalesce(component_id, s.doc_id) AS component_id, coalesce(component_id, s.doc_id) = s.doc_id AS kept
+FROM s LEFT JOIN lowest l ON s.doc_id = l.id
+"""
+
+#: The tables' pages have one article each, without asides in it.
+HTML_TEXT = """
+WITH a AS (SELECT page_id, url, regexp_replace(regexp_extract(coalesce(html, ''), '(?s)<article>(.*)</article>', 1), '</?b>', '', 'g') AS x FROM pages),
+b AS (SELECT page_id, url, regexp_replace(x, '<[^>]*>', ' ', 'g') AS x FROM a),
+c AS (SELECT page_id, url, replace(replace(replace(replace(replace(x, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#x27;', chr(39)), '&amp;', '&') AS x FROM b),
+d AS (SELECT page_id, url, trim(regexp_replace(x, '\\s+', ' ', 'g')) AS text FROM c)
+SELECT page_id, url, text, CAST(length(text) AS BIGINT) AS n_chars FROM d
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op8_url_rules": URL_RULES}
+    return {"op2_near_dup": NEAR_DUP, "op6_html_text": HTML_TEXT, "op8_url_rules": URL_RULES}
