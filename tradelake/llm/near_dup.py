@@ -130,12 +130,14 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands:
     items = sets.join(rest.select("id").distinct(), "id", "left_semi").select("id", F.explode("items").alias("item"))
     only = items.groupBy("item").agg(F.min("id").alias("id"), F.count("*").alias("n")).where("n = 1").groupBy("id").agg(F.count("*").alias("own"))
     known = compared.select(F.col("a").alias("centre"), F.col("b").alias("id"), F.col("n_b").alias("size"), F.col("both").alias("x"))
-    facts = rest.join(known, ["centre", "id"]).join(only, "id", "left").select("bucket", "id", "component", "size", "x", F.greatest(F.col("size") - F.col("x") - F.coalesce("own", F.lit(0)), F.lit(0)).alias("f"))
+    places = rest.groupBy("id").agg(F.collect_set("bucket").alias("buckets"))  # ``bands`` at most
+    facts = rest.join(known, ["centre", "id"]).join(only, "id", "left").join(places, "id").select("bucket", "id", "component", "buckets", "size", "x", F.greatest(F.col("size") - F.col("x") - F.coalesce("own", F.lit(0)), F.lit(0)).alias("f"))
     left = facts.select("bucket", *[F.col(c).alias(f"a_{c}") for c in facts.columns[1:]])
     right = facts.select("bucket", *[F.col(c).alias(f"b_{c}") for c in facts.columns[1:]])
     most = F.least("a_x", "b_x") + F.least("a_f", "b_f")
     possible = most * 100 >= (F.col("a_size") + F.col("b_size") - most) * percent
-    pairs = left.join(right, (left["bucket"] == right["bucket"]) & (F.col("a_id") < F.col("b_id")) & (F.col("a_component") != F.col("b_component")) & possible)
+    first = left["bucket"] == F.array_min(F.array_intersect("a_buckets", "b_buckets"))  # a pair counts in one bucket only
+    pairs = left.join(right, (left["bucket"] == right["bucket"]) & (F.col("a_id") < F.col("b_id")) & (F.col("a_component") != F.col("b_component")) & possible & first)
     pairs = pairs.select(F.col("a_id").alias("a"), F.col("b_id").alias("b")).distinct()
     late = work.table("late", scored(pairs, sets).where(linked(percent)).select("a", "b"))
     # links found late join whole components
