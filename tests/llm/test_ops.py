@@ -288,6 +288,17 @@ def test_pages_without_articles(spark):
     assert text[9] == [""] and text[10] == [""] and text[11] == ["plain text"] * 2 and text[None] == ["abc d"] and text[12] == ["unclosed tag"]
 
 
+def test_template_texts_in_articles_go(spark):
+    same = "Prose that some pages quote."
+    body = lambda i: "".join(f"<p>{same if i % 2 and k == i % 5 else f'Page {i} says its own thing, number {k}.'}</p>" for k in range(5))
+    rows = [(i, f"http://h.com/{i}", f"<body><article><div class='x'>By the staff</div><h1>Title {i}</h1>{body(i)}<p>Read more of it</p></article></body>") for i in range(8)]
+    copies = [(20 + i, f"http://g.com/{i}", f"<body><main><p>One long text that all pages of this host hold.</p><p>Copy {i}</p></main></body>") for i in range(5)]
+    text = {r["page_id"]: r["text"] for r in html_text.extract_text(spark.createDataFrame(rows + copies, "page_id bigint, url string, html string")).collect()}
+    for i in range(8):
+        assert text[i] == f"Title {i} " + " ".join(re.findall("<p>(.*?)</p>", body(i))) and (same in text[i]) == bool(i % 2)
+    assert all(text[20 + i] == f"One long text that all pages of this host hold. Copy {i}" for i in range(5))
+
+
 # 7
 
 

@@ -12,10 +12,12 @@ and of occurrences identify it, so classes come from one aggregation over (host,
 a host has.
 
 A page's text is what its slots hold, without those in regions of navigation, notices, adverts, forms or
-comments, which the names of elements, classes and roles around them tell.  If the template has an article
-or main element, its slots are the text, and text in it stays even if other pages repeat it.  Otherwise the
-slot with the most varying text over the host's pages is, with those beside it, and text tokens of the
-template go.
+comments, which the names of elements, classes and roles around them tell.  Text tokens of the template go,
+in an article or main element too.  There pages also repeat prose, so a text is the template's only if it is
+in a class with tags, or stands at one distance from the beginning or the end of the content on all pages that
+have it; and if more of a page's content repeats than varies, the pages are copies and all of it stays.  A
+page with an article or main element has its slots inside it; on others the slot with the most varying text
+over the host's pages is the text, with those beside it.
 """
 
 from __future__ import annotations
@@ -34,6 +36,8 @@ from .url_rules import url_host
 
 #: A template token is on this share of a host's pages, and on this many, at least.
 SHARE, LEAST_PAGES = 0.5, 2
+#: Pages that repeat a text in an article or main element before it can be the template's.
+LEAST_INSIDE = 3
 RAW = "script|style|noscript|template|textarea|title|iframe|svg|math|object|select|button|canvas|audio|video"
 TOKEN = re.compile(rf"<!--.*?(?:-->|\Z)|<({RAW})\b(?:\"[^\"]*\"|'[^']*'|[^'\">])*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>|<[!?/][^>]*>", re.S | re.I)
 ATTRIBUTE = re.compile(r"(?<![\w-])(class|id|role|hidden|aria-hidden|itemprop)(?![\w-])(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
@@ -139,55 +143,62 @@ def occurrences(pages: DataFrame) -> DataFrame:
     """One row for each host and token: sums that identify its occurrence vector, and what it is.
 
     ``pages, times``: pages that have it, occurrences; ``v1, v2``: hashes of (page, count) summed;
-    ``places``: positions summed; ``chars``: characters of text summed.  Tokens of a batch are added up first.
+    ``places``: positions summed; ``chars``: characters of text summed; ``head_low`` to ``tail_high``: bounds of
+    a text's distance from the first and the last text of the page's content.  Tokens of a batch are added up first.
     """
-    schema = "host string, token long, what int, path long, content int, aside int, pages long, times long, v1 long, v2 long, places double, chars long"
+    schema = "host string, token long, what int, path long, content int, aside int, pages long, times long, v1 long, v2 long, places double, chars long, head_low long, head_high long, tail_low long, tail_high long"
+    bounds = {"head_low": F.min, "head_high": F.max, "tail_low": F.min, "tail_high": F.max}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sums: dict[tuple[str, int], list] = {}
             for page_id, host, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
                 own: dict[int, list] = {}
+                inside = 0
                 for place, token in enumerate(parse(page.as_py())):
                     key = token_key(token)
                     if key in own:
                         own[key][1] += 1
                     else:
-                        own[key] = [token, 1, place]
-                own[0] = [(2, "", 0, 0, ""), 1, 0]
-                for key, (token, times, place) in own.items():
+                        own[key] = [token, 1, place, inside, 0]
+                    own[key][4] = inside
+                    inside += token[0] == 1 and token[2] == 1 and not token[3]
+                own[0] = [(2, "", 0, 0, ""), 1, 0, 0, 0]
+                for key, (token, times, place, head, last) in own.items():
                     v = xxhash.xxh3_64_intdigest(f"{page_id} {times}")
-                    s = sums.setdefault((host, key), [token[0], path_key(token[1]), token[2], token[3], 0, 0, 0, 0, 0.0, 0])
+                    s = sums.setdefault((host, key), [token[0], path_key(token[1]), token[2], token[3], 0, 0, 0, 0, 0.0, 0, head, head, inside - last, inside - last])
                     for i, x in enumerate((1, times, v >> 33, v & 0x7FFFFFFF, place, len(token[4]) * token[0])):
                         s[4 + i] += x
+                    s[10:] = min(s[10], head), max(s[11], head), min(s[12], inside - last), max(s[13], inside - last)
             if sums:
                 rows = [(*k, *s) for k, s in sums.items()]
-                kinds = [pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), *[pa.int64()] * 4, pa.float64(), pa.int64()]
+                kinds = [pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), *[pa.int64()] * 4, pa.float64(), *[pa.int64()] * 5]
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), kinds)], names=[x.split()[0] for x in schema.split(", ")])
 
     same = [F.first(x).alias(x) for x in ("what", "path", "content", "aside")]
     found = pages.mapInArrow(run, schema)
-    return found.groupBy("host", "token").agg(*same, *(F.sum(x).alias(x) for x in ("pages", "times", "v1", "v2", "places", "chars")))
+    return found.groupBy("host", "token").agg(*same, *(F.sum(x).alias(x) for x in ("pages", "times", "v1", "v2", "places", "chars")), *(f(x).alias(x) for x, f in bounds.items()))
 
 
-TEMPLATE = "host string, skeleton array<long>, fixed array<long>, content int, slot long"
+NESTED = "host string, skeleton array<long>, fixed array<long>, blocks array<long>"
 
 
 def templates(tokens: DataFrame, share: float, least: int) -> DataFrame:
     """Per host: ``skeleton`` (template tags in order, nested classes in their places), ``fixed`` (template
-    texts), ``content`` (1: there is an article or main element) and ``slot`` (path of the largest slot).
+    texts), ``blocks`` (template texts in an article or main element) and ``slot`` (path of the largest slot).
 
     A host's template tokens are on ``share`` of its pages, so there are at most 1 / share times as many as
     tokens in its average page: a group is bounded by the length of pages, not by their number.
     """
     hosts = tokens.where("token = 0").select("host", F.col("pages").alias("of"))
-    slots = tokens.where("what = 1 and aside = 0").groupBy("host", "path").agg(F.sum("chars").alias("size"), F.max("content").alias("inside"))
-    largest = slots.groupBy("host").agg(F.max_by("path", F.struct("size", "path")).alias("slot"), F.max("inside").alias("content"))
+    slots = tokens.where("what = 1 and aside = 0").groupBy("host", "path").agg(F.sum("chars").alias("size"))
+    largest = slots.groupBy("host").agg(F.max_by("path", F.struct("size", "path")).alias("slot"))
     often = tokens.where("token <> 0").join(hosts, "host").where((F.col("pages") >= F.col("of") * share) & (F.col("pages") >= least))
 
     def nest(group: pa.Table) -> pa.Table:
         classes: dict[tuple, list] = {}
-        for r in group.to_pylist():
+        rows = group.to_pylist()
+        for r in rows:
             classes.setdefault((r["pages"], r["times"], r["v1"], r["v2"]), []).append((r["places"] / r["pages"], r["token"], r["what"]))
         # the class of most pages is the root; others are nested where their first token stands
         ordered = sorted(classes.items(), key=lambda c: (-c[0][0], -len(c[1]), c[0]))
@@ -200,11 +211,19 @@ def templates(tokens: DataFrame, share: float, least: int) -> DataFrame:
                 template = sorted(template + members)
             else:  # not between two neighbours: the class interleaves, only its texts count
                 template = sorted(template + [m for m in members if m[2] == 1])
-        row = (group["host"][0].as_py(), [t for _, t, what in template if what == 0], [t for _, t, what in template if what == 1])
-        return pa.Table.from_arrays([pa.array([row[0]], pa.string()), pa.array([row[1]], pa.list_(pa.int64())), pa.array([row[2]], pa.list_(pa.int64()))], names=["host", "skeleton", "fixed"])
+        tagged = {c for c, members in classes.items() if any(what == 0 for _, _, what in members)}
+        placed = {
+            r["token"]
+            for r in rows
+            if r["pages"] >= LEAST_INSIDE and ((r["pages"], r["times"], r["v1"], r["v2"]) in tagged or r["head_low"] == r["head_high"] or r["tail_low"] == r["tail_high"])
+        }
+        inside = {r["token"] for r in rows if r["what"] == 1 and r["content"] == 1}
+        fixed = [t for _, t, what in template if what == 1]
+        lists = [[t for _, t, what in template if what == 0], [t for t in fixed if t not in inside], [t for t in fixed if t in inside and t in placed]]
+        return pa.Table.from_arrays([pa.array([rows[0]["host"]], pa.string()), *(pa.array([x], pa.list_(pa.int64())) for x in lists)], names=["host", "skeleton", "fixed", "blocks"])
 
-    nested = often.select("host", "token", "what", "pages", "times", "v1", "v2", "places").groupBy("host").applyInArrow(nest, "host string, skeleton array<long>, fixed array<long>")
-    return largest.join(nested, "host", "left").select("host", "skeleton", "fixed", "content", "slot")
+    nested = often.select("host", "token", "what", "content", "pages", "times", "v1", "v2", "places", "head_low", "head_high", "tail_low", "tail_high").groupBy("host").applyInArrow(nest, NESTED)
+    return largest.join(nested, "host", "left").select("host", "skeleton", "fixed", "blocks", "slot")
 
 
 def in_order(keys: list[int], skeleton: list[int]) -> bool:
@@ -216,13 +235,16 @@ def in_order(keys: list[int], skeleton: list[int]) -> bool:
     return all(a < b for a, b in zip(places, places[1:]))
 
 
-def slots_text(page: str | None, skeleton: list[int] | None, fixed: list[int] | None, slot: int | None) -> str:
+def slots_text(page: str | None, skeleton: list[int] | None, fixed: list[int] | None, blocks: list[int] | None, slot: int | None) -> str:
     """The main text of a page under a host's template; without one, by its own elements."""
     tokens = parse(page)
     texts = [t for t in tokens if t[0] == 1 and not t[3]]
-    inside = [t[4] for t in texts if t[2]]
+    inside = [t for t in texts if t[2]]
     if inside:
-        return " ".join(inside)
+        repeated = set(blocks or ())
+        varying = [t for t in inside if token_key(t) not in repeated] if repeated else inside
+        kept = sum(len(t[4]) for t in varying)
+        return " ".join(t[4] for t in (varying if 2 * kept >= sum(len(t[4]) for t in inside) else inside))
     constant = set(fixed or ())
     if constant and in_order([token_key(t) for t in tokens if t[0] == 0], skeleton or []):
         varying = [t for t in texts if token_key(t) not in constant]
@@ -248,9 +270,9 @@ def extract_text(pages: DataFrame, share: float = SHARE, least_pages: int = LEAS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            c = [batch.column(i).to_pylist() for i in (3, 4, 5)]
-            texts = [slots_text(page.as_py(), a, b, s) for page, a, b, s in zip(batch.column(2), *c)]
+            c = [batch.column(i).to_pylist() for i in (3, 4, 5, 6)]
+            texts = [slots_text(page.as_py(), *own) for page, *own in zip(batch.column(2), *c)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
-    joined = rows.join(found, "host", "left").select("page_id", "url", "html", "skeleton", "fixed", "slot")
+    joined = rows.join(found, "host", "left").select("page_id", "url", "html", "skeleton", "fixed", "blocks", "slot")
     return joined.mapInArrow(run, f"page_id {kind}, url string, text string, n_chars long")
