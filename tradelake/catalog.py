@@ -336,12 +336,7 @@ def xml_ingest(spark, sf_dir):
     from .sources.fixtures import xml_responses
     from .sources.responses import normalized_items, read_items
 
-    return normalized_items(read_items(spark, xml_responses(spark, raw_sample(spark, sf_dir))))
-
-
-def raw_sample(spark, sf_dir):
-    """Rows of the first sources, as many as sources have rows: the fixture writes real response files."""
-    return b.raw_rows(spark, sf_dir).where("source in ('src1', 'src2', 'src3')")
+    return normalized_items(read_items(spark, xml_responses(spark, b.raw_rows(spark, sf_dir))))
 
 
 def html_extract(spark, sf_dir):

@@ -6,24 +6,29 @@ import io
 import zipfile
 from xml.sax.saxutils import escape
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import storage
 
 
-def xml_responses(spark: SparkSession, raw: DataFrame) -> str:
-    """Write raw rows as one gzipped response for each source; returns the folder."""
+#: Items of one response file at most.
+FILE_ITEMS = 5_000
+
+
+def xml_responses(spark: SparkSession, raw: DataFrame, file_items: int = FILE_ITEMS) -> str:
+    """Write raw rows as gzipped responses, each of one source and of at most ``file_items`` items; returns the folder."""
     path = storage.scratch(spark, "responses")
     field = lambda tag, c: F.concat(F.lit(f"<{tag}>"), F.coalesce(c, F.lit("")), F.lit(f"</{tag}>"))
     item = F.concat(
         F.lit("<item>"), field("year", F.concat(F.substring("month", 1, 4), F.lit("."), F.substring("month", 5, 2))), field("statCd", F.col("country_code_raw")), field("hsCd", F.col("hs_code_raw")), field("statKor", F.col("name_ko")),
         field("expDlr", F.col("exp_dlr")), field("expWgt", F.col("exp_wgt")), field("impDlr", F.col("imp_dlr")), field("impWgt", F.col("imp_wgt")), field("balPayments", F.col("bal_payments")), F.lit("</item>"),
     )
-    items = raw.groupBy("source").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ordinal", item.alias("x")))), lambda r: r["x"]), "").alias("items"))
+    nth = F.row_number().over(Window.partitionBy("source").orderBy("ordinal"))
+    items = raw.withColumn("part", F.floor((nth - 1) / file_items)).groupBy("source", "part").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ordinal", item.alias("x")))), lambda r: r["x"]), "").alias("items"))
     total = "<item><year>total</year><statCd>-</statCd><hsCd>-</hsCd><statKor>-</statKor></item>"
     page = F.concat(F.lit(f"<response><header><resultCode>00</resultCode><resultMsg>ok</resultMsg></header><body><items>{total}"), "items", F.lit("</items></body></response>"))
-    items.select("source", page.alias("value")).write.partitionBy("source").option("compression", "gzip").text(path)
+    items.select("source", "part", page.alias("value")).write.partitionBy("source", "part").option("compression", "gzip").text(path)
     return path
 
 
