@@ -35,3 +35,22 @@ def test_a_source_fills_several_files(spark):
     files = inspect_responses(read_items(spark, xml_responses(spark, raw, file_items=5))).collect()
     sizes = [r["count"] for r in raw.groupBy("source").count().collect()]
     assert len(files) == sum(-(-n // 5) for n in sizes) > 2 and max(r["items"] for r in files) == 6 and sum(r["items"] for r in files) == sum(sizes) + len(files)
+
+
+def test_all_copies_are_folded(spark):
+    copies = {}
+    for r in catalog.label_rows(spark, SF).orderBy("ordinal").collect():
+        copies.setdefault(r["hs10"], []).append((r["name_ko"], r["name_en"]))
+    fits = lambda a, b: not a or not b or a.startswith(b) or b.startswith(a)
+    score = lambda x: (bool(x[0]) + bool(x[1]), len(x[0]) + len(x[1]), len(x[0]))
+    want = {}
+    for code, rows in copies.items():
+        kept, conflicts = rows[0], 0
+        for new in rows[1:]:
+            if not (fits(kept[0], new[0]) and fits(kept[1], new[1])):
+                conflicts += 1
+            elif score(new) > score(kept):
+                kept = new
+        want[code] = (len(rows), *kept, conflicts)
+    got = {r["hs10"]: (r["copies"], r["name_ko"], r["name_en"], r["conflicts"]) for r in catalog.duplicate_label_fold(spark, SF).collect()}
+    assert got == want and max(x[0] for x in want.values()) > 2

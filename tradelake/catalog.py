@@ -139,9 +139,7 @@ def label_rows(spark, sf_dir):
 
 
 def duplicate_label_fold(spark, sf_dir):
-    rows = reference.latest_by(label_rows(spark, sf_dir), ["hs10", "name_ko"], [F.col("ordinal")])
-    rows = rows.withColumn("__k", F.row_number().over(reference.Window.partitionBy("hs10").orderBy("ordinal"))).where("__k <= 2").drop("__k")
-    return reference.resolve_duplicates(rows, ["hs10"])
+    return reference.resolve_duplicates(label_rows(spark, sf_dir), ["hs10"])
 
 
 def adjacent_year_review(spark, sf_dir):
