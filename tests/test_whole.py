@@ -54,3 +54,14 @@ def test_all_copies_are_folded(spark):
         want[code] = (len(rows), *kept, conflicts)
     got = {r["hs10"]: (r["copies"], r["name_ko"], r["name_en"], r["conflicts"]) for r in catalog.duplicate_label_fold(spark, SF).collect()}
     assert got == want and max(x[0] for x in want.values()) > 2
+
+
+@pytest.mark.parametrize("name, cut", [("coverage_missing", " AND s.path % 3 = 0"), ("top_partners_latest", " WHERE month <= '199801'"), ("products_hs4_latest", " WHERE month <= '199801'")])
+def test_all_sources_and_months_count(spark, name, cut):
+    same(spark, name, without(name, cut))
+
+
+def test_the_latest_month_is_the_last_one(spark):
+    last = bindings.trade_facts(spark, SF).agg(F.max("month")).first()[0]
+    for name in ("top_partners_latest", "products_hs4_latest"):
+        assert {r["month"] for r in catalog.queries()[name](spark, SF).collect()} == {last}

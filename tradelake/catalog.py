@@ -11,7 +11,7 @@ from .functions import text as t
 from .functions.outcomes import outcome_status, should_split
 from .operators import analytics, normalize, outcomes, quality, reference, rollup, selection
 
-LAST_MONTH, PANEL_START, PANEL_END = "199801", "199601", "199712"
+PANEL_START, PANEL_END = "199601", "199712"
 
 
 def rollup_query(level: int):
@@ -61,7 +61,7 @@ def source_assignments(spark, sf_dir):
 def coverage_missing(spark, sf_dir):
     countries = b.table(spark, sf_dir, "nation").select(F.col("n_name").alias("country"))
     months = spark.range(1).select(F.explode(m.months_between(F.lit("199501"), F.lit("200012"))).alias("month"))
-    return selection.missing_months(countries, months, selection.select_sources(selection.expand_windows(b.source_windows(spark, sf_dir).where("path % 3 = 0"))))
+    return selection.missing_months(countries, months, selection.select_sources(selection.expand_windows(b.source_windows(spark, sf_dir))))
 
 
 def classified(spark, sf_dir):
@@ -218,11 +218,11 @@ def slice_profile(spark, sf_dir):
 
 
 def top_partners_latest(spark, sf_dir):
-    return analytics.top_partners(b.trade_facts(spark, sf_dir).where(F.col("month") <= LAST_MONTH), b.partner_names(spark, sf_dir), 15)
+    return analytics.top_partners(b.trade_facts(spark, sf_dir), b.partner_names(spark, sf_dir), 15)
 
 
 def products_hs4_latest(spark, sf_dir):
-    return analytics.top_products(b.with_levels(b.trade_facts(spark, sf_dir)).where(F.col("month") <= LAST_MONTH), "hs4", 20)
+    return analytics.top_products(b.with_levels(b.trade_facts(spark, sf_dir)), "hs4", 20)
 
 
 def product_drilldown(spark, sf_dir):
