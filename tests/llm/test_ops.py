@@ -396,6 +396,22 @@ def test_toxicity_finds_disguised_words(spark, odd, empty):
     assert toxicity.drop_toxic(odd, nothing).count() == len(ODD)
 
 
+def test_toxicity_reads_every_disguise(spark):
+    docs, labels = labelled(spark)
+    restore = toxicity.Restorer(toxicity.learn(docs, labels).chars)
+    for disguised, word in {
+        "stuupid": "stupid", "moroon": "moron", "i d ! o t": "idiot", "$ t u p i d": "stupid", "m\to\tr\t0\tn": "moron", "i\nd\ni\no\nt": "idiot",
+        "mor.on": "moron", "st-upid": "stupid", "id_iot": "idiot", "i*d*i*o*t": "idiot", "(stupid)": "stupid", "an": "an",
+    }.items():
+        assert word in restore.words(f"the {disguised} there"), (disguised, restore.words(disguised))
+    grams = {f"^^{w}$"[i : i + 3]: 50 for w in ("worthless", "the", "well", "known") for i in range(len(w) + 1)}
+    restore = toxicity.Restorer(toxicity.CharModel(grams))
+    assert "worthless" in restore.words("worthle$$") and "worthless" in restore.words("worthle$$!!")
+    assert restore.words("the! 12-34 (the) the*** known.") == {"the", "12-34", "known"}
+    assert {"well", "known", "well-known"} <= restore.words("well-known")
+    assert restore.words("* * * * - - 1 2 3") == {"", "1", "2", "3"}
+
+
 # 10
 
 

@@ -1,9 +1,10 @@
 """Toxicity by noisy-channel deobfuscation and a lexical score.
 
-Words that look disguised (digits or signs inside, a letter three times in a row, letters spaced out one
-by one) become a lattice: each sign may stand for some letters, a run for one or two of its letter.  A
-Viterbi search over the lattice finds the letters most likely under the channel and a character trigram
-model.  The restored text is scored by a logistic model over words and word beginnings.
+Every word but one of single letters only has more than one reading and becomes a lattice, as do characters
+spaced out one by one: each sign may stand for some letters or for nothing at an end, a run for one or two of
+its letter, a separator joins or splits.  A Viterbi search over the lattice finds the letters most likely
+under the channel and a character trigram model.  A word counts as that, as written and joined over its
+separators.  The restored text is scored by a logistic model over words and word beginnings.
 
 The character model, the vocabulary of features and the weights are learned from a bounded sample of
 labelled rows; every text is scored whole.
@@ -13,6 +14,7 @@ from __future__ import annotations
 
 import math
 import re
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 
@@ -31,15 +33,22 @@ SIGNS = {
 }
 #: Log probabilities of the channel: a sign for a letter, a run of a letter shortened.
 SIGN_COST, RUN_COST = math.log(0.2), math.log(0.2)
+#: The same for a separator that joins, a sign at an end that stands for nothing, and one that mostly does so as a letter.
+JOIN_COST, DROP_COST, MARK_COST = math.log(0.2), math.log(0.05), math.log(1e-4)
+#: Signs that at a word's end are mostly punctuation, and those that also separate letters.
+MARKS, ALSO_SEPARATORS = frozenset("!*#(¡"), frozenset("*+|#")
 #: Features of the model at most, and the rows of the sample that a feature needs.
 MAX_FEATURES, MIN_ROWS, MIN_LIFT = 4096, 6, 8.0
 PREFIXES = (4, 5, 6)
 THRESHOLD = 0.3
 WORDS_KEPT = 300_000
 EDGES = " \t\n\r\v\f.,;:!?\"'()[]{}<>%&$#*|+=-_~^/\\`«»„“”…¡¿@"
-ENDS = ".,;:!?%&*#|$+\"')"
-SPACED = re.compile(r"(?<![^\s])[^\W_](?:[ .\-_*]+[^\W_])(?:[ .\-_*]+[^\W_])+(?![^\s.,;:!?])")
-DISGUISED = re.compile(r"[^\W\d_][0-9@$!|+(€£¡§*#]+[^\W\d_]|^[0-9@$!|+(€£¡§*#]+[^\W\d_]{2}|[^\W\d_]{2}[0-9@$!|+(€£¡§]+$|([^\W\d_])\1\1")
+OPEN = "".join(c for c in EDGES if c not in SIGNS)
+SPACED = re.compile(r"(?<!\S)(?:[^\W_]|[@$!|+(€£¡§*#])(?:[\s.,\-_~/:;·•]+(?:[^\W_]|[@$!|+(€£¡§*#])){2,}(?![^\s.,;:!?])")
+SEVERAL = re.compile(r"[\W\d_]|([^\W\d_])\1")
+LETTER = re.compile(r"[^\W\d_]")
+#: What a separator that splits stands for.
+SPLIT = " "
 
 
 class CharModel:
@@ -70,40 +79,65 @@ class CharModel:
         return out
 
 
+def is_letter(c: str) -> bool:
+    return c.isalpha() or unicodedata.category(c)[0] == "M"
+
+
 def lattice(token: str) -> list[list[tuple[str, float]]]:
     """For each stretch of a token the strings it may stand for, with the channel's log probability."""
     out, i = [], 0
+    first = next((k for k, c in enumerate(token) if is_letter(c)), 0)
+    last = next((k for k in range(len(token) - 1, -1, -1) if is_letter(token[k])), len(token) - 1)
     while i < len(token):
         c, j = token[i], i
         while j < len(token) and token[j] == c:
             j += 1
         if c in SIGNS:
+            end, mark = (j <= first or i > last) and not c.isdigit(), c in MARKS
+            step = [(x, MARK_COST if end and mark else SIGN_COST) for x in SIGNS[c]]
+            if end:
+                step.append(("", 0.0 if mark else DROP_COST))
+            elif c in ALSO_SEPARATORS:
+                step.append(("", JOIN_COST))
             for _ in range(j - i if j - i < 3 else 1):
-                out.append([(x, SIGN_COST) for x in SIGNS[c]])
-        elif c.isalpha():
+                out.append(step)
+        elif is_letter(c):
             if j - i == 1:
                 out.append([(c, 0.0)])
             else:
                 out.append([(c, RUN_COST * (j - i > 1)), (c * 2, 0.0 if j - i == 2 else RUN_COST)])
+        elif not (out and (SPLIT, 0.0) in out[-1]):
+            out.append([("", JOIN_COST), (SPLIT, 0.0)])
         i = j
     return out
 
 
 def decode(token: str, model: CharModel) -> str:
-    """The most likely letters behind a token (Viterbi over the last two letters)."""
-    best = {"^^": (0.0, "")}
+    """The most likely letters behind a token (Viterbi over the last two letters); parts are apart by a space."""
+    best: dict[str, tuple[float, tuple]] = {"^^": (0.0, ())}
+    log = model.log
     for step in lattice(token):
-        new: dict[str, tuple[float, str]] = {}
+        new: dict[str, tuple[float, tuple]] = {}
         for state, (score, text) in best.items():
             for letters, cost in step:
                 s, total = state, score + cost
-                for c in letters:
-                    total += model.log(s + c)
-                    s = s[1] + c
+                if letters == SPLIT:
+                    if s != "^^":
+                        total += log(s + "$")
+                        s = "^^"
+                else:
+                    for c in letters:
+                        total += log(s + c)
+                        s = s[1] + c
                 if s not in new or total > new[s][0]:
-                    new[s] = (total, text + letters)
+                    new[s] = (total, (text, letters))
         best = new
-    return max((score + model.log(s + "$"), text) for s, (score, text) in best.items())[1]
+    text = max(best.items(), key=lambda x: x[1][0] + log(x[0] + "$"))[1][1]
+    parts = []
+    while text:
+        text, letters = text
+        parts.append(letters)
+    return "".join(reversed(parts))
 
 
 class Restorer:
@@ -112,24 +146,33 @@ class Restorer:
     def __init__(self, model: CharModel):
         self.model, self.known = model, {}
 
-    def word(self, raw: str) -> str:
-        bare = raw.rstrip(ENDS)
-        if DISGUISED.search(bare):
-            return decode(bare, self.model)
-        return raw.strip(EDGES)
+    def readings(self, token: str) -> set[str]:
+        """The words of the most likely path, and the one word that the token is without its separators."""
+        out = set(decode(token, self.model).split())
+        joined = "".join(c for c in token if c in SIGNS or is_letter(c))
+        if len(joined) < len(token):
+            out.add(decode(joined, self.model))
+        return out
+
+    def word(self, raw: str) -> tuple[str, ...]:
+        plain, bare = raw.strip(EDGES), raw.strip(OPEN)
+        if not LETTER.search(bare) or not SEVERAL.search(bare):
+            return (plain,)
+        return tuple({plain} | self.readings(bare))
 
     def words(self, text: str) -> set[str]:
         text = text.lower()
         known, out = self.known, set()
         for raw in set(text.split()):
-            word = known.get(raw)
-            if word is None:
+            words = known.get(raw)
+            if words is None:
                 if len(known) >= WORDS_KEPT:
                     known.clear()
-                word = known[raw] = self.word(raw)
-            out.add(word)
+                words = known[raw] = self.word(raw)
+            out.update(words)
         for m in SPACED.finditer(text):
-            out.add(decode(re.sub(r"[ .\-_*]+", "", m.group()), self.model))
+            if LETTER.search(m.group()):
+                out |= self.readings(m.group())
         return out
 
 
