@@ -299,6 +299,15 @@ def test_template_texts_in_articles_go(spark):
     assert all(text[20 + i] == f"One long text that all pages of this host hold. Copy {i}" for i in range(5))
 
 
+def test_wrappers_of_the_content_are_no_asides():
+    text = lambda page: html_text.slots_text(page, None, None, None, None)
+    inner = "<nav>Home</nav><article><p>The whole text</p><div class='share-buttons'>Tell</div></article><div class='comments'><article>Nice</article></div>"
+    for page in ("<body class='no-sidebar'>{}</body>", "<body class='modal'>{}</body>", "<div id='page-with-sidebar'>{}</div>", "<div class='header-fixed layout'>{}</div>", "<form id='all'><div class='widget'>{}</div></form>"):
+        assert text(page.format(inner)) == "The whole text", page
+    assert text("<div id='x'>A long text without an article</div><div class='related'><article>Teaser</article></div>") == "A long text without an article"
+    assert text("<div class='page-with-sidebar'>Text</div><div class='sidebar'>Side</div>") == "Text"
+
+
 # 7
 
 

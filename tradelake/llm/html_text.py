@@ -47,6 +47,7 @@ INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 CONTENT = frozenset("article main".split())
 ASIDE_TAGS = frozenset("head nav header footer aside form dialog menu fieldset".split())
+WRAPPER_TAGS = frozenset("form fieldset".split())
 ASIDE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar toolbar".split())
 ASIDE_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices notification popup modal overlay sidebar "
@@ -54,18 +55,24 @@ ASIDE_WORDS = frozenset(
     "login signup header footer masthead topbar pagination pager toolbar skip alert disclaimer".split()
 )
 SPLIT = re.compile(r"[^a-z]+")
+#: A class or id with one of these says what else a page has; it isn't a component's own name.
+RELATIONS = frozenset("no not with without has have is".split())
 
 
 def region(name: str, attributes: str) -> tuple[str, int]:
-    """(key, kind) of a structural element: its name with its class and role, and whether it is content or an aside."""
+    """(key, kind) of a structural element: its name with its class and role, and whether it is content (1), an aside (2) or one unless it holds the content (3)."""
     found = {m[1].lower(): (m[2] or m[3] or m[4] or "").lower() for m in ATTRIBUTE.finditer(attributes)} if attributes else {}
     key = name + "".join(f".{re.sub(r'[0-9]+', '0', found[x])}" for x in ("class", "role") if x in found)
-    words = {w for x in ("class", "id") if x in found for w in SPLIT.split(found[x])}
+    names = [set(SPLIT.split(w)) for x in ("class", "id") if x in found for w in found[x].split()]
     role = found.get("role", "")
     if name in CONTENT or role == "main" or found.get("itemprop") == "articlebody":
         return key, 1
-    if name in ASIDE_TAGS or role in ASIDE_ROLES or words & ASIDE_WORDS or "hidden" in found or found.get("aria-hidden") == "true":
+    if name in ("html", "body"):
+        return key, 0
+    if name in ASIDE_TAGS - WRAPPER_TAGS or role in ASIDE_ROLES or "hidden" in found or found.get("aria-hidden") == "true":
         return key, 2
+    if name in WRAPPER_TAGS or any(w & ASIDE_WORDS and not w & RELATIONS for w in names):
+        return key, 3
     return key, 0
 
 
@@ -73,11 +80,13 @@ def parse(page: str | None) -> list[tuple[int, str, int, int, str]]:
     """Tokens of a page in order: (what: 0 tag, 1 text; path; content depth; aside; text or tag).
 
     ``content`` is 1 inside an article or main element, ``aside`` 1 inside a region that isn't main text.
-    Unclosed elements end with their parent; stray end tags are dropped.
+    Unclosed elements end with their parent; stray end tags are dropped.  While a page is read, ``aside`` of
+    what only names or forms make an aside lists these elements; those around the content are none then.
     """
-    out: list[tuple[int, str, int, int, str]] = []
-    stack: list[tuple[str, str, int, int]] = []
+    out: list[tuple] = []
+    stack: list[tuple] = []
     path, content, aside = "", 0, 0
+    held: list[list] = []  # content elements in such asides: their asides, first and last token
     parts: list[str] = []
 
     def flush() -> None:
@@ -106,7 +115,10 @@ def parse(page: str | None) -> list[tuple[int, str, int, int, str]]:
         if m[2]:
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] == name:
-                    _, path, content, aside = stack[i]
+                    _, path, content, aside, _ = stack[i]
+                    for x in stack[i:]:
+                        if x[4] is not None:
+                            x[4][2] = len(out)
                     del stack[i:]
                     out.append((0, path, content, aside, "/" + name))
                     break
@@ -117,18 +129,28 @@ def parse(page: str | None) -> list[tuple[int, str, int, int, str]]:
         if own is None:
             own = known[name, m[4]] = region(name, m[4])
         out.append((0, path, content, aside, own[0]))
-        stack.append((name, path, content, aside))
+        own_held = [aside, len(out), None] if own[1] == 1 and isinstance(aside, tuple) else None
+        if own_held:
+            held.append(own_held)
+        stack.append((name, path, content, aside, own_held))
         path = f"{path}/{own[0]}"
         if own[1] == 1:
             content = 1
         elif own[1] == 2:
             aside = 1
+        elif own[1] == 3 and aside != 1:
+            aside = (*(aside or ()), len(out))
     if at < len(page):
         rest = page[at:]
         cut = re.search(r"<[a-zA-Z/!][^>]*\Z", rest)  # a tag that the page's end cuts off
         parts.append(rest[: cut.start()] if cut else rest)
     flush()
-    return out
+    around: tuple = ()
+    if held and not any(t[0] and t[2] and not t[3] for t in out):
+        size, best = max(((sum(len(t[4]) for t in out[a:b] if t[0] and t[3] == chain), chain) for chain, a, b in held), key=lambda x: x[0])
+        if size > sum(len(t[4]) for t in out if t[0] and not t[3]):
+            around = best
+    return [(*t[:3], int(any(x not in around for x in t[3])), t[4]) if isinstance(t[3], tuple) else t for t in out]
 
 
 def token_key(token: tuple[int, str, int, int, str]) -> int:
