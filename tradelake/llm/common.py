@@ -3,12 +3,17 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import re
 import sys
 import tempfile
 import types
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,9 +23,14 @@ BATCH_BYTES = 8 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``, or a temporary one where it is unset."""
+    """The folder that driver and executors share: ``spark.checkpoint.dir``.
+
+    Where it is unset, a session on one machine gets a temporary folder; on a cluster that is an error.
+    """
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not path:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         path = tempfile.mkdtemp(prefix="tradelake-")
         spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")
@@ -33,6 +43,17 @@ def delete_path(spark: SparkSession, path: str) -> None:
     there.getFileSystem(conf).delete(there, True)
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Bound Arrow batches by bytes, unless the session has a bound of its own; a Spark without that setting bounds them by rows."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    try:
+        if spark.conf.get(name) in ("67108864b", "-1"):  # Spark's own
+            spark.conf.set(name, str(BATCH_BYTES))
+    except Exception as error:
+        if "SQL_CONF_NOT_FOUND" not in str(error) and "NoSuchElement" not in str(error):
+            raise
+
+
 class Workspace:
     """A folder of intermediate tables under ``shared_dir``.
 
@@ -43,12 +64,7 @@ class Workspace:
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.path = spark, f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-        try:
-            spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
-            spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
-        except Exception as error:  # a Spark without that setting bounds batches by rows alone
-            if "SQL_CONF_NOT_FOUND" not in str(error) and "NoSuchElement" not in str(error):
-                raise
+        bound_batches(spark)
         atexit.register(self.close)
 
     def table(self, name: str, df: DataFrame) -> DataFrame:
@@ -83,8 +99,12 @@ def total_bytes(df: DataFrame, column: str) -> int:
     return df.agg(F.coalesce(F.sum(F.octet_length(column)), F.lit(0)).alias("n")).first()["n"]
 
 
+#: Characters that any of the libraries takes for white space.
+SPACES = "\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: White space beside white space or at the end: a text without it may be cut at every space.
-UNSAFE = re.compile(r"\s\s|\s\Z")
+UNSAFE = f"[{SPACES}][{SPACES}]|[{SPACES}]\\z"
+#: Bytes of text that are encoded at once, and the longest word that is kept for later texts.
+CHUNK_BYTES, KEPT_LENGTH = 3 << 20, 100
 
 
 def safe_segments(text: str) -> list[str]:
@@ -94,65 +114,137 @@ def safe_segments(text: str) -> list[str]:
     stands before such a space can neither take it in nor look beyond it.  The segments (each but the
     first begins with its space) joined give the text again.
     """
-    out, open_ = [], ""
+    out: list[list[str]] = [[]]
+    last = ""
     for i, part in enumerate(text.split(" ")):
-        if i == 0:
-            open_ = part
-        elif part and not part[0].isspace() and (not open_ or not open_[-1].isspace()):
-            if open_:
-                out.append(open_)
-            open_ = " " + part
-        else:
-            open_ += " " + part
-    if open_:
-        out.append(open_)
-    return out
-
-
-class SegmentCache:
-    """Encode texts by segments, each distinct segment once while it stays in a bounded cache.
-
-    ``encode(parts, before)`` gives the results of the segments ``before + part``; where ``before`` is a space
-    they may be joined to one text, in which their starts are boundaries.  The cache is emptied when it is full, so its memory is bounded however many distinct words
-    the data have.
+        if i and part and not part[0].isspace() and last and not last.isspace():
+            out.append([])
+        out[-1].append(part if not i else " " + part)
+        last = part[-1] if part else " " if i else ""
+    return [x for x in map("".join, out) if x]
+
+
+class Kept:
+    """Results for words, in two generations: when the young one is full it becomes the old one, and what is
+    still used comes back from there.  Words over ``KEPT_LENGTH`` aren't kept, so entries bound the bytes."""
+
+    def __init__(self, limit: int):
+        self.limit, self.young, self.old = limit, {}, {}
+
+    def all(self, words: list, make) -> list:
+        """The results of all ``words``; ``make`` gives those of a list of new ones."""
+        young, old = self.young, self.old
+        out = list(map(young.get, words))
+        new = []
+        for i in [i for i, x in enumerate(out) if x is None]:
+            word = words[i]
+            x = out[i] = old.get(word)
+            if x is None:
+                new.append(i)
+            else:
+                young[word] = x
+        if new:
+            for i, x in zip(new, make([words[i] for i in new])):
+                out[i] = x
+                if len(words[i]) <= KEPT_LENGTH:
+                    young[words[i]] = x
+        if len(young) > self.limit:
+            self.old, self.young = young, {}
+        return out
+
+    def one(self, word, make):
+        """The result of one word."""
+        out = self.young.get(word)
+        if out is None:
+            out = self.old.get(word)
+            if out is None:
+                out = make(word)
+            if len(word) <= KEPT_LENGTH:
+                if len(self.young) >= self.limit:
+                    self.old, self.young = self.young, {}
+                self.young[word] = out
+        return out
+
+
+class TextEncoder:
+    """Encode texts by segments that a space begins: a chunk's distinct segments are looked up or encoded once.
+
+    ``encode(parts, before)`` gives the packed ids (numbers of type ``kind``) of the segments ``before + part``;
+    where ``before`` is a space they may be joined to one text, in which their starts are boundaries.  What is
+    kept from chunk to chunk is bounded, however many distinct words the data have.
     """
 
-    def __init__(self, encode, limit: int = 250_000):
-        self.encode, self.limit = encode, limit
-        self.plain: dict = {}  # part -> result for " " + part
-        self.other: dict = {}  # segment -> result
-
-    def __call__(self, text: str) -> list:
-        first, *parts = text.split(" ")
-        if UNSAFE.search(text):
-            return self._others(safe_segments(text))
-        known = self.plain
-        out = list(map(known.get, parts))
-        if None in out:
-            new = list({p for p, x in zip(parts, out) if x is None})
-            if len(known) + len(new) > self.limit:
-                known.clear()
-                new = list({*parts})
-            known.update(zip(new, self.encode(new, " ")))
-            out = list(map(known.get, parts))
-        return self._others([first]) + out if first else out
-
-    def _others(self, segments: list[str]) -> list:
-        known = self.other
-        for s in segments:
-            if s not in known:
-                if len(known) > self.limit:
-                    known.clear()
-                known[s] = self.encode([s], "")[0]
-        try:
-            return [known[s] for s in segments]
-        except KeyError:  # emptied on the way
-            return [self.encode([s], "")[0] for s in segments]
+    def __init__(self, encode, kind: str, limit: int):
+        self.encode, self.kind = encode, np.dtype(kind)
+        self.plain, self.other = Kept(limit), Kept(limit // 8)
+
+    def encoded(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """The ids of each text in order; a null one is empty."""
+        lengths = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        at = 0
+        while at < len(texts):
+            if lengths[at] > CHUNK_BYTES:
+                yield np.concatenate(list(self._long(texts[at].as_py())))
+                at += 1
+                continue
+            end = at + int(np.searchsorted(np.cumsum(lengths[at : at + 10_000]), CHUNK_BYTES, "right"))
+            yield from self._chunk(texts.slice(at, end - at))
+            at = end
+
+    def _long(self, text: str) -> Iterator[np.ndarray]:
+        if pc.match_substring_regex(pa.array([text]), UNSAFE)[0].as_py():
+            for segment in safe_segments(text):
+                yield np.frombuffer(self.encode([segment], "")[0], self.kind)
+            return
+        start = 0
+        while start < len(text):
+            cut = text.find(" ", start + CHUNK_BYTES)
+            cut = len(text) if cut < 0 else cut
+            yield from self._chunk(pa.array([text[start:cut]]), " " if start else "")
+            start = cut + 1
+
+    def _chunk(self, texts: pa.Array, before: str = "") -> list[np.ndarray]:
+        """Ids of texts; ``before`` stands before their first words."""
+        texts = pc.fill_null(texts, "")
+        unsafe = pc.match_substring_regex(texts, UNSAFE).to_numpy(zero_copy_only=False)
+        split = pc.split_pattern(texts, " ")
+        words = split.flatten().dictionary_encode()
+        codes = words.indices.to_numpy().astype(np.int64)
+        sizes = pc.list_value_length(split).to_numpy(zero_copy_only=False).astype(np.int64)
+        starts = np.cumsum(sizes) - sizes
+        plain = np.repeat(~unsafe, sizes)
+        plain[starts] = False
+        used = np.flatnonzero(np.bincount(codes[plain], minlength=len(words.dictionary)))
+        found = self.plain.all(words.dictionary.take(pa.array(used)).to_pylist(), lambda new: self.encode(new, " "))
+        apart = lambda new: self.encode(new, before)
+        if before:  # the middle of a long text
+            found += apart(words.dictionary.take(pa.array(codes[starts])).to_pylist())
+        else:
+            heads = words.dictionary.take(pa.array(codes[starts])).to_pylist()
+            for head, whole, odd in zip(heads, texts, unsafe):
+                segments = safe_segments(whole.as_py()) if odd else [head] if head else []
+                found.append(b"".join(self.other.all(segments, apart)) if segments else b"")
+        place = np.zeros(len(words.dictionary), np.int64)
+        place[used] = np.arange(len(used))
+        order = place[codes]
+        order[starts] = len(used) + np.arange(len(starts))
+        plain[starts] = True
+        order = order[plain]
+        lengths = np.fromiter(map(len, found), np.int64, len(found)) // self.kind.itemsize
+        table = np.frombuffer(b"".join(found), self.kind)
+        many = lengths[order]
+        ends = np.cumsum(many)
+        first = (np.cumsum(lengths) - lengths)[order] - (ends - many)
+        ids = table[np.repeat(first, many) + np.arange(len(first) and ends[-1])]
+        last = np.cumsum(np.where(unsafe, 1, sizes)) - 1
+        return np.split(ids, ends[last[:-1]]) if len(last) else []
 
 
 def worker_value(kind: str, key, make):
-    """A value that a Python worker keeps from task to task; one for each kind, made anew for another key."""
+    """A value that a Python worker keeps from task to task: one in all, so another operator's goes first."""
     kept = sys.modules.setdefault("_tradelake_worker", types.ModuleType("_tradelake_worker")).__dict__
-    if kept.get(kind, (None,))[0] != key:
-        kept[kind] = (key, make())
-    return kept[kind][1]
+    if kept.get("value", (None,))[0] != (kind, key):
+        kept["value"] = (None, None)
+        gc.collect()
+        kept["value"] = ((kind, key), make())
+    return kept["value"][1]

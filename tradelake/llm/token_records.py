@@ -30,12 +30,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import SegmentCache, Workspace, total_bytes, worker_value
+from .common import Kept, TextEncoder, Workspace, total_bytes, worker_value
 
 #: Bytes of text that go to one record file.
 SHARD_TEXT_BYTES = 8 << 20
-#: Segments that a worker keeps, rows written at once.
-CACHE_SEGMENTS, WRITE_ROWS = 600_000, 500
+#: Segments that a worker keeps in each of two generations, rows written at once.
+CACHE_SEGMENTS, WRITE_ROWS = 220_000, 500
+#: Up to here all libraries agree on what is a letter.
+LAST_LETTER = "\u024f"
 MASK_DELTA = 0xA282EAD8
 HEAD_BYTES, ID_FORMAT, ID_BYTES = 12, "<qBB", 10
 INDEX_SCHEMA = "shard int, ordinal long, offset long, length long, doc_id long, n_tokens long, ids_crc32 long, local_start long"
@@ -74,47 +76,98 @@ def parse_payload(payload: bytes) -> tuple[int | None, np.ndarray]:
     return None if flags & 1 else doc_id, np.frombuffer(payload, "<u2" if width == 2 else "<u4", offset=ID_BYTES)
 
 
-def tokenizer_cache(tokenizer_path: str, end_id: int) -> tuple[str, int, SegmentCache]:
-    """(number format, its bytes, cache of segments' packed ids) of a byte-level tokenizer of the tokenizers library.
+def byte_characters() -> dict[int, str]:
+    """The character that a byte-level vocabulary writes for each byte: itself if it's visible, else the next from 256 on."""
+    visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in visible]
+    return {b: chr(b) for b in visible} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
+def tokenizer_encoder(tokenizer_path: str, end_id: int, special_as_text: bool) -> TextEncoder:
+    """An encoder by a byte-level tokenizer of the tokenizers library.
 
     New segments are encoded as one text.  Their ends are ends of pre-tokens, so of tokens too; the bytes
-    that tokens stand for tell which ids are whose.
+    that tokens stand for tell which ids are whose.  A word of letters, and a mark after it, are pre-tokens of
+    the usual pattern; there the library's model gets them without running the pattern.
     """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are parallel already
-    from tokenizers import Tokenizer
+    from tokenizers import Tokenizer, pre_tokenizers
 
     tokenizer = Tokenizer.from_file(tokenizer_path)
-    tokenizer.encode_special_tokens = True
+    tokenizer.encode_special_tokens = special_as_text
+    special = {t.content: len(t.content.encode()) for t in tokenizer.get_added_tokens_decoder().values()}
     vocabulary = tokenizer.get_vocab()
     n = max(vocabulary.values(), default=0) + 1
-    width, kind = (2, "<u2") if max(n, end_id + 1) <= 1 << 16 else (4, "<u4")
+    kind = "<u2" if max(n, end_id + 1) <= 1 << 16 else "<u4"
+    width = np.dtype(kind).itemsize
     sizes = np.zeros(n, np.int64)
     for token, i in vocabulary.items():
-        sizes[i] = len(token)  # a byte-level vocabulary writes each byte as one character
+        sizes[i] = special.get(token) or len(token)  # a byte-level vocabulary writes each byte as one character
+
+    quick = None
+    if str(tokenizer.pre_tokenizer).startswith("ByteLevel(add_prefix_space=False") and "use_regex=True" in str(tokenizer.pre_tokenizer) and tokenizer.normalizer is None:
+        quick = Tokenizer.from_file(tokenizer_path)
+        quick.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(" ")
+    written = byte_characters()
+    words = Kept(CACHE_SEGMENTS // 4)
+
+    def cut(ids: list[int], ends: np.ndarray) -> list[bytes]:
+        """The packed ids of the parts of a text that end at these bytes."""
+        reached = np.cumsum(sizes[ids])
+        if len(ids) and reached[-1] != ends[-1]:
+            raise ValueError("this tokenizer isn't byte-level")
+        packed, out, start = np.array(ids, kind).tobytes(), [], 0
+        for at in ((np.searchsorted(reached, ends) + 1) * width).tolist():
+            out.append(packed[start:at])
+            start = at
+        return out
 
-    def encode(parts: list[str], before: str) -> list[bytes]:
+    def letters(parts: list[str]) -> list[bytes]:
+        """Words of letters alone, each with a space before it: these are one pre-token, so the model can have them as such."""
+        own = [written[32] + (w if w.isascii() else w.encode().decode("latin-1").translate(written)) for w in parts]
+        return cut(quick.encode_batch_fast([" ".join(own)], add_special_tokens=False)[0].ids, np.cumsum(np.fromiter(map(len, own), np.int64, len(own))))
+
+    def joined(parts: list[str], before: str) -> list[bytes]:
         whole = before + before.join(parts)
         lengths = map(len, parts if whole.isascii() else map(str.encode, parts))
-        ends = np.cumsum(np.fromiter(lengths, np.int64, len(parts)) + len(before))
-        ids = np.array(tokenizer.encode_batch_fast([whole], add_special_tokens=False)[0].ids, np.int64)
-        cuts = np.searchsorted(np.cumsum(sizes[ids]), ends) + 1
-        if sizes[ids].sum() != ends[-1]:
-            raise ValueError("this tokenizer isn't byte-level")
-        packed, out, start = ids.astype(kind).tobytes(), [], 0
-        for cut in (cuts * width).tolist():
-            out.append(packed[start:cut])
-            start = cut
+        return cut(tokenizer.encode_batch_fast([whole], add_special_tokens=False)[0].ids, np.cumsum(np.fromiter(lengths, np.int64, len(parts)) + len(before)))
+
+    marks = {c: np.array(tokenizer.encode(c, add_special_tokens=False).ids, kind).tobytes() for c in ",."}
+
+    def encode(parts: list[str], before: str) -> list[bytes]:
+        if not before:
+            return [np.array(x.ids, kind).tobytes() for x in tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
+        if quick is None:
+            return joined(parts, before)
+        out: list[bytes | None] = [None] * len(parts)
+        plain, where, ends, rest = [], [], [], []
+        for i, part in enumerate(parts):
+            end = marks.get(part[-1:])
+            word = part[:-1] if end else part
+            if word.isalpha() and max(word) <= LAST_LETTER:
+                plain.append(word)
+                where.append(i)
+                ends.append(end or b"")
+            else:
+                rest.append(i)
+        for i, x, end in zip(where, words.all(plain, letters), ends):
+            out[i] = x + end
+        if rest:
+            for i, x in zip(rest, joined([parts[i] for i in rest], before)):
+                out[i] = x
         return out
 
-    return kind, width, SegmentCache(encode, CACHE_SEGMENTS)
+    return TextEncoder(encode, kind, CACHE_SEGMENTS)
 
 
-def write_token_records(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", shard_text_bytes: int = SHARD_TEXT_BYTES) -> DataFrame:
+def write_token_records(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", shard_text_bytes: int = SHARD_TEXT_BYTES, special_as_text: bool = False) -> DataFrame:
     """Encode every text, write records in ascending ``id_col`` order and the index; return the index.
 
     A null text counts as empty; every document ends in ``end_id``, so an empty one has that id alone.
     Null ids come first; repeated rows are written as often as they occur; the text breaks ties, so copies
-    of one id spread over shards.  Other columns are not read.  An empty table gives no records.
+    of one id spread over shards.  Other columns are not read.  An empty table gives no records.  What a text
+    holds of the tokenizer's special tokens becomes their ids, as the library does by itself, or with
+    ``special_as_text`` ordinary text.
     The number of shards follows the bytes of text, so a shard and the memory to read it are bounded (by
     one document, if that is longer).
     """
@@ -123,14 +176,14 @@ def write_token_records(docs: DataFrame, path: str, tokenizer_path: str, end_id:
     n = 1 + total_bytes(docs, "text") // shard_text_bytes
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind, width, cache = worker_value("tokenizer", (tokenizer_path, end_id), lambda: tokenizer_cache(tokenizer_path, end_id))
-        last = np.array([end_id], kind).tobytes()
+        encoder = worker_value("tokenizer", (tokenizer_path, end_id, special_as_text), lambda: tokenizer_encoder(tokenizer_path, end_id, special_as_text))
+        width, last = encoder.kind.itemsize, np.array([end_id], encoder.kind).tobytes()
         for whole in batches:
+            texts = encoder.encoded(whole.column(1))
             for at in range(0, whole.num_rows, WRITE_ROWS):
-                batch, out = whole.slice(at, WRITE_ROWS), []
-                for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                    head = struct.pack(ID_FORMAT, doc_id or 0, doc_id is None, width)
-                    out.append(frame(b"".join((head, *cache(text.as_py()), last))))
+                out = []
+                for doc_id in whole.column(0).slice(at, WRITE_ROWS).to_pylist():
+                    out.append(frame(b"".join((struct.pack(ID_FORMAT, doc_id or 0, doc_id is None, width), next(texts).tobytes(), last))))
                 yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["value"])
 
     records = docs.repartitionByRange(n, F.col("doc_id").asc_nulls_first(), F.xxhash64("text")).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.xxhash64("text")).mapInArrow(run, "value binary")
