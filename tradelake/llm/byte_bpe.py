@@ -14,17 +14,19 @@ import hashlib
 from collections.abc import Iterator
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SegmentCache, Workspace, worker_value
+from .common import Kept, TextEncoder, bound_batches, worker_value
 
 #: Bytes of a piece whose table is kept for other pieces that begin alike.
 PREFIX = 6
-#: Entries of the tables that a worker keeps; they start anew when full.
-PAIR_LIMIT, PIECE_LIMIT, SEGMENT_LIMIT = 1_000_000, 300_000, 900_000
+#: Entries of the tables that a worker keeps: pairs of tokens and beginnings of pieces (which start anew when
+#: full), pieces and segments (in each of two generations).
+PAIR_LIMIT, BEGUN_LIMIT, PIECE_LIMIT, SEGMENT_LIMIT = 400_000, 60_000, 80_000, 120_000
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -156,7 +158,7 @@ class PrefixBPE:
         start = piece[:PREFIX]
         begun = self.begun.get(start)
         if begun is None:
-            if len(self.begun) >= PIECE_LIMIT:
+            if len(self.begun) >= BEGUN_LIMIT:
                 self.begun.clear()
             begun = self.begun[start] = self.extend(start, [])
         table = self.extend(piece, begun, len(start)) if len(begun) == len(start) + 1 else []
@@ -192,18 +194,18 @@ class TextCodec:
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.bpe, self.pattern = PrefixBPE(ranks), regex.compile(pattern)
-        self.pieces: dict[str, list[int]] = {}
+        self.kind = np.dtype("<u2" if max(ranks.values(), default=0) < 1 << 16 else "<u4")
+        self.pieces = Kept(PIECE_LIMIT)
+
+    def piece(self, match: str) -> bytes:
+        return np.array(self.bpe.encode_piece(match.encode()), self.kind).tobytes()
+
+    def packed(self, text: str) -> bytes:
+        """The ids as numbers of type ``kind``."""
+        return b"".join([self.pieces.one(match, self.piece) for match in self.pattern.findall(text)])
 
     def encode(self, text: str) -> list[int]:
-        out, known = [], self.pieces
-        for match in self.pattern.findall(text):
-            ids = known.get(match)
-            if ids is None:
-                if len(known) >= PIECE_LIMIT:
-                    known.clear()
-                ids = known[match] = self.bpe.encode_piece(match.encode())
-            out += ids
-        return out
+        return np.frombuffer(self.packed(text), self.kind).tolist()
 
     def decode(self, ids: list[int]) -> bytes:
         return self.bpe.decode(ids)
@@ -218,39 +220,31 @@ def encode_texts(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "
     again.  Each worker keeps tables of bounded size.  The ranks file must be at ``ranks_path`` on every
     machine, as the tokenizer's library is.
     """
-    Workspace(docs.sparkSession, "bpe")  # bounds the batches
+    bound_batches(docs.sparkSession)
     schema = f"doc_id {docs.schema[id_col].dataType.simpleString()}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def make() -> SegmentCache:
-            codec = TextCodec(load_ranks(ranks_path), pattern)
+    def make() -> tuple:
+        codec = TextCodec(load_ranks(ranks_path), pattern)
+        names, token_bytes = [""] * (1 + max(codec.bpe.token_bytes, default=0)), [b""] * (1 + max(codec.bpe.token_bytes, default=0))
+        for i, token in codec.bpe.token_bytes.items():
+            names[i], token_bytes[i] = str(i), token
+        return TextEncoder(lambda parts, before: [codec.packed(before + part) for part in parts], codec.kind, SEGMENT_LIMIT), names, token_bytes
 
-            def segments(parts: list[str], before: str) -> list:
-                out = []
-                for part in parts:
-                    ids = codec.encode(before + part)
-                    out.append((",".join(map(str, ids)), codec.decode(ids)))
-                return out
-
-            return SegmentCache(segments, SEGMENT_LIMIT)
-
-        cache = worker_value("byte_bpe", (ranks_path, pattern), make)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, names, token_bytes = worker_value("byte_bpe", (ranks_path, pattern), make)
         sha = hashlib.sha256
         for batch in batches:
             n, a, b, lists = [], [], [], []
-            for text in batch.column(1):
-                found = cache(text.as_py() or "")
-                ids = ",".join([x[0] for x in found])
-                n.append(ids.count(",") + 1 if ids else 0)
-                a.append(sha(ids.encode()).hexdigest())
-                b.append(sha(b"".join([x[1] for x in found])).hexdigest())
+            for packed in encoder.encoded(batch.column(1)):
+                ids = packed.tolist()
+                n.append(len(ids))
+                a.append(sha(",".join(map(names.__getitem__, ids)).encode()).hexdigest())
+                b.append(sha(b"".join(map(token_bytes.__getitem__, ids))).hexdigest())
                 if with_ids:
-                    lists.append([int(i) for i in ids.split(",")] if ids else [])
+                    lists.append(ids)
             columns = [batch.column(0), pa.array(n, pa.int64()), pa.array(a, pa.string()), pa.array(b, pa.string())]
-            names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
             if with_ids:
                 columns.append(pa.array(lists, pa.list_(pa.int32())))
-                names.append("ids")
-            yield pa.RecordBatch.from_arrays(columns, names=names)
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids"][: len(columns)])
 
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
