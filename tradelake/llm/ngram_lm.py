@@ -8,19 +8,22 @@ context without its first word:
     root     w        log10 (c(w) - d) / N;  an unknown word: log10 d V / N
 
 so probabilities over the known words and one unknown word sum to 1 in every state.  Scoring is one
-traversal from left to right that carries the state: follow the arc if there is one, else fail.
+traversal from left to right that carries the state: follow the arc if there is one, else fail and try again.
+The arc of a text's end leads to the state of a text's start, so texts are one stream.
 
 The automaton of a large corpus fits no machine, so it is never gathered.  Documents are packed into
 blocks of bounded text.  A block asks for the counts of its own distinct n-grams: fingerprints, sorted and
 cut into hash buckets, go to the bucket's group, which adds up the counts of all blocks and answers each
-with its totals.  With the answers a block has the slice of the automaton that its texts can reach, and
-traverses it, all its texts at once.  No key is hot: an n-gram comes once from a block, however frequent.
+with its totals.  With the answers a block builds the slice of the automaton that its texts can reach: states,
+sorted arcs, failure arcs.  No key is hot: an n-gram comes once from a block, however frequent.
+
+The state depends on the last ``order - 1`` words alone, so a block's stream is cut into lanes that are
+traversed in step; a lane begins at the root that many words early, by which it has reached its state.
 """
 
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,8 +37,8 @@ from pyspark.sql import functions as F
 from .common import Workspace, id_remainder
 from .shingles import chain, words_of
 
-#: Text of a block, and n-grams of a bucket (about).
-BLOCK_BYTES, BUCKET_GRAMS = 12 << 20, 4_000_000
+#: Longest n-grams; text of a block, n-grams of a bucket (about), words of a lane.
+ORDER, BLOCK_BYTES, BUCKET_GRAMS, LANE_WORDS = 3, 8 << 20, 4_000_000, 1_024
 #: Strength of the backoff distribution in a context, in occurrences.
 MU = 30.0
 END, START = 0, 1
@@ -101,13 +104,13 @@ def pack_blocks(docs: DataFrame, block_bytes: int) -> DataFrame:
 
 
 def grams(words: bytes, tokens: np.ndarray, held: np.ndarray, order: int) -> tuple[list, np.ndarray, np.ndarray]:
-    """For each order (distinct fingerprints, number of each token's, training count of each); documents' starts; each token's number in its document."""
+    """For each order (distinct fingerprints, number of each token's, training count of each, a place of each); documents' starts; each token's number in its document."""
     names = zstandard.decompress(words)
     h = np.array([0x1D0C5EED, 0x57A127, *map(xxhash.xxh3_64_intdigest, names.split(b"\n") if names else [])], np.uint64)
     ends = np.flatnonzero(tokens == END)
     starts = np.concatenate(([0], ends[:-1] + 1))
     lengths = ends - starts + 1
-    place = np.arange(len(tokens)) - np.repeat(starts, lengths)
+    place = (np.arange(len(tokens)) - np.repeat(starts, lengths)).astype(np.int32)
     train = np.repeat(~held, lengths)
     own, found = h[tokens], []
     for n in range(1, order + 1):
@@ -117,8 +120,8 @@ def grams(words: bytes, tokens: np.ndarray, held: np.ndarray, order: int) -> tup
             before[back:] = own[:-back]
             before[place < back] = h[START]
             columns.insert(0, before)
-        keys, number = np.unique(chain(columns), return_inverse=True)
-        found.append((keys, number, np.bincount(number[train], minlength=len(keys)).astype(np.uint32)))
+        keys, first, number = np.unique(chain(columns), return_index=True, return_inverse=True)
+        found.append((keys, number.astype(np.int32), np.bincount(number[train], minlength=len(keys)).astype(np.uint32), first.astype(np.int32)))
     return found, starts, place
 
 
@@ -129,7 +132,7 @@ def requests(blocks: DataFrame, order: int, bits: int) -> DataFrame:
         for batch in batches:
             for row in batch.to_pylist():
                 found, _, _ = grams(row["words"], unpack(row["tokens"], "u4"), np.array(row["held"], bool), order)
-                for n, (keys, _, counts) in enumerate(found, 1):
+                for n, (keys, _, counts, _) in enumerate(found, 1):
                     cuts = np.searchsorted(keys, np.arange(1, 1 << bits, dtype=np.uint64) << np.uint64(64 - bits)) if bits else np.empty(0, int)
                     out = []
                     for bucket, (k, c) in enumerate(zip(np.split(keys, cuts), np.split(counts, cuts))):
@@ -160,32 +163,112 @@ def answers(asked: DataFrame) -> DataFrame:
     return asked.groupBy("n", "bucket").applyInArrow(add_up, "n int, bucket int, block long, counts binary, tokens long, distinct long, once long, twice long")
 
 
-def traverse(found: list, counts: list[np.ndarray], starts: np.ndarray, place: np.ndarray, docs: int, total: int, distinct: int, d: float, mu: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Per document: known tokens, base score and score; one step for all texts of the block at once.
+class Automaton:
+    """States, sorted arcs and failure arcs of the n-grams that a block's texts can reach.
 
-    Failing from a state multiplies by mu / (c + mu), so an arc's weight and the weight reached by failing
-    are one expression in which an absent arc counts 0.
+    ``number``, ``first`` and ``counts`` hold for each order the n-gram that ends at each token of the stream, a
+    place of each n-gram and its count in training.  State 0 is the root; ``begin`` is a text's start.
     """
-    c1 = counts[0][found[0][1]]
-    base = np.log10((c1 + 1) / (total + distinct + 1))
-    p = np.where(c1 > 0, c1 - d, d * distinct) / total if total else np.ones(len(c1))
-    for n in range(2, len(found) + 1):
-        c, shorter = counts[n - 1][found[n - 1][1]], counts[n - 2][found[n - 2][1]]
-        context = np.empty(len(c), np.int64)
-        context[1:] = shorter[:-1]
-        context[place == 0] = docs  # the start of a text is a context of every training document
-        p = (c + mu * p) / (context + mu)
+
+    def __init__(self, number: list[np.ndarray], first: list[np.ndarray], counts: list[np.ndarray], place: np.ndarray, ends: np.ndarray, docs: int, total: int, distinct: int, d: float, mu: float):
+        self.order, self.labels, labels = len(number), len(first[0]), number[0]
+        known = [np.flatnonzero(c > 0) for c in counts]
+        # contexts of length n: the known n-grams that no text ends with, and n starts
+        states, fail, fail_weight, start = [np.zeros(1, np.int64)], [np.zeros(1, np.int64)], [np.zeros(1)], [0]
+        size = 1
+        for n in range(1, self.order):
+            i = n - 1
+            g = known[i][~ends[first[i][known[i]]]]
+            own = np.zeros(len(first[i]), np.int64)
+            own[g] = size + np.arange(len(g))
+            states.append(own)
+            shorter = states[n - 1][number[n - 2][first[i][g]]] if n > 1 else np.zeros(len(g), np.int64)
+            fail.append(np.append(shorter, start[-1]))
+            fail_weight.append(np.log10(mu / (np.append(counts[i][g], docs) + mu)))
+            size += len(g) + 1
+            start.append(size - 1)
+        self.begin, self.fail, self.fail_weight = start[-1], np.concatenate(fail), np.concatenate(fail_weight)
+        keys, weights, targets = [], [], []
+        p = np.zeros(len(first[0]))
+        for n in range(1, self.order + 1):  # arcs from contexts of length n - 1
+            g = known[n - 1]
+            at = first[n - 1][g]
+            if n == 1:
+                source, own = np.zeros(len(g), np.int64), (counts[0][g] - d) / total
+            else:
+                begins = place[at] == 0
+                before = np.where(begins, 0, number[n - 2][at - 1])
+                source = np.where(begins, start[n - 1], states[n - 1][before])
+                context = np.where(begins, docs, counts[n - 2][before])
+                own = (counts[n - 1][g] + mu * p[number[n - 2][at]]) / (context + mu)
+            p = np.zeros(len(first[n - 1]))
+            p[g] = own
+            target = states[n][g] if n < self.order else states[n - 1][number[n - 2][at]] if n > 1 else np.zeros(len(g), np.int64)
+            keys.append(source * self.labels + labels[at])
+            weights.append(np.log10(own))
+            targets.append(np.where(ends[at], self.begin, target))
+        keys = np.concatenate(keys)
+        order = np.argsort(keys)
+        self.keys, self.weights, self.targets = keys[order], np.concatenate(weights)[order], np.concatenate(targets).astype(np.int32)[order]
+        self.unknown = math.log10(d * distinct / total)
+
+    def step(self, state: np.ndarray, label: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+        """From a state by a label for each lane: (state, log probability, failures)."""
+        score, after, failures = np.zeros(len(state)), np.empty(len(state), np.int64), 0
+        lanes = np.arange(len(state))
+        while len(lanes):
+            key = state * self.labels + label
+            at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+            there = self.keys[at] == key
+            hit = lanes[there]
+            score[hit] += self.weights[at[there]]
+            after[hit] = self.targets[at[there]]
+            lanes, state, label = lanes[~there], state[~there], label[~there]
+            root = state == 0
+            score[lanes[root]] += self.unknown
+            after[lanes[root]] = 0
+            lanes, state, label = lanes[~root], state[~root], label[~root]
+            score[lanes] += self.fail_weight[state]
+            state = self.fail[state]
+            failures += len(lanes)
+        return after, score, failures
+
+    def traverse(self, labels: np.ndarray, lane_words: int = LANE_WORDS) -> tuple[np.ndarray, int]:
+        """The log probability of each label of a stream that begins at a text's start, and the failure arcs taken."""
+        n = len(labels)
+        begins = np.arange(0, n, lane_words)
+        out, taken, state = np.empty(n), 0, np.zeros(len(begins), np.int64)
+        state[0] = self.begin
+        for t in range(1 - self.order, min(lane_words, n)):
+            lanes = slice(int(t < 0), np.searchsorted(begins, n - t))  # the first lane needs no way to its state
+            at = begins[lanes] + t
+            state[lanes], score, failures = self.step(state[lanes], labels[at])
+            if t >= 0:
+                out[at] = score
+                taken += failures
+        return out, taken
+
+
+def block_scores(found: list, counts: list[np.ndarray], starts: np.ndarray, place: np.ndarray, docs: int, total: int, distinct: int, d: float, mu: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Per document of a block: known tokens, base score and score."""
+    number = [x[1] for x in found]
+    c1 = counts[0][number[0]]
+    base, own = np.log10((c1 + 1) / (total + distinct + 1)), np.zeros(len(c1))
+    if total:
+        ends = np.zeros(len(place), bool)
+        ends[starts[1:] - 1] = ends[-1] = True
+        own, _ = Automaton(number, [x[3] for x in found], counts, place, ends, docs, total, distinct, d, mu).traverse(number[0].astype(np.int64))
     add = lambda x: np.add.reduceat(x, starts)
-    return add((c1 > 0).astype(np.int64)), add(base), add(np.log10(p))
+    return add((c1 > 0).astype(np.int64)), add(base), add(own)
 
 
-def score_documents(docs: DataFrame, held_out=None, order: int = 2, mu: float = MU, block_bytes: int = BLOCK_BYTES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def score_documents(docs: DataFrame, held_out=None, order: int = ORDER, mu: float = MU, block_bytes: int = BLOCK_BYTES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` for every row.
 
     ``held_out`` is a condition on the rows that aren't learned from (by default crc32 of the id modulo 7
     is 2).  A null text counts as empty; an empty text is its end token alone.  Repeated rows count and are
-    scored as often as they occur; a null id has remainder 0.  Other columns are not read.  Without training
-    rows every probability is 1 (base and score 0).
+    scored as often as they occur; a null id has remainder 0.  Other columns, whatever their names, are not read.
+    Without training rows every probability is 1 (base and score 0).
     """
     spark = docs.sparkSession
     work = Workspace(spark, "ngram-lm")
@@ -209,7 +292,7 @@ def score_documents(docs: DataFrame, held_out=None, order: int = 2, mu: float =
             found, starts, place = grams(row["words"], tokens, held, order)
             parts = {(n, b): x for n, b, x in zip(got["n"].to_pylist(), got["bucket"].to_pylist(), got["counts"])}
             counts = [np.concatenate([unpack(parts[k].as_py(), "i8") for k in sorted(parts) if k[0] == n]) for n in range(1, order + 1)]
-            known, base, own = traverse(found, counts, starts, place, documents, total, distinct, d, mu)
+            known, base, own = block_scores(found, counts, starts, place, documents, total, distinct, d, mu)
             lengths = np.diff(starts, append=len(tokens))
             for c, x in zip(columns, (row["ids"], row["held"], lengths, known, [total] * len(starts), base, own)):
                 c.extend(x)
@@ -218,36 +301,3 @@ def score_documents(docs: DataFrame, held_out=None, order: int = 2, mu: float =
     left = blocks.select("block", "ids", "held", "words", "tokens").groupBy("block")
     right = replies.where("block is not null").select("block", "n", "bucket", "counts").groupBy("block")
     return left.cogroup(right).applyInArrow(score, RESULT)
-
-
-class BackoffAutomaton:
-    """The same automaton in plain Python, for one machine: states with arcs and failure arcs."""
-
-    def __init__(self, texts: list[str | None], order: int = 2, mu: float = MU):
-        self.order, self.mu = order, mu
-        self.counts: Counter = Counter()
-        self.docs = len(texts)
-        for text in texts:
-            tokens = [START] * (order - 1) + words_of(text) + [END]
-            for i in range(order - 1, len(tokens)):
-                self.counts.update(tuple(tokens[i - n + 1 : i + 1]) for n in range(1, order + 1))
-        single = [c for g, c in self.counts.items() if len(g) == 1]
-        self.total, self.distinct = sum(single), len(single)
-        self.d = discount(single.count(1), single.count(2))
-
-    def size(self, state: tuple) -> int:
-        return self.docs if all(x == START for x in state) else self.counts[state]
-
-    def probability(self, state: tuple, word) -> float:
-        if not state:
-            c = self.counts[(word,)]
-            return ((c - self.d) if c else self.d * self.distinct) / self.total if self.total else 1.0
-        lower = self.probability(state[1:], word)
-        return (self.counts[(*state, word)] + self.mu * lower) / (self.size(state) + self.mu)
-
-    def score(self, text: str | None) -> float:
-        state, out = (START,) * (self.order - 1), 0.0
-        for word in [*words_of(text), END]:
-            out += math.log10(self.probability(state, word))
-            state = (*state, word)[1:] if self.order > 1 else ()
-        return out
