@@ -16,8 +16,7 @@ comments, which the names of elements, classes and roles around them tell.  Text
 in an article or main element too.  There pages also repeat prose, so a text is the template's only if it is
 in a class with tags, or stands at one distance from the beginning or the end of the content on all pages that
 have it; and if more of a page's content repeats than varies, the pages are copies and all of it stays.  A
-page with an article or main element has its slots inside it; on others the slot with the most varying text
-over the host's pages is the text, with those beside it.
+page with an article or main element has its slots inside it; on others all slots that are left are the text.
 """
 
 from __future__ import annotations
@@ -207,14 +206,12 @@ NESTED = "host string, skeleton array<long>, fixed array<long>, blocks array<lon
 
 def templates(tokens: DataFrame, share: float, least: int) -> DataFrame:
     """Per host: ``skeleton`` (template tags in order, nested classes in their places), ``fixed`` (template
-    texts), ``blocks`` (template texts in an article or main element) and ``slot`` (path of the largest slot).
+    texts) and ``blocks`` (template texts in an article or main element).
 
     A host's template tokens are on ``share`` of its pages, so there are at most 1 / share times as many as
     tokens in its average page: a group is bounded by the length of pages, not by their number.
     """
     hosts = tokens.where("token = 0").select("host", F.col("pages").alias("of"))
-    slots = tokens.where("what = 1 and aside = 0").groupBy("host", "path").agg(F.sum("chars").alias("size"))
-    largest = slots.groupBy("host").agg(F.max_by("path", F.struct("size", "path")).alias("slot"))
     often = tokens.where("token <> 0").join(hosts, "host").where((F.col("pages") >= F.col("of") * share) & (F.col("pages") >= least))
 
     def nest(group: pa.Table) -> pa.Table:
@@ -244,8 +241,8 @@ def templates(tokens: DataFrame, share: float, least: int) -> DataFrame:
         lists = [[t for _, t, what in template if what == 0], [t for t in fixed if t not in inside], [t for t in fixed if t in inside and t in placed]]
         return pa.Table.from_arrays([pa.array([rows[0]["host"]], pa.string()), *(pa.array([x], pa.list_(pa.int64())) for x in lists)], names=["host", "skeleton", "fixed", "blocks"])
 
-    nested = often.select("host", "token", "what", "content", "pages", "times", "v1", "v2", "places", "head_low", "head_high", "tail_low", "tail_high").groupBy("host").applyInArrow(nest, NESTED)
-    return largest.join(nested, "host", "left").select("host", "skeleton", "fixed", "blocks", "slot")
+    columns = ["host", "token", "what", "content", "pages", "times", "v1", "v2", "places", "head_low", "head_high", "tail_low", "tail_high"]
+    return often.select(columns).groupBy("host").applyInArrow(nest, NESTED)
 
 
 def in_order(keys: list[int], skeleton: list[int]) -> bool:
@@ -257,44 +254,39 @@ def in_order(keys: list[int], skeleton: list[int]) -> bool:
     return all(a < b for a, b in zip(places, places[1:]))
 
 
-def slots_text(page: str | None, skeleton: list[int] | None, fixed: list[int] | None, blocks: list[int] | None, slot: int | None) -> str:
-    """The main text of a page under a host's template; without one, by its own elements."""
+def slots_text(page: str | None, skeleton: list[int] | None = None, fixed: list[int] | None = None, blocks: list[int] | None = None) -> str:
+    """What the slots of a page hold under a host's template; without one, all that isn't in an aside."""
     tokens = parse(page)
     texts = [t for t in tokens if t[0] == 1 and not t[3]]
     inside = [t for t in texts if t[2]]
-    if inside:
-        repeated = set(blocks or ())
-        varying = [t for t in inside if token_key(t) not in repeated] if repeated else inside
-        kept = sum(len(t[4]) for t in varying)
-        return " ".join(t[4] for t in (varying if 2 * kept >= sum(len(t[4]) for t in inside) else inside))
-    constant = set(fixed or ())
-    if constant and in_order([token_key(t) for t in tokens if t[0] == 0], skeleton or []):
-        varying = [t for t in texts if token_key(t) not in constant]
-        texts = varying or texts
-    beside = [t[4] for t in texts if slot is not None and path_key(t[1]) == slot]
-    return " ".join(beside or [t[4] for t in texts])
+    texts, template = (inside, set(blocks or ())) if inside else (texts, set(fixed or ()))
+    if template and (inside or in_order([token_key(t) for t in tokens if t[0] == 0], skeleton or [])):
+        slots = [t for t in texts if token_key(t) not in template]
+        if 2 * sum(len(t[4]) for t in slots) >= sum(len(t[4]) for t in texts) if inside else slots:
+            texts = slots
+    return " ".join(t[4] for t in texts)
 
 
 def extract_text(pages: DataFrame, share: float = SHARE, least_pages: int = LEAST_PAGES, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """``page_id, url, text, n_chars`` for every row.
 
     Null and empty pages give an empty text; a null URL belongs to the host without a name; repeated rows
-    and null ids are kept; other columns are not read.  Character references are decoded, white space in a
+    and null ids are kept; other columns, whatever their names, are not read; an empty table gives no rows.  Character references are decoded, white space in a
     block becomes one space, and blocks are joined by one in page order.
     """
     spark = pages.sparkSession
     work = Workspace(spark, "html")
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), url_host(F.col(url_col)).alias("host"), F.col(html_col).alias("html"))
-    tokens = work.table("tokens", occurrences(rows.select("page_id", "host", "html")).where(f"pages >= {least_pages} or token = 0 or what = 1"))
+    tokens = work.table("tokens", occurrences(rows.select("page_id", "host", "html")).where(f"pages >= {least_pages} or token = 0"))
     found = work.table("templates", templates(tokens, share, least_pages))
     work.drop("tokens")
     kind = rows.schema["page_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            c = [batch.column(i).to_pylist() for i in (3, 4, 5, 6)]
+            c = [batch.column(i).to_pylist() for i in (3, 4, 5)]
             texts = [slots_text(page.as_py(), *own) for page, *own in zip(batch.column(2), *c)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
-    joined = rows.join(found, "host", "left").select("page_id", "url", "html", "skeleton", "fixed", "blocks", "slot")
+    joined = rows.join(found, "host", "left").select("page_id", "url", "html", "skeleton", "fixed", "blocks")
     return joined.mapInArrow(run, f"page_id {kind}, url string, text string, n_chars long")

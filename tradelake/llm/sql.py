@@ -36,9 +36,10 @@ SELECT s.doc_id, CAST(len(sh) AS BIGINT) AS n_shingles, coalesce(component_id, s
 FROM s LEFT JOIN lowest l ON s.doc_id = l.id
 """
 
-#: The tables' pages have one article each, without asides in it.
+#: On the tables' pages everything but the head, scripts, menus, adverts, footers and comments is main text.
 HTML_TEXT = """
-WITH a AS (SELECT page_id, url, regexp_replace(regexp_extract(coalesce(html, ''), '(?s)<article>(.*)</article>', 1), '</?b>', '', 'g') AS x FROM pages),
+WITH h AS (SELECT page_id, url, regexp_replace(coalesce(html, ''), '<!--.*?-->|<(head|script|style|nav|footer)[ >].*?(</(head|script|style|nav|footer)>|$)|<div class="ad">.*?</div>', ' ', 'gs') AS x FROM pages),
+a AS (SELECT page_id, url, regexp_replace(x, '</?b>', '', 'g') AS x FROM h),
 b AS (SELECT page_id, url, regexp_replace(x, '<[^>]*>', ' ', 'g') AS x FROM a),
 c AS (SELECT page_id, url, replace(replace(replace(replace(replace(x, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#x27;', chr(39)), '&amp;', '&') AS x FROM b),
 d AS (SELECT page_id, url, trim(regexp_replace(x, '\\s+', ' ', 'g')) AS text FROM c)
