@@ -10,14 +10,17 @@ SAMPLE_ROWS = 12_000
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, train=None, rows: int = SAMPLE_ROWS, id_col: str = "doc_id", text_col: str = "text", label_id: str = "doc_id") -> DataFrame:
-    """``doc_id, label, text`` of at most about ``rows`` documents that satisfy ``train``.
+    """``doc_id, label, text`` of at most ``rows`` documents that satisfy ``train``.
 
-    Rows with a null id or label are left out; of several labels of one id the larger counts.  The labels'
-    side is at most ``rows`` pairs of numbers, so it is broadcast.
+    Rows with a null id or label are left out; of several labels of one id the larger counts, of several
+    texts the one with the smallest hash.  A null text counts as empty; an empty table gives no rows.  The
+    labels' side is at most ``rows`` pairs of numbers, so it is broadcast; copies of an id are reduced to one
+    before they are shuffled.
     """
     known = labels.select(F.col(label_id).alias("doc_id"), F.col(label).cast("int").alias("label")).where("doc_id is not null and label is not null")
     if train is not None:
         known = known.where(train(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.max("label").alias("label")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     texts = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    return texts.join(F.broadcast(known), "doc_id").select("doc_id", "label", "text")
+    found = texts.join(F.broadcast(known), "doc_id")
+    return found.groupBy("doc_id", "label").agg(F.min_by("text", F.struct(F.xxhash64("text"), F.length("text"))).alias("text"))

@@ -5,16 +5,19 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
-WORD_LIMIT = 400_000
+#: Words that are kept at most, and the longest of them.
+WORD_LIMIT, WORD_BYTES = 300_000, 100
 
 
 class WordHashes(dict):
     """Fingerprints of words (bytes); starts anew when it holds ``WORD_LIMIT`` words."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= WORD_LIMIT:
-            self.clear()
-        self[word] = out = xxhash.xxh3_64_intdigest(word)
+        out = xxhash.xxh3_64_intdigest(word)
+        if len(word) <= WORD_BYTES:
+            if len(self) >= WORD_LIMIT:
+                self.clear()
+            self[word] = out
         return out
 
 

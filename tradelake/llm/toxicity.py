@@ -6,8 +6,8 @@ its letter, a separator joins or splits.  A Viterbi search over the lattice find
 under the channel and a character trigram model.  A word counts as that, as written and joined over its
 separators.  The restored text is scored by a logistic model over words and word beginnings.
 
-The character model, the vocabulary of features and the weights are learned from a bounded sample of
-labelled rows; every text is scored whole.
+The character model counts the words of all documents, in a table of ``BINS`` hashed counts whatever their
+scripts.  Features and weights are learned from a bounded sample of labelled rows; every text is scored whole.
 """
 
 from __future__ import annotations
@@ -15,15 +15,18 @@ from __future__ import annotations
 import math
 import re
 import unicodedata
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Workspace, id_remainder
+from .common import Kept, Workspace, bound_batches, id_remainder, worker_value
 from .labelled import SAMPLE_ROWS, labelled_sample
 
 #: The letters that a sign is commonly written for.
@@ -37,11 +40,12 @@ SIGN_COST, RUN_COST = math.log(0.2), math.log(0.2)
 JOIN_COST, DROP_COST, MARK_COST = math.log(0.2), math.log(0.05), math.log(1e-4)
 #: Signs that at a word's end are mostly punctuation, and those that also separate letters.
 MARKS, ALSO_SEPARATORS = frozenset("!*#(¡"), frozenset("*+|#")
-#: Features of the model at most, and the rows of the sample that a feature needs.
-MAX_FEATURES, MIN_ROWS, MIN_LIFT = 4096, 6, 8.0
+#: Rows of the sample that a feature needs, and its lift for label 1.
+MIN_ROWS, MIN_LIFT = 6, 8.0
 PREFIXES = (4, 5, 6)
 THRESHOLD = 0.3
-WORDS_KEPT = 300_000
+#: Counts of the character model; words that a worker keeps in each of two generations.
+BINS, WORDS_KEPT = 1 << 20, 150_000
 EDGES = " \t\n\r\v\f.,;:!?\"'()[]{}<>%&$#*|+=-_~^/\\`«»„“”…¡¿@"
 OPEN = "".join(c for c in EDGES if c not in SIGNS)
 SPACED = re.compile(r"(?<!\S)(?:[^\W_]|[@$!|+(€£¡§*#])(?:[\s.,\-_~/:;·•]+(?:[^\W_]|[@$!|+(€£¡§*#])){2,}(?![^\s.,;:!?])")
@@ -51,30 +55,49 @@ LETTER = re.compile(r"[^\W\d_]")
 SPLIT = " "
 
 
+def bin_of(gram: str) -> int:
+    return xxhash.xxh3_64_intdigest(gram) & BINS - 1
+
+
+def gram_counts(words: dict[str, int]) -> Counter:
+    """Counts of words' character trigrams."""
+    counts: Counter = Counter()
+    for word, n in words.items():
+        padded = f"^^{word}$"
+        for i in range(len(padded) - 2):
+            counts[padded[i : i + 3]] += n
+    return counts
+
+
+def hashed(counts: dict[str, int]) -> np.ndarray:
+    """Counts of trigrams, of their last two characters and last one, and of the contexts, in hashed bins."""
+    bins = np.zeros(BINS, np.int64)
+    for g, c in counts.items():
+        for key in (g, "2" + g[1:] + "2", "1" + g[2] + "11", "c" + g[:2] + "c", "m" + g[1] + "mm", "total"):
+            bins[bin_of(key)] += c
+    return bins
+
+
 class CharModel:
-    """Character trigrams with counts of shorter contexts mixed in."""
-
-    def __init__(self, counts: dict[str, int]):
-        self.three = {g: c for g, c in counts.items() if len(g) == 3}
-        self.two: Counter = Counter()
-        self.one: Counter = Counter()
-        self.context: Counter = Counter()
-        for g, c in self.three.items():
-            self.two[g[1:]] += c
-            self.one[g[2]] += c
-            self.context[g[:2]] += c
-        self.middle: Counter = Counter()
-        for g, c in self.two.items():
-            self.middle[g[0]] += c
-        self.total = sum(self.one.values())
+    """Character trigrams with counts of shorter contexts mixed in, from hashed counts (or a dict of trigrams)."""
+
+    def __init__(self, counts: np.ndarray | dict[str, int]):
+        self.bins = hashed(counts) if isinstance(counts, dict) else counts
+        self.total = self.count("total")
         self.memo: dict[str, float] = {}
 
+    def count(self, key: str) -> int:
+        return int(self.bins[bin_of(key)])
+
     def log(self, gram: str) -> float:
         out = self.memo.get(gram)
         if out is None:
-            p = (self.one.get(gram[2], 0) + 0.5) / (self.total + 200)
-            p = (self.two.get(gram[1:], 0) + 5 * p) / (self.middle.get(gram[1], 0) + 5)
-            p = (self.three.get(gram, 0) + 5 * p) / (self.context.get(gram[:2], 0) + 5)
+            n = self.count
+            p = (n("1" + gram[2] + "11") + 0.5) / (self.total + 200)
+            p = (n("2" + gram[1:] + "2") + 5 * p) / (n("m" + gram[1] + "mm") + 5)
+            p = (n(gram) + 5 * p) / (n("c" + gram[:2] + "c") + 5)
+            if len(self.memo) >= WORDS_KEPT:
+                self.memo.clear()
             out = self.memo[gram] = math.log(p)
         return out
 
@@ -144,7 +167,7 @@ class Restorer:
     """Words of a text as they were meant, each distinct word worked out once."""
 
     def __init__(self, model: CharModel):
-        self.model, self.known = model, {}
+        self.model, self.known = model, Kept(WORDS_KEPT // 4)
 
     def readings(self, token: str) -> set[str]:
         """The words of the most likely path, and the one word that the token is without its separators."""
@@ -160,44 +183,44 @@ class Restorer:
             return (plain,)
         return tuple({plain} | self.readings(bare))
 
+    def spaced(self, text: str) -> Iterator[set[str]]:
+        """Readings of what is written with its characters apart."""
+        for m in SPACED.finditer(text):
+            if LETTER.search(m.group()):
+                yield self.readings(m.group())
+
     def words(self, text: str) -> set[str]:
         text = text.lower()
-        known, out = self.known, set()
-        for raw in set(text.split()):
-            words = known.get(raw)
-            if words is None:
-                if len(known) >= WORDS_KEPT:
-                    known.clear()
-                words = known[raw] = self.word(raw)
+        out: set[str] = set()
+        for words in self.known.all(list(set(text.split())), lambda new: [self.word(raw) for raw in new]):
             out.update(words)
-        for m in SPACED.finditer(text):
-            if LETTER.search(m.group()):
-                out |= self.readings(m.group())
-        return out
+        return out.union(*self.spaced(text))
 
 
 def features_of(word: str) -> list[str]:
     return [word, *(word[:n] + "*" for n in PREFIXES if len(word) > n)]
 
 
-def count_grams(sample: DataFrame, smallest: int) -> dict[str, int]:
-    """Counts of the character trigrams of the sample's words."""
+def count_grams(docs: DataFrame, text_col: str = "text") -> np.ndarray:
+    """The character model's counts over the words of all texts: one pass, a row for each bin and task at most."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()
         for batch in batches:
             words: Counter = Counter()
-            for text in batch.column(0):
-                words.update(w.strip(EDGES) for w in text.as_py().lower().split())
-            for word, n in words.items():
+            for kind in pc.utf8_split_whitespace(pc.utf8_lower(batch.column(0))).flatten().value_counts().to_pylist():
+                word = kind["values"].strip(EDGES)
                 if word.isalpha():
-                    padded = f"^^{word}$"
-                    for i in range(len(padded) - 2):
-                        counts[padded[i : i + 3]] += n
-        yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["gram", "n"])
+                    words[word] += kind["counts"]
+            counts.update(gram_counts(words))
+        bins = hashed(counts)
+        at = np.flatnonzero(bins)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(bins[at], pa.int64())], names=["bin", "n"])
 
-    grams = sample.select("text").mapInArrow(run, "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n")).where(F.col("n") >= smallest)
-    return dict(grams.orderBy(F.desc("n"), "gram").limit(200_000).collect())
+    found = docs.select(F.col(text_col).alias("text")).mapInArrow(run, "bin long, n long").groupBy("bin").agg(F.sum("n").alias("n")).toPandas()  # BINS rows at most
+    bins = np.zeros(BINS, np.int64)
+    bins[found["bin"].to_numpy(np.int64)] = found["n"].to_numpy(np.int64)
+    return bins
 
 
 class Model:
@@ -207,38 +230,36 @@ class Model:
         self.chars, self.weights, self.bias = chars, weights, bias
 
     def plain(self) -> tuple:
-        return self.chars.three, self.weights, self.bias
+        return self.chars.bins, self.weights, self.bias, uuid.uuid4().hex
 
     @staticmethod
-    def of(plain: tuple) -> "Model":
-        return Model(CharModel(plain[0]), plain[1], plain[2])
+    def kept_scorer(plain: tuple):
+        """The scorer of a broadcast model, which a worker keeps from task to task."""
+        return worker_value("toxicity", plain[3], lambda: Model(CharModel(plain[0]), *plain[1:3]).scorer())
 
     def scorer(self):
-        restorer, weights, bias = Restorer(self.chars), self.weights, self.bias
-        hits: dict[str, tuple] = {}
+        restorer, weights, bias, kept = Restorer(self.chars), self.weights, self.bias, Kept(WORDS_KEPT)
+
+        def known(words) -> tuple[str, ...]:
+            return tuple({f for w in words for f in features_of(w) if f in weights})
 
         def score(text: str | None) -> float:
-            found = set()
-            for word in restorer.words(text or ""):
-                own = hits.get(word)
-                if own is None:
-                    if len(hits) >= WORDS_KEPT:
-                        hits.clear()
-                    own = hits[word] = tuple(f for f in features_of(word) if f in weights)
-                found.update(own)
+            text = (text or "").lower()
+            found = set().union(*kept.all(list(set(text.split())), lambda new: [known(restorer.word(raw)) for raw in new]))
+            found.update(*map(known, restorer.spaced(text)))
             z = bias + math.fsum(weights[f] for f in found)
             return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
 
         return score
 
 
-def fit(sample: DataFrame, work: Workspace) -> Model:
+def fit(sample: DataFrame, work: Workspace, bins: np.ndarray) -> Model:
     """Learn from (doc_id, label, text): features by their lift for label 1, then weights by logistic loss."""
-    sample = work.table("sample", sample)
-    chars = CharModel(count_grams(sample, 1))
+    sample, chars = work.table("sample", sample), CharModel(bins)
+    shared = sample.sparkSession.sparkContext.broadcast(bins)  # BINS numbers
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        restorer = Restorer(chars)
+        restorer = Restorer(CharModel(shared.value))
         for batch in batches:
             lists = [sorted({f for w in restorer.words(t.as_py()) if w for f in features_of(w)}) for t in batch.column(2)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(lists, pa.list_(pa.string()))], names=["doc_id", "label", "found"])
@@ -250,11 +271,11 @@ def fit(sample: DataFrame, work: Workspace) -> Model:
         return Model(chars, {}, 30.0 if positive else -30.0)
     lift = ((F.col("p") + 0.5) / (positive + 1)) / ((F.col("n") + 0.5) / (negative + 1))
     counts = rows.select("label", F.explode("found").alias("f")).groupBy("f").agg(F.count_if(F.col("label") == 1).alias("p"), F.count_if(F.col("label") == 0).alias("n"))
-    chosen = counts.where((F.col("p") >= MIN_ROWS) & (lift >= MIN_LIFT)).orderBy(F.desc(lift * F.sqrt("p")), "f").limit(MAX_FEATURES)
-    chosen = work.table("chosen", chosen.select("f"))
+    chosen = counts.where((F.col("p") >= MIN_ROWS) & (lift >= MIN_LIFT))
+    chosen = work.table("chosen", chosen.select("f"))  # as many as the bounded sample's texts repeat
     names = {r["f"]: i for i, r in enumerate(chosen.orderBy("f").collect())}
     bags: dict[int, set[str]] = {}
-    for r in rows.select("doc_id", F.explode("found").alias("f")).join(F.broadcast(chosen), "f").select("doc_id", "f").toLocalIterator():  # MAX_FEATURES rows broadcast
+    for r in rows.select("doc_id", F.explode("found").alias("f")).join(chosen, "f").select("doc_id", "f").toLocalIterator():
         bags.setdefault(r["doc_id"], set()).add(r["f"])
     data = [(r["doc_id"], r["label"], sorted(bags.get(r["doc_id"], ()))) for r in rows.select("doc_id", "label").orderBy("doc_id").collect()]
     y = np.array([r[1] for r in data], float)
@@ -270,19 +291,29 @@ def fit(sample: DataFrame, work: Workspace) -> Model:
 
 
 def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", train=None, rows: int = SAMPLE_ROWS, id_col: str = "doc_id", text_col: str = "text") -> Model:
+    """Count characters over all documents and learn weights from at most ``rows`` labelled ones that satisfy ``train``.
+
+    Rows with a null id or label teach nothing; null texts count as empty; of repeated rows of an id one counts.
+    Without labels, or with one kind only, every text gets the same score (0 without label 1, else 1).
+    """
     work = Workspace(docs.sparkSession, "toxicity")
-    model = fit(labelled_sample(docs, labels, label, train, rows, id_col, text_col), work)
+    model = fit(labelled_sample(docs, labels, label, train, rows, id_col, text_col), work, count_grams(docs, text_col))
     work.close()
     return model
 
 
 def score_texts(docs: DataFrame, model: Model, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, score, predicted`` for every row; a null text scores as an empty one, null ids and repeated rows are kept."""
-    shared = docs.sparkSession.sparkContext.broadcast(model.plain())  # MAX_FEATURES weights and 200,000 trigrams at most
+    """``doc_id, score, predicted`` for every row, each by itself.
+
+    A null text scores as an empty one, a text of any length whole; null ids and repeated rows are kept; other
+    columns, whatever their names, are not read; an empty table gives no rows.
+    """
+    bound_batches(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(model.plain())  # weights of a bounded sample, BINS numbers
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        score = Model.of(shared.value).scorer()
+        score = Model.kept_scorer(shared.value)
         for batch in batches:
             s = [score(t.as_py()) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(s, pa.float64()), pa.array([int(x >= threshold) for x in s], pa.int32())], names=["doc_id", "score", "predicted"])
@@ -291,11 +322,12 @@ def score_texts(docs: DataFrame, model: Model, threshold: float = THRESHOLD, id_
 
 
 def drop_toxic(docs: DataFrame, model: Model, threshold: float = THRESHOLD, text_col: str = "text") -> DataFrame:
-    """The rows that score below the threshold, with all their columns."""
+    """The rows that score below the threshold, with all their columns, whatever their names; nulls as in ``score_texts``."""
+    bound_batches(docs.sparkSession)
     shared, at = docs.sparkSession.sparkContext.broadcast(model.plain()), docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        score = Model.of(shared.value).scorer()
+        score = Model.kept_scorer(shared.value)
         for batch in batches:
             yield batch.filter(pa.array([score(t.as_py()) < threshold for t in batch.column(at)], pa.bool_()))
 
@@ -303,6 +335,9 @@ def drop_toxic(docs: DataFrame, model: Model, threshold: float = THRESHOLD, text
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, modulus: int = 4, remainder: int = 2) -> DataFrame:
-    """Learn from the rows whose remainder differs, and score all: ``doc_id, held_out, score, predicted``."""
+    """Learn from the rows whose remainder differs, and score all: ``doc_id, held_out, score, predicted``.
+
+    Odd rows as in ``learn`` and ``score_texts``; a null id has remainder 0.
+    """
     model = learn(docs, labels, train=lambda i: id_remainder(i, modulus) != remainder)
     return score_texts(docs, model).select("doc_id", (id_remainder(F.col("doc_id"), modulus) == remainder).alias("held_out"), "score", "predicted")
