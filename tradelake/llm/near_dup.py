@@ -38,6 +38,9 @@ from .common import Workspace
 from .components import connected_components
 from .shingles import WordHashes, chain, mix, shingle_set
 
+#: Parts that the copies of one text are dealt to when they learn their component.
+SALTS = 16
+
 
 def fast_sketch(x: np.ndarray, bins: int) -> np.ndarray:
     """The sketch of a non-empty set of fingerprints: ``bins`` numbers."""
@@ -111,8 +114,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands:
     own = work.table("sketches", sketches(docs, shingle, bands, rows))
 
     real = own.where("n_shingles > 0 and doc_id is not null")
-    classes = real.groupBy("set_key").agg(F.min("doc_id").alias("id"))
-    firsts = real.join(classes, "set_key").where("doc_id = id").select("id", F.explode("bands").alias("bucket"))
+    classes = work.table("classes", real.groupBy("set_key").agg(F.min("doc_id").alias("id"), F.min_by("bands", "doc_id").alias("bands"), F.count("*").alias("copies")))
+    firsts = classes.select("id", F.explode("bands").alias("bucket"))
     shared = firsts.groupBy("bucket").agg(F.min("id").alias("first"), F.max("id").alias("last"), F.count("*").alias("n")).where("first < last")
     members = work.table("members", firsts.join(shared, "bucket").select("bucket", "id", "n").distinct())
     weights = work.table("weights", members.groupBy("id").agg(F.sum("n").alias("weight")))
@@ -146,9 +149,12 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands:
     joined = connected_components(bridges, work, "joined").select(F.col("id").alias("component_id"), F.col("component").alias("lowest"))
     work.drop("sets", "centred", "compared", "rest", "late")
 
-    named = classes.join(components, "id", "left").select("set_key", F.coalesce("component", "id").alias("component_id"))
-    named = named.join(joined, "component_id", "left").select("set_key", F.coalesce("lowest", "component_id").alias("component_id"))
-    out = own.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("set_key")).alias("set_key")).join(named, "set_key", "left")
+    # a class of one document that is linked with nothing needs no lookup; the others' rows are salted, as one may have a third of all
+    named = classes.join(components, "id", "left").select("set_key", "id", "copies", F.coalesce("component", "id").alias("component_id"))
+    named = named.join(joined, "component_id", "left").select("set_key", "id", "copies", F.coalesce("lowest", "component_id").alias("component_id")).where("copies > 1 or component_id <> id")
+    named = named.select("set_key", "component_id", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    out = own.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("set_key")).alias("set_key"), F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int").alias("salt"))
+    out = out.join(named, ["set_key", "salt"], "left")
     component = F.coalesce("component_id", "doc_id")
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
 
@@ -166,6 +172,9 @@ def linked(percent: int):
 
 
 def deduplicate(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Keep one document of each group, with all columns; rows without words and rows with a null id stay."""
+    """Keep the document of the smallest id of each group, with all columns, whatever their names.
+
+    Rows without words and rows with a null id stay; repeated rows of a kept id all stay; an empty table stays empty.
+    """
     gone = near_duplicates(docs, shingle, percent, id_col=id_col, text_col=text_col).where("not kept").select(F.col("doc_id").alias("__gone")).distinct()
     return docs.join(gone, docs[id_col] == gone["__gone"], "left_anti")
