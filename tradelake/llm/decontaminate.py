@@ -11,7 +11,8 @@ would have more than its own; so a true occurrence leads from some piece up to t
 within their budgets, and a hit is followed upwards only as far as that holds.
 
 Both sides are compared as lower-cased words joined by single spaces, so case, punctuation and white space
-cost no edits.  Items travel to the executors in blocks of bounded size, one pass each.
+cost no edits.  Items travel to the executors in blocks of bounded size, one pass each; between passes the
+rows are written to the shared folder, so that one block and one automaton are in memory at a time.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Workspace
+from .common import Workspace, bound_batches
 
 #: Share of an item's characters that may be edited, and text of a block of items in bytes.
 ERROR_RATE, BLOCK_BYTES = 0.1, 8 << 20
@@ -142,6 +143,22 @@ def item_blocks(benchmark: DataFrame, id_col: str, text_col: str, block_bytes: i
         yield block
 
 
+def passes(rows: DataFrame, benchmark: DataFrame, item_id: str, item_text: str, block_bytes: int, one) -> DataFrame:
+    """``one(rows, block)`` for each block of items; its result is written before the next block is sent."""
+    spark, work = rows.sparkSession, Workspace(rows.sparkSession, "leaks")
+    bound_batches(spark)
+    before = None
+    for i, block in enumerate(item_blocks(benchmark, item_id, item_text, block_bytes)):
+        if before is not None:
+            rows = work.table(f"pass-{i}", rows)
+            before.unpersist()
+            if i > 1:
+                work.drop(f"pass-{i - 1}")
+        before = spark.sparkContext.broadcast(block)  # block_bytes of text, and an item, at most
+        rows = one(rows, before)
+    return rows
+
+
 def find_leaks(docs: DataFrame, benchmark: DataFrame, error_rate: float = ERROR_RATE, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``doc_id, contaminated, item_ids, matches`` for every row of ``docs``.
 
@@ -150,39 +167,38 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, error_rate: float = ERROR_
     null ids are kept; other columns are not read; an empty benchmark leaves all documents clean.  There is
     no shuffle: rows are independent and a lost task is done again.
     """
-    spark = docs.sparkSession
-    Workspace(spark, "leaks")
-    out = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.array().cast(MATCHES).alias("matches"))
-    kind = out.schema["doc_id"].dataType.simpleString()
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.array().cast(MATCHES).alias("matches"))
+    kind = rows.schema["doc_id"].dataType.simpleString()
     struct = pa.list_(pa.struct([("item_id", pa.int64()), ("distance", pa.int32()), ("start", pa.int32()), ("end", pa.int32())]))
-    blocks = list(map(spark.sparkContext.broadcast, item_blocks(benchmark, item_id, item_text, block_bytes)))
-    for i, items in enumerate(blocks):
-        last = i == len(blocks) - 1
+    names = [x.name for x in struct.value_type]
 
-        def run(batches: Iterator[pa.RecordBatch], items=items, last=last) -> Iterator[pa.RecordBatch]:
+    def one(rows: DataFrame, items) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             matcher = Matcher(items.value, error_rate)
-            names = [x.name for x in struct.value_type]
             for batch in batches:
                 found = [old + [dict(zip(names, x)) for x in matcher.find(normalize(text.as_py()))] for text, old in zip(batch.column(1), batch.column(2).to_pylist())]
-                text = pa.nulls(len(found), pa.string()) if last else batch.column(1)
-                yield pa.RecordBatch.from_arrays([batch.column(0), text, pa.array(found, struct)], names=["doc_id", "text", "matches"])
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, struct)], names=["doc_id", "text", "matches"])
+
+        return rows.mapInArrow(run, f"doc_id {kind}, text string, matches {MATCHES}")
 
-        out = out.mapInArrow(run, f"doc_id {kind}, text string, matches {MATCHES}")
+    out = passes(rows, benchmark, item_id, item_text, block_bytes, one)
     items = F.array_sort(F.array_distinct(F.transform("matches", lambda m: m["item_id"])))
     return out.select("doc_id", (F.size("matches") > 0).alias("contaminated"), items.alias("item_ids"), "matches")
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, error_rate: float = ERROR_RATE, text_col: str = "text", item_id: str = "item_id", item_text: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """Drop the rows whose text holds an item; the others keep all their columns, whatever these are called."""
-    spark = docs.sparkSession
-    Workspace(spark, "leaks")
-    at = docs.columns.index(text_col)
-    for items in map(spark.sparkContext.broadcast, item_blocks(benchmark, item_id, item_text, block_bytes)):
+    """Drop the rows whose text holds an item; the others keep all their columns, whatever these are called.
 
-        def run(batches: Iterator[pa.RecordBatch], items=items) -> Iterator[pa.RecordBatch]:
+    Nulls, empty texts, repeated rows and empty tables as in ``find_leaks``.
+    """
+    at, schema = docs.columns.index(text_col), docs.schema
+
+    def one(rows: DataFrame, items) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             matcher = Matcher(items.value, error_rate)
             for batch in batches:
                 yield batch.filter(pa.array([not matcher.find(normalize(x.as_py())) for x in batch.column(at)], pa.bool_()))
 
-        docs = docs.mapInArrow(run, docs.schema)
-    return docs
+        return rows.mapInArrow(run, schema)
+
+    return passes(docs, benchmark, item_id, item_text, block_bytes, one)
