@@ -5,6 +5,7 @@ import math
 import random
 import re
 import zlib
+from collections import Counter
 
 import duckdb
 import numpy as np
@@ -45,9 +46,7 @@ def key(x):
 def reference_tokenizer():
     from tokenizers import Tokenizer
 
-    t = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(P.path("byte_bpe_50k.json"))
 
 
 # 1
@@ -74,6 +73,43 @@ def test_records_round_trip(spark, odd, tmp_path):
     assert sorted(((r["doc_id"], len(r["ids"]), zlib.crc32(np.array(r["ids"], "<u4").tobytes())) for r in shuffled), key=key) == want
 
 
+def test_special_tokens_follow_the_library(spark):
+    texts = ["hello <|endoftext|> there", "a <|endoftext|>  b", "x<|endoftext|>", "<|endoftext|>"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    for as_text in (False, True):
+        t = reference_tokenizer()
+        t.encode_special_tokens = as_text
+        want = {i: len(t.encode(x, add_special_tokens=False).ids) for i, x in enumerate(texts)}
+        work = common.Workspace(spark, "special")
+        got = token_records.write_token_records(df, work.path, P.path("byte_bpe_50k.json"), 0, special_as_text=as_text).collect()
+        assert {r["doc_id"]: r["n_tokens"] - 1 for r in got} == want
+
+
+def test_texts_encoded_in_parts(documents, monkeypatch):
+    """Chunks of a few words, long texts cut, words too long to keep, letters beyond ASCII."""
+    import pyarrow as pa
+    import tiktoken
+
+    texts = [r["text"] for r in documents.limit(30).collect()] + [t for _, t in ODD] + ["été naïve, Straße. ñandú \u01c5ab ǅ, " * 40, "a" * 150 + " b " + "c" * 150, "中文 字, ab' it's, x.\nY don't."]
+    t, ranks = reference_tokenizer(), byte_bpe.load_ranks(P.path("byte_bpe_multi_50k.tiktoken"))
+    library, codec = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={}), byte_bpe.TextCodec(ranks, P.PATTERN)
+    for chunk in (common.CHUNK_BYTES, 200):
+        monkeypatch.setattr(common, "CHUNK_BYTES", chunk)
+        first = token_records.tokenizer_encoder(P.path("byte_bpe_50k.json"), 0, False)
+        second = common.TextEncoder(lambda parts, before: [codec.packed(before + x) for x in parts], codec.kind, 50)
+        for _ in range(2):
+            assert [x.tolist() for x in first.encoded(pa.array(texts))] == [t.encode(x or "", add_special_tokens=False).ids for x in texts]
+            assert [x.tolist() for x in second.encoded(pa.array(texts))] == [library.encode_ordinary(x or "") for x in texts]
+
+
+def test_kept_results_are_bounded():
+    kept = common.Kept(10)
+    for i in range(100):
+        words = [str(i), "often", "x" * 200]
+        assert kept.all(words, lambda new: [w.upper() for w in new]) == [w.upper() for w in words] and kept.one(f"y{i}", str.upper) == f"Y{i}"
+    assert len(kept.young) + len(kept.old) <= 24 and "often" in kept.young | kept.old and "x" * 200 not in kept.young | kept.old
+
+
 def test_damaged_records_are_found():
     data = token_records.frame(b"payload") + b"\n" + token_records.frame(b"") + b"\n"
     assert [p for _, p in token_records.frames(data)] == [b"payload", b""]
@@ -299,8 +335,25 @@ def test_template_texts_in_articles_go(spark):
     assert all(text[20 + i] == f"One long text that all pages of this host hold. Copy {i}" for i in range(5))
 
 
+def test_the_template_decides(spark, empty):
+    """With the template left out, texts that all pages repeat would stay, on pages with an article and without."""
+    bare = lambda i: f"<body><p>Our daily news</p><div class='story'><p>First part {i}.</p></div><div class='story b{i}'><p>Second part {i}.</p></div><p>All rights</p></body>"
+    full = lambda i: f"<body><article><p>Our daily news</p><h1>Title {i}</h1><p>Story number {i} is told here.</p><p>Read on</p></article></body>"
+    rows = [(i, f"http://h.com/{i}", bare(i)) for i in range(6)] + [(10 + i, f"http://g.com/{i}", full(i)) for i in range(6)]
+    rows.append((99, "http://long.com/", "<p>start</p>" + "<div><p>one more block</p></div>" * 20_000))
+    df = spark.createDataFrame([(*r, "x", 1) for r in rows], "page_id bigint, url string, html string, host string, token int")
+    got = {r["page_id"]: r["text"] for r in html_text.extract_text(df).collect()}
+    for i in range(6):
+        assert got[i] == f"First part {i}. Second part {i}." != html_text.slots_text(bare(i))
+        assert got[10 + i] == f"Title {i} Story number {i} is told here." != html_text.slots_text(full(i))
+    assert got[99] == "start" + " one more block" * 20_000
+    none = {r["page_id"]: r["text"] for r in html_text.extract_text(df, share=2.0).collect()}
+    assert all(none[r[0]] == html_text.slots_text(r[2]) for r in rows)
+    assert html_text.extract_text(df.limit(0)).collect() == []
+
+
 def test_wrappers_of_the_content_are_no_asides():
-    text = lambda page: html_text.slots_text(page, None, None, None, None)
+    text = html_text.slots_text
     inner = "<nav>Home</nav><article><p>The whole text</p><div class='share-buttons'>Tell</div></article><div class='comments'><article>Nice</article></div>"
     for page in ("<body class='no-sidebar'>{}</body>", "<body class='modal'>{}</body>", "<div id='page-with-sidebar'>{}</div>", "<div class='header-fixed layout'>{}</div>", "<form id='all'><div class='widget'>{}</div></form>"):
         assert text(page.format(inner)) == "The whole text", page
@@ -311,20 +364,63 @@ def test_wrappers_of_the_content_are_no_asides():
 # 7
 
 
-def test_scores_match_the_plain_automaton(spark, odd, empty):
-    draw = random.Random(4)
-    rows = [(i, " ".join(draw.choice("The a cat dog sat mat ran far".split()) for _ in range(draw.randint(0, 40)))) for i in range(80)] + [r for r in ODD]
-    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+class Recursion:
+    """The model as a recursion on counts, without states."""
+
+    def __init__(self, texts, order, mu=ngram_lm.MU):
+        self.order, self.mu, self.docs, self.counts = order, mu, len(texts), Counter()
+        for text in texts:
+            tokens = [ngram_lm.START] * (order - 1) + (text or "").encode().lower().split() + [ngram_lm.END]
+            for i in range(order - 1, len(tokens)):
+                self.counts.update(tuple(tokens[i - n + 1 : i + 1]) for n in range(1, order + 1))
+        single = [c for g, c in self.counts.items() if len(g) == 1]
+        self.total, self.distinct = sum(single), len(single)
+        self.d = ngram_lm.discount(single.count(1), single.count(2))
+
+    def size(self, state):
+        return self.docs if all(x == ngram_lm.START for x in state) else self.counts[state]
+
+    def probability(self, state, word):
+        if not state:
+            c = self.counts[(word,)]
+            return ((c - self.d) if c else self.d * self.distinct) / self.total if self.total else 1.0
+        return (self.counts[(*state, word)] + self.mu * self.probability(state[1:], word)) / (self.size(state) + self.mu)
+
+    def failures(self, state, word):
+        """Contexts, from the longest on, that have no arc for the word."""
+        while state and not self.size(state):
+            state = state[1:]
+        n = 0
+        while state and not self.counts[(*state, word)]:
+            n, state = n + 1, state[1:]
+        return n
+
+    def walk(self, text):
+        state, score, failed = (ngram_lm.START,) * (self.order - 1), 0.0, 0
+        for word in [*(text or "").encode().lower().split(), ngram_lm.END]:
+            score += math.log10(self.probability(state, word))
+            failed += self.failures(state, word)
+            state = (*state, word)[1:] if self.order > 1 else ()
+        return score, failed
+
+
+def plain_texts(draw, n):
+    return [" ".join(draw.choice("The a cat dog sat mat ran far".split()) for _ in range(draw.randint(0, 40))) for _ in range(n)]
+
+
+def test_automaton_scores_match_the_recursion(spark, odd, empty):
+    rows = [*enumerate(plain_texts(random.Random(4), 80)), *ODD]
+    df = spark.createDataFrame([(*r, 1.0, "x") for r in rows], "doc_id bigint, text string, score double, words string").repartition(3)
     held = lambda i: zlib.crc32(("" if i is None else str(i)).encode()) % 7 == 2
     train = [t for i, t in rows if not held(i)]
-    for order in (1, 2, 3):
-        model = ngram_lm.BackoffAutomaton(train, order)
+    for order in (1, 2, 3, 4):
+        model = Recursion(train, order)
         n, v = model.total, model.distinct
         want = []
         for i, t in rows:
             tokens = [*(t or "").encode().lower().split(), ngram_lm.END]
             c = [model.counts[(w,)] for w in tokens]
-            want.append((i, held(i), len(tokens), sum(x > 0 for x in c), n, sum(math.log10((x + 1) / (n + v + 1)) for x in c), model.score(t)))
+            want.append((i, held(i), len(tokens), sum(x > 0 for x in c), n, sum(math.log10((x + 1) / (n + v + 1)) for x in c), model.walk(t)[0]))
         got = [tuple(r) for r in ngram_lm.score_documents(df, order=order, block_bytes=2000).collect()]
         flat = lambda rs: sorted(((*r[:5], round(r[5], 6), round(r[6], 6)) for r in rs), key=key)
         assert flat(got) == flat(want)
@@ -333,8 +429,27 @@ def test_scores_match_the_plain_automaton(spark, odd, empty):
     assert all(r["base_score"] == 0 and r["score"] == 0 and r["held_out"] for r in none)
 
 
+@pytest.mark.parametrize("lane_words", [1, 2, 7, 1000])
+def test_traversal_carries_its_state_and_fails_as_it_should(lane_words):
+    texts = plain_texts(random.Random(9), 60)
+    held = np.array([i % 3 == 0 for i in range(60)])
+    block = ngram_lm.Block()
+    for i, t in enumerate(texts):
+        block.add(i, bool(held[i]), t + " unseen" * (i % 6 == 0))
+    row = block.row(0)
+    for order in (1, 2, 3, 4):
+        model = Recursion([t for t, h in zip(texts, held) if not h], order)
+        found, starts, place = ngram_lm.grams(row[4], np.concatenate(block.tokens), held, order)
+        ends = np.zeros(len(place), bool)
+        ends[np.append(starts[1:], len(place)) - 1] = True
+        automaton = ngram_lm.Automaton([x[1] for x in found], [x[3] for x in found], [x[2].astype(np.int64) for x in found], place, ends, model.docs, model.total, model.distinct, model.d, model.mu)
+        scores, failures = automaton.traverse(found[0][1].astype(np.int64), lane_words)
+        walks = [model.walk(t + " unseen" * (i % 6 == 0)) for i, t in enumerate(texts)]
+        assert np.allclose(np.add.reduceat(scores, starts), [s for s, _ in walks]) and failures == sum(f for _, f in walks)
+
+
 def test_probabilities_sum_to_one():
-    model = ngram_lm.BackoffAutomaton(["a b c a", "b b d", "a"], 3)
+    model = Recursion(["a b c a", "b b d", "a"], 3)
     words = [w for (w,) in (g for g in model.counts if len(g) == 1)] + [b"unseen"]
     for state in ((b"a", b"b"), (ngram_lm.START, ngram_lm.START), (b"x", b"y"), (b"unseen", b"a")):
         assert abs(sum(model.probability(state, w) for w in words) - 1) < 1e-9
