@@ -23,7 +23,7 @@ def plain(v):
 
 
 def test_every_query_has_sql_or_is_a_model():
-    assert set(catalog.queries()) - set(SQL) == {"ml_forecast", "permutation_importance"}
+    assert set(catalog.queries()) - set(SQL) == {"ml_forecast", "forecast_next", "permutation_importance"}
 
 
 @pytest.mark.parametrize("name", sorted(SQL))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from . import bindings as b
 from .functions import months as m
 from .functions import text as t
-from .functions.outcomes import outcome_status, should_split
+from .functions.outcomes import should_split
 from .operators import analytics, normalize, outcomes, quality, reference, rollup, selection
 
 PANEL_START, PANEL_END = "199601", "199712"
@@ -29,6 +29,10 @@ def rollup_with_residuals(spark, sf_dir):
     return rollup.all_levels(b.full_code_facts(spark, sf_dir), b.short_code_rows(spark, sf_dir))
 
 
+def rollup_reconciliation_monthly(spark, sf_dir):
+    return rollup.reconciliation(b.full_code_facts(spark, sf_dir), b.short_code_rows(spark, sf_dir), ["month"])
+
+
 def rollup_reconciliation(spark, sf_dir):
     return rollup.reconciliation(b.full_code_facts(spark, sf_dir), b.short_code_rows(spark, sf_dir))
 
@@ -88,11 +92,29 @@ def source_totals(spark, sf_dir):
     return normalize.source_totals(b.raw_rows(spark, sf_dir))
 
 
+def summary_checks(spark, sf_dir):
+    totals = normalize.source_totals(b.raw_rows(spark, sf_dir)).withColumn("whole", b.source_number() % 9 != 4)
+    return normalize.summary_reconciliation(totals, normalize.last_summaries(b.response_rows(spark, sf_dir)))
+
+
 def summary_reconciliation(spark, sf_dir):
-    totals = normalize.source_totals(b.raw_rows(spark, sf_dir))
-    n = F.regexp_replace("source", "[^0-9]", "").cast("int")
-    stated = totals.where(n % 10 != 0).select("source", *[(F.col(x) + F.when(n % 7 == 0, 1 if x.endswith("kg") else 0).when(n % 11 == 0, 1).otherwise(0)).alias(x) for x in t.MEASURES])
-    return normalize.summary_reconciliation(totals, stated)
+    return summary_checks(spark, sf_dir)
+
+
+def summary_figures(spark, sf_dir):
+    return normalize.summary_figures(summary_checks(spark, sf_dir))
+
+
+def last_summaries(spark, sf_dir):
+    return normalize.last_summaries(b.response_rows(spark, sf_dir))
+
+
+def short_code_observations(spark, sf_dir):
+    return normalize.short_code_observations(b.response_rows(spark, sf_dir))
+
+
+def short_code_figures(spark, sf_dir):
+    return normalize.short_code_figures(short_code_observations(spark, sf_dir))
 
 
 def duplicate_keys(spark, sf_dir):
@@ -104,7 +126,9 @@ def code_length_histogram(spark, sf_dir):
 
 
 def response_metrics(spark, sf_dir):
-    return normalize.response_metrics(b.raw_rows(spark, sf_dir))
+    found = normalize.response_metrics(b.response_rows(spark, sf_dir))
+    shown = F.transform("hs_name_variant_examples", lambda x: F.concat(x["hs10"], F.lit("="), F.array_join(x["names"], "|")))
+    return found.withColumns({"months_found": F.array_join("months_found", ","), "hs_length_counts": F.to_json("hs_length_counts"), "hs_name_variant_examples": F.array_join(shown, ";")})
 
 
 def named_facts(spark, sf_dir):
@@ -139,17 +163,56 @@ def label_rows(spark, sf_dir):
 
 
 def duplicate_label_fold(spark, sf_dir):
-    return reference.resolve_duplicates(label_rows(spark, sf_dir), ["hs10"])
+    return reference.resolve_duplicates(label_rows(spark, sf_dir), ["hs10"]).drop("audit")
+
+
+def duplicate_label_audit(spark, sf_dir):
+    audit = reference.resolve_duplicates(label_rows(spark, sf_dir), ["hs10"]).select("hs10", F.posexplode("audit").alias("n", "a"))
+    return audit.select("hs10", "n", "a.*")
 
 
 def adjacent_year_review(spark, sf_dir):
     p = b.table(spark, sf_dir, "part").selectExpr("p_partkey", "cast(p_partkey as string) as hs10")
     name = "case when p_partkey % 3 = 0 and reference_year >= 2022 or p_partkey % 3 = 1 and reference_year < 2022 then 'old' else 'new' end"
     e = p.withColumn("reference_year", F.explode(F.array(*map(F.lit, (2021, 2022, 2023))))).withColumn("name_ko", F.expr(name)).where("p_partkey % 10 <> 0 or reference_year <> 2023")
-    pending = e.where("reference_year = 2022").select("reference_year", "hs10", F.lit("old").alias("first"), F.lit("new").alias("second"))
+    e = e.withColumn("name_en", F.expr("if(p_partkey % 7 = 0, 'same', concat('en ', name_ko))"))
+    pending = e.where("reference_year = 2022").select("reference_year", "hs10", F.lit("old").alias("first_ko"), F.lit("en old").alias("first_en"), F.lit("new").alias("second_ko"), F.lit("en new").alias("second_en"))
     return reference.adjacent_review(pending, e)
 
 
+def tariff_parts(spark, sf_dir):
+    from .plans import editions
+    from .sources import html_tables
+
+    index, chapters = b.tariff_pages(spark, sf_dir)
+    rows, audit = editions.labelled_rows(html_tables.chapter_table(chapters))
+    rows, decisions = editions.reviewed(rows, audit)
+    return html_tables.index_table(index), rows, audit, decisions
+
+
+def tariff_index(spark, sf_dir):
+    return tariff_parts(spark, sf_dir)[0]
+
+
+def tariff_editions(spark, sf_dir):
+    from .sources import html_tables
+
+    index, rows, _, _ = tariff_parts(spark, sf_dir)
+    return html_tables.edition_rows(rows, index, "part", "https://example.test").withColumn("reference_year", F.col("reference_year").cast("int"))
+
+
+def tariff_label_audit(spark, sf_dir):
+    return tariff_parts(spark, sf_dir)[2]
+
+
+def tariff_review(spark, sf_dir):
+    return reference.review_figures(tariff_parts(spark, sf_dir)[3])
+
+
+def edition_duplicates(spark, sf_dir):
+    return reference.duplicate_rows(label_rows(spark, sf_dir), ["hs10"])
+
+
 def country_enrich(spark, sf_dir):
     n = b.table(spark, sf_dir, "nation")
     partners = n.selectExpr("substring(n_name, 1, 2) as country_code", "n_name as country_name_ko")
@@ -157,28 +220,32 @@ def country_enrich(spark, sf_dir):
     return reference.enrich_partners(partners, world)
 
 
-def outcome_statuses(spark, sf_dir):
-    o = b.outcomes(spark, sf_dir)
-    return o.withColumn("status", outcome_status(*map(F.col, ("success", "code", "http", "message", "parsed"))))
+def partner_universe(spark, sf_dir):
+    return reference.partner_universe(country_enrich(spark, sf_dir), ["JA"], ["CH"], na_compat=True).select("country_code", "country_name_ko", "un_match_status")
 
 
 def outcome_status_query(spark, sf_dir):
-    o = outcome_statuses(spark, sf_dir)
-    return o.select("event_id", "status", should_split(F.col("status"), m.window_size(F.col("window_start"), F.col("window_end"))).alias("split"), m.window_level(F.col("window_start"), F.col("window_end")).alias("level"))
+    o, size = b.outcomes(spark, sf_dir), m.window_size(F.col("window_start"), F.col("window_end"))
+    return o.select("event_id", "status", should_split(F.col("status"), F.col("http_status"), size).alias("split"), m.window_level(F.col("window_start"), F.col("window_end")).alias("level"))
 
 
 def effective_leaves(spark, sf_dir):
-    return outcomes.effective_leaves(outcome_statuses(spark, sf_dir)).select("event_id", "country", "window_start", "window_end", "status")
+    return outcomes.effective_leaves(b.outcomes(spark, sf_dir)).select("event_id", "country", "window_start", "window_end", "status")
 
 
 def root_verdicts(spark, sf_dir):
-    o = outcome_statuses(spark, sf_dir)
-    roots = o.select("country", F.lit("202401").alias("window_start"), F.lit("202412").alias("window_end")).distinct()
-    return outcomes.root_verdicts(roots, outcomes.effective_leaves(o))
+    found = outcomes.root_verdicts(b.outcome_roots(spark, sf_dir), b.outcomes(spark, sf_dir))
+    return found.withColumn("hs_length_counts", F.to_json("hs_length_counts"))
+
+
+def collection_summary(spark, sf_dir):
+    found = outcomes.collection_summary(b.outcome_roots(spark, sf_dir), b.outcomes(spark, sf_dir))
+    shown = F.transform("failure_details", lambda x: F.concat(x["window_start"], F.lit("-"), x["window_end"], F.lit(":"), x["status"]))
+    return found.withColumns({"api_result_codes": F.array_join("api_result_codes", ","), "statuses": F.array_join("statuses", ","), "failure_details": F.array_join(shown, ", ")})
 
 
 def run_totals(spark, sf_dir):
-    return outcomes.run_totals(outcome_statuses(spark, sf_dir))
+    return outcomes.run_totals(b.outcomes(spark, sf_dir))
 
 
 def windows(spark, sf_dir):
@@ -198,6 +265,16 @@ def stable_month(spark, sf_dir):
     return b.table(spark, sf_dir, "orders").select("o_orderkey", m.latest_stable_month(day).alias("stable"), m.shift_month(F.date_format(day, "yyyyMM"), -13).alias("refresh_from"))
 
 
+def month_bounds(spark, sf_dir):
+    month = F.date_format("o_orderdate", "yyyyMM")
+    return b.table(spark, sf_dir, "orders").select("o_orderkey", m.analysis_bounds(month).alias("x")).select("o_orderkey", "x.*")
+
+
+def key_text(spark, sf_dir):
+    e = b.table(spark, sf_dir, "events").selectExpr("event_id", "concat('http://x?', if(event_id % 2 = 0, 'serviceKey', 'SERVICEKEY'), '=k%2B', cast(event_id as string), '+c&cntyCd=US') as url", "concat('k%2B', cast(event_id as string), '+c%3D') as k")
+    return e.select("event_id", t.redact_key(F.col("url")).alias("redacted"), t.decode_key(F.col("k")).alias("decoded"))
+
+
 def plan_roots(spark, sf_dir):
     n = b.table(spark, sf_dir, "nation").select(F.col("n_name").alias("country"))
     years = spark.range(1995, 2001).select(F.concat(F.col("id").cast("string"), F.lit("01")).alias("window_start"), F.concat(F.col("id").cast("string"), F.lit("12")).alias("window_end"))
@@ -237,6 +314,12 @@ def concentration_top15(spark, sf_dir):
     return concentration_metrics(spark, sf_dir).orderBy(F.desc("exposure"), "hs6").limit(15)
 
 
+def concentration_labels(spark, sf_dir):
+    names = b.table(spark, sf_dir, "part").selectExpr("concat(lpad(cast(p_partkey % 97 as string), 2, '0'), lpad(cast(p_partkey % 7 as string), 2, '0')) as p", "if(p_partkey % 3 = 0, ' ', concat(p_name, ' ', p_type)) as name").groupBy("p").agg(F.min("name").alias("name"))
+    top = concentration_top15(spark, sf_dir).withColumn("p", F.substring("hs6", 1, 4)).join(names, "p", "left")
+    return top.select("hs6", "exposure", t.short_label(t.label_or(F.col("name"), F.col("hs6")), 12).alias("label"))
+
+
 def concentration_summary(spark, sf_dir):
     return analytics.concentration_summary(concentration_metrics(spark, sf_dir), 100_000_000)
 
@@ -303,6 +386,10 @@ def partner_qa(spark, sf_dir):
     return quality.partner_metrics(country_enrich(spark, sf_dir))
 
 
+def anomaly_text_qa(spark, sf_dir):
+    return quality.anomaly_text_metrics(anomaly_table(spark, sf_dir).withColumn("name_ko", F.expr("case when hs_length = 6 then concat('품목 ', name_ko) when hs_length = 9 then concat(name_ko, chr(1)) else name_ko end")))
+
+
 def coverage_report_long(spark, sf_dir):
     return quality.long_report({"rows": row_reconciliation(spark, sf_dir), "sources": source_overlap_counts(spark, sf_dir), "reference": dimension_qa(spark, sf_dir)})
 
@@ -330,17 +417,37 @@ def consolidate_roundtrip(spark, sf_dir):
     return roundtrip(spark, rollup.rollup(b.trade_facts(spark, sf_dir), 4), ["month", "country_code", "hs4"])
 
 
-def xml_ingest(spark, sf_dir):
+def xml_items(spark, sf_dir):
     from .sources.fixtures import xml_responses
-    from .sources.responses import normalized_items, read_items
+    from .sources.responses import read_items
+
+    return read_items(spark, xml_responses(spark, b.raw_rows(spark, sf_dir)))
 
-    return normalized_items(read_items(spark, xml_responses(spark, b.raw_rows(spark, sf_dir))))
 
+def xml_ingest(spark, sf_dir):
+    from .sources.responses import normalized_items
+
+    return normalized_items(xml_items(spark, sf_dir))
+
+
+def xml_inspect(spark, sf_dir):
+    from .sources.responses import inspect_responses
 
-def html_extract(spark, sf_dir):
-    from .sources.html_tables import page_outline
+    files = inspect_responses(xml_items(spark, sf_dir)).withColumn("source", F.regexp_extract("source", "source=([^/]+)", 1))
+    return files.groupBy("source").agg(F.count("*").alias("files"), F.sum("items").alias("items"), F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_list("countries")))), ",").alias("countries"))
 
-    return page_outline(b.table(spark, sf_dir, "pages"))
+
+def xml_names(spark, sf_dir):
+    from .sources.responses import name_observations
+
+    return name_observations(xml_items(spark, sf_dir)).groupBy("month").agg(F.count("*").alias("observations"), F.countDistinct("hs10").alias("codes"), F.countDistinct("name_ko").alias("names"))
+
+
+def xml_status(spark, sf_dir):
+    from .sources.fixtures import xml_responses
+    from .sources.responses import read_status
+
+    return read_status(spark, xml_responses(spark, b.raw_rows(spark, sf_dir))).groupBy("code", "message").agg(F.countDistinct(F.regexp_extract("source", "source=([^/]+)", 1)).alias("sources"))
 
 
 def xlsx_ingest(spark, sf_dir):
@@ -356,18 +463,25 @@ def ml_forecast(spark, sf_dir):
     return forecast(monthly_panel(spark, sf_dir), "hs4", "199706")
 
 
+def forecast_next(spark, sf_dir):
+    from .operators import forecast
+
+    return forecast.forecast_next(monthly_panel(spark, sf_dir), "hs4")
+
+
 def permutation_importance(spark, sf_dir):
     from .operators.forecast import importance
 
     return importance(monthly_panel(spark, sf_dir), "hs4", "199706")
 
 
-NAMES = """rollup_all_levels rollup_with_residuals rollup_reconciliation fact_totals source_selection source_overlap_counts superseded_rows source_assignments coverage_missing
-classify_rows canonical_facts anomaly_table row_reconciliation source_totals summary_reconciliation duplicate_keys code_length_histogram response_metrics revision_lookup reference_gaps
-reference_conflicts code_name_inventory code_name_variants duplicate_label_fold adjacent_year_review country_enrich effective_leaves root_verdicts run_totals window_split annual_windows
-stable_month plan_roots number_text monthly_trend slice_profile top_partners_latest products_hs4_latest product_drilldown concentration_metrics concentration_top15 concentration_summary
-partner_shares dependency_snapshot top_codes_train_only monthly_panel lag_features rolling_features calendar_features next_month_features baseline_scores by_product_error text_quality_flags
-prefix_integrity dimension_qa partner_qa coverage_report_long snapshot_diff partition_verify anomaly_release consolidate_roundtrip xml_ingest html_extract xlsx_ingest ml_forecast permutation_importance""".split()
+NAMES = """rollup_all_levels rollup_with_residuals rollup_reconciliation rollup_reconciliation_monthly fact_totals source_selection source_overlap_counts superseded_rows source_assignments coverage_missing
+classify_rows canonical_facts anomaly_table row_reconciliation source_totals summary_reconciliation summary_figures last_summaries short_code_observations short_code_figures duplicate_keys code_length_histogram
+response_metrics revision_lookup reference_gaps reference_conflicts code_name_inventory code_name_variants duplicate_label_fold duplicate_label_audit edition_duplicates adjacent_year_review tariff_index tariff_editions
+tariff_label_audit tariff_review country_enrich partner_universe effective_leaves root_verdicts collection_summary run_totals window_split annual_windows stable_month month_bounds key_text plan_roots number_text
+monthly_trend slice_profile top_partners_latest products_hs4_latest product_drilldown concentration_metrics concentration_top15 concentration_labels concentration_summary partner_shares dependency_snapshot
+top_codes_train_only monthly_panel lag_features rolling_features calendar_features next_month_features baseline_scores by_product_error text_quality_flags prefix_integrity dimension_qa partner_qa anomaly_text_qa
+coverage_report_long snapshot_diff partition_verify anomaly_release consolidate_roundtrip xml_ingest xml_inspect xml_names xml_status xlsx_ingest ml_forecast forecast_next permutation_importance""".split()
 
 
 def queries() -> dict:

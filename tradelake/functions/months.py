@@ -20,9 +20,10 @@ def shift_month(month: Column, by) -> Column:
 
 
 def months_between(start: Column, end: Column) -> Column:
-    """All months of a window, ends included; null for a reversed one (``sequence`` would count down)."""
+    """All months of a window, ends included; a reversed window is an error, a null bound gives null."""
     a, b = month_index(start), month_index(end)
-    return F.when(a <= b, F.transform(F.sequence(a, F.greatest(a, b)), index_month))
+    reversed_ = F.raise_error(F.concat_ws("-", F.lit("Invalid window: "), start, end)).cast("array<string>")
+    return F.when(a > b, reversed_).otherwise(F.transform(F.sequence(a, F.greatest(a, b)), index_month))
 
 
 def window_size(start: Column, end: Column) -> Column:
@@ -58,5 +59,5 @@ def month_number(month: Column) -> Column:
 
 
 def analysis_bounds(end: Column) -> Column:
-    """Bounds of the last year, of the year before it, and of at most 90 months before ``end``."""
+    """First months of the last year and of the year before it, and how far back the history of ``end`` goes (90 months)."""
     return F.struct(shift_month(end, -11).alias("last_year"), shift_month(end, -23).alias("year_before"), shift_month(end, -12).alias("before_end"), shift_month(end, -90).alias("history"))

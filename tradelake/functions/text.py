@@ -9,16 +9,22 @@ MEASURES = ["export_usd", "export_weight_kg", "import_usd", "import_weight_kg",
 LEVELS = (8, 6, 4, 2)
 
 
+#: Characters that Unicode calls white space.
+SPACES = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
 def strip(text: Column) -> Column:
     """Without white space at the ends, of any Unicode kind."""
-    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+    return F.btrim(text, F.lit(SPACES))
 
 
 def as_int(text: Column) -> Column:
-    """Integer text, commas allowed; a fraction is cut off; empty, ``-`` and anything else are null."""
+    """Integer text, commas allowed; a fraction is cut off; empty, ``-`` and anything else are null.
+
+    Plain digits, by far the most, are one cast; only what that leaves is stripped and tried as a fraction.
+    """
     bare = F.replace(strip(text), F.lit(","), F.lit(""))
-    number = F.coalesce(bare.try_cast("bigint"), bare.try_cast("double").try_cast("bigint"))
-    return F.when(bare.isin("", "-"), F.lit(None).cast("bigint")).otherwise(number)
+    return F.coalesce(text.try_cast("bigint"), bare.try_cast("bigint"), bare.try_cast("double").try_cast("bigint"))
 
 
 def is_full_code(code: Column) -> Column:
@@ -40,7 +46,7 @@ def has_hangul(text: Column) -> Column:
 
 def bad_unicode_reason(text: Column) -> Column:
     """The gravest damage of a text: replacement characters, NUL, other control characters; else null."""
-    return F.when(F.contains(text, F.lit("�")), "replacement_character").when(F.contains(text, F.lit("\x00")), "nul").when(text.rlike(r"[\x01-\x08\x0b\x0c\x0e-\x1f]"), "control_character")
+    return F.when(F.contains(text, F.lit("�")), "replacement_character").when(F.contains(text, F.lit("\x00")), "nul_character").when(text.rlike(r"[\x01-\x08\x0b\x0c\x0e-\x1f]"), "control_character")
 
 
 def redact_key(text: Column) -> Column:

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.months import months_between
 from ..functions.text import MEASURES, as_int, is_full_code, level_of
 
 #: Raw columns by measure, in the order in which a missing one is reported.
@@ -52,11 +53,16 @@ def canonical(classified: DataFrame) -> DataFrame:
     return classified.where("bucket = 'canonical'").withColumns(codes).select("month", F.col("requested_country").alias("country_code"), *codes, *MEASURES)
 
 
+#: Columns of a quarantined or warned-of row besides its reason, its code's length and the measures.
+ROW, SOURCE = ["month", "requested_country", "country_code_raw", "hs_code_raw"], ["source_manifest", "source_raw_path", "source_finished_at"]
+
+
 def anomalies(classified: DataFrame) -> DataFrame:
-    """Every row with a reason, and canonical rows with a warning."""
+    """Every row with a reason, and canonical rows with a warning, with where they come from."""
     reason = F.coalesce("reason", "warning")
-    kept = ["month", "requested_country", "country_code_raw", "hs_code_raw"]
-    return classified.where(reason.isNotNull()).select(reason.alias("reason"), *kept, F.length(F.coalesce("hs_code_raw", F.lit(""))).cast("long").alias("hs_length"), *MEASURES, "source", "ordinal")
+    length = F.length(F.coalesce("hs_code_raw", F.lit(""))).cast("long").alias("hs_length")
+    rows = classified.where(reason.isNotNull()).withColumn("source_raw_path", F.col("source"))
+    return rows.select(reason.alias("reason"), *ROW, length, "name_ko", *MEASURES, *SOURCE)
 
 
 def row_reconciliation(classified: DataFrame) -> DataFrame:
@@ -65,24 +71,57 @@ def row_reconciliation(classified: DataFrame) -> DataFrame:
     return classified.agg(F.count("*").alias("assigned"), n("canonical"), n("quarantine"), n("fatal")).withColumn("reconciles", F.expr("assigned = canonical + quarantine + fatal"))
 
 
+def all_measured():
+    return reduce(lambda a, b: a & b, [F.col(m).isNotNull() for m in MEASURES])
+
+
 def source_totals(raw: DataFrame) -> DataFrame:
-    """Totals of each source over all assigned rows whose five numbers parse, whatever their bucket."""
+    """Totals of each source over all assigned rows whose five numbers parse, whatever their bucket.
+
+    ``numeric_ok`` tells whether all rows' numbers do.
+    """
     rows = with_measures(raw)
-    whole = reduce(lambda a, b: a & b, [F.col(m).isNotNull() for m in MEASURES])
-    return rows.groupBy("source").agg(F.count("*").alias("fact_rows"), *[F.coalesce(F.sum(F.when(whole, F.col(m))), F.lit(0)).alias(m) for m in MEASURES])
+    whole = all_measured()
+    return rows.groupBy("source").agg(F.count("*").alias("fact_rows"), F.bool_and(whole).alias("numeric_ok"), *[F.coalesce(F.sum(F.when(whole, F.col(m))), F.lit(0)).alias(m) for m in MEASURES])
+
+
+def last_summaries(raw: DataFrame) -> DataFrame:
+    """Each source's last total row whose five numbers parse; rows with a code aren't totals, whatever their month."""
+    rows = with_measures(raw.where(F.coalesce("hs_code_raw", F.lit("")).isin("", "-"))).where(all_measured())
+    return rows.groupBy("source").agg(F.max_by(F.struct(*MEASURES), "ordinal").alias("x")).select("source", "x.*")
 
 
 def summary_reconciliation(totals: DataFrame, summaries: DataFrame) -> DataFrame:
-    """Compare sources with their responses' totals: weights may differ by rounding, one kg a row; money not."""
+    """Compare sources with their responses' totals: weights may differ by rounding, one kg a row; money not.
+
+    ``totals`` may have ``whole``: whether every month of the source's window is taken from it.  Others are
+    never compared, and neither are sources with an unreadable number.
+    """
+    if "whole" not in totals.columns:
+        totals = totals.withColumn("whole", F.lit(True))
     s = summaries.select("source", *[F.col(m).alias(f"summary_{m}") for m in MEASURES])
     joined = totals.join(s, "source", "left")
     off = {m: F.abs(F.col(m) - F.col(f"summary_{m}")) for m in MEASURES}
     weights = [m for m in MEASURES if m.endswith("weight_kg")]
     allowed = F.greatest(F.lit(1), F.col("fact_rows"))
     fatal = reduce(lambda a, b: a | b, [off[m] > (allowed if m in weights else 0) for m in MEASURES])
-    rounded = off[weights[0]] + off[weights[1]]
-    status = F.when(F.col("summary_export_usd").isNull(), "missing").when(fatal, "mismatch").when(rounded > 0, "rounding").otherwise("match")
-    return joined.select("source", "fact_rows", status.alias("status"), F.when(~status.isin("missing", "mismatch"), rounded).otherwise(0).alias("rounding_kg"))
+    rounded, fields = off[weights[0]] + off[weights[1]], sum((off[m] > 0).cast("int") for m in weights)
+    status = (
+        F.when(~F.col("whole"), "not_whole").when(F.col("summary_export_usd").isNull(), "missing").when(~F.col("numeric_ok"), "unavailable")
+        .when(fatal, "mismatch").when(rounded > 0, "rounding").otherwise("match")
+    )
+    compared = status.isin("rounding", "match")
+    return joined.select("source", "fact_rows", status.alias("status"), F.when(compared, rounded).otherwise(0).alias("rounding_kg"), F.when(compared, fields).otherwise(0).alias("rounding_fields"))
+
+
+def summary_figures(checks: DataFrame) -> DataFrame:
+    """Counts of a comparison's outcomes under the names of the job's manifest."""
+    n = lambda *kinds: F.count_if(F.col("status").isin(*kinds))
+    return checks.agg(
+        n("mismatch", "rounding", "match").alias("source_summary_checked"), n("rounding", "match").alias("source_summary_matches"), n("mismatch").alias("source_summary_mismatches"),
+        n("missing").alias("source_summary_missing"), n("unavailable").alias("source_summary_unavailable_numeric"), n("rounding").alias("source_summary_weight_rounding_sources"),
+        F.coalesce(F.sum("rounding_fields"), F.lit(0)).alias("source_summary_weight_rounding_fields"), F.coalesce(F.sum("rounding_kg"), F.lit(0)).alias("source_summary_weight_rounding_abs_kg"),
+    )
 
 
 def duplicate_keys(rows: DataFrame, keys: list[str]) -> DataFrame:
@@ -94,14 +133,61 @@ def code_lengths(rows: DataFrame) -> DataFrame:
     return rows.groupBy(F.length("hs_code_raw").alias("length")).agg(F.count("*").alias("rows"))
 
 
-def response_metrics(raw: DataFrame) -> DataFrame:
-    """What a response is judged by: one aggregation over its rows."""
-    rows = with_measures(raw)
+#: Codes with several names that a response's metrics show, and names of each.
+SHOWN_CODES, SHOWN_NAMES = 20, 5
+
+
+def response_metrics(raw: DataFrame, windows: DataFrame | None = None) -> DataFrame:
+    """What a response is judged by, over its rows and total rows.
+
+    Total rows are counted and left out of everything else.  Three steps, each combined map-side: keys of a
+    source, its codes, the source; so a response is never gathered, however long it is.  ``windows`` (source,
+    window_start, window_end) adds the months that were asked for and aren't there.
+    """
+    rows = with_measures(raw).withColumn("total", is_summary())
     four = [F.col(m) for m in MEASURES[:4]]
-    zero = reduce(lambda a, b: a & b, [x == 0 for x in four])
-    negative = reduce(lambda a, b: a | b, [x < 0 for x in four])
-    return rows.groupBy("source").agg(
-        F.count("*").alias("rows"), F.count_if(is_summary()).alias("totals"), F.count_if(~is_full_code(F.col("hs_code_raw"))).alias("short_codes"), F.countDistinct("month").alias("months"),
-        F.count_if(zero).alias("zero_trade"), F.count_if(negative).alias("negative"), F.count_if(F.col("export_usd") - F.col("import_usd") != F.col("trade_balance_usd")).alias("balance_mismatch"),
-        F.count_if((F.coalesce("country_code_raw", F.lit("")) != "") & (F.col("country_code_raw") != F.col("requested_country"))).alias("country_mismatch"),
+    zero = reduce(lambda a, b: a & b, [F.coalesce(x == 0, F.lit(False)) for x in four])
+    negative = reduce(lambda a, b: a | b, [F.coalesce(x < 0, F.lit(False)) for x in four])
+    other = (F.coalesce("country_code_raw", F.lit("")) != "") & (F.col("country_code_raw") != F.col("requested_country"))
+    fact = ~F.col("total")
+    n = lambda test, name: F.count_if(fact & test).alias(name)
+    flags = {
+        "zero_trade_rows": zero, "negative_amount_or_weight_rows": negative, "balance_mismatch_rows": F.col("export_usd") - F.col("import_usd") != F.col("trade_balance_usd"),
+        "country_mismatch_rows": other, "non_hs10_fact_rows": ~F.coalesce(is_full_code(F.col("hs_code_raw")), F.lit(False)),
+    }
+    code = F.when(fact, F.col("hs_code_raw")).alias("code")
+    names = F.collect_set(F.when(fact, F.nullif(F.col("name_ko"), F.lit("")))).alias("names")
+    keys = rows.groupBy("source", code, F.when(fact, F.col("month")).alias("m"), F.when(fact, F.coalesce("country_code_raw", F.lit(""))).alias("c"), "total").agg(F.count("*").alias("rows"), names, *(n(t, x) for x, t in flags.items()))
+    extra = F.when(~F.col("total") & (F.col("rows") > 1), F.col("rows") - 1)
+    codes = keys.groupBy("source", "code", "total").agg(
+        F.sum("rows").alias("rows"), F.collect_set("m").alias("months"), F.array_distinct(F.flatten(F.collect_list("names"))).alias("names"), F.coalesce(F.sum(extra), F.lit(0)).alias("duplicate_key_rows"), F.count(extra).alias("duplicate_key_groups"), *(F.sum(x).alias(x) for x in flags),
     )
+    lengths = codes.groupBy("source", F.length("code").alias("length"), "total").agg(
+        F.sum("rows").alias("rows"), F.array_distinct(F.flatten(F.collect_list("months"))).alias("months"), F.count_if(F.size("names") > 1).alias("hs_name_variant_codes"),
+        F.slice(F.array_sort(F.collect_list(F.when(F.size("names") > 1, F.struct(F.col("code").alias("hs10"), F.slice(F.array_sort("names"), 1, SHOWN_NAMES).alias("names"))))), 1, SHOWN_CODES).alias("shown"), *(F.sum(x).alias(x) for x in (*flags, "duplicate_key_rows", "duplicate_key_groups")),
+    )
+    facts_of = lambda x: F.coalesce(F.sum(F.when(~F.col("total"), F.col(x))), F.lit(0))
+    entry = F.when(~F.col("total"), F.struct(F.col("length").cast("string").alias("key"), F.col("rows").alias("value")))
+    out = lengths.groupBy("source").agg(
+        F.sum("rows").alias("row_count"), facts_of("rows").alias("fact_row_count"), F.coalesce(F.sum(F.when(F.col("total"), F.col("rows"))), F.lit(0)).alias("total_row_count"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("months")))).alias("months_found"), F.map_from_entries(F.array_sort(F.collect_list(entry))).alias("hs_length_counts"),
+        *(facts_of(x).alias(x) for x in (*flags, "duplicate_key_rows", "duplicate_key_groups", "hs_name_variant_codes")), F.slice(F.array_sort(F.flatten(F.collect_list("shown"))), 1, SHOWN_CODES).alias("hs_name_variant_examples"),
+    )
+    out = out.withColumn("month_count", F.size("months_found"))
+    if windows is None:
+        return out
+    asked = windows.select("source", months_between(F.col("window_start"), F.col("window_end")).alias("asked"))
+    return out.join(asked, "source", "left").withColumn("missing_months", F.array_sort(F.array_except("asked", "months_found"))).drop("asked")
+
+
+def short_code_observations(rows: DataFrame) -> DataFrame:
+    """Fact rows whose code isn't ten digits, as they came: nothing is padded."""
+    kept = rows.where(~is_summary() & ~F.coalesce(is_full_code(F.col("hs_code_raw")), F.lit(False)))
+    return with_measures(kept).select("requested_country", F.col("country_code_raw").alias("country_code"), "month", "hs_code_raw", F.length("hs_code_raw").cast("long").alias("hs_length"), "name_ko", *MEASURES, F.col("source").alias("source_raw_path"))
+
+
+def short_code_figures(observations: DataFrame) -> DataFrame:
+    """Rows, dollars, and rows by the code's length, of all short codes."""
+    by_length = observations.groupBy(F.col("hs_length").cast("string").alias("key")).agg(F.count("*").alias("value"), F.sum("export_usd").alias("e"), F.sum("import_usd").alias("i"))
+    zero = lambda c: F.coalesce(c, F.lit(0))
+    return by_length.agg(zero(F.sum("value")).alias("rows"), zero(F.sum("e")).alias("export_usd"), zero(F.sum("i")).alias("import_usd"), F.to_json(F.map_from_entries(F.array_sort(F.collect_list(F.struct("key", "value"))))).alias("lengths"))

@@ -5,13 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.text import strip
+
 
 def revision_lookup(facts: DataFrame, editions: DataFrame) -> DataFrame:
     """Facts with ``hs_revision`` of their year's edition; unknown codes stay, with null.
 
     Spark broadcasts the editions if its size check allows and sorts both sides otherwise.
     """
-    keys = editions.select(F.col("reference_year").cast("string").alias("__year"), F.col("hs10").alias("__code"), "hs_revision")
+    keys = editions.select(F.col("reference_year").cast("string").alias("__year"), F.col("hs10").alias("__code"), "hs_revision").distinct()
     return facts.join(keys, (F.substring("month", 1, 4) == F.col("__year")) & (F.col("hs10") == F.col("__code")), "left").drop("__year", "__code")
 
 
@@ -19,7 +21,16 @@ def reference_gaps(facts: DataFrame, editions: DataFrame, name: str = "name_ko")
     """Codes that their year's edition lacks: rows, months and names."""
     unknown = revision_lookup(facts, editions).where("hs_revision is null")
     listed = lambda c, sep: F.array_join(F.array_sort(F.collect_set(c)), sep)
-    return unknown.groupBy(F.substring("month", 1, 4).alias("year"), "hs10").agg(F.count("*").alias("rows"), listed("month", ",").alias("months"), listed(name, " | ").alias("names"))
+    return unknown.groupBy(F.substring("month", 1, 4).alias("year"), "hs10").agg(F.count("*").alias("rows"), listed("month", ",").alias("months"), listed(F.nullif(F.col(name), F.lit("")), " | ").alias("names"))
+
+
+def require_one_revision(editions: DataFrame) -> None:
+    """Raise if the table is empty or a year gives a code two revisions; a plain copy of a row is harmless."""
+    if editions.isEmpty():
+        raise ValueError("the code reference is empty")
+    bad = reference_conflicts(editions).limit(5).collect()
+    if bad:
+        raise ValueError(f"several revisions of {[(r['reference_year'], r['hs10']) for r in bad]}")
 
 
 def reference_conflicts(editions: DataFrame) -> DataFrame:
@@ -32,9 +43,13 @@ def duplicate_rows(dimension: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def name_inventory(facts: DataFrame, name: str = "name_ko") -> DataFrame:
-    """Per code: names, years, countries, first and last month."""
-    listed = lambda c: F.array_join(F.array_sort(F.collect_set(c)), "|")
-    return facts.groupBy("hs10").agg(listed(name).alias("names"), listed(F.substring("month", 1, 4)).alias("years"), F.countDistinct("country_code").alias("countries"), F.min("month").alias("first_month"), F.max("month").alias("last_month"), F.count("*").alias("rows"))
+    """Per code: its names, years and countries as JSON lists, the first and the last month."""
+    listed = lambda c: F.to_json(F.array_sort(F.collect_set(c)))
+    own = F.nullif(F.col(name), F.lit(""))
+    return facts.groupBy("hs10").agg(
+        F.countDistinct(own).alias("name_count"), listed(own).alias("names_json"), listed(F.substring("month", 1, 4)).alias("years_observed_json"), listed("country_code").alias("countries_observed_json"),
+        F.min("month").alias("first_trade_month_observed"), F.max("month").alias("last_trade_month_observed"),
+    )
 
 
 def name_variants(facts: DataFrame, name: str = "name_ko", examples: int = 20, names_each: int = 5) -> DataFrame:
@@ -44,8 +59,8 @@ def name_variants(facts: DataFrame, name: str = "name_ko", examples: int = 20, n
 
 
 def labels_compatible(a: Column, b: Column) -> Column:
-    """Equal, or one begins with the other, or one is blank."""
-    a, b = F.coalesce(a, F.lit("")), F.coalesce(b, F.lit(""))
+    """Equal, or one begins with the other, or one is blank; white space at the ends doesn't count."""
+    a, b = strip(F.coalesce(a, F.lit(""))), strip(F.coalesce(b, F.lit("")))
     return (a == "") | (b == "") | F.startswith(a, b) | F.startswith(b, a)
 
 
@@ -55,45 +70,73 @@ def label_score(ko: Column, en: Column) -> Column:
     return F.struct(((ko != "").cast("int") + (en != "").cast("int")).alias("filled"), (F.length(ko) + F.length(en)).alias("total"), F.length(ko).alias("first"))
 
 
+#: What a duplicate's audit says.
+COMPATIBLE, PENDING = "prefer_more_specific_compatible_label", "prefer_first_source_order_pending_adjacent_year_review"
+
+
 def resolve_duplicates(rows: DataFrame, keys: list[str]) -> DataFrame:
     """One row for each key by a left fold in document order.
 
-    A compatible later label replaces the kept one if it scores strictly higher; an incompatible one is
-    only counted.  A key's rows are the copies in one response, so a group is a handful of rows.
+    A compatible later label replaces the kept one if it scores strictly higher; an incompatible one leaves the
+    kept one and is a conflict.  ``audit`` lists each step that met another label: the kept and the new pair,
+    the pair chosen, and how.  A key's rows are the copies in one response, so a group is a handful of rows.
     """
     item = F.struct("ordinal", "name_ko", "name_en")
-    start = F.struct(F.col("x")[0]["name_ko"].alias("name_ko"), F.col("x")[0]["name_en"].alias("name_en"), F.lit(0).alias("conflicts"))
+    step = "struct<first_ko:string,first_en:string,second_ko:string,second_en:string,selected_ko:string,selected_en:string,resolution:string>"
+    start = F.struct(F.col("x")[0]["name_ko"].alias("name_ko"), F.col("x")[0]["name_en"].alias("name_en"), F.lit(0).alias("conflicts"), F.array().cast(f"array<{step}>").alias("audit"))
 
     def fold(kept: Column, new: Column) -> Column:
+        same = kept["name_ko"].eqNullSafe(new["name_ko"]) & kept["name_en"].eqNullSafe(new["name_en"])
         fits = labels_compatible(kept["name_ko"], new["name_ko"]) & labels_compatible(kept["name_en"], new["name_en"])
         better = fits & (label_score(new["name_ko"], new["name_en"]) > label_score(kept["name_ko"], kept["name_en"]))
-        return F.struct(
-            F.when(better, new["name_ko"]).otherwise(kept["name_ko"]).alias("name_ko"), F.when(better, new["name_en"]).otherwise(kept["name_en"]).alias("name_en"),
-            (kept["conflicts"] + F.when(fits, 0).otherwise(1)).alias("conflicts"),
+        ko, en = (F.when(better, new[c]).otherwise(kept[c]) for c in ("name_ko", "name_en"))
+        note = F.struct(
+            kept["name_ko"].alias("first_ko"), kept["name_en"].alias("first_en"), new["name_ko"].alias("second_ko"), new["name_en"].alias("second_en"),
+            ko.alias("selected_ko"), en.alias("selected_en"), F.when(fits, COMPATIBLE).otherwise(PENDING).alias("resolution"),
         )
+        audit = F.when(same, kept["audit"]).otherwise(F.concat(kept["audit"], F.array(note)))
+        return F.struct(ko.alias("name_ko"), en.alias("name_en"), (kept["conflicts"] + F.when(fits, 0).otherwise(1)).alias("conflicts"), audit.alias("audit"))
 
     lists = rows.groupBy(*keys).agg(F.array_sort(F.collect_list(item)).alias("x"))
     kept = F.aggregate(F.slice("x", 2, F.greatest(F.size("x"), F.lit(1))), start, fold)
-    return lists.select(*keys, F.size("x").alias("copies"), kept.alias("k")).select(*keys, "copies", "k.name_ko", "k.name_en", "k.conflicts")
+    return lists.select(*keys, F.size("x").alias("copies"), kept.alias("k")).select(*keys, "copies", "k.name_ko", "k.name_en", "k.conflicts", "k.audit")
+
+
+def require_same_beside_names(rows: DataFrame, keys: list[str], names: tuple[str, ...] = ("name_ko", "name_en", "ordinal")) -> None:
+    """Raise if copies of a key differ in anything but their labels."""
+    rest = [c for c in rows.columns if c not in (*keys, *names)]
+    if rest:
+        bad = rows.groupBy(*keys).agg(F.countDistinct(F.struct(*rest)).alias("n")).where("n > 1").limit(5).collect()
+        if bad:
+            raise ValueError(f"conflicting copies of {[tuple(r)[:-1] for r in bad]}")
 
 
 def adjacent_review(pending: DataFrame, editions: DataFrame) -> DataFrame:
-    """Settle pending label conflicts (year, code, first, second) by the neighbouring years' labels.
+    """Settle pending label conflicts (year, code, first and second pair of labels) by the neighbouring years' pairs.
 
     Before second, after first: the first is current.  Before first, after second: the second replaces it.
     """
-    names = editions.select(F.col("reference_year").alias("y"), F.col("hs10").alias("c"), F.col("name_ko").alias("n"))
-    before = names.select((F.col("y") + 1).alias("reference_year"), F.col("c").alias("hs10"), F.col("n").alias("previous"))
-    after = names.select((F.col("y") - 1).alias("reference_year"), F.col("c").alias("hs10"), F.col("n").alias("following"))
-    out = pending.join(before, ["reference_year", "hs10"], "left").join(after, ["reference_year", "hs10"], "left")
-    decision = F.when((F.col("previous") == F.col("second")) & (F.col("following") == F.col("first")), "keep_first").when((F.col("previous") == F.col("first")) & (F.col("following") == F.col("second")), "use_second").otherwise("unresolved")
-    return out.select("reference_year", "hs10", decision.alias("decision"), F.when(decision == "use_second", F.col("second")).otherwise(F.col("first")).alias("name_ko"))
+    key = ["reference_year", "hs10"]
+    pair = lambda df, by, name: df.select((F.col("reference_year") + by).alias("reference_year"), "hs10", F.struct("name_ko", "name_en").alias(name))
+    out = pending.join(pair(editions, 1, "previous"), key, "left").join(pair(editions, -1, "following"), key, "left")
+    first, second = (F.struct(F.col(f"{x}_ko").alias("name_ko"), F.col(f"{x}_en").alias("name_en")) for x in ("first", "second"))
+    is_ = lambda a, b: F.coalesce(F.col(a).eqNullSafe(b) & F.col(a).isNotNull(), F.lit(False))
+    decision = F.when(is_("previous", second) & is_("following", first), "keep_first").when(is_("previous", first) & is_("following", second), "use_second").otherwise("unresolved")
+    chosen = F.when(decision == "use_second", second).otherwise(first)
+    return out.withColumns({"decision": decision, "chosen": chosen}).select(*key, "decision", "chosen.name_ko", "chosen.name_en")
+
+
+def review_figures(reviewed: DataFrame) -> DataFrame:
+    n = lambda *d: F.count_if(F.col("decision").isin(*d))
+    return reviewed.agg(F.count("*").alias("reviewed"), n("keep_first", "use_second").alias("resolved"), n("unresolved").alias("unresolved"), n("use_second").alias("annual_name_rewrites"))
 
 
 def rewrite_name(editions: DataFrame, changes: DataFrame) -> DataFrame:
-    """Editions with the changed labels (year, code, new_name)."""
-    out = editions.join(changes.select("reference_year", "hs10", "new_name"), ["reference_year", "hs10"], "left")
-    return out.withColumn("name_ko", F.coalesce("new_name", "name_ko")).drop("new_name").select(editions.columns)
+    """Editions with the changed labels (year, code, name_ko, name_en)."""
+    new = changes.select("reference_year", "hs10", F.struct("name_ko", "name_en").alias("__new"))
+    out = editions.join(new, ["reference_year", "hs10"], "left")
+    label = lambda c: F.when(F.col("__new").isNotNull(), F.col(f"__new.{c}")).otherwise(F.col(c))
+    return out.withColumns({c: label(c) for c in ("name_ko", "name_en")}).select(editions.columns)
 
 
 def require_matches(editions: DataFrame, changes: DataFrame) -> None:

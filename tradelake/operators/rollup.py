@@ -23,39 +23,62 @@ def rollup(facts: DataFrame, level: int, code: str = "hs10") -> DataFrame:
     return out.withColumns({f"hs{n}": level_of(F.col(f"hs{level}"), n) for n in hierarchy(level)[1:]})
 
 
-def with_residuals(facts: DataFrame, residuals: DataFrame, level: int) -> DataFrame:
-    """Roll-up in which quarantined short codes count where their digits reach.
+def in_months_of(facts: DataFrame, residuals: DataFrame) -> DataFrame:
+    """Short rows that some level takes: numeric, shorter than ten digits, of a month that has facts.
 
-    Facts and residuals are one union and one aggregation, so a group that only residuals have is made and
-    no join is needed.  Residuals of months without facts are ignored.
+    A measure that is missing there is an error: nothing says what it should add.
     """
-    months = facts.select("month").distinct()
-    own = facts.select("month", "country_code", level_of(F.col("hs10"), level).alias(f"hs{level}"), *MEASURES, F.lit(0).alias("is_residual"))
-    extra = residuals.where(reaches_level(F.col("hs_code_raw"), level)).join(months, "month", "left_semi")
-    extra = extra.select("month", F.col("requested_country").alias("country_code"), level_of(F.col("hs_code_raw"), level).alias(f"hs{level}"), *MEASURES, F.lit(1).alias("is_residual"))
-    part = [F.sum(F.col(m) * F.col("is_residual")).alias(f"residual_{m}") for m in MEASURES]
-    count = F.sum("is_residual")
-    out = own.unionByName(extra).groupBy("month", "country_code", f"hs{level}").agg(*[F.sum(m).alias(m) for m in MEASURES], *part, F.count("*").alias("source_row_count"), count.alias("exception_row_count"))
-    return out.withColumn("has_residual", F.col("exception_row_count") > 0).withColumns({f"hs{n}": level_of(F.col(f"hs{level}"), n) for n in hierarchy(level)[1:]})
+    short = residuals.where(reaches_level(F.col("hs_code_raw"), LEVELS[-1])).join(facts.select("month").distinct(), "month", "left_semi")
+    named = lambda m: F.coalesce(F.col(m), F.raise_error(F.concat(F.lit(f"residual row has missing {m}: "), F.col("hs_code_raw"))).cast("bigint"))
+    return short.select("month", F.col("requested_country").alias("country_code"), "hs_code_raw", *[named(m).alias(m) for m in MEASURES])
+
+
+KEYS = ["month", "country_code", "code"]
+
 
+def reaching(short: DataFrame, low: int, high: int) -> DataFrame:
+    """Short rows of ``low`` to ``high`` digits as groups of level ``low``."""
+    rows = short.where(F.length("hs_code_raw").between(low, high))
+    return rows.select("month", "country_code", F.substring("hs_code_raw", 1, low).alias("code"), *MEASURES, *[F.col(m).alias(f"residual_{m}") for m in MEASURES], F.lit(1).cast("bigint").alias("source_row_count"), F.lit(1).cast("bigint").alias("exception_row_count"))
+
+
+def cascade(facts: DataFrame, residuals: DataFrame | None, read=lambda level, groups: groups) -> dict[int, DataFrame]:
+    """The groups of every level, each from the next finer one's: measures and counts add up.
+
+    Facts are summed to the finest level map-side before the first shuffle; what is shuffled shrinks from level
+    to level, and no group needs more than its own key, so one large country or month is no bottleneck.  A short
+    code enters at the finest level that its digits reach.  ``read`` may write a level and return a reader of it.
+    """
+    short = None if residuals is None else in_months_of(facts, residuals)
+    zero = [F.lit(0).cast("bigint").alias(f"residual_{m}") for m in MEASURES]
+    finer = facts.select("month", "country_code", level_of(F.col("hs10"), LEVELS[0]).alias("code"), *MEASURES, *zero, F.lit(1).cast("bigint").alias("source_row_count"), F.lit(0).cast("bigint").alias("exception_row_count"))
+    out: dict[int, DataFrame] = {}
+    for level, upper in zip(LEVELS, (10, *LEVELS)):
+        rows = finer.withColumn("code", F.substring("code", 1, level))
+        if short is not None:
+            rows = rows.unionByName(reaching(short, level, upper - 1))
+        values = [c for c in rows.columns if c not in KEYS]
+        out[level] = finer = read(level, rows.groupBy(*KEYS).agg(*[F.sum(c).alias(c) for c in values]))
+    return out
 
-def reached(length) -> Column:
-    """The levels that a code of a length has digits for."""
-    return F.filter(F.array(*map(F.lit, LEVELS)), lambda n: n <= length)
+
+def level_table(groups: DataFrame, level: int) -> DataFrame:
+    """Groups of a level with its code, the coarser ones and whether a short code counts in it."""
+    named = groups.withColumnRenamed("code", f"hs{level}").withColumn("has_residual", F.col("exception_row_count") > 0)
+    return named.withColumns({f"hs{n}": level_of(F.col(f"hs{level}"), n) for n in hierarchy(level)[1:]})
+
+
+def with_residuals(facts: DataFrame, residuals: DataFrame, level: int) -> DataFrame:
+    """One level's roll-up in which quarantined short codes count where their digits reach."""
+    return level_table(cascade(facts, residuals)[level], level)
 
 
 def all_levels(facts: DataFrame, residuals: DataFrame | None = None) -> DataFrame:
-    """Every level in long form (level, code): one scan, each row dealt to its levels, one shuffle after map-side sums."""
-    own = facts.select("month", "country_code", F.col("hs10").alias("code"), *MEASURES, F.lit(0).alias("is_residual"))
-    if residuals is not None:
-        extra = residuals.where(reaches_level(F.col("hs_code_raw"), LEVELS[-1])).join(facts.select("month").distinct(), "month", "left_semi")
-        own = own.unionByName(extra.select("month", F.col("requested_country").alias("country_code"), F.col("hs_code_raw").alias("code"), *MEASURES, F.lit(1).alias("is_residual")))
-    dealt = own.withColumn("level", F.explode(reached(F.length("code")))).withColumn("code", F.substring("code", F.lit(1), F.col("level")))
-    sums = [F.sum(m).alias(m) for m in MEASURES]
+    """Every level in long form (level, code)."""
+    found = cascade(facts, residuals)
+    out = reduce(DataFrame.unionByName, [groups.withColumn("level", F.lit(level)) for level, groups in found.items()])
     if residuals is None:
-        return dealt.groupBy("level", "month", "country_code", "code").agg(*sums, F.count("*").alias("source_row_count"))
-    part = [F.sum(F.col(m) * F.col("is_residual")).alias(f"residual_{m}") for m in MEASURES]
-    out = dealt.groupBy("level", "month", "country_code", "code").agg(*sums, *part, F.count("*").alias("source_row_count"), F.sum("is_residual").alias("exception_row_count"))
+        return out.select("level", *KEYS, *MEASURES, "source_row_count")
     return out.withColumn("has_residual", F.col("exception_row_count") > 0)
 
 
@@ -63,13 +86,20 @@ def totals(facts: DataFrame) -> DataFrame:
     return facts.agg(*[F.coalesce(F.sum(m), F.lit(0)).alias(m) for m in MEASURES])
 
 
-def reconciliation(facts: DataFrame, residuals: DataFrame) -> DataFrame:
-    """Per level: the roll-up's totals against facts plus the residuals that reach it."""
-    rolled = all_levels(facts, residuals).groupBy("level").agg(*[F.sum(m).alias(m) for m in MEASURES], F.sum("exception_row_count").alias("exceptions"))
-    near = residuals.where(reaches_level(F.col("hs_code_raw"), LEVELS[-1])).join(facts.select("month").distinct(), "month", "left_semi")
-    near = near.select(F.explode(reached(F.length("hs_code_raw"))).alias("level"), *MEASURES).groupBy("level").agg(*[F.sum(m).alias(f"r_{m}") for m in MEASURES], F.count("*").alias("mapped"))
-    base = totals(facts).select(*[F.col(m).alias(f"f_{m}") for m in MEASURES])
-    joined = rolled.join(F.broadcast(near), "level", "left").crossJoin(F.broadcast(base))  # a row a level, and one row
-    joined = joined.na.fill(0, ["mapped", *[f"r_{m}" for m in MEASURES]])
-    same = reduce(lambda a, b: a & b, [F.col(m) == F.col(f"f_{m}") + F.col(f"r_{m}") for m in MEASURES]) & (F.col("exceptions") == F.col("mapped"))
-    return joined.select("level", *MEASURES, "exceptions", "mapped", same.alias("reconciles"))
+def expected(facts: DataFrame, residuals: DataFrame, by: list[str]) -> DataFrame:
+    """Per level (and ``by``): what facts and the short rows that reach it add up to, and how many these are."""
+    sums = [F.sum(m).alias(f"e_{m}") for m in MEASURES]
+    base = facts.groupBy(*by).agg(*sums, F.lit(0).cast("bigint").alias("mapped")).withColumn("level", F.explode(F.array(*map(F.lit, LEVELS))))
+    reach = F.filter(F.array(*map(F.lit, LEVELS)), lambda n: n <= F.length("hs_code_raw"))
+    near = in_months_of(facts, residuals).withColumn("level", F.explode(reach)).groupBy("level", *by).agg(*sums, F.count("*").alias("mapped"))
+    both = base.unionByName(near).groupBy("level", *by)
+    return both.agg(*[F.coalesce(F.sum(f"e_{m}"), F.lit(0)).alias(f"e_{m}") for m in MEASURES], F.sum("mapped").alias("mapped"))
+
+
+def reconciliation(facts: DataFrame, residuals: DataFrame, by: list[str] = ()) -> DataFrame:
+    """Per level (and month, if asked for): the roll-up's totals against facts plus the residuals that reach it."""
+    by = list(by)
+    rolled = all_levels(facts, residuals).groupBy("level", *by).agg(*[F.sum(m).alias(m) for m in MEASURES], F.sum("exception_row_count").alias("exceptions"))
+    joined = rolled.join(expected(facts, residuals, by), ["level", *by], "full")
+    same = reduce(lambda a, b: a & b, [F.col(m).eqNullSafe(F.col(f"e_{m}")) for m in MEASURES]) & F.col("exceptions").eqNullSafe(F.col("mapped"))
+    return joined.select("level", *by, *MEASURES, "exceptions", "mapped", same.alias("reconciles"))

@@ -33,6 +33,7 @@ SELECTED = f"selected AS (SELECT country, month, path, candidates FROM (SELECT *
 RAW = f"""raw AS (
   SELECT 'src' || CAST(l_orderkey % 500 AS VARCHAR) AS source, l_orderkey * 10 + l_linenumber AS ordinal, month, country_code AS requested_country,
          CASE WHEN l_orderkey % 101 = 0 THEN 'ZZ' WHEN l_orderkey % 7 = 0 THEN '' ELSE country_code END AS country_code_raw, {RAW_CODE} AS hs_code_raw,
+         'item ' || CAST(l_partkey AS VARCHAR) AS name_ko, 'request_' || CAST(l_orderkey % 500 AS VARCHAR) || '.json' AS source_manifest, '2026-01-' || lpad(CAST(l_orderkey % 28 + 1 AS VARCHAR), 2, '0') AS source_finished_at,
          CASE WHEN l_orderkey % 103 = 0 THEN NULL WHEN l_orderkey % 107 = 0 THEN -(export_usd + 1) ELSE export_usd END AS export_usd,
          CASE WHEN l_orderkey % 113 = 0 THEN -(export_weight_kg + 1) ELSE export_weight_kg END AS export_weight_kg, import_usd, import_weight_kg,
          CASE WHEN l_orderkey % 109 = 0 THEN trade_balance_usd + 1 ELSE trade_balance_usd END AS trade_balance_usd
@@ -46,15 +47,45 @@ classified AS (SELECT *, CASE WHEN bucket = 'canonical' AND (export_weight_kg <
 EDITIONS = "codes AS (SELECT hs10, 'part ' || CAST(min(l_partkey) AS VARCHAR) AS name_ko FROM facts WHERE l_partkey % 20 <> 0 GROUP BY hs10), editions AS (SELECT *, 'HSK-' || CAST(reference_year AS VARCHAR) AS hs_revision FROM codes, (SELECT unnest(range(1994, 2003)) AS reference_year))"
 LOOKED = "looked AS (SELECT f.*, e.hs_revision FROM facts f LEFT JOIN editions e ON left(f.month, 4) = CAST(e.reference_year AS VARCHAR) AND f.hs10 = e.hs10)"
 NAMES = "partners AS (SELECT n_name AS country_code, n_name || ' / ' || r_name AS partner_name FROM nation JOIN region ON n_regionkey = r_regionkey)"
-EVENTS = """events1 AS (
-  SELECT event_id, 'C' || CAST(user_id % 40 AS VARCHAR) AS country, '2024' || lpad(CAST(event_id % 4 * 3 + 1 AS VARCHAR), 2, '0') AS window_start,
-         '2024' || lpad(CAST(CASE WHEN event_id % 3 = 0 THEN event_id % 4 * 3 + 3 ELSE event_id % 4 * 3 + 1 END AS VARCHAR), 2, '0') AS window_end,
-         CASE WHEN event_type = 'purchase' OR event_id % 5 <> 0 THEN 'success' WHEN event_id % 35 = 0 OR event_id % 65 = 0 AND event_id % 25 <> 0 AND event_id % 20 <> 0 THEN 'quota_exceeded' WHEN event_id % 65 = 0 THEN 'quota_exceeded'
-              WHEN event_id % 25 <> 0 AND event_id % 20 = 0 OR (CASE WHEN event_id % 55 = 0 THEN 403 WHEN event_id % 45 = 0 THEN 429 ELSE 200 END) = 429 THEN 'rate_limited' WHEN event_id % 25 = 0 OR event_id % 55 = 0 THEN 'auth_error' WHEN event_id % 15 = 0 THEN 'parse_error' ELSE 'api_error' END AS status,
-         CASE WHEN event_id % 3 <> 0 AND event_id % 2 = 0 THEN 'C' || CAST(user_id % 40 AS VARCHAR) || ':2024' || lpad(CAST(event_id % 4 * 3 + 1 AS VARCHAR), 2, '0') || '-2024' || lpad(CAST(event_id % 4 * 3 + 3 AS VARCHAR), 2, '0') END AS parent_request,
-         event_id % 11 AS duplicate_extra_rows, event_id % 13 AS balance_mismatches, event_id % 1000 AS row_count
-  FROM events),
-leaves AS (SELECT * FROM events1 e WHERE NOT EXISTS (SELECT 1 FROM events1 p WHERE p.parent_request = e.country || ':' || e.window_start || '-' || e.window_end))"""
+EVENTS = """e0 AS (SELECT event_id, event_id // 6 AS n, CAST(event_id % 6 AS INTEGER) AS slot FROM events),
+e1 AS (SELECT *, n % 4 = 1 AS split, n % 12 = 1 AS again, 'C' || CAST(n AS VARCHAR) AS country, (slot = 0 AND n % 4 IN (1, 3)) OR (slot = 1 AND n % 12 = 1) AS raised FROM e0),
+e2 AS (SELECT *, CASE WHEN slot = 0 THEN 1 WHEN slot = 5 THEN CASE WHEN again THEN 1 ELSE 12 END ELSE slot * 3 - 2 END AS m0, CASE WHEN slot = 0 THEN 12 WHEN slot = 5 THEN CASE WHEN again THEN 1 ELSE 12 END ELSE slot * 3 END AS m1,
+         CASE WHEN slot = 0 OR (slot BETWEEN 1 AND 4 AND split) OR (slot = 5 AND again) THEN '2024' ELSE '2023' END AS y,
+         CASE WHEN slot = 0 AND n % 4 = 1 THEN CASE WHEN n % 8 = 1 THEN NULL ELSE 503 END WHEN slot = 0 AND n % 4 = 3 THEN CASE WHEN n % 8 = 3 THEN 200 ELSE 410 END WHEN slot = 1 AND again THEN 504 WHEN event_id % 23 = 0 THEN 403 WHEN event_id % 37 = 0 THEN 429 ELSE 200 END AS http,
+         CASE WHEN event_id % 17 = 0 THEN '22' WHEN event_id % 19 = 0 THEN '23' WHEN event_id % 41 = 0 THEN '30' WHEN event_id % 31 = 0 OR (slot = 0 AND n % 4 = 2) THEN '99' ELSE '00' END AS code FROM e1),
+events1 AS (SELECT event_id, country, y || lpad(CAST(m0 AS VARCHAR), 2, '0') AS window_start, y || lpad(CAST(m1 AS VARCHAR), 2, '0') AS window_end, m0, m1, y, http, code, m1 - m0 + 1 AS months,
+         CASE WHEN slot BETWEEN 1 AND 4 AND split THEN country || ':202401-202412' WHEN slot = 5 AND again THEN country || ':202401-202403' END AS parent_request,
+         CASE WHEN raised AND http = 410 THEN 'http_error' WHEN raised THEN 'transport_error' WHEN http = 200 AND code = '00' AND event_id % 29 <> 0 THEN 'success' WHEN code = '22' OR (event_id % 62 = 0 AND event_id % 43 <> 0) THEN 'quota_exceeded'
+              WHEN code = '23' OR event_id % 43 = 0 OR http = 429 THEN 'rate_limited' WHEN code = '30' OR http = 403 THEN 'auth_error' WHEN event_id % 29 = 0 THEN 'parse_error' ELSE 'api_error' END AS status,
+         CASE WHEN event_id % 10 = 0 THEN 0 ELSE event_id % 1000 END AS f, CASE WHEN event_id % 7 = 0 THEN event_id % 3 ELSE 0 END AS short, CASE WHEN event_id % 11 = 0 THEN 1 ELSE 0 END AS dup, CASE WHEN event_id % 13 = 0 THEN 2 ELSE 0 END AS other, event_id % 5 AS bal,
+         CASE WHEN event_id % 9 = 0 AND m1 > m0 THEN m1 - 1 ELSE m1 END AS m_last
+  FROM e2),
+leaves AS (SELECT *, status = 'success' AS good FROM events1 e WHERE NOT EXISTS (SELECT 1 FROM events1 p WHERE p.parent_request = e.country || ':' || e.window_start || '-' || e.window_end)),
+roots AS (SELECT DISTINCT country FROM events1 UNION ALL SELECT 'XX'), inside AS (SELECT r.country AS root, l.* FROM roots r LEFT JOIN leaves l ON l.country = r.country AND l.y = '2024')"""
+LABELS = "labels AS (SELECT CAST(p_partkey % 50 AS VARCHAR) AS hs10, p_partkey AS ordinal, substring(p_type, 1, 3 + CAST(p_partkey % 9 AS INTEGER)) AS ko, CASE WHEN p_partkey % 4 = 0 THEN '' ELSE substring(p_brand, 1, 5 + CAST(p_partkey % 4 AS INTEGER)) END AS en FROM part)"
+FITS = " AND ".join(f"(trim(a.{c}) = '' OR trim(b.{c}) = '' OR starts_with(trim(a.{c}), trim(b.{c})) OR starts_with(trim(b.{c}), trim(a.{c})))" for c in ("ko", "en"))
+
+
+def score(t: str) -> str:
+    return f"(CAST({t}.ko <> '' AS INTEGER) + CAST({t}.en <> '' AS INTEGER), length({t}.ko) + length({t}.en), length({t}.ko))"
+
+
+BETTER = f"({FITS}) AND {score('b')} > {score('a')}"
+#: A left fold over the copies of a code: ``folded`` holds the label kept after each.
+FOLD = f"""{LABELS}, nth AS (SELECT *, row_number() OVER (PARTITION BY hs10 ORDER BY ordinal) AS n FROM labels),
+folded(hs10, n, ko, en, conflicts) AS (SELECT hs10, n, ko, en, 0 FROM nth WHERE n = 1
+  UNION ALL SELECT a.hs10, b.n, CASE WHEN {BETTER} THEN b.ko ELSE a.ko END, CASE WHEN {BETTER} THEN b.en ELSE a.en END, a.conflicts + CASE WHEN {FITS} THEN 0 ELSE 1 END FROM folded a JOIN nth b ON a.hs10 = b.hs10 AND b.n = a.n + 1)"""
+#: The tariff pages' codes: labels of each year, and the second one that 2022 has for some.
+TARIFF = """p AS (SELECT p_partkey AS k, p_name, lpad(CAST(p_partkey % 20 + 1 AS VARCHAR), 2, '0') AS chapter FROM part),
+t AS (SELECT *, chapter || lpad(CAST(k AS VARCHAR), 8, '0') AS hs10 FROM p, (SELECT unnest([2021, 2022, 2023]) AS y)),
+named AS (SELECT *, CASE WHEN k % 15 <> 0 THEN '품' WHEN y = 2022 THEN CASE WHEN k % 2 = 0 THEN '신' ELSE '구' END WHEN (y = 2023) = (k % 2 = 0) THEN '신' ELSE '구' END AS mark FROM t)"""
+SUMMED = """k0 AS (SELECT source, CAST(substring(source, 4) AS INTEGER) AS k, * EXCLUDE (source) FROM totals)"""
+
+
+def json_list(x: str) -> str:
+    return f"""'["' || array_to_string(list_sort(list_distinct(list({x}))), '","') || '"]'"""
+
+
 PANEL = """leveled AS (SELECT *, left(hs10, 4) AS hs4 FROM facts),
 chosen AS (SELECT hs4, CAST(sum(import_usd) AS BIGINT) AS import_usd FROM leveled WHERE month < '199712' GROUP BY hs4 ORDER BY 2 DESC, hs4 LIMIT 100),
 grid AS (SELECT hs4, y * 100 + m AS ym FROM chosen, (SELECT unnest([1996, 1997]) AS y), (SELECT unnest(range(1, 13)) AS m)),
@@ -102,76 +133,119 @@ def oracle_sql() -> dict[str, str]:
     name = lambda i: f"lpad(CAST(({i}) // 12 AS VARCHAR), 4, '0') || lpad(CAST(({i}) % 12 + 1 AS VARCHAR), 2, '0')"
     unknown = "coalesce(nullif(trim(x), ''), '-')"
     total_columns = ", ".join(f"CAST(coalesce(sum(CASE WHEN export_usd IS NOT NULL THEN {m} END), 0) AS BIGINT) AS {m}" for m in M)
-    stated = ", ".join(f"{m} + CASE WHEN k % 7 = 0 THEN {1 if m.endswith('kg') else 0} WHEN k % 11 = 0 THEN 1 ELSE 0 END AS s_{m}" for m in M)
-    off = {m: f"abs({m} - s_{m})" for m in M}
-    fatal = " OR ".join(f"{off[m]} > {'greatest(1, fact_rows)' if m.endswith('kg') else '0'}" for m in M)
-    labels = "labels AS (SELECT CAST(p_partkey % 50 AS VARCHAR) AS hs10, p_partkey AS ordinal, substring(p_type, 1, 3 + CAST(p_partkey % 9 AS INTEGER)) AS ko, CASE WHEN p_partkey % 4 = 0 THEN '' ELSE substring(p_brand, 1, 5 + CAST(p_partkey % 4 AS INTEGER)) END AS en FROM part)"
-    fits = " AND ".join(f"(a.{c} = '' OR b.{c} = '' OR starts_with(a.{c}, b.{c}) OR starts_with(b.{c}, a.{c}))" for c in ("ko", "en"))
-    score = lambda t: f"(CAST({t}.ko <> '' AS INTEGER) + CAST({t}.en <> '' AS INTEGER), length({t}.ko) + length({t}.en), length({t}.ko))"
-    conditional = "CASE WHEN strpos(text, chr(65533)) > 0 THEN 'replacement_character' WHEN regexp_matches(text, '\\x00') THEN 'nul' WHEN regexp_matches(text, '[\\x01-\\x08\\x0b\\x0c\\x0e-\\x1f]') THEN 'control_character' END"
+    off = {m: f"CASE WHEN k % 7 = 0 THEN {1 if m.endswith('kg') else 0} WHEN k % 11 = 0 THEN 1 ELSE 0 END" for m in M}
+    stated = ", ".join(f"CAST({m} + CASE WHEN k % 13 = 0 THEN 5 ELSE {off[m]} END AS BIGINT) AS s_{m}" for m in M)
+    diff = {m: f"abs({m} - s_{m})" for m in M}
+    fatal = " OR ".join(f"{diff[m]} > {'greatest(1, fact_rows)' if m.endswith('kg') else '0'}" for m in M)
+    rounded, fields = f"{diff['export_weight_kg']} + {diff['import_weight_kg']}", f"CAST({diff['export_weight_kg']} > 0 AS INTEGER) + CAST({diff['import_weight_kg']} > 0 AS INTEGER)"
+    checks = f"""totals AS (SELECT source, count(*) AS fact_rows, bool_and(export_usd IS NOT NULL) AS numeric_ok, bool_or(export_usd IS NOT NULL) AS readable, {total_columns} FROM raw GROUP BY source), {SUMMED}, stated AS (SELECT *, {stated} FROM k0),
+judged AS (SELECT source, fact_rows, {rounded} AS rounded, {fields} AS fields, CASE WHEN k % 9 = 4 THEN 'not_whole' WHEN k % 10 = 0 OR NOT readable THEN 'missing' WHEN NOT numeric_ok THEN 'unavailable' WHEN {fatal} THEN 'mismatch' WHEN {rounded} > 0 THEN 'rounding' ELSE 'match' END AS status FROM stated),
+checked AS (SELECT source, fact_rows, status, CASE WHEN status IN ('match', 'rounding') THEN rounded ELSE 0 END AS rounding_kg, CASE WHEN status IN ('match', 'rounding') THEN fields ELSE 0 END AS rounding_fields FROM judged)"""
+    have = lambda kinds, name: f"count(*) FILTER (status IN ({kinds})) AS source_summary_{name}"
+    tariff_codes = ", ".join(f"left(hs10, {n}) AS hs{n}" for n in (8, 6, 4, 2))
+    good = lambda c, name: f"CAST(coalesce(sum(CASE WHEN good THEN {c} END), 0) AS BIGINT) AS {name}"
+    month_at = "'2024' || lpad(CAST(m AS VARCHAR), 2, '0')"
+    conditional = "CASE WHEN strpos(text, chr(65533)) > 0 THEN 'replacement_character' WHEN regexp_matches(text, '\\x00') THEN 'nul_character' WHEN regexp_matches(text, '[\\x01-\\x08\\x0b\\x0c\\x0e-\\x1f]') THEN 'control_character' END"
     out = {f"rollup_hs{n}": rollup(n) for n in (8, 6, 4, 2)}
     out |= {
         "rollup_all_levels": f"WITH {FACTS} " + " UNION ALL ".join(f"SELECT {n} AS level, month, country_code, left(hs10, {n}) AS code, {SUMS}, count(*) AS source_row_count FROM facts GROUP BY month, country_code, left(hs10, {n})" for n in (8, 6, 4, 2)),
         "rollup_with_residuals": f"WITH {FACTS}, {SPLIT} {RESIDUALS}",
         "rollup_reconciliation": f"WITH {FACTS}, {SPLIT} " + " UNION ALL ".join(map(reconciliation_level, (8, 6, 4, 2))),
+        "rollup_reconciliation_monthly": f"WITH {FACTS}, {SPLIT} " + " UNION ALL ".join(f"SELECT {n} AS level, month, {SUMS}, CAST(sum(r) AS BIGINT) AS exceptions, CAST(sum(r) AS BIGINT) AS mapped, true AS reconciles FROM (SELECT month, {', '.join(M)}, 0 AS r FROM full_facts UNION ALL SELECT month, {', '.join(M)}, 1 FROM short_rows WHERE regexp_full_match(hs_code_raw, '[0-9]+') AND length(hs_code_raw) BETWEEN {n} AND 9) GROUP BY month" for n in (8, 6, 4, 2)),
         "fact_totals": f"WITH {FACTS} SELECT {SUMS} FROM facts",
         "source_selection": f"WITH {SOURCES}, {SELECTED} SELECT * FROM selected",
         "source_overlap_counts": f"WITH {SOURCES}, {SELECTED} SELECT count(*) AS country_months, count(*) FILTER (candidates > 1) AS overlapping, max(candidates) AS most_candidates FROM selected",
         "superseded_rows": f"WITH {SOURCES}, {SELECTED} SELECT e.country, e.month, e.path FROM expanded e LEFT JOIN selected s ON e.country = s.country AND e.month = s.month AND e.path = s.path WHERE s.path IS NULL",
         "source_assignments": f"WITH {SOURCES}, {SELECTED} SELECT left(month, 4) AS year, path, string_agg(month, ',' ORDER BY month) AS months FROM (SELECT DISTINCT month, path FROM selected) GROUP BY ALL",
-        "coverage_missing": f"WITH {SOURCES} SELECT n_name AS country, month FROM nation, (SELECT {name('i')} AS month FROM (SELECT unnest(range(1995 * 12, 2001 * 12)) AS i)) m WHERE NOT EXISTS (SELECT 1 FROM months s WHERE s.country = n_name AND s.month = m.month AND s.path % 3 = 0)",
+        "coverage_missing": f"WITH {SOURCES} SELECT n_name AS country, month FROM nation, (SELECT {name('i')} AS month FROM (SELECT unnest(range(1995 * 12, 2001 * 12)) AS i)) m WHERE NOT EXISTS (SELECT 1 FROM months s WHERE s.country = n_name AND s.month = m.month)",
         "classify_rows": f"WITH {FACTS}, {RAW} SELECT source, ordinal, hs_code_raw, bucket, reason, warning FROM classified",
         "canonical_facts": f"WITH {FACTS}, {RAW} SELECT month, requested_country AS country_code, hs_code_raw AS hs10, " + ", ".join(f"left(hs_code_raw, {n}) AS hs{n}" for n in (8, 6, 4, 2)) + f", {', '.join(M)} FROM classified WHERE bucket = 'canonical'",
-        "anomaly_table": f"WITH {FACTS}, {RAW} SELECT coalesce(reason, warning) AS reason, month, requested_country, country_code_raw, hs_code_raw, length(hs_code_raw) AS hs_length, {', '.join(M)}, source, ordinal FROM classified WHERE coalesce(reason, warning) IS NOT NULL",
-        "anomaly_release": f"WITH {FACTS}, {RAW} SELECT reason, month, requested_country AS country_code, country_code_raw AS reported_country_code, hs_code_raw AS hs_code, length(hs_code_raw) AS hs_length, {', '.join(M)} FROM classified WHERE reason = 'non_hs10_code'",
+        "anomaly_table": f"WITH {FACTS}, {RAW} SELECT coalesce(reason, warning) AS reason, month, requested_country, country_code_raw, hs_code_raw, length(hs_code_raw) AS hs_length, name_ko, {', '.join(M)}, source_manifest, source AS source_raw_path, source_finished_at FROM classified WHERE coalesce(reason, warning) IS NOT NULL",
+        "anomaly_release": f"WITH {FACTS}, {RAW} SELECT reason, month, requested_country AS country_code, country_code_raw, hs_code_raw AS raw_hs_code, length(hs_code_raw) AS raw_hs_length, name_ko, {', '.join(M)}, source_finished_at FROM classified WHERE reason = 'non_hs10_code'",
+        "anomaly_text_qa": f"""WITH {FACTS}, {RAW}, a AS (SELECT coalesce(reason, warning) AS reason, length(hs_code_raw) AS n FROM classified WHERE coalesce(reason, warning) IS NOT NULL)
+SELECT count(*) AS rows, count(*) FILTER (reason = 'non_hs10_code') AS non_hs10_rows, count(*) FILTER (reason = 'negative_weight') AS negative_weight_rows, count(*) FILTER (n = 9) AS bad_unicode_name_ko, count(*) FILTER (n <> 6) AS korean_name_without_hangul, count(*) FILTER (n = 9) = 0 AS ok FROM a""",
         "row_reconciliation": f"WITH {FACTS}, {RAW} SELECT count(*) AS assigned, count(*) FILTER (bucket = 'canonical') AS canonical, count(*) FILTER (bucket = 'quarantine') AS quarantine, count(*) FILTER (bucket = 'fatal') AS fatal, true AS reconciles FROM classified",
-        "source_totals": f"WITH {FACTS}, {RAW} SELECT source, count(*) AS fact_rows, {total_columns} FROM raw GROUP BY source",
-        "summary_reconciliation": f"""WITH {FACTS}, {RAW}, totals AS (SELECT source, count(*) AS fact_rows, {total_columns} FROM raw GROUP BY source),
-numbered1 AS (SELECT *, CAST(substring(source, 4) AS INTEGER) AS k FROM totals), stated AS (SELECT *, {stated} FROM numbered1),
-judged AS (SELECT source, fact_rows, {off['export_weight_kg']} + {off['import_weight_kg']} AS rounded, CASE WHEN k % 10 = 0 THEN 'missing' WHEN {fatal} THEN 'mismatch' WHEN {off['export_weight_kg']} + {off['import_weight_kg']} > 0 THEN 'rounding' ELSE 'match' END AS status FROM stated)
-SELECT source, fact_rows, status, CASE WHEN status IN ('missing', 'mismatch') THEN 0 ELSE rounded END AS rounding_kg FROM judged""",
+        "source_totals": f"WITH {FACTS}, {RAW} SELECT source, count(*) AS fact_rows, bool_and(export_usd IS NOT NULL) AS numeric_ok, {total_columns} FROM raw GROUP BY source",
+        "summary_reconciliation": f"WITH {FACTS}, {RAW}, {checks} SELECT * FROM checked",
+        "summary_figures": f"""WITH {FACTS}, {RAW}, {checks} SELECT {have("'mismatch', 'rounding', 'match'", 'checked')}, {have("'rounding', 'match'", 'matches')}, {have("'mismatch'", 'mismatches')}, {have("'missing'", 'missing')}, {have("'unavailable'", 'unavailable_numeric')}, {have("'rounding'", 'weight_rounding_sources')},
+CAST(coalesce(sum(rounding_fields), 0) AS BIGINT) AS source_summary_weight_rounding_fields, CAST(coalesce(sum(rounding_kg), 0) AS BIGINT) AS source_summary_weight_rounding_abs_kg FROM checked""",
+        "last_summaries": f"WITH {FACTS}, {RAW}, {checks} SELECT source, {', '.join(f's_{m} AS {m}' for m in M)} FROM stated WHERE k % 10 <> 0 AND readable",
+        "short_code_observations": f"WITH {FACTS}, {RAW} SELECT requested_country, country_code_raw AS country_code, month, hs_code_raw, length(hs_code_raw) AS hs_length, name_ko, {', '.join(M)}, source AS source_raw_path FROM tested WHERE NOT full_code",
+        "short_code_figures": f"""WITH {FACTS}, {RAW}, s AS (SELECT CAST(length(hs_code_raw) AS VARCHAR) AS n, count(*) AS c, sum(export_usd) AS e, sum(import_usd) AS i FROM tested WHERE NOT full_code GROUP BY 1)
+SELECT CAST(coalesce(sum(c), 0) AS BIGINT) AS rows, CAST(coalesce(sum(e), 0) AS BIGINT) AS export_usd, CAST(coalesce(sum(i), 0) AS BIGINT) AS import_usd, '{{' || string_agg('"' || n || '":' || CAST(c AS VARCHAR), ',' ORDER BY n) || '}}' AS lengths FROM s""",
         "duplicate_keys": f"WITH {FACTS}, {RAW}, c AS (SELECT count(*) AS n FROM raw GROUP BY month, country_code_raw, hs_code_raw) SELECT count(*) FILTER (n > 1) AS duplicate_groups, CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS extra_rows FROM c",
         "code_length_histogram": f"WITH {FACTS}, {RAW} SELECT CAST(length(hs_code_raw) AS INTEGER) AS length, count(*) AS rows FROM raw GROUP BY 1",
-        "response_metrics": f"""WITH {FACTS}, {RAW} SELECT source, count(*) AS rows, CAST(0 AS BIGINT) AS totals, count(*) FILTER (NOT full_code) AS short_codes, count(DISTINCT month) AS months, count(*) FILTER (export_usd = 0 AND export_weight_kg = 0 AND import_usd = 0 AND import_weight_kg = 0) AS zero_trade,
-count(*) FILTER (export_usd < 0 OR import_usd < 0 OR export_weight_kg < 0 OR import_weight_kg < 0) AS negative, count(*) FILTER (export_usd - import_usd <> trade_balance_usd) AS balance_mismatch, count(*) FILTER (mismatch) AS country_mismatch FROM tested GROUP BY source""",
+        "response_metrics": f"""WITH {FACTS}, {RAW}, base AS (SELECT source, CAST(substring(source, 4) AS INTEGER) AS k, count(*) AS n, bool_or(export_usd IS NOT NULL) AS readable, count(DISTINCT month) AS month_count, array_to_string(list_sort(list_distinct(list(month))), ',') AS months_found, count(*) FILTER (NOT full_code) AS non_hs10_fact_rows,
+count(*) FILTER (export_usd = 0 AND export_weight_kg = 0 AND import_usd = 0 AND import_weight_kg = 0) AS zero_trade_rows, count(*) FILTER (export_usd < 0 OR import_usd < 0 OR export_weight_kg < 0 OR import_weight_kg < 0) AS negative_amount_or_weight_rows,
+count(*) FILTER (export_usd - import_usd <> trade_balance_usd) AS balance_mismatch_rows, count(*) FILTER (mismatch) AS country_mismatch_rows FROM tested GROUP BY source),
+keys AS (SELECT source, count(*) AS c FROM raw GROUP BY source, month, country_code_raw, hs_code_raw), dups AS (SELECT source, CAST(sum(c - 1) AS BIGINT) AS duplicate_key_rows, count(*) FILTER (c > 1) AS duplicate_key_groups FROM keys GROUP BY source),
+lens AS (SELECT source, CAST(length(hs_code_raw) AS VARCHAR) AS l, count(*) AS c FROM raw GROUP BY 1, 2), lengths AS (SELECT source, '{{' || string_agg('"' || l || '":' || CAST(c AS VARCHAR), ',' ORDER BY l) || '}}' AS hs_length_counts FROM lens GROUP BY source),
+vars AS (SELECT source, hs_code_raw AS c, list_sort(list_distinct(list(name_ko))) AS x FROM raw GROUP BY 1, 2), shown AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY c) AS r FROM vars WHERE len(x) > 1),
+names AS (SELECT source, count(*) AS hs_name_variant_codes, string_agg(c || '=' || array_to_string(x[1:5], '|'), ';' ORDER BY c) FILTER (r <= 20) AS hs_name_variant_examples FROM shown GROUP BY source)
+SELECT b.source, n + t AS row_count, n AS fact_row_count, t AS total_row_count, CAST(month_count AS INTEGER) AS month_count, months_found, hs_length_counts, non_hs10_fact_rows, duplicate_key_rows, duplicate_key_groups, zero_trade_rows, negative_amount_or_weight_rows, balance_mismatch_rows, country_mismatch_rows,
+coalesce(hs_name_variant_codes, 0) AS hs_name_variant_codes, coalesce(hs_name_variant_examples, '') AS hs_name_variant_examples FROM (SELECT *, CAST(CASE WHEN k % 10 = 0 OR NOT readable THEN 0 ELSE 2 END AS BIGINT) AS t FROM base) b JOIN dups USING (source) JOIN lengths USING (source) LEFT JOIN names USING (source)""",
         "revision_lookup": f"WITH {FACTS}, {EDITIONS}, {LOOKED} SELECT left(month, 4) AS year, hs_revision, count(*) AS rows, CAST(sum(import_usd) AS BIGINT) AS import_usd FROM looked GROUP BY 1, 2",
         "reference_gaps": f"WITH {FACTS}, {EDITIONS}, {LOOKED}, u AS (SELECT left(month, 4) AS year, hs10, month, 'name ' || CAST(l_partkey % 40 AS VARCHAR) AS name FROM looked WHERE hs_revision IS NULL) SELECT year, hs10, count(*) AS rows, array_to_string(list_sort(list_distinct(list(month))), ',') AS months, array_to_string(list_sort(list_distinct(list(name))), ' | ') AS names FROM u GROUP BY year, hs10",
         "reference_conflicts": f"WITH {FACTS}, {EDITIONS} SELECT CAST(reference_year AS INTEGER) AS reference_year, hs10, CAST(2 AS BIGINT) AS revisions FROM editions WHERE reference_year = 1996 AND left(hs10, 2) = '10'",
-        "code_name_inventory": f"WITH {FACTS}, n AS (SELECT *, 'name ' || CAST(l_partkey % 40 AS VARCHAR) AS name FROM facts) SELECT hs10, array_to_string(list_sort(list_distinct(list(name))), '|') AS names, array_to_string(list_sort(list_distinct(list(left(month, 4)))), '|') AS years, count(DISTINCT country_code) AS countries, min(month) AS first_month, max(month) AS last_month, count(*) AS rows FROM n GROUP BY hs10",
+        "code_name_inventory": f"WITH {FACTS}, n AS (SELECT *, 'name ' || CAST(l_partkey % 40 AS VARCHAR) AS name FROM facts) SELECT hs10, count(DISTINCT name) AS name_count, {json_list('name')} AS names_json, {json_list('left(month, 4)')} AS years_observed_json, {json_list('country_code')} AS countries_observed_json, min(month) AS first_trade_month_observed, max(month) AS last_trade_month_observed FROM n GROUP BY hs10",
         "code_name_variants": f"WITH {FACTS}, n AS (SELECT left(hs10, 2) AS hs10, list_sort(list_distinct(list('name ' || CAST(l_partkey % 40 AS VARCHAR)))) AS x FROM facts GROUP BY 1) SELECT hs10, array_to_string(x[1:5], '|') AS names FROM n WHERE len(x) > 1 ORDER BY hs10 LIMIT 20",
-        "duplicate_label_fold": f"""WITH {labels}, one AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY hs10, ko ORDER BY ordinal) AS k FROM labels) WHERE k = 1), two AS (SELECT *, row_number() OVER (PARTITION BY hs10 ORDER BY ordinal) AS nth FROM one),
-pairs AS (SELECT a.hs10, a.ko AS a_ko, a.en AS a_en, b.ko AS b_ko, b.en AS b_en, b.hs10 IS NOT NULL AS both_there, {fits} AS fits, {score('b')} > {score('a')} AS better FROM (SELECT * FROM two WHERE nth = 1) a LEFT JOIN (SELECT * FROM two WHERE nth = 2) b ON a.hs10 = b.hs10)
-SELECT hs10, CASE WHEN both_there THEN 2 ELSE 1 END AS copies, CASE WHEN both_there AND fits AND better THEN b_ko ELSE a_ko END AS name_ko, CASE WHEN both_there AND fits AND better THEN b_en ELSE a_en END AS name_en, CASE WHEN both_there AND NOT fits THEN 1 ELSE 0 END AS conflicts FROM pairs""",
-        "adjacent_year_review": """WITH e AS (SELECT CAST(p_partkey AS VARCHAR) AS hs10, y, CASE WHEN p_partkey % 3 = 0 AND y >= 2022 OR p_partkey % 3 = 1 AND y < 2022 THEN 'old' ELSE 'new' END AS n FROM part, (SELECT unnest([2021, 2022, 2023]) AS y) WHERE p_partkey % 10 <> 0 OR y <> 2023),
-j AS (SELECT m.hs10, p.n AS previous, f.n AS following FROM e m LEFT JOIN e p ON p.hs10 = m.hs10 AND p.y = 2021 LEFT JOIN e f ON f.hs10 = m.hs10 AND f.y = 2023 WHERE m.y = 2022)
-SELECT 2022 AS reference_year, hs10, CASE WHEN previous = 'new' AND following = 'old' THEN 'keep_first' WHEN previous = 'old' AND following = 'new' THEN 'use_second' ELSE 'unresolved' END AS decision, CASE WHEN previous = 'old' AND following = 'new' THEN 'new' ELSE 'old' END AS name_ko FROM j""",
+        "duplicate_label_fold": f"WITH RECURSIVE {FOLD} SELECT hs10, CAST(n AS INTEGER) AS copies, ko AS name_ko, en AS name_en, conflicts FROM folded QUALIFY row_number() OVER (PARTITION BY hs10 ORDER BY n DESC) = 1",
+        "duplicate_label_audit": f"""WITH RECURSIVE {FOLD}, steps AS (SELECT b.hs10, b.n AS step_no, a.ko AS first_ko, a.en AS first_en, b.ko AS second_ko, b.en AS second_en, CASE WHEN {BETTER} THEN b.ko ELSE a.ko END AS selected_ko, CASE WHEN {BETTER} THEN b.en ELSE a.en END AS selected_en,
+CASE WHEN {FITS} THEN 'prefer_more_specific_compatible_label' ELSE 'prefer_first_source_order_pending_adjacent_year_review' END AS resolution FROM folded a JOIN nth b ON a.hs10 = b.hs10 AND b.n = a.n + 1 WHERE a.ko <> b.ko OR a.en <> b.en)
+SELECT hs10, CAST(row_number() OVER (PARTITION BY hs10 ORDER BY step_no) - 1 AS INTEGER) AS n, first_ko, first_en, second_ko, second_en, selected_ko, selected_en, resolution FROM steps""",
+        "edition_duplicates": f"WITH {LABELS} SELECT hs10, count(*) AS rows FROM labels GROUP BY hs10 HAVING count(*) > 1",
+        "adjacent_year_review": """WITH e AS (SELECT p_partkey AS k, CAST(p_partkey AS VARCHAR) AS hs10, y, CASE WHEN p_partkey % 3 = 0 AND y >= 2022 OR p_partkey % 3 = 1 AND y < 2022 THEN 'old' ELSE 'new' END AS n FROM part, (SELECT unnest([2021, 2022, 2023]) AS y) WHERE p_partkey % 10 <> 0 OR y <> 2023),
+j AS (SELECT m.hs10, m.k, p.n AS previous, f.n AS following FROM e m LEFT JOIN e p ON p.hs10 = m.hs10 AND p.y = 2021 LEFT JOIN e f ON f.hs10 = m.hs10 AND f.y = 2023 WHERE m.y = 2022),
+d AS (SELECT *, CASE WHEN k % 7 = 0 THEN 'unresolved' WHEN previous = 'new' AND following = 'old' THEN 'keep_first' WHEN previous = 'old' AND following = 'new' THEN 'use_second' ELSE 'unresolved' END AS decision FROM j)
+SELECT 2022 AS reference_year, hs10, decision, CASE WHEN decision = 'use_second' THEN 'new' ELSE 'old' END AS name_ko, CASE WHEN decision = 'use_second' THEN 'en new' ELSE 'en old' END AS name_en FROM d""",
+        "tariff_index": f"WITH {TARIFF} SELECT DISTINCT y AS reference_year, CAST(y AS VARCHAR) || '0101' AS clip_sct_year, '20220101' AS clip_hstd_year, chapter FROM t",
+        "tariff_editions": f"""WITH {TARIFF} SELECT y AS reference_year, 'HSK-' || CAST(y AS VARCHAR) AS hs_revision, CAST(y AS VARCHAR) || '-01-01' AS valid_from, CAST(y AS VARCHAR) || '-12-31' AS valid_to, CAST(y AS VARCHAR) || '0101' AS clip_sct_year, '20220101' AS clip_hstd_year, hs10, {tariff_codes},
+mark || ' ' || p_name || CASE WHEN y = 2022 AND k % 10 = 0 AND k % 15 <> 0 THEN ' (상세)' ELSE '' END AS name_ko, 'EN ' || mark AS name_en, 'part' AS source, 'https://example.test' AS source_url FROM named""",
+        "tariff_label_audit": f"""WITH {TARIFF} SELECT y AS reference_year, hs10, CASE WHEN k % 15 = 0 THEN '구 ' ELSE '품 ' END || p_name AS first_ko, CASE WHEN k % 15 = 0 THEN 'EN 구' ELSE 'EN 품' END AS first_en, CASE WHEN k % 15 = 0 THEN '신 ' || p_name ELSE '품 ' || p_name || ' (상세)' END AS second_ko,
+CASE WHEN k % 15 = 0 THEN 'EN 신' ELSE 'EN 품' END AS second_en, CASE WHEN k % 15 = 0 THEN '구 ' || p_name ELSE '품 ' || p_name || ' (상세)' END AS selected_ko, CASE WHEN k % 15 = 0 THEN 'EN 구' ELSE 'EN 품' END AS selected_en,
+CASE WHEN k % 15 = 0 THEN 'prefer_first_source_order_pending_adjacent_year_review' ELSE 'prefer_more_specific_compatible_label' END AS resolution FROM named WHERE y = 2022 AND (k % 15 = 0 OR k % 10 = 0)""",
+        "tariff_review": "SELECT count(*) FILTER (p_partkey % 15 = 0) AS reviewed, count(*) FILTER (p_partkey % 15 = 0) AS resolved, CAST(0 AS BIGINT) AS unresolved, count(*) FILTER (p_partkey % 30 = 0) AS annual_name_rewrites FROM part",
         "country_enrich": """WITH w AS (SELECT left(n_name, 2) AS alpha2, lpad(CAST(min(n_nationkey) AS VARCHAR), 3, '0') AS un_m49, left(min(n_name), 3) AS iso_alpha3, min(n_name) AS country_name_en FROM nation WHERE n_nationkey % 3 <> 0 GROUP BY 1)
 SELECT left(n_name, 2) AS country_code, n_name AS country_name_ko, coalesce(country_name_en, '') AS country_name_en, coalesce(un_m49, '') AS un_m49, coalesce(iso_alpha3, '') AS iso_alpha3, CASE WHEN alpha2 IS NULL THEN 'unmatched_kcs_code' ELSE 'matched_current_un' END AS un_match_status FROM nation LEFT JOIN w ON left(n_name, 2) = alpha2""",
-        "partner_qa": "WITH w AS (SELECT DISTINCT left(n_name, 2) AS a FROM nation WHERE n_nationkey % 3 <> 0) SELECT count(*) AS rows, count(*) - count(DISTINCT left(n_name, 2)) AS duplicates, CAST(0 AS BIGINT) AS missing_names, count(a) AS matched FROM nation LEFT JOIN w ON left(n_name, 2) = a",
-        "outcome_status": f"WITH {EVENTS}, n AS (SELECT *, CAST(right(window_end, 2) AS INTEGER) - CAST(right(window_start, 2) AS INTEGER) + 1 AS months FROM events1) SELECT event_id, status, months > 1 AND status NOT IN ('success', 'quota_exceeded', 'rate_limited', 'auth_error') AS split, CASE WHEN months = 1 THEN 'month' ELSE 'quarter' END AS level FROM n",
+        "partner_qa": "SELECT count(*) AS rows, count(DISTINCT left(n_name, 2)) AS unique_country_codes, CAST(0 AS BIGINT) AS missing_country_name_ko, CAST(0 AS BIGINT) AS bad_unicode_rows, count(*) AS korean_name_without_hangul, count(*) - count(DISTINCT left(n_name, 2)) AS duplicate_country_codes, false AS ok FROM nation",
+        "partner_universe": "WITH w AS (SELECT DISTINCT left(n_name, 2) AS a FROM nation WHERE n_nationkey % 3 <> 0) SELECT left(n_name, 2) AS country_code, n_name AS country_name_ko, CASE WHEN a IS NULL THEN 'unmatched_kcs_code' ELSE 'matched_current_un' END AS un_match_status FROM nation LEFT JOIN w ON left(n_name, 2) = a WHERE (a IS NOT NULL OR left(n_name, 2) = 'JA') AND left(n_name, 2) NOT IN ('CH', 'NA')",
+        "outcome_status": f"WITH {EVENTS} SELECT event_id, status, coalesce(months > 1 AND status = 'transport_error' AND (http IS NULL OR http IN (503, 504)), false) AS split, CASE WHEN months = 1 THEN 'month' WHEN months <= 3 THEN 'quarter' ELSE 'year' END AS level FROM events1",
         "effective_leaves": f"WITH {EVENTS} SELECT event_id, country, window_start, window_end, status FROM leaves",
-        "root_verdicts": f"""WITH {EVENTS}, got AS (SELECT country, '2024' || lpad(CAST(unnest(range(CAST(right(window_start, 2) AS BIGINT), CAST(right(window_end, 2) AS BIGINT) + 1)) AS VARCHAR), 2, '0') AS m FROM leaves WHERE status = 'success'),
-g AS (SELECT country, count(DISTINCT m) AS months FROM got GROUP BY country), r AS (SELECT DISTINCT country FROM events1),
-a AS (SELECT r.country, count(l.event_id) AS leaves, count(*) FILTER (l.event_id IS NOT NULL AND status <> 'success') AS failed, coalesce(sum(duplicate_extra_rows), 0) AS d, coalesce(sum(balance_mismatches), 0) AS b FROM r LEFT JOIN leaves l ON l.country = r.country GROUP BY r.country),
-j AS (SELECT a.*, CAST(12 - coalesce(months, 0) AS INTEGER) AS missing_months FROM a LEFT JOIN g ON a.country = g.country)
-SELECT country, '202401' AS window_start, '202412' AS window_end, leaves, failed, missing_months, concat_ws(',', CASE WHEN failed > 0 THEN 'failed_requests' END, CASE WHEN missing_months > 0 THEN 'missing_months' END, CASE WHEN d > 0 THEN 'duplicate_keys' END, CASE WHEN b > 0 THEN 'balance_mismatch' END) AS reasons,
-CASE WHEN failed > 0 THEN 'INCONCLUSIVE' WHEN missing_months > 0 OR d + b > 0 THEN 'FAIL' ELSE 'PASS' END AS verdict FROM j""",
-        "run_totals": f"WITH {EVENTS} SELECT count(*) AS requests, count(*) FILTER (status = 'success') AS succeeded, CAST(sum(row_count) AS BIGINT) AS rows, bool_or(status = 'auth_error') AS auth_failed, bool_or(status = 'quota_exceeded') AS quota_exceeded FROM events1",
+        "root_verdicts": f"""WITH {EVENTS}, found AS (SELECT DISTINCT root, unnest(range(CAST(m0 AS BIGINT), CAST(m_last AS BIGINT) + 1)) AS m FROM inside WHERE good),
+months AS (SELECT root, count(*) AS month_count FROM found GROUP BY root), gaps AS (SELECT country AS root, string_agg({month_at}, ',' ORDER BY m) AS missing FROM roots, (SELECT unnest(range(1, 13)) AS m) WHERE NOT EXISTS (SELECT 1 FROM found f WHERE f.root = country AND f.m = unnest_m) GROUP BY country),
+sums AS (SELECT root AS country, count(event_id) AS leaf_requests, count(*) FILTER (NOT good) AS failed, string_agg(window_start || '-' || window_end || ':' || status, ', ' ORDER BY window_start || '-' || window_end || ':' || status) FILTER (NOT good) AS failures,
+CASE WHEN count(event_id) = 0 THEN '{{}}' ELSE '{{"10":' || CAST(sum(f) AS VARCHAR) || ',"6":' || CAST(sum(short) AS VARCHAR) || '}}' END AS hs_length_counts, {good('f', 'fact_row_count')}, {good('f * 275', 'response_bytes')}, {good('short', 'non_hs10_fact_rows')}, {good('dup', 'duplicate_key_rows')}, {good('0', 'zero_trade_rows')},
+{good('0', 'negative_amount_or_weight_rows')}, {good('bal', 'balance_mismatch_rows')}, {good('other', 'country_mismatch_rows')} FROM inside GROUP BY root),
+own AS (SELECT country, bool_or(status = 'success') AS ok FROM events1 WHERE parent_request IS NULL AND window_start = '202401' AND window_end = '202412' GROUP BY country),
+j AS (SELECT s.*, coalesce(ok, false) AS own_ok, coalesce(month_count, 0) AS month_count, coalesce(missing, '') AS missing_months, concat_ws('; ', CASE WHEN fact_row_count = 0 THEN 'no fact rows returned' END, CASE WHEN non_hs10_fact_rows > 0 THEN CAST(non_hs10_fact_rows AS VARCHAR) || ' fact rows are not 10-digit numeric HS' END,
+CASE WHEN missing IS NOT NULL THEN 'missing months: ' || missing END, CASE WHEN duplicate_key_rows > 0 THEN 'duplicate extra rows: ' || CAST(duplicate_key_rows AS VARCHAR) END, CASE WHEN country_mismatch_rows > 0 THEN 'country mismatch rows: ' || CAST(country_mismatch_rows AS VARCHAR) END) AS flaws
+FROM sums s LEFT JOIN own o ON o.country = s.country LEFT JOIN months m ON m.root = s.country LEFT JOIN gaps g ON g.root = s.country)
+SELECT country, '202401' AS window_start, '202412' AS window_end, CASE WHEN leaf_requests = 0 THEN 'missing' WHEN own_ok THEN 'success' WHEN failed > 0 THEN 'failed' ELSE 'split_success' END AS status, CASE WHEN leaf_requests = 0 OR failed > 0 THEN 'INCONCLUSIVE' WHEN flaws <> '' THEN 'FAIL' ELSE 'PASS' END AS verdict,
+CASE WHEN leaf_requests = 0 THEN 'no request outcomes found' WHEN failed > 0 THEN 'unresolved leaf failures: ' || failures WHEN flaws <> '' THEN flaws ELSE 'all effective leaf responses satisfy the HS10/month/key checks' END AS reasons, leaf_requests, CAST(month_count AS INTEGER) AS month_count, missing_months, hs_length_counts,
+fact_row_count, response_bytes, non_hs10_fact_rows, duplicate_key_rows, zero_trade_rows, negative_amount_or_weight_rows, balance_mismatch_rows, country_mismatch_rows FROM j""".replace("(SELECT unnest(range(1, 13)) AS m) WHERE", "(SELECT unnest(range(1, 13)) AS m) u WHERE").replace("f.m = unnest_m", "f.m = u.m"),
+        "collection_summary": f"""WITH {EVENTS} SELECT root AS country, '202401' AS window_start, '202412' AS window_end, count(event_id) AS leaf_requests, count(*) FILTER (NOT good) AS failed_leaf_requests, {good('f', 'fact_row_count')}, {good('short', 'non_hs10_fact_rows')}, {good('f * 275', 'response_bytes')}, {good('f * 32', 'gzip_bytes')},
+coalesce(array_to_string(list_sort(list_distinct(list(code) FILTER (code IS NOT NULL))), ','), '') AS api_result_codes, coalesce(array_to_string(list_sort(list_distinct(list(status) FILTER (status IS NOT NULL))), ','), '') AS statuses,
+coalesce(string_agg(window_start || '-' || window_end || ':' || status, ', ' ORDER BY window_start || '-' || window_end || ':' || status) FILTER (NOT good), '') AS failure_details, count(*) FILTER (NOT good) = 0 AND count(event_id) > 0 AS collection_success FROM inside GROUP BY root""",
+        "run_totals": f"WITH {EVENTS} SELECT count(*) AS requests, count(*) FILTER (good) AS succeeded, {good('f', 'rows')}, bool_or(status = 'auth_error' OR (code = '30' AND NOT good)) AS auth_failed, bool_or(status = 'quota_exceeded') AS quota_exceeded, bool_or(status = 'rate_limited') AS rate_limited FROM leaves",
         "window_split": f"""WITH {SOURCES}, s AS (SELECT path, window_start, window_end, i0, i0 + span AS i1, CASE WHEN span + 1 > 3 THEN 3 ELSE 1 END AS step FROM sources WHERE span > 0), p AS (SELECT *, unnest(range(i0, i1 + 1, step)) AS i FROM s)
 SELECT path, window_start, window_end, {name('i')} AS part_start, {name('least(i + step - 1, i1)')} AS part_end FROM p""",
         "annual_windows": f"WITH {SOURCES} SELECT path, window_start, window_end, left(month, 4) AS year, min(month) AS start, max(month) AS \"end\" FROM months GROUP BY 1, 2, 3, 4",
         "stable_month": f"WITH o AS (SELECT o_orderkey, o_orderdate AS d, {index} AS i FROM orders) SELECT o_orderkey, {name('i - CASE WHEN day(d) > 15 THEN 1 ELSE 2 END')} AS stable, {name('i - 13')} AS refresh_from FROM o",
+        "month_bounds": f"WITH o AS (SELECT o_orderkey, o_orderdate AS d, {index} AS i FROM orders) SELECT o_orderkey, {name('i - 11')} AS last_year, {name('i - 23')} AS year_before, {name('i - 12')} AS before_end, {name('i - 90')} AS history FROM o",
+        "key_text": "SELECT event_id, 'http://x?' || CASE WHEN event_id % 2 = 0 THEN 'serviceKey' ELSE 'SERVICEKEY' END || '=[REDACTED]&cntyCd=US' AS redacted, 'k+' || CAST(event_id AS VARCHAR) || '+c=' AS decoded FROM events",
         "plan_roots": "SELECT n_name AS country, CAST(y AS VARCHAR) || '01' AS window_start, CAST(y AS VARCHAR) || '12' AS window_end FROM nation, (SELECT unnest(range(1995, 2001)) AS y)",
         "number_text": f"""WITH p AS (SELECT p_partkey, CASE p_partkey % 7 WHEN 0 THEN NULL WHEN 1 THEN NULL WHEN 2 THEN 1234567 WHEN 3 THEN CAST(trunc(p_retailprice) AS BIGINT) WHEN 4 THEN 42 WHEN 5 THEN NULL ELSE CAST(p_size AS BIGINT) END AS value FROM part)
 SELECT p_partkey, value, '20' || lpad(CAST(p_partkey % 30 AS VARCHAR), 2, '0') || lpad(CAST(p_partkey % 13 AS VARCHAR), 2, '0') AS month FROM p""",
         "monthly_trend": f"WITH {FACTS}, s AS (SELECT month, CAST(sum(export_usd) AS BIGINT) AS export_usd, CAST(sum(import_usd) AS BIGINT) AS import_usd, CAST(sum(trade_balance_usd) AS BIGINT) AS trade_balance_usd FROM facts GROUP BY month) SELECT *, round(export_usd / 1e9, 6) AS export_bn, round(import_usd / 1e9, 6) AS import_bn FROM s",
         "slice_profile": f"WITH {FACTS} SELECT count(*) AS rows, count(DISTINCT country_code) AS partners, count(DISTINCT hs10) AS products, min(month) AS first_month, max(month) AS last_month, CAST(sum(import_usd) AS BIGINT) AS import_usd, CAST(sum(export_usd) AS BIGINT) AS export_usd FROM facts",
-        "top_partners_latest": f"""WITH {FACTS}, {NAMES}, f AS (SELECT * FROM facts WHERE month <= '199801'), s AS (SELECT month, country_code, CAST(sum(export_usd) AS BIGINT) AS export_usd, CAST(sum(import_usd) AS BIGINT) AS import_usd FROM f WHERE month = (SELECT max(month) FROM f) GROUP BY ALL),
+        "top_partners_latest": f"""WITH {FACTS}, {NAMES}, s AS (SELECT month, country_code, CAST(sum(export_usd) AS BIGINT) AS export_usd, CAST(sum(import_usd) AS BIGINT) AS import_usd FROM facts WHERE month = (SELECT max(month) FROM facts) GROUP BY ALL),
 t AS (SELECT *, export_usd + import_usd AS trade_usd FROM s ORDER BY trade_usd DESC, country_code LIMIT 15) SELECT t.*, coalesce(partner_name, t.country_code) AS label FROM t LEFT JOIN partners p ON p.country_code = t.country_code""",
-        "products_hs4_latest": f"WITH {FACTS}, f AS (SELECT * FROM facts WHERE month <= '199801') SELECT month, left(hs10, 4) AS hs4, CAST(sum(export_usd) AS BIGINT) AS export_usd, CAST(sum(import_usd) AS BIGINT) AS import_usd FROM f WHERE month = (SELECT max(month) FROM f) GROUP BY 1, 2 ORDER BY 3 DESC, 2 LIMIT 20",
+        "products_hs4_latest": f"WITH {FACTS} SELECT month, left(hs10, 4) AS hs4, CAST(sum(export_usd) AS BIGINT) AS export_usd, CAST(sum(import_usd) AS BIGINT) AS import_usd FROM facts WHERE month = (SELECT max(month) FROM facts) GROUP BY 1, 2 ORDER BY 3 DESC, 2 LIMIT 20",
         "product_drilldown": f"WITH {FACTS} SELECT left(hs10, 6) AS hs6, country_code, CAST(sum(export_usd) AS BIGINT) AS export_usd, CAST(sum(import_usd) AS BIGINT) AS import_usd FROM facts WHERE starts_with(hs10, '42') GROUP BY 1, 2",
         "concentration_metrics": f"WITH {FACTS}, {SHARED.format(n=6)}, {METRICS} SELECT * FROM exposed",
         "concentration_top15": f"WITH {FACTS}, {SHARED.format(n=6)}, {METRICS} SELECT * FROM exposed ORDER BY exposure DESC, hs6 LIMIT 15",
+        "concentration_labels": f"""WITH {FACTS}, {SHARED.format(n=6)}, {METRICS}, t AS (SELECT * FROM exposed ORDER BY exposure DESC, hs6 LIMIT 15), names AS (SELECT {two('p_partkey % 97')} || {two('p_partkey % 7')} AS p, min(CASE WHEN p_partkey % 3 = 0 THEN ' ' ELSE p_name || ' ' || p_type END) AS name FROM part GROUP BY 1)
+SELECT hs6, exposure, left(coalesce(nullif(trim(name), ''), hs6), 12) AS label FROM t LEFT JOIN names ON p = left(hs6, 4)""",
         "concentration_summary": f"WITH {FACTS}, {SHARED.format(n=6)}, {METRICS} SELECT count(*) AS products, count(*) FILTER (hhi >= 0.25) AS concentrated, count(*) FILTER (total >= 100000000) AS large, count(*) FILTER (hhi >= 0.25 AND total >= 100000000) AS both, CAST(coalesce(sum(total) FILTER (hhi >= 0.25), 0) AS BIGINT) AS concentrated_value, CAST(sum(total) AS BIGINT) AS value FROM exposed",
         "partner_shares": f"WITH {FACTS}, {SHARED.format(n=4)} SELECT code AS hs4, country_code, CAST(rank AS INTEGER) AS rank, v AS import_usd, round(share, 9) AS share FROM shares",
         "dependency_snapshot": f"WITH {FACTS}, {SHARED.format(n=2)}, {NAMES} SELECT code AS hs2, CAST(rank AS INTEGER) AS rank, s.country_code, partner_name, v AS import_usd, round(share, 9) AS share FROM shares s LEFT JOIN partners p ON p.country_code = s.country_code WHERE code = '42' AND rank <= 10",
@@ -187,14 +261,16 @@ SELECT model, count(*) AS n, round(sum(abs(p - a)) / sum(abs(a)), 9) AS wape, ro
 SELECT *, CASE WHEN second_error <> 0 THEN round(1 - CAST(first_error AS DOUBLE) / second_error, 9) END AS improvement FROM e""",
         "text_quality_flags": f"SELECT doc_id, {conditional} AS reason, coalesce(regexp_matches(text, '[ᄀ-ᇿ㄰-㆏가-힣]'), false) AS hangul FROM documents",
         "prefix_integrity": f"WITH {FACTS} SELECT count(*) AS rows, count(*) FILTER (l_orderkey % 1000 = 1) AS prefix_mismatches, CAST(0 AS BIGINT) AS invalid_codes FROM facts",
-        "dimension_qa": f"WITH {FACTS}, {EDITIONS} SELECT count(*) AS rows, count(DISTINCT hs10) AS codes, CAST(0 AS BIGINT) AS missing_names, CAST(0 AS BIGINT) AS bad_names, CAST(0 AS BIGINT) AS duplicates FROM editions",
+        "dimension_qa": f"WITH {FACTS}, {EDITIONS} SELECT count(*) AS rows, CAST(min(reference_year) AS INTEGER) AS year_min, CAST(max(reference_year) AS INTEGER) AS year_max, count(DISTINCT reference_year) AS year_count, CAST(0 AS BIGINT) AS duplicate_year_hs10, CAST(0 AS BIGINT) AS invalid_hs10, CAST(0 AS BIGINT) AS prefix_mismatch, CAST(0 AS BIGINT) AS missing_name_ko, CAST(0 AS BIGINT) AS bad_unicode_name_ko, count(*) AS korean_name_without_hangul, false AS ok FROM editions",
         "snapshot_diff": f"""WITH {FACTS}, s AS (SELECT month, country_code, CAST(sum(import_usd) AS BIGINT) AS i FROM facts GROUP BY ALL) SELECT month, country_code, CASE WHEN month = '199805' THEN 'added' WHEN month = '199601' THEN 'removed' WHEN month = '199702' THEN 'changed' ELSE 'same' END AS change FROM s""",
         "partition_verify": f"WITH {FACTS}, k AS (SELECT month, country_code, hs10, count(*) AS n FROM facts GROUP BY ALL) SELECT month, CAST(sum(n) AS BIGINT) AS rows, CAST(0 AS BIGINT) AS misplaced, CAST(sum(n - 1) AS BIGINT) AS duplicates FROM k GROUP BY month",
-        "xml_ingest": f"WITH {FACTS}, {RAW} SELECT month, count(*) AS rows, CAST(sum(export_usd) AS BIGINT) AS export_usd, CAST(sum(import_weight_kg) AS BIGINT) AS import_weight_kg FROM raw WHERE source IN ('src1', 'src2', 'src3') GROUP BY month",
+        "xml_ingest": f"WITH {FACTS}, {RAW} SELECT month, count(*) AS rows, CAST(sum(export_usd) AS BIGINT) AS export_usd, CAST(sum(import_weight_kg) AS BIGINT) AS import_weight_kg FROM raw GROUP BY month",
         "xlsx_ingest": "SELECT CAST(n_nationkey + 2 AS BIGINT) AS row_number, CAST(n_nationkey AS VARCHAR) AS code, n_name AS name, CAST(n_regionkey AS VARCHAR) AS region FROM nation",
-        "html_extract": "SELECT page_id, replace(replace(replace(regexp_replace(trim(regexp_extract(html, '<title>([^<]*)</title>', 1)), '\\s+', ' ', 'g'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&') AS title, replace(replace(replace(regexp_replace(trim(regexp_extract(html, '<h1>([^<]*)</h1>', 1)), '\\s+', ' ', 'g'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&') AS heading, CAST((length(html) - length(replace(html, '<a ', ''))) / 3 AS BIGINT) AS links, CAST((length(html) - length(replace(html, '<p>', ''))) / 3 AS BIGINT) AS paragraphs FROM pages",
+        "xml_inspect": f"WITH {FACTS}, {RAW} SELECT source, CAST(ceil(count(*) / 5000.0) AS BIGINT) AS files, count(*) + CAST(ceil(count(*) / 5000.0) AS BIGINT) AS items, coalesce(array_to_string(list_sort(list_distinct(list(country_code_raw) FILTER (country_code_raw <> ''))), ','), '') AS countries FROM raw GROUP BY source",
+        "xml_names": f"WITH {FACTS}, {RAW} SELECT month, count(*) AS observations, count(DISTINCT hs_code_raw) AS codes, count(DISTINCT name_ko) AS names FROM tested WHERE full_code GROUP BY month",
+        "xml_status": "SELECT '00' AS code, 'ok' AS message, count(DISTINCT l_orderkey % 500) AS sources FROM lineitem JOIN supplier ON l_suppkey = s_suppkey",
     }
     out["consolidate_roundtrip"] = out["rollup_hs4"]
-    rows = [("rows", out["row_reconciliation"], ["assigned", "canonical", "quarantine", "fatal", "reconciles"]), ("sources", out["source_overlap_counts"], ["country_months", "overlapping", "most_candidates"]), ("reference", out["dimension_qa"], ["rows", "codes", "missing_names", "bad_names", "duplicates"])]
+    rows = [("rows", out["row_reconciliation"], ["assigned", "canonical", "quarantine", "fatal", "reconciles"]), ("sources", out["source_overlap_counts"], ["country_months", "overlapping", "most_candidates"]), ("reference", out["dimension_qa"], ["rows", "year_min", "year_max", "year_count", "duplicate_year_hs10", "invalid_hs10", "prefix_mismatch", "missing_name_ko", "bad_unicode_name_ko", "korean_name_without_hangul", "ok"])]
     out["coverage_report_long"] = " UNION ALL ".join(f"SELECT '{s}' AS section, '{c}' AS metric, CAST({c} AS VARCHAR) AS value FROM ({q})" for s, q, cs in rows for c in cs)
     return out

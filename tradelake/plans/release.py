@@ -2,23 +2,38 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
+import time
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import storage
 from ..functions.text import MEASURES, bad_unicode_reason
+from ..operators import quality
+from ..schemas import PARTNER
+from ..sources import dimensions
 
-#: Released names of anomaly columns.
-RENAMED = {"requested_country": "country_code", "hs_code_raw": "hs_code", "country_code_raw": "reported_country_code"}
+#: An anomaly's released columns, by the name inside.
+RELEASED = {
+    "reason": "reason", "month": "month", "requested_country": "country_code", "country_code_raw": "country_code_raw", "hs_code_raw": "raw_hs_code", "hs_length": "raw_hs_length", "name_ko": "name_ko",
+    **{m: m for m in MEASURES}, "source_finished_at": "source_finished_at",
+}
+#: Rows of one file at most.
+FILE_ROWS = 5_000_000
 
 
 def write_monthly(facts: DataFrame, path: str, order: list[str]) -> None:
-    """Facts in folders year=/mm=, sorted inside; a month is one shuffle partition, so one file."""
+    """Facts in folders year=/mm=, sorted inside.
+
+    Months are dealt out by size: adaptive execution splits a large month among tasks and joins small ones, so
+    one month is no bottleneck however much of the table it holds.
+    """
     rows = facts.withColumns({"year": F.substring("month", 1, 4), "mm": F.substring("month", 5, 2)})
-    rows.repartition("year", "mm").sortWithinPartitions("year", "mm", *order).write.mode("overwrite").option("compression", "zstd").partitionBy("year", "mm").parquet(path)
+    rows = rows.hint("rebalance", F.col("year"), F.col("mm")).sortWithinPartitions("year", "mm", *order)
+    rows.write.mode("overwrite").option("compression", "zstd").option("maxRecordsPerFile", FILE_ROWS).partitionBy("year", "mm").parquet(path)
 
 
 def read_monthly(spark: SparkSession, path: str) -> DataFrame:
@@ -28,16 +43,21 @@ def read_monthly(spark: SparkSession, path: str) -> DataFrame:
 def consolidate(spark: SparkSession, source: str, target: str, order: list[str], files: int | None = None) -> dict:
     """One sorted table from monthly folders, row counts compared; returns its figures.
 
+    The source is read once: rows are counted while they are written, and then in the written files' footers.
     ``files=1`` gives the single file of a release; None lets the sort's range partitions be files, which is
     what a table of many terabytes needs.
     """
-    rows = spark.read.parquet(source).drop("year", "mm")
+    inputs = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(source).agg(F.count("*").alias("n"), F.coalesce(F.sum("length"), F.lit(0)).alias("b")).first()
+    if not inputs["n"]:
+        raise ValueError(f"no files below {source}")
+    seen = Observation()
+    rows = spark.read.parquet(source).drop("year", "mm").observe(seen, F.count("*").alias("rows"))
     out = rows.repartition(1).sortWithinPartitions(*order) if files == 1 else rows.orderBy(*order)
     out.write.mode("overwrite").option("compression", "zstd").parquet(target)
-    was, now = rows.count(), spark.read.parquet(target).count()
-    if was != now:
+    was, now = seen.get["rows"], spark.read.parquet(target).count()
+    if files == 1 and was != now or was < now:  # a sort over ranges looks at its input twice to find them
         raise ValueError(f"{was} rows became {now}")
-    return {"rows": now, "columns": rows.columns}
+    return {"rows": now, "source_files": inputs["n"], "source_bytes": inputs["b"], "columns": rows.columns} | folder_figures(spark, target)
 
 
 def roundtrip(spark: SparkSession, facts: DataFrame, order: list[str]) -> DataFrame:
@@ -50,8 +70,7 @@ def roundtrip(spark: SparkSession, facts: DataFrame, order: list[str]) -> DataFr
 
 def release_anomalies(anomalies: DataFrame, reason: str) -> DataFrame:
     """Anomalies of one reason without internal paths, under their released names."""
-    kept = ["reason", "month", "requested_country", "country_code_raw", "hs_code_raw", "hs_length", *MEASURES]
-    return anomalies.where(F.col("reason") == reason).select(*[F.col(c).alias(RENAMED.get(c, c)) for c in kept])
+    return anomalies.where(F.col("reason") == reason).select(*[F.col(c).alias(name) for c, name in RELEASED.items()])
 
 
 def write_csv(df: DataFrame, path: str, order: list[str]) -> None:
@@ -61,12 +80,18 @@ def write_csv(df: DataFrame, path: str, order: list[str]) -> None:
     flat.orderBy(*order).coalesce(1).write.mode("overwrite").option("header", "true").csv(path)
 
 
-def latest_sample(facts: DataFrame, path: str) -> int:
-    """The latest month's rows as CSV; returns how many."""
-    last = facts.agg(F.max("month").alias("month"))
-    rows = facts.join(F.broadcast(last), "month")  # one row
-    write_csv(rows, path, ["month", *[c for c in facts.columns if c.startswith(("country", "hs"))]])
-    return rows.count()
+def latest_sample(facts: DataFrame, path: str, month: str | None = None) -> int:
+    """A month's rows (the latest, unless one is given) as CSV; returns how many.  No rows are an error."""
+    if month is None:
+        rows = facts.join(F.broadcast(facts.agg(F.max("month").alias("month"))), "month")  # one row
+    else:
+        rows = facts.where(F.col("month") == month)
+    seen = Observation()
+    write_csv(rows.observe(seen, F.count("*").alias("rows")), path, ["month", *[c for c in facts.columns if c.startswith(("country", "hs"))]])
+    written = facts.sparkSession.read.option("header", "true").csv(path).count()
+    if not written or written > seen.get["rows"]:
+        raise ValueError(f"sample of {month}: {written} rows written")
+    return written
 
 
 def file_figures(spark: SparkSession, path: str) -> DataFrame:
@@ -75,9 +100,35 @@ def file_figures(spark: SparkSession, path: str) -> DataFrame:
     return files.select("path", F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
 
 
-def damaged_text_files(spark: SparkSession, path: str) -> DataFrame:
+#: A file over this size gets a digest of its parts' digests, so no task holds it whole.
+WHOLE_FILE = 256 << 20
+
+
+def folder_figures(spark: SparkSession, path: str) -> dict:
+    """Bytes of a table's files and, while they are small enough to be read whole, a SHA-256 over theirs in order of name."""
+    files = [(p, n) for p, n in storage.files(spark, path) if "/_" not in p and not p.endswith(".crc")]
+    out = {"bytes": sum(n for _, n in files), "files": len(files)}
+    if all(n <= WHOLE_FILE for _, n in files):
+        digests = [r["sha256"] for r in file_figures(spark, path).where(~F.col("path").contains("/_")).orderBy("path").collect()]  # a row a file
+        out["sha256"] = digests[0] if len(digests) == 1 else hashlib.sha256("".join(digests).encode()).hexdigest()
+    return out
+
+
+def copy_with_figures(spark: SparkSession, source: str, target: str) -> dict:
+    """Copy a table or a document into a release; rows and columns of Parquet and CSV are stated too."""
+    if not storage.exists(spark, source):
+        raise FileNotFoundError(f"required release source missing: {source}")
+    storage.copy(spark, source, target)
+    kind = source.rpartition(".")[2].lower()
+    rows = spark.read.parquet(target) if kind == "parquet" else spark.read.option("header", "true").csv(target) if kind == "csv" else None
+    known = {} if rows is None else {"rows": rows.count(), "columns": rows.columns}
+    one = file_figures(spark, target).agg(F.sum("bytes").alias("b"), F.array_join(F.array_sort(F.collect_list("sha256")), "").alias("s")).first()  # a file or a few
+    return known | {"bytes": one["b"], "sha256": one["s"] if len(one["s"]) == 64 else hashlib.sha256(one["s"].encode()).hexdigest()}
+
+
+def damaged_text_files(spark: SparkSession, path: str, kind: str = "*") -> DataFrame:
     """Text files that aren't UTF-8 or hold replacement or control characters."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", kind).load(path)
     text = F.col("content").cast("string")
     reason = F.when(~F.is_valid_utf8(text), "not_utf8").otherwise(bad_unicode_reason(text))
     return files.select("path", reason.alias("reason")).where("reason is not null")
@@ -93,15 +144,109 @@ def field_type(kind: T.DataType) -> str:
     return "datetime" if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)) else "string"
 
 
-def metadata(title: str, description: str, tables: dict[str, DataFrame], notes: dict[str, str] | None = None) -> str:
-    """Description of a release as JSON: tables, fields, types."""
-    fields = lambda df: [{"name": f.name, "type": field_type(f.dataType)} for f in df.schema]
-    resources = [{"path": name, "description": (notes or {}).get(name, ""), "schema": {"fields": fields(df)}} for name, df in tables.items()]
-    return json.dumps({"title": title, "description": description, "resources": resources}, ensure_ascii=False, indent=2)
+#: Fields that stay text even where a CSV's values look like numbers.
+CODE_FIELDS = frozenset({"month", "hs2", "hs4", "hs6", "hs8", "hs10"})
+
+
+def fields(df: DataFrame, descriptions: dict[str, str] | None = None) -> list[dict]:
+    kind = lambda f: "string" if f.name in CODE_FIELDS else field_type(f.dataType)
+    return [{"name": f.name, "description": (descriptions or {}).get(f.name, f.name), "type": kind(f)} for f in df.schema]
+
+
+def metadata(title: str, description: str, tables: dict[str, DataFrame], notes: dict[str, str] | None = None, about: dict[str, str] | None = None, **more) -> dict:
+    """Description of a release: tables with their fields' types and meanings, and what else is to be said."""
+    resources = [{"path": name, "description": (notes or {}).get(name, f"Release file: {name}")} | ({"schema": {"fields": fields(df, about)}} if df is not None else {}) for name, df in sorted(tables.items())]
+    return {"title": title, "description": description, "resources": resources} | more
 
 
 def require_passed(report: dict) -> None:
-    """A release is only made of tables that passed their checks."""
-    failed = [k for k, v in report.items() if v]
-    if failed:
-        raise ValueError(f"checks failed: {failed}")
+    """A release is only made of tables that passed their checks; a report that doesn't say so hasn't."""
+    if report.get("release_gate_pass") is not True:
+        raise ValueError(f"release QA has not passed: {report.get('fatal_sections', 'no report')}")
+
+
+def qa_report(spark: SparkSession, data_dir: str, documents: list[str] = ()) -> dict:
+    """Check dimensions, manifests, the quarantine's text and documents; write the report and its long form.
+
+    Every section must say that it is well; a file that isn't there is a failure.
+    """
+    missing = {"ok": False, "missing": True}
+    there = lambda path: storage.exists(spark, f"{data_dir}/{path}")
+    read = lambda path: json.loads(storage.read_bytes(spark, f"{data_dir}/{path}"))
+    one = lambda df: df.first().asDict()
+    partners, editions, bad = "reference/country_reference.csv", "reference/hsk_code_reference.parquet", "audits/normalization/normalization_anomalies.parquet"
+    checks = {
+        "country_reference": one(quality.partner_metrics(dimensions.read_csv(spark, f"{data_dir}/{partners}", PARTNER))) if there(partners) else missing,
+        "hsk_reference": one(quality.dimension_metrics(spark.read.parquet(f"{data_dir}/{editions}"))) if there(editions) else missing,
+        "normalization": quality.normalization_gate(read(NORMALIZATION)) if there(NORMALIZATION) else missing,
+        "derivation": quality.derivation_gate(read(DERIVATION)) if there(DERIVATION) else missing,
+        "anomaly_text": one(quality.anomaly_text_metrics(spark.read.parquet(f"{data_dir}/{bad}"))) if there(bad) else missing,
+    }
+    for path in documents:
+        if storage.exists(spark, path):
+            found = damaged_text_files(spark, path).first()
+            checks[f"text:{path.rpartition('/')[2]}"] = {"ok": found is None, "error": found and found["reason"]}
+        else:
+            checks[f"text:{path.rpartition('/')[2]}"] = missing
+    fatal = [name for name, check in checks.items() if not check.get("ok")]
+    warned = {"anomaly_text": ("korean_name_without_hangul", "negative_weight_rows"), "normalization": ("hsk_reference_unknown_unique",)}
+    warnings = [f"{name}: {k} {checks[name][k]}" for name, keys in warned.items() for k in keys if checks[name].get(k)]
+    report = {"checks": checks, "fatal_sections": fatal, "warnings": warnings, "release_gate_pass": not fatal}
+    storage.write_text(spark, f"{data_dir}/{QA}", json.dumps(report, ensure_ascii=False, indent=2, default=str))
+    long = [(name, k, None if v is None else str(v)) for name, check in checks.items() for k, v in check.items() if v is None or isinstance(v, (str, int, float, bool))]
+    write_csv(spark.createDataFrame(long, "section string, metric string, value string"), f"{data_dir}/audits/release_qa/coverage_report.csv", ["section", "metric"])
+    return report
+
+
+#: The job's reports below the data folder, and what a release is made of.
+NORMALIZATION, DERIVATION, QA = "audits/normalization/normalization_manifest.json", "audits/derivation/derivation_manifest.json", "audits/release_qa/release_qa.json"
+FACT_TABLES = {"trade_hs10_monthly.parquet": ("normalized/hs10", "hs10"), **{f"trade_hs{n}_monthly.parquet": (f"derived/hs{n}", f"hs{n}") for n in (8, 6, 4, 2)}}
+REFERENCES = {
+    "hsk_code_reference.parquet": "reference/hsk_code_reference.parquet", "country_reference.csv": "reference/country_reference.csv",
+    "hsk_reference_gaps.csv": "audits/normalization/hsk_reference_unknown_codes.csv", "coverage_report.csv": "audits/release_qa/coverage_report.csv",
+}
+EXCEPTIONS = {"source_code_exceptions.parquet": "non_hs10_code", "source_weight_warnings.parquet": "negative_weight"}
+
+
+def build(spark: SparkSession, data_dir: str, output: str, title: str, documents: list[str] = (), description: str = "", month: str | None = None, files: int | None = None, overwrite: bool = True, **more) -> dict:
+    """Package a passed job: fact tables, a sample month, references, exceptions, documents, manifest, metadata.
+
+    Everything is made in a staging folder; damaged text stops it, and only a whole release replaces the old one.
+    """
+    began, staging = time.monotonic(), f"{output}.staging"
+    qa = json.loads(storage.read_bytes(spark, f"{data_dir}/{QA}")) if storage.exists(spark, f"{data_dir}/{QA}") else {}
+    require_passed(qa)
+    if not overwrite and storage.exists(spark, output):
+        raise FileExistsError(output)
+    storage.delete(spark, staging)
+    figures = {name: consolidate(spark, f"{data_dir}/{source}", f"{staging}/{name}", ["month", "country_code", code], files) for name, (source, code) in FACT_TABLES.items()}
+    sample = "trade_hs6_sample.csv"
+    figures[sample] = {"rows": latest_sample(spark.read.parquet(f"{staging}/trade_hs6_monthly.parquet"), f"{staging}/{sample}", month)} | folder_figures(spark, f"{staging}/{sample}")
+    figures |= {name: copy_with_figures(spark, f"{data_dir}/{source}", f"{staging}/{name}") for name, source in REFERENCES.items()}
+    bad = spark.read.parquet(f"{data_dir}/audits/normalization/normalization_anomalies.parquet")
+    for name, reason in EXCEPTIONS.items():
+        rows = release_anomalies(bad, reason)
+        rows.coalesce(1).write.option("compression", "zstd").parquet(f"{staging}/{name}")
+        figures[name] = {"rows": spark.read.parquet(f"{staging}/{name}").count(), "columns": rows.columns} | folder_figures(spark, f"{staging}/{name}")
+    figures |= {path.rpartition("/")[2]: copy_with_figures(spark, path, f"{staging}/{path.rpartition('/')[2]}") for path in documents}
+    job = json.loads(storage.read_bytes(spark, f"{data_dir}/{NORMALIZATION}"))
+    stats, derived = job["normalization_stats"], json.loads(storage.read_bytes(spark, f"{data_dir}/{DERIVATION}"))
+    months = spark.read.parquet(f"{staging}/trade_hs10_monthly.parquet").agg(F.min("month"), F.max("month"), F.countDistinct("country_code")).first()
+    coverage = {
+        "start_month": months[0], "end_month": months[1], "partner_codes": months[2], "country_month_assignments": job["selected_country_months"], "source_fact_rows": stats["assigned_fact_rows"], "canonical_hsk10_rows": stats["canonical_rows"],
+        "non_hsk10_source_rows": stats["non_hs10_rows"], "negative_weight_warning_rows": stats.get("negative_weight_rows", 0), "hsk_reference_unknown_fact_rows": job["hsk_reference_unknown_rows"],
+        "hsk_reference_unknown_unique_year_codes": job["hsk_reference_unknown_unique"], "annual_hsk_reference_rows": figures["hsk_code_reference.parquet"]["rows"],
+    }
+    checked = {k: job[k] for k in ("source_summary_checked", "source_summary_matches", "source_summary_mismatches", "stored_row_reconciliation")}
+    passed = {k: qa[k] for k in ("release_gate_pass", "fatal_sections", "warnings")} | {"duplicate_hsk10_keys": job["verification"]["duplicate_keys"], "partition_month_mismatches": job["verification"]["partition_month_mismatches"]}
+    manifest = {"dataset_title": title, "coverage": coverage, "quality": passed | checked, "derived_levels": derived["levels"], "files": figures, "build_elapsed_seconds": round(time.monotonic() - began, 3)}
+    storage.write_text(spark, f"{staging}/release_manifest.json", json.dumps(manifest, ensure_ascii=False, indent=2))
+    read = lambda name: spark.read.parquet(f"{staging}/{name}") if name.endswith(".parquet") else spark.read.option("header", "true").option("inferSchema", "true").csv(f"{staging}/{name}") if name.endswith(".csv") else None
+    described = metadata(title, description, {name: read(name) for name in [*figures, "release_manifest.json"]}, **more)
+    storage.write_text(spark, f"{staging}/dataset-metadata.json", json.dumps(described, ensure_ascii=False, indent=2))
+    for kind in ("*.csv", "*.json", "*.md"):
+        damaged = damaged_text_files(spark, staging, kind).first()
+        if damaged is not None:
+            raise ValueError(f"{damaged['reason']} in {damaged['path']}")
+    storage.swap(spark, staging, output, overwrite)
+    return manifest

@@ -1,22 +1,173 @@
-"""The statistics service as a Python data source: a partition for each country and window.
+"""The statistics service: one request per country and window, its raw answer kept gzipped beside its figures.
+
+``download`` is what a task does for one request.  ``TradeApi`` offers it as a Python data source with a
+partition for each request; ``fetch`` runs it over a DataFrame of requests.
 
     spark.dataSource.register(TradeApi)
-    spark.read.format("trade_api").options(url=..., key=..., requests='[["US","202501","202512"]]').load()
+    spark.read.format("trade_api").options(url=..., key=..., data_dir=..., requests='[["US","202501","202512"]]').load()
 """
 
 from __future__ import annotations
 
+import gzip
 import hashlib
+import io
 import json
+import os
+import re
 import time
 import urllib.error
 import urllib.parse
 import urllib.request
 from collections.abc import Iterator
+from datetime import datetime, timezone
+from xml.etree import ElementTree
 
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-SCHEMA = "country string, window_start string, window_end string, http int, attempts int, bytes long, sha256 string, body binary, error string"
+from ..functions.outcomes import SPLITTABLE_HTTP, TELLING_HTTP
+
+SCHEMA = (
+    "country string, window_start string, window_end string, parent_request string, http_status int, api_result_code string, api_result_msg string, parsed boolean, raised boolean, "
+    "response_bytes long, gzip_bytes long, sha256 string, elapsed_seconds double, retry_count int, raw_path string, parse_error string, exception string, requested_at string, finished_at string"
+)
+NAMES = [x.split()[0] for x in SCHEMA.split(", ")]
+#: Longest pause between attempts, seconds; bytes that are read at once.
+LONGEST_PAUSE, CHUNK = 8, 1 << 20
+
+
+def now() -> str:
+    return datetime.now(timezone.utc).isoformat(timespec="seconds")
+
+
+def decoded_key(key: str) -> str:
+    """A service key as it is, whether the portal's encoded or decoded form was given."""
+    return urllib.parse.unquote(key.strip())
+
+
+def redacted(text: str, key: str = "") -> str:
+    text = re.sub(r"(?i)(serviceKey=)[^&\s]+", r"\1[REDACTED]", text)
+    return text.replace(key, "[REDACTED]") if key else text
+
+
+def read_dotenv(path: str) -> dict[str, str]:
+    """NAME=value lines of a file; the environment keeps what it has already."""
+    if not os.path.exists(path):
+        return {}
+    with open(path, encoding="utf-8") as f:
+        pairs = [line.strip().partition("=") for line in f if "=" in line and not line.lstrip().startswith("#")]
+    found = {name.strip(): value.strip().strip("\"'") for name, _, value in pairs}
+    for name, value in found.items():
+        os.environ.setdefault(name, value)
+    return found
+
+
+def raw_path(country: str, start: str, end: str) -> str:
+    """Where a request's answer is kept, below the data folder."""
+    return f"raw/year={start[:4]}/country={country}/response_{start}-{end}.xml.gz"
+
+
+def manifest_path(country: str, start: str, end: str) -> str:
+    return f"audits/manifests/year={start[:4]}/country={country}/request_{start}-{end}.json"
+
+
+def store(data_dir: str, name: str, data: bytes) -> str:
+    """Write a file on the shared store from an executor; it appears under its name when it is whole."""
+    from pyarrow import fs
+
+    system, top = fs.FileSystem.from_uri(data_dir if "://" in data_dir or data_dir.startswith("file:") else f"file://{os.path.abspath(data_dir)}")
+    path = f"{top}/{name}"
+    system.create_dir(path.rpartition("/")[0], recursive=True)
+    with system.open_output_stream(f"{path}.tmp") as out:
+        out.write(data)
+    system.move(f"{path}.tmp", path)
+    return f"{data_dir}/{name}"
+
+
+def told(body: bytes) -> tuple[str | None, str | None, str | None]:
+    """(code, message, parse error) of an answer: the service's header, or else the gateway's envelope; any name spaces."""
+    first: dict[str, str] = {}
+    try:
+        for _, node in ElementTree.iterparse(io.BytesIO(body)):
+            name = node.tag.rpartition("}")[2]
+            if name in ("resultCode", "resultMsg", "returnReasonCode", "returnAuthMsg", "errMsg"):
+                first.setdefault(name, (node.text or "").strip())
+            elif name == "item":
+                node.clear()
+    except ElementTree.ParseError as error:
+        return None, None, f"ParseError: {error}"
+    code = first.get("resultCode") if "resultCode" in first else first.get("returnReasonCode") or None
+    message = first["resultMsg"] if "resultMsg" in first else first.get("returnAuthMsg") or first.get("errMsg") or None
+    return code, message, None
+
+
+def download(country: str, start: str, end: str, parent: str | None, options: dict[str, str]) -> dict:
+    """Send one request until its body is whole or attempts run out, keep the body, and say what came.
+
+    Bodies that tell of quota or rights are kept whatever their HTTP status, and not asked for again.  The key
+    is in no result.
+    """
+    url, key = options["url"], decoded_key(options.get("key", ""))
+    retries, timeout, pause = int(options.get("retries", 2)), float(options.get("timeout", 180)), float(options.get("pause", 1))
+    query = urllib.parse.urlencode({"serviceKey": key, "strtYymm": start, "endYymm": end, "cntyCd": country})
+    row = dict.fromkeys(NAMES) | {"country": country, "window_start": start, "window_end": end, "parent_request": parent, "requested_at": now(), "response_bytes": 0, "gzip_bytes": 0, "raised": True}
+    began, body = time.monotonic(), None
+    for attempt in range(retries + 1):
+        row["retry_count"], row["exception"] = attempt, None
+        try:
+            try:
+                answer = urllib.request.urlopen(f"{url}?{query}", timeout=timeout)
+            except urllib.error.HTTPError as error:
+                row["http_status"] = error.code
+                if error.code not in TELLING_HTTP:
+                    raise
+                answer = error
+            with answer:
+                row["http_status"], parts, sha = answer.status, [], hashlib.sha256()
+                while part := answer.read(CHUNK):
+                    parts.append(part)
+                    sha.update(part)
+            length = answer.headers.get("Content-Length")
+            body = b"".join(parts)
+            if length is not None and int(length) > len(body):
+                body = None
+                raise OSError(f"{length} bytes announced, fewer came")
+            row["sha256"], row["raised"] = sha.hexdigest(), False
+            break
+        except (OSError, ValueError) as error:  # HTTPError is an OSError
+            row["exception"] = redacted(f"{type(error).__name__}: {error}", key)
+            if isinstance(error, urllib.error.HTTPError) and error.code not in SPLITTABLE_HTTP:
+                break
+        if attempt < retries:
+            time.sleep(min(2**attempt, LONGEST_PAUSE) * pause)
+    if body is not None:
+        packed = gzip.compress(body, 6, mtime=0)
+        row["raw_path"] = store(options["data_dir"], raw_path(country, start, end), packed)
+        code, message, error = told(body)
+        row |= {"response_bytes": len(body), "gzip_bytes": len(packed), "api_result_code": code, "api_result_msg": message, "parse_error": error, "parsed": error is None}
+    return row | {"elapsed_seconds": round(time.monotonic() - began, 3), "finished_at": now()}
+
+
+def fetch(requests: DataFrame, options: dict[str, str], at_once: int = 4) -> DataFrame:
+    """``download`` over (country, window_start, window_end, parent_request), at most ``at_once`` at a time.
+
+    A task that is lost is run again; its file is written again under the same name.
+    """
+    delay = float(options.get("delay", 0.15))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in batch.to_pylist():
+                row = download(r["country"], r["window_start"], r["window_end"], r["parent_request"], options)
+                yield pa.RecordBatch.from_pylist([row], schema=ARROW)
+                time.sleep(delay)
+
+    return requests.select("country", "window_start", "window_end", "parent_request").repartition(at_once).mapInArrow(run, SCHEMA)
+
+
+ARROW = pa.schema([(x.split()[0], {"string": pa.string(), "int": pa.int32(), "long": pa.int64(), "double": pa.float64(), "boolean": pa.bool_()}[x.split()[1]]) for x in SCHEMA.split(", ")])
 
 
 class Request(InputPartition):
@@ -38,28 +189,12 @@ class TradeApi(DataSource):
 
 class TradeApiReader(DataSourceReader):
     def __init__(self, options):
-        self.url, self.key = options["url"], urllib.parse.unquote(options.get("key", ""))
+        self.options = {k: options[k] for k in ("url", "key", "data_dir", "retries", "timeout", "pause") if k in options}
         self.requests = json.loads(options.get("requests", "[]"))
-        self.attempts, self.timeout = int(options.get("attempts", 3)), float(options.get("timeout", 60))
 
     def partitions(self) -> list[Request]:
         return [Request(*r) for r in self.requests]
 
     def read(self, partition: Request) -> Iterator[tuple]:
-        """One row; a failure is a row too, with its error and without the key."""
-        query = urllib.parse.urlencode({"serviceKey": self.key, "strtYymm": partition.start, "endYymm": partition.end, "cntyCd": partition.country})
-        status, body, error, n = None, None, None, 0
-        for n in range(1, self.attempts + 1):
-            try:
-                with urllib.request.urlopen(f"{self.url}?{query}", timeout=self.timeout) as got:
-                    status, body, error = got.status, got.read(), None
-                break
-            except urllib.error.HTTPError as e:
-                status, error = e.code, f"HTTP {e.code}"
-                if e.code in (401, 403):
-                    break
-            except (OSError, ValueError) as e:
-                error = str(e).replace(self.key, "[REDACTED]") if self.key else str(e)
-            time.sleep(min(30, 2**n) if n < self.attempts else 0)
-        digest = hashlib.sha256(body).hexdigest() if body is not None else None
-        yield partition.country, partition.start, partition.end, status, n, len(body) if body is not None else None, digest, body, error
+        row = download(partition.country, partition.start, partition.end, None, self.options)
+        yield tuple(row[n] for n in NAMES)

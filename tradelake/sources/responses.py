@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.months import parse_year_month
+from ..functions.months import months_between, parse_year_month
 from ..functions.text import strip
 from ..schemas import ITEM, MANIFEST
 
@@ -13,7 +13,7 @@ from ..schemas import ITEM, MANIFEST
 PATH = r"country=([^/]+)/response_([0-9]{6})-([0-9]{6})"
 
 
-def read_xml(spark: SparkSession, path: str, tag: str, schema: str) -> DataFrame:
+def read_xml(spark: SparkSession, path: str | list[str], tag: str, schema: str) -> DataFrame:
     """Elements of one tag as text columns; damaged files fail the job.
 
     Folder names aren't taken for columns: ``year=`` would replace the item's own year.
@@ -22,7 +22,7 @@ def read_xml(spark: SparkSession, path: str, tag: str, schema: str) -> DataFrame
     return reader.schema(schema).load(path)
 
 
-def read_items(spark: SparkSession, path: str) -> DataFrame:
+def read_items(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Items with their file and their order in it (a gzip file is one task, so ids ascend in document order)."""
     rows = read_xml(spark, path, "item", ITEM)
     return rows.select("*", F.col("_metadata.file_path").alias("source"), F.monotonically_increasing_id().alias("ordinal"))
@@ -61,12 +61,17 @@ def inspect_responses(items: DataFrame) -> DataFrame:
 
 
 def read_manifests(spark: SparkSession, path: str) -> DataFrame:
-    """Successful requests of a folder of manifests, with the time that orders them; broken files are left out."""
-    rows = spark.read.option("multiLine", "true").option("mode", "PERMISSIVE").schema(MANIFEST).json(path)
+    """Successful requests of a folder of manifests, with the time that orders them; broken files are left out.
+
+    ``finished_at`` is that time: of the answer, else of the request, else the file's.  ``stated_at`` is the text
+    that the manifest has.  A window that isn't two months is an error.
+    """
+    rows = spark.read.option("multiLine", "true").option("mode", "PERMISSIVE").option("recursiveFileLookup", "true").schema(MANIFEST).json(path)
     fallback = F.col("_metadata.file_modification_time")
-    finished = F.coalesce(F.try_to_timestamp(F.coalesce("finished_at", "requested_at")), fallback)
-    good = rows.select("*", finished.alias("__at"), F.col("_metadata.file_path").alias("path")).where("success and status = 'success' and length(window_start) = 6 and length(window_end) = 6")
-    return good.withColumn("finished_at", F.col("__at")).drop("__at")
+    said = F.coalesce(F.nullif("finished_at", F.lit("")), F.nullif("requested_at", F.lit("")))
+    good = rows.select("*", F.coalesce(F.try_to_timestamp(said), fallback).alias("__at"), F.col("_metadata.file_path").alias("path")).where("success and status = 'success'")
+    month = lambda c: F.when(F.coalesce(F.length(c), F.lit(0)) == 6, F.col(c)).otherwise(F.raise_error(F.concat(F.lit("invalid manifest window: "), F.col("path"))).cast("string"))
+    return good.withColumns({"stated_at": F.col("finished_at"), "country": F.upper("country"), "window_start": month("window_start"), "window_end": month("window_end")}).withColumn("finished_at", F.col("__at")).drop("__at")
 
 
 def require_known_countries(sources: DataFrame, partners: DataFrame) -> None:

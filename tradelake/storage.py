@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import tempfile
 import uuid
 
@@ -41,13 +42,49 @@ def write_bytes(spark: SparkSession, path: str, data: bytes) -> None:
     rename(spark, f"{path}.tmp", path)
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder under ``spark.checkpoint.dir`` (a temporary one where that is unset), removed at the end."""
+def read_bytes(spark: SparkSession, path: str) -> bytes:
+    """A small file's content."""
+    fs, there = _fs(spark, path)
+    stream = fs.open(there)
+    try:
+        return bytes(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toByteArray(stream))
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    write_bytes(spark, path, text.encode())
+
+
+def copy(spark: SparkSession, source: str, target: str) -> None:
+    """A file or folder to another place, possibly in another store."""
+    fs, there = _fs(spark, source)
+    if not fs.exists(there):
+        raise FileNotFoundError(source)
+    to_fs, to = _fs(spark, target)
+    spark.sparkContext._jvm.org.apache.hadoop.fs.FileUtil.copy(fs, there, to_fs, to, False, spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def files(spark: SparkSession, path: str) -> list[tuple[str, int]]:
+    """(path, bytes) of the files right below a folder."""
+    fs, there = _fs(spark, path)
+    return sorted((x.getPath().toString(), x.getLen()) for x in fs.listStatus(there) if x.isFile())
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """``spark.checkpoint.dir``; where it is unset, a temporary folder on one machine and an error on a cluster."""
     top = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not top:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         top = tempfile.mkdtemp(prefix="tradelake-")
         spark.conf.set("spark.checkpoint.dir", top)
-    path = f"{top.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return top.rstrip("/")
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder under ``shared_dir``, removed at the end."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
     def clean() -> None:
         try:
@@ -59,8 +96,10 @@ def scratch(spark: SparkSession, name: str) -> str:
     return path
 
 
-def swap(spark: SparkSession, staging: str, target: str) -> None:
+def swap(spark: SparkSession, staging: str, target: str, overwrite: bool = True) -> None:
     """Put a finished folder in the place of another; the old one comes back if that fails."""
+    if not overwrite and exists(spark, target):
+        raise FileExistsError(target)
     backup = f"{target}.backup-{uuid.uuid4().hex}"
     had = exists(spark, target)
     if had:
