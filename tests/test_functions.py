@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from tradelake.functions import months as m
@@ -13,7 +14,10 @@ def test_months(spark):
     lit = F.lit
     assert one(spark, m.shift_month(lit("202501"), -1)) == "202412"
     assert one(spark, m.months_between(lit("201211"), lit("201302"))) == ["201211", "201212", "201301", "201302"]
-    assert one(spark, m.months_between(lit("201302"), lit("201211"))) is None
+    with pytest.raises(Exception, match="Invalid window"):
+        one(spark, m.months_between(lit("201302"), lit("201211")))
+    assert one(spark, m.months_between(lit(None).cast("string"), lit("201211"))) is None
+    assert tuple(one(spark, m.analysis_bounds(lit("202607")))) == ("202508", "202408", "202507", "201901")
     assert [tuple(x) for x in one(spark, m.split_window(lit("202501"), lit("202512")))] == [("202501", "202503"), ("202504", "202506"), ("202507", "202509"), ("202510", "202512")]
     assert [tuple(x) for x in one(spark, m.split_window(lit("202501"), lit("202503")))] == [("202501", "202501"), ("202502", "202502"), ("202503", "202503")]
     assert one(spark, m.split_window(lit("202501"), lit("202501"))) == []
@@ -25,13 +29,13 @@ def test_months(spark):
 
 
 def test_as_int(spark):
-    cases = {"1,234": 1234, " 42　": 42, "-": None, "": None, "12.9": 12, "-12.9": -12, "n/a": None, "-5": -5, "1e3": 1000, None: None}
+    cases = {"1,234": 1234, " 42　": 42, "-": None, "": None, "12.9": 12, "-12.9": -12, "n/a": None, "-5": -5, "+7": 7, "12.": 12, "\u2003\u00a01,0\u3000": 10, "\x1c8\x85": 8, "nan": None, "--1": None, " - ": None, "1e3": 1000, None: None}
     rows = spark.createDataFrame([(k,) for k in cases], "x string").select("x", t.as_int(F.col("x")).alias("y")).collect()
     assert {r["x"]: r["y"] for r in rows} == cases
 
 
 def test_text_damage(spark):
-    cases = {"정상 한글": None, "a�\x00": "replacement_character", "a\x00\x01": "nul", "a\x01": "control_character", "a\t\r\nb": None}
+    cases = {"정상 한글": None, "a�\x00": "replacement_character", "a\x00\x01": "nul_character", "a\x01": "control_character", "a\t\r\nb": None}
     rows = spark.createDataFrame([(k,) for k in cases], "x string").select("x", t.bad_unicode_reason(F.col("x")).alias("y"), t.has_hangul(F.col("x")).alias("h")).collect()
     assert {r["x"]: r["y"] for r in rows} == cases
     assert [r["x"] for r in rows if r["h"]] == ["정상 한글"]
@@ -44,12 +48,20 @@ def test_keys(spark):
     assert not one(spark, t.reaches_level(F.lit("12345678901"), 8))
 
 
+def test_labels(spark):
+    assert one(spark, t.label_or(F.lit("  "), F.lit("01"))) == "01" and one(spark, t.label_or(F.lit(None).cast("string"), F.lit("01"))) == "01" and one(spark, t.label_or(F.lit(" x "), F.lit("01"))) == "x"
+    assert one(spark, t.short_label(F.lit("abcdef"), 3)) == "abc"
+
+
 def test_outcomes(spark):
-    s = lambda *a: one(spark, outcome_status(*map(F.lit, a)))
-    assert s(True, "00", 200, "", True) == "success"
-    assert s(False, "22", 429, "", True) == "quota_exceeded"
-    assert s(False, "23", 200, "", True) == "rate_limited"
-    assert s(False, "99", 403, "", True) == "auth_error"
-    assert s(False, "99", 200, "", False) == "parse_error"
-    assert s(False, "99", 500, None, True) == "api_error"
-    assert one(spark, should_split(F.lit("api_error"), F.lit(12))) and not one(spark, should_split(F.lit("auth_error"), F.lit(12)))
+    s = lambda http, code, said="", parsed=True, raised=False: one(spark, outcome_status(F.lit(http).cast("int"), F.lit(code).cast("string"), F.lit(said), F.lit(parsed), F.lit(raised)))
+    assert s(200, "00") == "success" and s(500, "00") == "api_error" and s(200, "01") == "api_error" and s(200, None) == "api_error"
+    assert s(429, "22") == "quota_exceeded" and s(200, "99", "Limited_Number_Of_Service_Requests_Exceeds_Error") == "quota_exceeded"
+    assert s(200, "23") == "rate_limited" and s(429, None) == "rate_limited" and s(200, "99", "LIMITED_NUMBER_OF_SERVICE_REQUESTS_PER_SECOND_EXCEEDS_ERROR") == "rate_limited"
+    assert s(403, None) == "auth_error" and s(200, "30") == "auth_error" and s(200, "00", "", False) == "parse_error"
+    assert s(None, None, raised=True) == "transport_error" and s(503, None, raised=True) == "transport_error" and s(200, None, raised=True) == "transport_error" and s(403, None, raised=True) == "transport_error"
+    assert s(410, None, raised=True) == "http_error"
+    split = lambda status, http, months: one(spark, should_split(F.lit(status), F.lit(http).cast("int"), F.lit(months)))
+    assert split("transport_error", None, 12) and split("transport_error", 504, 3)
+    for status, http, months in (("transport_error", None, 1), ("transport_error", 200, 12), ("api_error", 500, 12), ("parse_error", 200, 12), ("http_error", 410, 12), ("success", 200, 12), ("auth_error", 403, 12)):
+        assert not split(status, http, months), (status, http, months)

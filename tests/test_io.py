@@ -3,50 +3,44 @@ import json
 
 import pytest
 
-from tradelake import storage
+from tradelake import schemas, storage
 from tradelake.functions.text import MEASURES
-from tradelake.plans import release, stage11
-from tradelake.sources import dimensions, html_tables, responses, workbook
+from tradelake.operators import rollup
+from tradelake.plans import editions, release
+from tradelake.sources import dimensions, html_tables, responses, web, workbook
 from tradelake.sources.fixtures import workbook_bytes
 from tradelake.streaming import refresh
 
 ITEM = "<item><year>{}</year><statCd>{}</statCd><hsCd>{}</hsCd><statKor>말</statKor><expDlr>{}</expDlr><expWgt>1</expWgt><impDlr>{}</impDlr><impWgt>1</impWgt><balPayments>{}</balPayments></item>"
 
 
-def write_response(root, country, start, end, rows, finished):
-    raw = root / "raw" / f"year={start[:4]}" / f"country={country}"
-    raw.mkdir(parents=True, exist_ok=True)
-    items = "".join(ITEM.format(y, c, h, e, i, e - i) for y, c, h, e, i in rows)
-    page = f"<response><header><resultCode>00</resultCode><resultMsg>ok</resultMsg></header><body><items><item><year>total</year><hsCd>-</hsCd></item>{items}</items></body></response>"
+def write_response(root, country, start, end, rows, finished, total=None, name="말"):
+    """A response and its manifest in their places; ``total`` replaces the sums that its total row states."""
+    raw, manifests = root / f"raw/year={start[:4]}/country={country}", root / f"audits/manifests/year={start[:4]}/country={country}"
+    for folder in (raw, manifests):
+        folder.mkdir(parents=True, exist_ok=True)
+    items = "".join(ITEM.format(y, c, h, e, i, e - i).replace("말", name) for y, c, h, e, i in rows)
+    e, i = total or (sum(r[3] for r in rows), sum(r[4] for r in rows))
+    said = f"<item><year>total</year><statCd>-</statCd><hsCd>-</hsCd><statKor>-</statKor><expDlr>{e}</expDlr><expWgt>{len(rows)}</expWgt><impDlr>{i}</impDlr><impWgt>{len(rows)}</impWgt><balPayments>{e - i}</balPayments></item>"
+    page = f"<response><header><resultCode>00</resultCode><resultMsg>ok</resultMsg></header><body><items>{said}{items}</items></body></response>"
     (raw / f"response_{start}-{end}.xml.gz").write_bytes(gzip.compress(page.encode()))
-    (root / "manifests").mkdir(exist_ok=True)
-    (root / "manifests" / f"{country}_{start}-{end}.json").write_text(json.dumps({"country": country, "window_start": start, "window_end": end, "success": True, "status": "success", "finished_at": finished}))
+    (manifests / f"request_{start}-{end}.json").write_text(json.dumps({"country": country, "window_start": start, "window_end": end, "success": True, "status": "success", "requested_at": finished, "finished_at": finished}))
 
 
 @pytest.fixture
 def collected(tmp_path):
-    write_response(tmp_path, "US", "202501", "202503", [("2025.01", "US", "0101219000", 10, 4), ("2025.02", "US", "0101219000", 20, 5), ("2025.02", "US", "761699", 7, 0)], "2026-01-01T00:00:00+00:00")
+    write_response(tmp_path, "US", "202501", "202503", [("2025.01", "US", "0101219000", 10, 4), ("2025.02", "US", "0101219000", 20, 5), ("2025.02", "US", "761699", 7, 0), ("2025.03", "US", "0101219000", 1, 0)], "2026-01-01T00:00:00+00:00")
     write_response(tmp_path, "US", "202501", "202501", [("2025.01", "US", "0101219000", 11, 4)], "2026-02-01T00:00:00+00:00")
     return tmp_path
 
 
-def test_stage11(spark, collected, tmp_path):
-    editions = spark.createDataFrame([(2025, "0101219000", "HSK-2025")], "reference_year int, hs10 string, hs_revision string")
-    partners = spark.createDataFrame([("US",)], "country_code string")
-    report = stage11.run(spark, str(collected / "manifests"), str(collected / "raw"), editions, partners, str(tmp_path / "out"))
-    assert (report["assigned"], report["canonical"], report["quarantine"]) == (3, 2, 1)
-    got = {(r["month"], r["export_usd"], r["hs_revision"]) for r in spark.read.parquet(str(tmp_path / "out/hs10")).collect()}
-    assert got == {("202501", 11, "HSK-2025"), ("202502", 20, "HSK-2025")}
-    assert {r["hs6"]: r["export_usd"] for r in spark.read.parquet(str(tmp_path / "out/hs6")).where("month = '202502'").collect()} == {"010121": 20, "761699": 7}
-
-
 def test_status_of_responses(spark, collected):
     (collected / "raw/year=2025/country=US/response_202504-202504.xml.gz").write_bytes(gzip.compress(b"<OpenAPI_ServiceResponse><cmmMsgHeader><errMsg>E</errMsg><returnAuthMsg>LIMIT</returnAuthMsg><returnReasonCode>22</returnReasonCode></cmmMsgHeader></OpenAPI_ServiceResponse>"))
     assert sorted((r["code"], r["message"]) for r in responses.read_status(spark, str(collected / "raw")).collect()) == [("00", "ok"), ("00", "ok"), ("22", "LIMIT")]
 
 
 def test_missing_raw_and_unknown_country(spark, collected):
-    sources = responses.read_manifests(spark, str(collected / "manifests"))
+    sources = responses.read_manifests(spark, str(collected / "audits/manifests"))
     assert responses.without_raw_file(spark, sources, str(collected / "raw")).count() == 0
     with pytest.raises(ValueError):
         responses.require_known_countries(sources, spark.createDataFrame([("JP",)], "country_code string"))
@@ -60,17 +54,72 @@ def test_partner_csv_keeps_na(spark, tmp_path):
         dimensions.read_partners(spark, str(tmp_path / "p.csv"), "country_code string, un_m49 string", ["JP"])
 
 
-def test_html_tables():
-    page = '<form><input type="hidden" name="srchYear" value="2025"><a href="?chapter=01">1</a><a href="?chapter=02">2</a></form>'
-    assert html_tables.year_index(page, "2025") == ("2025", ["01", "02"])
-    with pytest.raises(ValueError):
-        html_tables.year_index(page, "2024")
-    chapter = '<table><tbody id="tblLstBody"><tr><td>0101.21-9000</td><td>말 &amp; 소</td><td>Horses</td></tr><tr><td>0101</td><td>x</td></tr></tbody></table>'
-    assert html_tables.chapter_rows(chapter, "01") == [(0, "0101219000", "말 & 소", "Horses")]
-    with pytest.raises(ValueError):
-        html_tables.chapter_rows(chapter, "02")
-    un = "<table><tr><th>Country or Area</th><th>M49 Code</th><th>ISO-alpha2 Code</th><th>ISO-alpha3 Code</th></tr><tr><td>Namibia</td><td>516</td><td>NA</td><td>NAM</td></tr><tr><td>x</td><td>1</td><td></td><td>y</td></tr></table>"
+INDEX = '<form><input name="aplyYy" value="2022" /><input name="sctYear" value="20220101" /><input name="hstdYear" value=" 20220101 " /><input name="hstdCd" value="02" /><input name="hstdCd" value="01" /><input name="hstdCd" value="01" /><input name="hstdCd" value="0101" /></form>'
+
+
+def code_row(code, *names):
+    cells = "".join(f'<td class="x hlzoneWrd"><a>{n}</a></td>' for n in names)
+    return f'<tr><td><input name="hsSgn_Mn" value="{code}" /></td><td>x</td><td>y</td>{cells}</tr>'
+
+
+def chapter_page(*rows):
+    return f'<table><tbody id="other">{code_row("0101210000", "no", "no")}</tbody></table><table><tbody id="tblLstBody">{"".join(rows)}</tbody></table>'
+
+
+def test_tariff_pages():
+    assert html_tables.year_index(INDEX, 2022) == {"year": 2022, "clip_sct_year": "20220101", "clip_hstd_year": "20220101", "chapters": ["01", "02"]}
+    for page, year in ((INDEX, 2021), ("<form><input name='aplyYy' value='2022'></form>", 2022), ("", 2022)):
+        with pytest.raises(ValueError):
+            html_tables.year_index(page, year)
+    page = chapter_page(code_row("010121", "heading", "heading"), code_row("0101211000", "농가 <b>사육용</b>", "For farm &amp; breeding"), code_row("0101219000", "기타"), code_row("0101219000"))
+    assert html_tables.chapter_rows(page, "01") == [(0, "0101211000", "농가 사육용", "For farm & breeding"), (1, "0101219000", "기타", None), (2, "0101219000", None, None)]
+    with pytest.raises(ValueError, match="out-of-prefix"):
+        html_tables.chapter_rows(page, "02")
+
+
+def test_country_table():
+    un = "<table><tr><th>Country or Area</th><th>M49 Code</th><th>ISO-alpha2 Code</th><th>ISO-alpha3 Code</th></tr><tr><td>Namibia</td><td>516</td><td>NA</td><td>NAM</td></tr><tr><td>x</td><td>1</td><td></td><td>y</td></tr><tr><td>short</td></tr></table>"
     assert html_tables.alpha2_table(un) == [("Namibia", "516", "NA", "NAM")]
+    with pytest.raises(ValueError):
+        html_tables.alpha2_table("<table><tr><th>Country</th></tr></table>")
+
+
+def test_editions_of_several_years(spark, tmp_path):
+    chapters, index = "reference_year int, chapter string, html string", "reference_year int, html string"
+    old, new = code_row("6815910000", "구 정의", "Old"), code_row("6815910000", "신 정의", "New")
+    pages = [(2021, "68", chapter_page(old)), (2022, "68", chapter_page(old, new, code_row("6815990000", "기타", "Other"), code_row("6815990000", "기타 (상세)", "Other"))), (2023, "68", chapter_page(new))]
+    indexes = [(y, INDEX.replace("2022", str(y)).replace('"01"', '"68"')) for y in (2021, 2022, 2023)]
+    figures = editions.build(spark, spark.createDataFrame(indexes, index), spark.createDataFrame(pages, chapters), str(tmp_path / "all"))
+    assert figures == {"rows": 4, "year_rows": {"2021": 1, "2022": 2, "2023": 1}, "duplicate_name_variants": 2, "reviewed": 1, "resolved": 1, "unresolved": 0, "annual_name_rewrites": 1}
+    got = {(r["reference_year"], r["hs10"]): r for r in spark.read.parquet(str(tmp_path / "all")).collect()}
+    assert got[2022, "6815910000"]["name_ko"] == "신 정의" and got[2022, "6815990000"]["name_ko"] == "기타 (상세)" and got[2021, "6815910000"]["valid_to"] == "2021-12-31" and got[2021, "6815910000"]["hs6"] == "681591"
+    kinds = {f.name: f.dataType.simpleString() for f in spark.read.parquet(str(tmp_path / "all")).schema}
+    assert kinds == dict(x.split() for x in schemas.EDITION.split(", "))
+    with pytest.raises(ValueError, match="conflict"):
+        editions.build(spark, spark.createDataFrame(indexes, index), spark.createDataFrame(pages[:2], chapters), str(tmp_path / "all"))
+    with pytest.raises(ValueError, match="conflicting copies"):
+        editions.build(spark, spark.createDataFrame(indexes, index), spark.createDataFrame([(2021, "68", chapter_page(old)), (2021, "", chapter_page(old))], chapters), str(tmp_path / "all"))
+    assert spark.read.parquet(str(tmp_path / "all")).count() == 4
+
+
+def test_pages_are_cached(spark, tmp_path):
+    asked = []
+
+    def fetch(kind, form):
+        asked.append((kind, form["aplyYy"], form["sctYear"], form["searchVal"]))
+        return (INDEX if kind == "index" else f"<p>{form['searchVal']} 말</p>").encode()
+
+    index, pages, reused = editions.cached_pages(spark, 2022, str(tmp_path), fetch)
+    assert [p[1:] for p in pages] == [("01", "<p>01 말</p>"), ("02", "<p>02 말</p>")] and reused == 0
+    assert asked == [("index", "2022", "", ""), ("detail", "2022", "20220101", "01"), ("detail", "2022", "20220101", "02")]
+    assert editions.cached_pages(spark, 2022, str(tmp_path), fetch, only=["02"])[1:] == ([(2022, "02", "<p>02 말</p>")], 2) and len(asked) == 3
+    editions.cached_pages(spark, 2022, str(tmp_path), fetch, force=True)
+    assert len(asked) == 6
+    with pytest.raises(ValueError, match="unknown"):
+        editions.cached_pages(spark, 2022, str(tmp_path), fetch, only=["77"])
+    with pytest.raises(UnicodeDecodeError):
+        web.html_text(b"\xff")
+    assert web.attachments('<a href="/f.xlsx?x=1">Codes</a><a href="d?id=3">list <b>two</b>.xlsx</a><a href="x.pdf">x</a>', "http://h/p/") == [("http://h/f.xlsx?x=1", "Codes"), ("http://h/p/d?id=3", "list two .xlsx")]
 
 
 def test_workbook(spark, tmp_path):
@@ -91,7 +140,7 @@ def test_swap_keeps_the_old_table_on_failure(spark, tmp_path):
 
 def test_release_metadata_and_text_gate(spark, tmp_path):
     df = spark.createDataFrame([("202607", "010121", 1)], "month string, hs6 string, value bigint")
-    fields = json.loads(release.metadata("t", "d", {"a.parquet": df}))["resources"][0]["schema"]["fields"]
+    fields = release.metadata("t", "d", {"a.parquet": df}, keywords=["x"])["resources"][0]["schema"]["fields"]
     assert [f["type"] for f in fields] == ["string", "string", "integer"]
     (tmp_path / "good.txt").write_text("한글")
     (tmp_path / "bad.txt").write_bytes(b"\xff")
@@ -110,5 +159,26 @@ def test_refresh_stream(spark, tmp_path):
     assert got == {"202501": "b.json", "202502": "a.json", "202503": "a.json"}
 
 
-def test_measures_are_five():
-    assert len(MEASURES) == 5
+def test_monthly_folders_and_one_table(spark, tmp_path):
+    df = spark.createDataFrame([("202502", "US", "0101219000", 2), ("202501", "US", "0101219000", 1), ("202501", "JP", "0101219000", 3)], "month string, country_code string, hs10 string, value bigint")
+    release.write_monthly(df, str(tmp_path / "m"), ["country_code", "hs10"])
+    assert sorted(p.parent.relative_to(tmp_path / "m").as_posix() for p in (tmp_path / "m").rglob("*.parquet")) == ["year=2025/mm=01", "year=2025/mm=02"]
+    for files in (1, None):
+        info = release.consolidate(spark, str(tmp_path / "m"), str(tmp_path / f"one-{files}"), ["month", "country_code", "hs10"], files)
+        assert (info["rows"], info["source_files"], len(info["sha256"]), info["columns"]) == (3, 2, 64, df.columns)
+    assert [r["value"] for r in spark.read.parquet(str(tmp_path / "one-1")).collect()] == [3, 1, 2]
+    with pytest.raises(Exception):
+        release.consolidate(spark, str(tmp_path / "nothing"), str(tmp_path / "x"), ["month"])
+    release.write_csv(df, str(tmp_path / "c.csv"), ["month"])
+    figures = release.copy_with_figures(spark, str(tmp_path / "c.csv"), str(tmp_path / "d.csv"))
+    assert (figures["rows"], figures["columns"], len(figures["sha256"])) == (3, df.columns, 64)
+    with pytest.raises(FileNotFoundError):
+        release.copy_with_figures(spark, str(tmp_path / "gone.csv"), str(tmp_path / "e.csv"))
+
+
+def test_level_schemas(spark):
+    assert schemas.level_schema(4).startswith("month string, country_code string, hs4 string, hs2 string, export_usd bigint") and schemas.level_schema(4).endswith("has_residual boolean")
+    f = spark.createDataFrame([("202501", "US", "0101219000", 1, 1, 0, 0, 1)], "month string, country_code string, hs10 string, " + ", ".join(f"{m} bigint" for m in MEASURES))
+    for level in (8, 6, 4, 2):
+        made = rollup.with_residuals(f, f.select("month", f.country_code.alias("requested_country"), f.hs10.alias("hs_code_raw"), *MEASURES), level)
+        assert {(x.name, x.dataType.simpleString()) for x in made.schema} == {tuple(x.split()) for x in schemas.level_schema(level).split(", ")}

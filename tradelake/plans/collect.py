@@ -65,19 +65,26 @@ def kept_outcomes(spark: SparkSession, data_dir: str, roots: DataFrame, like: Da
     return known.join(missing, ["country", "window_start", "window_end"], "left_anti").select(like.columns)
 
 
-def collect_with_split(spark: SparkSession, roots: DataFrame, options: dict[str, str], at_once: int = 4) -> DataFrame:
+def collect_with_split(spark: SparkSession, roots: DataFrame, options: dict[str, str], at_once: int = 4, force: bool = True) -> DataFrame:
     """Outcomes of roots and, where transport failed, of their parts: years into quarters, quarters into months.
 
     Each round is one DataFrame of requests, so a round's parts are fetched together; there are three at most.
+    Unless ``force`` is set, a request that succeeded earlier and whose answer is kept isn't sent again.
     """
-    path, done = storage.scratch(spark, "collect"), []
-    todo = roots.select("country", "window_start", "window_end", F.lit(None).cast("string").alias("parent_request"))
+    path, key, done = storage.scratch(spark, "collect"), ["country", "window_start", "window_end"], []
+    todo = roots.select(*key, F.lit(None).cast("string").alias("parent_request"))
     while True:
+        found = []
+        if not force:
+            like = judged(spark, spark.createDataFrame([], http_api.SCHEMA))
+            found.append(spark.createDataFrame(kept_outcomes(spark, options["data_dir"], todo, like).collect(), like.schema))  # a round's
+            todo = todo.join(found[0], key, "left_anti")
         http_api.fetch(todo, options, at_once).write.parquet(f"{path}/answers-{len(done)}")
-        judged(spark, spark.read.parquet(f"{path}/answers-{len(done)}")).write.parquet(f"{path}/outcomes-{len(done)}")
-        done.append(spark.read.parquet(f"{path}/outcomes-{len(done)}"))
+        found.append(judged(spark, spark.read.schema(http_api.SCHEMA).parquet(f"{path}/answers-{len(done)}")))
+        reduce(DataFrame.unionByName, found).write.parquet(f"{path}/outcomes-{len(done)}")
+        done.append(spark.read.schema(found[-1].schema).parquet(f"{path}/outcomes-{len(done)}"))
         failed = done[-1].where(should_split(F.col("status"), F.col("http_status"), window_size(F.col("window_start"), F.col("window_end"))))
-        parts = outcomes.split_parts(failed.select("country", "window_start", "window_end")).select("country", F.col("part_start").alias("start"), F.col("part_end").alias("end"), outcomes.request_key().alias("parent_request"))
+        parts = outcomes.split_parts(failed.select(*key)).select("country", F.col("part_start").alias("start"), F.col("part_end").alias("end"), outcomes.request_key().alias("parent_request"))
         if parts.isEmpty():
             return reduce(DataFrame.unionByName, done)
         todo = parts.select("country", F.col("start").alias("window_start"), F.col("end").alias("window_end"), "parent_request")
@@ -109,15 +116,11 @@ def collect(spark: SparkSession, roots: DataFrame, options: dict[str, str], wave
     schema, found, stopped, reused = "country string, window_start string, window_end string", [], None, 0
     for at in range(0, len(plan), wave):
         asked = spark.createDataFrame(plan[at : at + wave], schema)
-        todo, kept, attempt = asked, None, 0
+        attempt = 0
         if not force:
-            like = judged(spark, spark.createDataFrame([], http_api.SCHEMA))
-            kept = spark.createDataFrame(kept_outcomes(spark, data_dir, asked, like).collect(), like.schema)  # a wave's
-            todo = asked.join(kept, ["country", "window_start", "window_end"], "left_anti")
-            reused += kept.count()
+            reused += kept_outcomes(spark, data_dir, asked, judged(spark, spark.createDataFrame([], http_api.SCHEMA))).count()
         while True:
-            parts = [x for x in (None if todo.isEmpty() else collect_with_split(spark, todo, options, at_once), kept) if x is not None]
-            done = reduce(DataFrame.unionByName, parts)
+            done = collect_with_split(spark, asked, options, at_once, force)
             totals = outcomes.run_totals(done).first()
             if not totals["rate_limited"] or attempt == rate_limit_retries:
                 break
