@@ -528,8 +528,7 @@ def test_toxicity_reads_every_disguise(spark):
         "mor.on": "moron", "st-upid": "stupid", "id_iot": "idiot", "i*d*i*o*t": "idiot", "(stupid)": "stupid", "an": "an",
     }.items():
         assert word in restore.words(f"the {disguised} there"), (disguised, restore.words(disguised))
-    grams = {f"^^{w}$"[i : i + 3]: 50 for w in ("worthless", "the", "well", "known") for i in range(len(w) + 1)}
-    restore = toxicity.Restorer(toxicity.CharModel(grams))
+    restore = toxicity.Restorer(toxicity.CharModel(dict.fromkeys(("worthless", "the", "well", "known"), 50)))
     assert "worthless" in restore.words("worthle$$") and "worthless" in restore.words("worthle$$!!")
     assert restore.words("the! 12-34 (the) the*** known.") == {"the", "12-34", "known"}
     assert {"well", "known", "well-known"} <= restore.words("well-known")

@@ -12,22 +12,22 @@ scripts.  Features and weights are learned from a bounded sample of labelled row
 
 from __future__ import annotations
 
+import itertools
 import math
 import re
 import unicodedata
 import uuid
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import Kept, Workspace, bound_batches, id_remainder, worker_value
 from .labelled import SAMPLE_ROWS, labelled_sample
+from .shingles import chain
 
 #: The letters that a sign is commonly written for.
 SIGNS = {
@@ -46,6 +46,8 @@ PREFIXES = (4, 5, 6)
 THRESHOLD = 0.3
 #: Counts of the character model; words that a worker keeps in each of two generations.
 BINS, WORDS_KEPT = 1 << 20, 150_000
+#: Paths of a lattice that are looked through for features before it is searched.
+ENUMERATED = 32
 EDGES = " \t\n\r\v\f.,;:!?\"'()[]{}<>%&$#*|+=-_~^/\\`«»„“”…¡¿@"
 OPEN = "".join(c for c in EDGES if c not in SIGNS)
 SPACED = re.compile(r"(?<!\S)(?:[^\W_]|[@$!|+(€£¡§*#])(?:[\s.,\-_~/:;·•]+(?:[^\W_]|[@$!|+(€£¡§*#])){2,}(?![^\s.,;:!?])")
@@ -55,47 +57,67 @@ LETTER = re.compile(r"[^\W\d_]")
 SPLIT = " "
 
 
-def bin_of(gram: str) -> int:
-    return xxhash.xxh3_64_intdigest(gram) & BINS - 1
+#: Kinds of counts: a trigram, its last two characters, its last one, the contexts of these, and all.
+THREE, TWO, ONE, CONTEXT, MIDDLE, ALL = range(6)
+WORD = (1 << 64) - 1
 
 
-def gram_counts(words: dict[str, int]) -> Counter:
-    """Counts of words' character trigrams."""
-    counts: Counter = Counter()
-    for word, n in words.items():
-        padded = f"^^{word}$"
-        for i in range(len(padded) - 2):
-            counts[padded[i : i + 3]] += n
-    return counts
+def bins_of(kind: int, *characters: np.ndarray) -> np.ndarray:
+    """The bins of counts of a kind, for arrays of code points."""
+    n = len(characters[0]) if characters else 1
+    return (chain([np.full(n, kind, np.uint64), *(c.astype(np.uint64) for c in characters)]) & np.uint64(BINS - 1)).astype(np.int64)
 
 
-def hashed(counts: dict[str, int]) -> np.ndarray:
-    """Counts of trigrams, of their last two characters and last one, and of the contexts, in hashed bins."""
-    bins = np.zeros(BINS, np.int64)
-    for g, c in counts.items():
-        for key in (g, "2" + g[1:] + "2", "1" + g[2] + "11", "c" + g[:2] + "c", "m" + g[1] + "mm", "total"):
-            bins[bin_of(key)] += c
-    return bins
+def bin_of(kind: int, characters: str = "") -> int:
+    """The same for one count, in plain numbers."""
+
+    def mixed(x: int) -> int:
+        x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 & WORD
+        x = (x ^ x >> 27) * 0x94D049BB133111EB & WORD
+        return x ^ x >> 31
+
+    out = mixed(kind + len(characters) + 1)
+    for c in characters:
+        out = mixed(out * 0x9E3779B97F4A7C15 + ord(c) & WORD)
+    return out & BINS - 1
+
+
+def hashed(words: list[str], times: np.ndarray) -> np.ndarray:
+    """Counts of the trigrams of ``^^word$``, of their parts and contexts, in hashed bins."""
+    bins = np.zeros(BINS)
+    if words:
+        text = np.frombuffer("".join([f"^^{w}$" for w in words]).encode("utf-32-le"), np.uint32)
+        lengths = np.fromiter(map(len, words), np.int64, len(words)) + 3
+        own = np.ones(len(text), bool)
+        ends = np.cumsum(lengths)
+        own[ends - 1] = own[ends - 2] = False  # a trigram doesn't reach into the next word
+        at = np.flatnonzero(own)
+        n = np.repeat(times, lengths - 2).astype(float)
+        x, y, z = text[at], text[at + 1], text[at + 2]
+        for where in (bins_of(THREE, x, y, z), bins_of(TWO, y, z), bins_of(ONE, z), bins_of(CONTEXT, x, y), bins_of(MIDDLE, y)):
+            bins += np.bincount(where, n, BINS)
+        bins[bin_of(ALL)] += n.sum()
+    return bins.astype(np.int64)
 
 
 class CharModel:
-    """Character trigrams with counts of shorter contexts mixed in, from hashed counts (or a dict of trigrams)."""
+    """Character trigrams with counts of shorter contexts mixed in, from hashed counts (or a dict of words)."""
 
     def __init__(self, counts: np.ndarray | dict[str, int]):
-        self.bins = hashed(counts) if isinstance(counts, dict) else counts
-        self.total = self.count("total")
+        self.bins = hashed(list(counts), np.array(list(counts.values()))) if isinstance(counts, dict) else counts
+        self.total = self.count(ALL)
         self.memo: dict[str, float] = {}
 
-    def count(self, key: str) -> int:
-        return int(self.bins[bin_of(key)])
+    def count(self, kind: int, characters: str = "") -> int:
+        return int(self.bins[bin_of(kind, characters)])
 
     def log(self, gram: str) -> float:
         out = self.memo.get(gram)
         if out is None:
             n = self.count
-            p = (n("1" + gram[2] + "11") + 0.5) / (self.total + 200)
-            p = (n("2" + gram[1:] + "2") + 5 * p) / (n("m" + gram[1] + "mm") + 5)
-            p = (n(gram) + 5 * p) / (n("c" + gram[:2] + "c") + 5)
+            p = (n(ONE, gram[2]) + 0.5) / (self.total + 200)
+            p = (n(TWO, gram[1:]) + 5 * p) / (n(MIDDLE, gram[1]) + 5)
+            p = (n(THREE, gram) + 5 * p) / (n(CONTEXT, gram[:2]) + 5)
             if len(self.memo) >= WORDS_KEPT:
                 self.memo.clear()
             out = self.memo[gram] = math.log(p)
@@ -163,6 +185,10 @@ def decode(token: str, model: CharModel) -> str:
     return "".join(reversed(parts))
 
 
+def unseparated(token: str) -> str:
+    return "".join([c for c in token if c in SIGNS or is_letter(c)])
+
+
 class Restorer:
     """Words of a text as they were meant, each distinct word worked out once."""
 
@@ -172,7 +198,7 @@ class Restorer:
     def readings(self, token: str) -> set[str]:
         """The words of the most likely path, and the one word that the token is without its separators."""
         out = set(decode(token, self.model).split())
-        joined = "".join(c for c in token if c in SIGNS or is_letter(c))
+        joined = unseparated(token)
         if len(joined) < len(token):
             out.add(decode(joined, self.model))
         return out
@@ -205,15 +231,12 @@ def count_grams(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     """The character model's counts over the words of all texts: one pass, a row for each bin and task at most."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter = Counter()
+        bins = np.zeros(BINS, np.int64)
         for batch in batches:
-            words: Counter = Counter()
-            for kind in pc.utf8_split_whitespace(pc.utf8_lower(batch.column(0))).flatten().value_counts().to_pylist():
-                word = kind["values"].strip(EDGES)
-                if word.isalpha():
-                    words[word] += kind["counts"]
-            counts.update(gram_counts(words))
-        bins = hashed(counts)
+            words = pc.utf8_split_whitespace(pc.utf8_lower(pc.fill_null(batch.column(0), ""))).flatten().dictionary_encode()
+            times = np.bincount(words.indices.to_numpy(), minlength=len(words.dictionary))
+            kept = [(w, n) for w, n in zip([w.strip(EDGES) for w in words.dictionary.to_pylist()], times.tolist()) if w.isalpha()]
+            bins += hashed([w for w, _ in kept], np.array([n for _, n in kept]))
         at = np.flatnonzero(bins)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(bins[at], pa.int64())], names=["bin", "n"])
 
@@ -243,9 +266,20 @@ class Model:
         def known(words) -> tuple[str, ...]:
             return tuple({f for w in words for f in features_of(w) if f in weights})
 
+        def hopeless(token: str) -> bool:
+            """Whether no reading of a token holds a feature: then it needs no search."""
+            steps = lattice(token)
+            return math.prod(map(len, steps)) <= ENUMERATED and not any(known("".join([x for x, _ in path]).split(SPLIT)) for path in itertools.product(*steps))
+
+        def of_word(raw: str) -> tuple[str, ...]:
+            plain, bare = raw.strip(EDGES), raw.strip(OPEN)
+            if not LETTER.search(bare) or not SEVERAL.search(bare) or all(map(hopeless, {bare, unseparated(bare)})):
+                return known((plain,))
+            return known(restorer.word(raw))
+
         def score(text: str | None) -> float:
             text = (text or "").lower()
-            found = set().union(*kept.all(list(set(text.split())), lambda new: [known(restorer.word(raw)) for raw in new]))
+            found = set().union(*kept.all(list(set(text.split())), lambda new: list(map(of_word, new))))
             found.update(*map(known, restorer.spaced(text)))
             z = bias + math.fsum(weights[f] for f in found)
             return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
