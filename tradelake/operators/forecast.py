@@ -7,6 +7,7 @@ from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..storage import shared_dir
 from .analytics import LAGS, ROLLS, calendar_features, lag_features, next_month_features, rolling_features
 
 FEATURES = [*(f"lag_{n}" for n in LAGS), *(f"mean_{n}" for n in ROLLS), "month_sin", "month_cos"]
@@ -26,8 +27,11 @@ def as_vectors(rows: DataFrame) -> DataFrame:
 
 def fit(rows: DataFrame, trees: int = TREES, step: float = STEP, depth: int = DEPTH) -> GBTRegressionModel:
     """The panel is chosen codes by months, so it's small: one partition, kept in memory, spares hundreds of short stages."""
+    context = rows.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:  # boosting cuts its lineage every ten trees
+        context.setCheckpointDir(shared_dir(rows.sparkSession))
     small = rows.select("features", "log_value").coalesce(1).cache()
-    model = GBTRegressor(featuresCol="features", labelCol="log_value", maxIter=trees, stepSize=step, maxDepth=depth, lossType="absolute", checkpointInterval=-1, seed=42).fit(small)
+    model = GBTRegressor(featuresCol="features", labelCol="log_value", maxIter=trees, stepSize=step, maxDepth=depth, lossType="absolute", checkpointInterval=10, seed=42).fit(small)
     small.unpersist()
     return model
 
