@@ -39,6 +39,8 @@ from .shingles import chain, words_of
 
 #: Longest n-grams; text of a block, n-grams of a bucket (about), words of a lane.
 ORDER, BLOCK_BYTES, BUCKET_GRAMS, LANE_WORDS = 3, 8 << 20, 4_000_000, 1_024
+#: Bits of an n-gram's fingerprint; of 100 million n-grams no two are expected to share one.
+KEY_BITS = 56
 #: Strength of the backoff distribution in a context, in occurrences.
 MU = 30.0
 END, START = 0, 1
@@ -120,7 +122,7 @@ def grams(words: bytes, tokens: np.ndarray, held: np.ndarray, order: int) -> tup
             before[back:] = own[:-back]
             before[place < back] = h[START]
             columns.insert(0, before)
-        keys, first, number = np.unique(chain(columns), return_index=True, return_inverse=True)
+        keys, first, number = np.unique(chain(columns) >> np.uint64(64 - KEY_BITS), return_index=True, return_inverse=True)
         found.append((keys, number.astype(np.int32), np.bincount(number[train], minlength=len(keys)).astype(np.uint32), first.astype(np.int32)))
     return found, starts, place
 
@@ -133,7 +135,7 @@ def requests(blocks: DataFrame, order: int, bits: int) -> DataFrame:
             for row in batch.to_pylist():
                 found, _, _ = grams(row["words"], unpack(row["tokens"], "u4"), np.array(row["held"], bool), order)
                 for n, (keys, _, counts, _) in enumerate(found, 1):
-                    cuts = np.searchsorted(keys, np.arange(1, 1 << bits, dtype=np.uint64) << np.uint64(64 - bits)) if bits else np.empty(0, int)
+                    cuts = np.searchsorted(keys, np.arange(1, 1 << bits, dtype=np.uint64) << np.uint64(KEY_BITS - bits)) if bits else np.empty(0, int)
                     out = []
                     for bucket, (k, c) in enumerate(zip(np.split(keys, cuts), np.split(counts, cuts))):
                         if len(k):
