@@ -32,13 +32,13 @@ def classify(raw: DataFrame) -> DataFrame:
     numbers, negative money, a balance that doesn't add up.  A key counts as seen even if its first row
     fails later.  A negative weight is a warning on a canonical row.
     """
-    rows = with_measures(raw)
     mismatch = (F.coalesce("country_code_raw", F.lit("")) != "") & (F.col("country_code_raw") != F.col("requested_country"))
     full = F.coalesce(is_full_code(F.col("hs_code_raw")), F.lit(False))
     seen = F.row_number().over(Window.partitionBy("source", "month", "hs_code_raw", "__eligible").orderBy("ordinal"))
     missing = F.coalesce(*[F.when(F.col(m).isNull(), F.lit(f"missing/invalid numeric field {FIELD_NAMES[c]}")) for m, c in RAW.items()])
     money, weight = (F.col("export_usd") < 0) | (F.col("import_usd") < 0), (F.col("export_weight_kg") < 0) | (F.col("import_weight_kg") < 0)
-    rows = rows.withColumn("__eligible", ~mismatch & full).withColumn("__nth", seen)
+    # numbers are read after the shuffle, by as many tasks as there are partitions, not where a few large files are scanned
+    rows = with_measures(raw.withColumn("__eligible", ~mismatch & full).withColumn("__nth", seen))
     reason = (
         F.when(mismatch, "country_mismatch").when(~full, "non_hs10_code").when(F.col("__nth") > 1, "duplicate_key").when(missing.isNotNull(), missing)
         .when(money, "negative amount").when(F.col("export_usd") - F.col("import_usd") != F.col("trade_balance_usd"), "trade balance mismatch")

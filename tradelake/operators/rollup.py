@@ -74,9 +74,20 @@ def with_residuals(facts: DataFrame, residuals: DataFrame, level: int) -> DataFr
 
 
 def all_levels(facts: DataFrame, residuals: DataFrame | None = None) -> DataFrame:
-    """Every level in long form (level, code)."""
-    found = cascade(facts, residuals)
-    out = reduce(DataFrame.unionByName, [groups.withColumn("level", F.lit(level)) for level, groups in found.items()])
+    """Every level in long form (level, code), from one scan of the facts.
+
+    Rows are summed, map-side first, to the finest level that each reaches; only those groups are dealt to the
+    coarser levels and summed again.
+    """
+    zero = [F.lit(0).cast("bigint").alias(f"residual_{m}") for m in MEASURES]
+    rows = facts.select("month", "country_code", level_of(F.col("hs10"), LEVELS[0]).alias("code"), F.lit(LEVELS[0]).alias("own"), *MEASURES, *zero, F.lit(1).cast("bigint").alias("source_row_count"), F.lit(0).cast("bigint").alias("exception_row_count"))
+    if residuals is not None:
+        short = in_months_of(facts, residuals).withColumn("own", F.array_max(F.filter(F.array(*map(F.lit, LEVELS)), lambda n: n <= F.length("hs_code_raw"))))
+        rows = rows.unionByName(short.select("month", "country_code", F.substring("hs_code_raw", F.lit(1), F.col("own")).alias("code"), "own", *MEASURES, *[F.col(m).alias(f"residual_{m}") for m in MEASURES], F.lit(1).cast("bigint").alias("source_row_count"), F.lit(1).cast("bigint").alias("exception_row_count")))
+    values = [c for c in rows.columns if c not in (*KEYS, "own")]
+    finest = rows.groupBy(*KEYS, "own").agg(*[F.sum(c).alias(c) for c in values])
+    dealt = finest.withColumn("level", F.explode(F.filter(F.array(*map(F.lit, LEVELS)), lambda n: n <= F.col("own")))).withColumn("code", F.substring("code", F.lit(1), F.col("level")))
+    out = dealt.groupBy("level", *KEYS).agg(*[F.sum(c).alias(c) for c in values])
     if residuals is None:
         return out.select("level", *KEYS, *MEASURES, "source_row_count")
     return out.withColumn("has_residual", F.col("exception_row_count") > 0)
