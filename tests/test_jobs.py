@@ -8,13 +8,13 @@ from http.server import BaseHTTPRequestHandler, ThreadingHTTPServer
 from urllib.parse import parse_qs, urlparse
 
 import pytest
-from test_io import collected, write_response  # noqa: F401
 from pyspark.sql import functions as F
+from test_io import collected, write_response  # noqa: F401
 
 from tradelake import cli
 from tradelake.operators import outcomes
 from tradelake.plans import collect, release, report, stage11
-from tradelake.sources import http_api
+from tradelake.sources import http_api, web
 
 KEY = "SECRET+KEY=="
 ENVELOPE = "<OpenAPI_ServiceResponse><cmmMsgHeader><errMsg>SERVICE ERROR</errMsg><returnAuthMsg>{}</returnAuthMsg><returnReasonCode>{}</returnReasonCode></cmmMsgHeader></OpenAPI_ServiceResponse>"
@@ -62,6 +62,18 @@ class Service(BaseHTTPRequestHandler):
         return self.reply(200, good)
 
 
+    def do_POST(self):
+        form = parse_qs(self.rfile.read(int(self.headers["Content-Length"])).decode(), keep_blank_values=True)
+        self.asked["POST", self.path] += 1
+        if self.path == "/empty":
+            return self.reply(200, "")
+        if self.path == "/later" and self.asked["POST", self.path] == 1:
+            return self.reply(503, "")
+        if self.path == "/never":
+            return self.reply(404, "")
+        return self.reply(200, f"{form['cntyNm'][0]} {form['searchVal'][0]}")
+
+
 @pytest.fixture(scope="module")
 def service():
     server = ThreadingHTTPServer(("127.0.0.1", 0), Service)
@@ -136,6 +148,20 @@ def test_plan_and_data_source(spark, service, tmp_path):
     assert http_api.redacted(f"x?serviceKey=abc&y {KEY}", KEY) == "x?serviceKey=[REDACTED]&y [REDACTED]"
 
 
+def test_forms_and_attachments(spark, service, tmp_path):
+    Service.asked.clear()
+    top = service.rpartition("/")[0]
+    assert web.post(f"{top}/form", web.form(2022, {"clip_sct_year": "1"}, "01")).decode() == "한국 01"
+    assert web.post(f"{top}/later", web.form(2022), pause=0).decode() == "한국 " and Service.asked["POST", "/later"] == 2
+    with pytest.raises(Exception, match="404"):
+        web.post(f"{top}/never", web.form(2022), pause=0)
+    assert Service.asked["POST", "/never"] == 1
+    with pytest.raises(RuntimeError, match="empty"):
+        web.post(f"{top}/empty", web.form(2022))
+    n = web.download(spark, f"{service}?serviceKey=SECRET%2BKEY%3D%3D&cntyCd=VN&strtYymm=202501&endYymm=202501", str(tmp_path / "a.xml"))
+    assert (tmp_path / "a.xml").stat().st_size == n > 100
+
+
 def references(folder, partners=("US",), codes=("0101219000",)):
     import pandas as pd
 
