@@ -62,7 +62,7 @@ def expected_records(rows):
 
 
 def test_records_round_trip(spark, odd, tmp_path):
-    got = token_records.token_table(odd.withColumn("start", F.lit(1)), P.path("byte_bpe_50k.json"), 0, str(tmp_path / "r")).collect()
+    got = token_records.token_table(odd.withColumns({"start": F.lit(1), "shard": F.lit("x"), "offset": F.lit(None)}), P.path("byte_bpe_50k.json"), 0, str(tmp_path / "r")).collect()
     want, total = expected_records(ODD)
     assert sorted(((r["doc_id"], r["n_tokens"], r["ids_crc32"]) for r in got), key=key) == want
     ordered = sorted(got, key=lambda r: (r["shard"], r["ordinal"]))
@@ -230,7 +230,8 @@ def test_bpe_matches_the_library(odd, empty, documents):
         for i, t in rows:
             ids = library.encode_ordinary(t or "")
             want.append((i, len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256((t or "").encode()).hexdigest()))
-        got = byte_bpe.encode_texts(df, P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN, with_ids=True)
+        clash = df.withColumns({"n_tokens": F.lit("x"), "ids": F.lit(1), "ids_sha256": F.lit(None)})
+        got = byte_bpe.encode_texts(clash, P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN, with_ids=True)
         assert {tuple(r)[:4] for r in got.collect()} == set(want) and got.count() == df.count()
 
 
@@ -479,7 +480,11 @@ def test_url_rules_on_odd_urls(spark):
     df = spark.createDataFrame([(u, "x", 1) for u in cases] * 2, "url string, host string, verdict int")
     got = url_rules.judge_urls(df, url_rules.rules_frame(spark, queries.URL_RULES)).collect()
     assert len(got) == 2 * len(cases) and all((r["host"], r["path"], r["rule"], r["verdict"]) == cases[r["url"]] for r in got)
-    none = url_rules.judge_urls(df, url_rules.rules_frame(spark, queries.URL_RULES).limit(0)).collect()
+    rules = url_rules.rules_frame(spark, queries.URL_RULES)
+    assert url_rules.judge_urls(df.limit(0), rules).collect() == [] and url_rules.judge_urls(df.where("false"), rules.where("false")).collect() == []
+    long = spark.createDataFrame([("http://a.net/es/" + "x" * 100_000, 1)], "url string, short int")
+    assert url_rules.judge_urls(long, rules).first()["rule"] == "net/es/"
+    none = url_rules.judge_urls(df, rules.limit(0)).collect()
     assert {r["verdict"] for r in none} == {"allow"}
 
 
