@@ -11,7 +11,7 @@ from .. import storage
 from ..operators import reference
 from ..sources import html_tables, web
 
-SOURCE, KEY = "Korea Customs Service CLIP", ["reference_year", "hs10"]
+SOURCE, KEY = "annual tariff tables", ["reference_year", "hs10"]
 
 
 def cached_pages(spark: SparkSession, year: int, cache: str, fetch: Callable[[str, dict], bytes], force: bool = False, only: list[str] | None = None) -> tuple[dict, list[tuple[int, str, str]], int]:
