@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, decontaminate, html_text, near_dup, ngram_lm, quality, token_records, toxicity, url_rules, vector_search
+from . import byte_bpe, decontaminate, html_text, line_dedup, near_dup, ngram_lm, periodic_runs, quality, token_records, toxicity, url_rules, vector_search, whitening
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -61,5 +61,20 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), k=16)
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.find_runs(periodic_runs.with_cycles(table(spark, sf_dir, "documents")), min_length=12, digests=True)
+    exponent = F.floor(F.col("length") * 1000 / F.col("period")).cast("long").alias("exponent_milli")
+    return found.select("doc_id", "n_runs", "start", "length", "period", exponent, F.col("runs").alias("runs_sha256"), F.col("collapsed").alias("collapsed_sha256"), "n_words")
+
+
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup.dedup_lines(table(spark, sf_dir, "documents"), min_length=10)
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 def queries() -> dict:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}

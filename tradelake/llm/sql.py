@@ -46,6 +46,18 @@ d AS (SELECT page_id, url, trim(regexp_replace(x, '\\s+', ' ', 'g')) AS text FRO
 SELECT page_id, url, text, CAST(length(text) AS BIGINT) AS n_chars FROM d
 """
 
+LINE_DEDUP = """
+WITH lines AS (
+  SELECT doc_id, unnest(l) AS line, unnest(range(1, len(l) + 1)) AS i
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents)),
+keyed AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k FROM lines),
+firsts AS (SELECT k, min(doc_id) AS first FROM keyed WHERE length(k) >= 10 GROUP BY k HAVING count(DISTINCT doc_id) >= 2),
+judged AS (SELECT y.*, first IS NOT NULL AND first <> doc_id AS gone FROM keyed y LEFT JOIN firsts f ON y.k = f.k)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM judged GROUP BY doc_id
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_near_dup": NEAR_DUP, "op6_html_text": HTML_TEXT, "op8_url_rules": URL_RULES}
+    return {"op2_near_dup": NEAR_DUP, "op6_html_text": HTML_TEXT, "op8_url_rules": URL_RULES, "op13_line_dedup": LINE_DEDUP}
