@@ -2,76 +2,117 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
-from pyspark.sql import DataFrame, Window
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..storage import shared_dir
+from ..storage import scratch
 from .analytics import LAGS, ROLLS, calendar_features, lag_features, next_month_features, rolling_features
+from .boosting import DEPTH, STEP, TREES, Boosted, fit
 
 FEATURES = [*(f"lag_{n}" for n in LAGS), *(f"mean_{n}" for n in ROLLS), "month_sin", "month_cos"]
 LOGGED = [c for c in FEATURES if not c.startswith("month")]
-#: Trees, their weight and depth, and how often a feature is dealt anew; Spark's boosting has no Huber loss, so absolute loss stands for it.
-TREES, STEP, DEPTH, REPEATS = 300, 0.03, 3, 8
+#: How often a feature is dealt anew.
+REPEATS = 8
 
 
-def design(panel: DataFrame, code: str) -> DataFrame:
-    rows = calendar_features(rolling_features(lag_features(panel, code), code)).dropna(subset=FEATURES)
-    return as_vectors(rows.withColumns({c: F.log1p(F.greatest(F.col(c).cast("double"), F.lit(0.0))) for c in LOGGED}))
+def logged(rows: DataFrame) -> DataFrame:
+    return rows.withColumns({c: F.log1p(F.greatest(F.col(c).cast("double"), F.lit(0.0))) for c in LOGGED})
 
 
-def as_vectors(rows: DataFrame) -> DataFrame:
-    return VectorAssembler(inputCols=FEATURES, outputCol="features").transform(rows)
+def design(panel: DataFrame, code: str) -> DataFrame:
+    return logged(calendar_features(rolling_features(lag_features(panel, code), code)).dropna(subset=FEATURES))
 
 
-def fit(rows: DataFrame, trees: int = TREES, step: float = STEP, depth: int = DEPTH) -> GBTRegressionModel:
-    """The panel is chosen codes by months, so it's small: one partition, kept in memory, spares hundreds of short stages."""
-    context = rows.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:  # boosting cuts its lineage every ten trees
-        context.setCheckpointDir(shared_dir(rows.sparkSession))
-    small = rows.select("features", "log_value").coalesce(1).cache()
-    model = GBTRegressor(featuresCol="features", labelCol="log_value", maxIter=trees, stepSize=step, maxDepth=depth, lossType="absolute", checkpointInterval=10, seed=42).fit(small)
-    small.unpersist()
-    return model
+def learned(rows: DataFrame, trees: int = TREES, step: float = STEP, depth: int = DEPTH) -> Boosted:
+    return fit(rows, FEATURES, "log_value", trees, step, depth)
 
 
-def predicted(model: GBTRegressionModel, rows: DataFrame) -> DataFrame:
-    return model.transform(rows).withColumn("forecast", F.greatest(F.expm1("prediction"), F.lit(0.0)))
+def predicted(model: Boosted, rows: DataFrame) -> DataFrame:
+    return rows.withColumn("forecast", F.greatest(F.expm1(model.column(F.array(*FEATURES))), F.lit(0.0)))
 
 
-def forecast(panel: DataFrame, code: str, cutoff: str) -> DataFrame:
+def forecast(panel: DataFrame, code: str, cutoff: str, **sizes) -> DataFrame:
     """Forecasts of the months after ``cutoff`` by a model that has seen none of them."""
     rows = design(panel, code)
-    model = fit(rows.where(F.col("month") <= cutoff))
+    model = learned(rows.where(F.col("month") <= cutoff), **sizes)
     return predicted(model, rows.where(F.col("month") > cutoff)).select(code, "month", "import_usd", F.round("forecast", 2).alias("forecast"))
 
 
-def forecast_next(panel: DataFrame, code: str) -> DataFrame:
+def forecast_next(panel: DataFrame, code: str, **sizes) -> DataFrame:
     """The month after the panel, by a model of all its months."""
-    model = fit(design(panel, code))
+    model = learned(design(panel, code), **sizes)
     nxt = calendar_features(next_month_features(panel, code).withColumn("import_usd", F.lit(0).cast("bigint"))).dropna(subset=FEATURES)
-    nxt = as_vectors(nxt.withColumns({c: F.log1p(F.greatest(F.col(c).cast("double"), F.lit(0.0))) for c in LOGGED}))
-    return predicted(model, nxt).select(code, "month", F.round("forecast", 2).alias("forecast"))
+    return predicted(model, logged(nxt)).select(code, "month", F.round("forecast", 2).alias("forecast"))
 
 
-def importance(panel: DataFrame, code: str, cutoff: str, repeats: int = REPEATS) -> DataFrame:
+def dealt(i: np.ndarray, n: int, key: int) -> np.ndarray:
+    """A pseudo-random permutation of 0 .. n - 1 at some places: a keyed four-round network on as many bits, walked until it is below n.
+
+    So each row finds its partner by itself, without a sort of the whole table.
+    """
+    half = np.uint64(max(1, ((n - 1).bit_length() + 1) // 2))
+    mask, x = (np.uint64(1) << half) - np.uint64(1), np.array(i, np.uint64)
+    todo = np.ones(len(x), bool)
+    while todo.any():
+        left, right = x[todo] >> half, x[todo] & mask
+        for r in range(4):
+            h = (right + np.uint64((key * 4 + r + 1) * 0x9E3779B97F4A7C15 % (1 << 64))) * np.uint64(0xBF58476D1CE4E5B9)
+            h = (h ^ (h >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
+            left, right = right, left ^ ((h >> np.uint64(32)) & mask)
+        x[todo] = (left << half) | right
+        todo[todo] = x[todo] >= n
+    return x.astype(np.int64)
+
+
+def numbered(rows: DataFrame, order: list[str]) -> tuple[DataFrame, int]:
+    """Rows with ``n`` from 0 in an order, and how many there are: sorted by ranges, then counted from each range's first number."""
+    path = scratch(rows.sparkSession, "numbered")
+    rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumns({"__part": F.spark_partition_id(), "__at": F.monotonically_increasing_id()}).write.parquet(path)
+    rows = rows.sparkSession.read.parquet(path)
+    sizes = rows.groupBy("__part").agg(F.count("*").alias("size"), F.min("__at").alias("low")).orderBy("__part").collect()  # as many as there are partitions
+    starts, total = [], 0
+    for r in sizes:
+        starts.append((r["__part"], total - r["low"]))
+        total += r["size"]
+    offsets = F.broadcast(rows.sparkSession.createDataFrame(starts, "__part int, __first bigint"))
+    return rows.join(offsets, "__part").withColumn("n", F.col("__at") + F.col("__first")).drop("__part", "__at", "__first"), total
+
+
+def importance(panel: DataFrame, code: str, cutoff: str, repeats: int = REPEATS, **sizes) -> DataFrame:
     """How much the log-scale error grows when a feature's values are dealt anew among the test rows.
 
-    The test rows are a bounded panel (chosen codes by months), so numbering them is a small sort.  All features
-    and repeats are one table that the model scores once.
+    Test rows are numbered; for each feature and repeat a permutation of the numbers names the row whose value
+    replaces a row's own.  Values come by a join on (number, feature), so no task holds a whole column.
     """
     rows = design(panel, code)
-    model = fit(rows.where(F.col("month") <= cutoff))
-    test = rows.where(F.col("month") > cutoff).withColumn("n", F.row_number().over(Window.orderBy(code, "month"))).select("n", "log_value", *FEATURES)
-    trials = test.withColumn("trial", F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), F.lit(r).alias("repeat")) for f in FEATURES for r in range(repeats)])))
-    trials = trials.select("n", "log_value", *FEATURES, "trial.feature", "trial.repeat")
-    dealt = Window.partitionBy("feature", "repeat").orderBy(F.xxhash64("repeat", "feature", "n"))
-    order = trials.select("feature", "repeat", F.row_number().over(dealt).alias("n"), F.col("n").alias("from"))
-    given = test.select(F.col("n").alias("from"), F.struct(*FEATURES).alias("other"))
-    mixed = trials.join(order, ["feature", "repeat", "n"]).join(given, "from")
-    mixed = mixed.select("feature", "repeat", "log_value", *[F.when(F.col("feature") == c, F.col(f"other.{c}")).otherwise(F.col(c)).alias(c) for c in FEATURES])
-    plain = test.select(F.lit("").alias("feature"), F.lit(0).alias("repeat"), "log_value", *FEATURES)
-    scored = model.transform(as_vectors(mixed.unionByName(plain))).groupBy("feature", "repeat").agg(F.avg(F.abs(F.col("prediction") - F.col("log_value"))).alias("mae"))
-    base = scored.where("feature = ''").select(F.col("mae").alias("base"))
-    return scored.where("feature <> ''").crossJoin(F.broadcast(base)).groupBy("feature").agg(F.round(F.avg(F.col("mae") - F.col("base")), 9).alias("importance"))
+    model = learned(rows.where(F.col("month") <= cutoff), **sizes)
+    return permuted(model, rows.where(F.col("month") > cutoff).select(code, "month", "log_value", *FEATURES), [code, "month"], repeats)
+
+
+def permuted(model: Boosted, test: DataFrame, order: list[str], repeats: int) -> DataFrame:
+    test, total = numbered(test, order)
+    if not total:
+        return test.sparkSession.createDataFrame([], "feature string, importance double")
+    test = test.select("n", "log_value", F.array(*FEATURES).alias("x"))
+    error = lambda x: F.abs(model.column(x) - F.col("log_value"))
+    kinds = len(FEATURES)
+
+    def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = batch.column(0).to_numpy()
+            for j in range(kinds):
+                for r in range(repeats):
+                    columns = [batch.column(1), batch.column(2), pa.array(np.full(len(n), j, np.int32)), pa.array(np.full(len(n), r, np.int32)), pa.array(dealt(n, total, j * repeats + r))]
+                    yield pa.RecordBatch.from_arrays(columns, names=["log_value", "x", "j", "repeat", "from"])
+
+    trials = test.mapInArrow(pair, "log_value double, x array<double>, j int, repeat int, from bigint")
+    values = test.select(F.col("n").alias("from"), F.posexplode("x").alias("j", "value"))
+    mixed = trials.join(values, ["from", "j"]).withColumn("x", F.transform("x", lambda v, i: F.when(i == F.col("j"), F.col("value")).otherwise(v)))
+    scored = mixed.groupBy("j").agg(F.avg(error(F.col("x"))).alias("mae"))
+    base = test.agg(F.avg(error(F.col("x"))).alias("base"))
+    named: Column = F.element_at(F.array(*map(F.lit, FEATURES)), F.col("j") + 1)
+    return scored.crossJoin(F.broadcast(base)).select(named.alias("feature"), F.round(F.col("mae") - F.col("base"), 9).alias("importance"))
