@@ -133,23 +133,24 @@ class Kept:
 
     def all(self, words: list, make) -> list:
         """The results of all ``words``; ``make`` gives those of a list of new ones."""
-        young, old = self.young, self.old
-        out = list(map(young.get, words))
-        new = []
-        for i in [i for i, x in enumerate(out) if x is None]:
-            word = words[i]
-            x = out[i] = old.get(word)
-            if x is None:
-                new.append(i)
-            else:
-                young[word] = x
-        if new:
-            for i, x in zip(new, make([words[i] for i in new])):
+        out = list(map(self.young.get, words))
+        missing = [i for i, x in enumerate(out) if x is None]
+        if missing:
+            asked = [words[i] for i in missing]
+            found = list(map(self.old.get, asked))
+            new = [w for w, x in zip(asked, found) if x is None]
+            if new:
+                made = iter(make(new))
+                found = [next(made) if x is None else x for x in found]
+            for i, x in zip(missing, found):
                 out[i] = x
-                if len(words[i]) <= KEPT_LENGTH:
-                    young[words[i]] = x
-        if len(young) > self.limit:
-            self.old, self.young = young, {}
+            self.young.update(zip(asked, found))
+            if max(map(len, asked)) > KEPT_LENGTH:
+                for w in asked:
+                    if len(w) > KEPT_LENGTH:
+                        self.young.pop(w, None)
+        if len(self.young) > self.limit:
+            self.old, self.young = self.young, {}
         return out
 
     def one(self, word, make):

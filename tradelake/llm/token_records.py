@@ -144,7 +144,7 @@ def tokenizer_encoder(tokenizer_path: str, end_id: int, special_as_text: bool) -
         for i, part in enumerate(parts):
             end = marks.get(part[-1:])
             word = part[:-1] if end else part
-            if word.isalpha() and max(word) <= LAST_LETTER:
+            if word.isalpha() and (word.isascii() or max(word) <= LAST_LETTER):
                 plain.append(word)
                 where.append(i)
                 ends.append(end or b"")
