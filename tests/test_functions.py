@@ -29,11 +29,17 @@ def test_months(spark):
 
 
 def test_as_int(spark):
-    cases = {"1,234": 1234, " 42　": 42, "-": None, "": None, "12.9": 12, "-12.9": -12, "n/a": None, "-5": -5, "+7": 7, "12.": 12, "\u2003\u00a01,0\u3000": 10, "\x1c8\x85": 8, "nan": None, "--1": None, " - ": None, "1e3": 1000, None: None}
+    cases = {"1,234": 1234, " 42　": 42, "-": None, "": None, "12.9": 12, "-12.9": -12, "n/a": None, "-5": -5, "+7": 7, "12.": 12, "\u2003\u00a01,0\u3000": 10, "\x1c8\x85": 8, "nan": None, "--1": None, " - ": None, "1e3": 1000, None: None, "12d": None, "5f": None, "0x1p3": None, "1e400": None, "9223372036854775807": 2**63 - 1, "9223372036854775808": None, "-9223372036854775808": -(2**63), "-9223372036854775809": None, "1_000": 1000, "1__0": None, "_1": None, ".5": 0, ".": None, "Infinity": None, "1e18": 10**18, "9.3e18": None, "\x0012": None}
     rows = spark.createDataFrame([(k,) for k in cases], "x string").select("x", t.as_int(F.col("x")).alias("y")).collect()
     assert {r["x"]: r["y"] for r in rows} == cases
 
 
+def test_wide_numbers(spark):
+    cases = {"9223372036854775808": 2**63, "-12345678901234567890123": -12345678901234567890123, "1e23": int(1e23), "-1.5e30": -int(1.5e30), "9.007199254740993e15": 9007199254740992, "12.9": 12, "1e39": None, "9" * 39: None, "9" * 38: int("9" * 38), "12d": None, "-": None, None: None, "-9223372036854775809": -(2**63) - 1}
+    rows = spark.createDataFrame([(k,) for k in cases], "x string").select("x", t.as_wide_int(F.col("x")).alias("y")).collect()
+    assert {r["x"]: None if r["y"] is None else int(r["y"]) for r in rows} == cases
+
+
 def test_text_damage(spark):
     cases = {"정상 한글": None, "a�\x00": "replacement_character", "a\x00\x01": "nul_character", "a\x01": "control_character", "a\t\r\nb": None}
     rows = spark.createDataFrame([(k,) for k in cases], "x string").select("x", t.bad_unicode_reason(F.col("x")).alias("y"), t.has_hangul(F.col("x")).alias("h")).collect()

@@ -144,10 +144,12 @@ def test_adjacent_years(spark):
     e = spark.createDataFrame([(2021, "6815910000", "old", "Old"), (2022, "6815910000", "old", "Old"), (2023, "6815910000", "new", "New"), (2021, "2", "new", "New"), (2023, "2", "old", "Old"), (2021, "3", "old", "Old"), (2023, "3", "new", "other")], edition)
     p = spark.createDataFrame([(2022, c, "old", "Old", "new", "New") for c in ("6815910000", "1", "2", "3")], "reference_year int, hs10 string, first_ko string, first_en string, second_ko string, second_en string")
     reviewed = reference.adjacent_review(p, e)
-    got = {r["hs10"]: (r["decision"], r["name_ko"], r["name_en"]) for r in reviewed.collect()}
-    assert got == {"6815910000": ("use_second", "new", "New"), "1": ("unresolved", "old", "Old"), "2": ("keep_first", "old", "Old"), "3": ("unresolved", "old", "Old")}
+    got = {r["hs10"]: (r["resolution"], r["name_ko"], r["name_en"]) for r in reviewed.collect()}
+    assert got == {"6815910000": (reference.SECOND_IS_CURRENT, "new", "New"), "1": (reference.UNRESOLVED, "old", "Old"), "2": (reference.FIRST_IS_CURRENT, "old", "Old"), "3": (reference.UNRESOLVED, "old", "Old")}
+    near = {r["hs10"]: (r["adjacent_previous"], r["adjacent_next"]) for r in reviewed.collect()}
+    assert near["1"] == (None, None) and tuple(near["2"][0]) == ("new", "New") and tuple(near["3"][1]) == ("new", "other")
     assert reference.review_figures(reviewed).first().asDict() == {"reviewed": 4, "resolved": 2, "unresolved": 2, "annual_name_rewrites": 1}
-    changes = reviewed.where("decision = 'use_second'")
+    changes = reference.rewrites(reviewed)
     reference.require_matches(e, changes)
     changed = {(r["reference_year"], r["hs10"]): r["name_ko"] for r in reference.rewrite_name(e, changes).collect()}
     assert changed[2022, "6815910000"] == "new" and changed[2021, "6815910000"] == "old" and len(changed) == e.count()
@@ -156,6 +158,29 @@ def test_adjacent_years(spark):
             reference.require_matches(e.unionByName(e.where("hs10 = '2'")), bad)
 
 
+def test_a_rewritten_year_counts_for_the_next(spark):
+    """A, then A against B, then B against A, then B: the first conflict is rewritten to B, which leaves the second open."""
+    e = spark.createDataFrame([(2020, "1", "A", "a"), (2021, "1", "A", "a"), (2022, "1", "B", "b"), (2023, "1", "B", "b"), (2020, "2", "A", "a"), (2021, "2", "A", "a"), (2022, "2", "B", "b"), (2023, "2", "A", "a")], "reference_year int, hs10 string, name_ko string, name_en string")
+    a, b = ("A", "a"), ("B", "b")
+    p = spark.createDataFrame([(2021, c, 0, *a, *b) for c in "12"] + [(2022, c, 0, *b, *a) for c in "12"] + [(2021, "1", 1, "A", "a", "C", "c")], "reference_year int, hs10 string, step int, first_ko string, first_en string, second_ko string, second_en string")
+    got = {(r["hs10"], r["reference_year"], r["step"]): (r["resolution"], r["name_ko"], r["adjacent_previous"]["name_ko"]) for r in reference.adjacent_review(p, e).collect()}
+    used, left = reference.SECOND_IS_CURRENT, reference.UNRESOLVED
+    assert got == {("1", 2021, 0): (used, "B", "A"), ("1", 2021, 1): (left, "A", "A"), ("1", 2022, 0): (left, "B", "B"), ("2", 2021, 0): (used, "B", "A"), ("2", 2022, 0): (used, "A", "B")}
+    changed = {(r["hs10"], r["reference_year"]): r["name_ko"] for r in reference.rewrite_name(e, reference.rewrites(reference.adjacent_review(p, e))).collect()}
+    assert [changed["2", y] for y in range(2020, 2024)] == ["A", "B", "A", "A"] and [changed["1", y] for y in range(2020, 2024)] == ["A", "B", "B", "B"]
+
+
+def test_a_request_judged_by_itself(spark):
+    from tradelake.operators.outcomes import outcome_verdicts
+
+    counts = "fact_row_count bigint, non_hs10_fact_rows bigint, duplicate_key_rows bigint, country_mismatch_rows bigint"
+    rows = [(1, True, "success", "202501", "202503", ["202501", "202502", "202503"], 5, 0, 0, 0), (2, True, "success", "202501", "202503", ["202502"], 0, 2, 3, 4), (3, False, "rate_limited", "202501", "202501", None, 0, 0, 0, 0), (4, None, None, "202501", "202501", [], 1, 0, 0, 0)]
+    df = spark.createDataFrame(rows, f"id int, success boolean, status string, window_start string, window_end string, months_found array<string>, {counts}")
+    got = {r["id"]: (r["verdict"], r["reasons"]) for r in outcome_verdicts(df).collect()}
+    assert got[1] == ("PASS", ["all returned fact rows are 10-digit HS; requested months covered; no duplicate keys"]) and got[3] == ("INCONCLUSIVE", ["request status=rate_limited"]) and got[4][0] == "INCONCLUSIVE"
+    assert got[2] == ("FAIL", ["no fact rows returned", "2 fact rows are not 10-digit numeric HS", "missing months: 202501,202503", "duplicate extra rows: 3", "country mismatch rows: 4"])
+
+
 def test_editions_are_combined_once(spark):
     e = spark.createDataFrame([(2021, "1", "HSK-2021"), (2022, "1", "HSK-2022")], "reference_year int, hs10 string, hs_revision string")
     assert reference.combine_editions([e.where("reference_year = 2021"), e.where("reference_year = 2022")]).count() == 2

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .functions.months import months_between
+from .functions.months import month_index, months_between
 from .functions.outcomes import outcome_status
 from .functions.text import MEASURES
+from .operators.selection import expand_windows
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -110,6 +111,43 @@ def source_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def answered_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Months of the requests' windows; those of a nation in every eleventh month got no answer."""
+    number = F.substring("country", 8, 10).cast("int")
+    return expand_windows(source_windows(spark, sf_dir)).where(month_index(F.col("month")) % 11 != number % 11)
+
+
+def partner_sources(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Nations as partners with a two-letter code each (NA, TW, KR and others), and the international codes of two thirds of them."""
+    two = "case n_nationkey when 0 then 'NA' when 1 then 'TW' when 2 then 'KR' else concat(chr(65 + n_nationkey % 26), chr(66 + n_nationkey div 26)) end"
+    n = table(spark, sf_dir, "nation").withColumn("code", F.expr(two))
+    world = n.where("n_nationkey % 3 <> 1").selectExpr("code as alpha2", "lpad(cast(n_nationkey as string), 3, '0') as un_m49", "concat(code, 'X') as iso_alpha3", "concat('Nation ', n_nationkey) as country_name_en")
+    return n.selectExpr("code as country_code", "n_name as country_name_ko"), world
+
+
+#: Number texts of parts, by the key's remainder; the others have a price or a size.
+NUMBERS = ["-", "", "1,234,567", None, " 42 ", "n/a", "12d", "5f", "0x1p3", "1e400", "9223372036854775808", "-9223372036854775808", "1_000", "+7.9", "1e3", ".5", "1__0", "1e22", "-12345678901234567890123", "1E19", "٣"]
+
+
+def number_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = " ".join(f"when {i} then '{x}'" for i, x in enumerate(NUMBERS) if x is not None)
+    return table(spark, sf_dir, "part").selectExpr("p_partkey", f"case p_partkey % 23 {texts} when 3 then cast(p_retailprice as string) else cast(p_size as string) end as x")
+
+
+def label_conflicts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Conflicts of 2021 and 2022, each of the edition's own label with the other one, and the editions of four years.
+
+    The bits of a part's key say which label it has in which year; every tenth is gone in 2023.
+    """
+    p = table(spark, sf_dir, "part").selectExpr("p_partkey as k", "cast(p_partkey as string) as hs10")
+    e = p.withColumn("reference_year", F.explode(F.array(*map(F.lit, range(2020, 2024))))).where("k % 10 <> 0 or reference_year <> 2023")
+    e = e.withColumn("b", F.expr("shiftright(k, reference_year - 2020) & 1"))
+    label = lambda x: [F.expr(f"if({x} = 1, 'new', 'old')"), F.expr(f"if(k % 7 = 0, 'same', if({x} = 1, 'en new', 'en old'))")]
+    own, other = label("b"), label("1 - b")
+    conflicts = e.where("reference_year in (2021, 2022)").select("reference_year", "hs10", own[0].alias("first_ko"), own[1].alias("first_en"), other[0].alias("second_ko"), other[1].alias("second_en"))
+    return conflicts, e.select("reference_year", "hs10", own[0].alias("name_ko"), own[1].alias("name_en"))
+
+
 def editions(spark: SparkSession, sf_dir: str, years: range = range(1994, 2003)) -> DataFrame:
     """Annual code editions: the codes of facts whose part isn't left out, every year."""
     codes = trade_facts(spark, sf_dir).where("l_partkey % 20 <> 0").groupBy("hs10").agg(F.concat(F.lit("part "), F.min("l_partkey").cast("string")).alias("name_ko"))

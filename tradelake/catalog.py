@@ -11,9 +11,6 @@ from .functions import text as t
 from .functions.outcomes import should_split
 from .operators import analytics, normalize, outcomes, quality, reference, rollup, selection
 
-PANEL_START, PANEL_END = "199601", "199712"
-
-
 def rollup_query(level: int):
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         return rollup.rollup(b.trade_facts(spark, sf_dir), level)
@@ -42,7 +39,12 @@ def fact_totals(spark, sf_dir):
 
 
 def expanded(spark, sf_dir):
-    return selection.expand_windows(b.source_windows(spark, sf_dir), "199601", "199912")
+    return selection.expand_windows(b.source_windows(spark, sf_dir))
+
+
+def clipped_months(spark, sf_dir):
+    clipped = selection.expand_windows(b.source_windows(spark, sf_dir), "199601", "199912")
+    return clipped.groupBy("country", "month").agg(F.count("*").alias("sources"))
 
 
 def source_selection(spark, sf_dir):
@@ -64,8 +66,8 @@ def source_assignments(spark, sf_dir):
 
 def coverage_missing(spark, sf_dir):
     countries = b.table(spark, sf_dir, "nation").select(F.col("n_name").alias("country"))
-    months = spark.range(1).select(F.explode(m.months_between(F.lit("199501"), F.lit("200012"))).alias("month"))
-    return selection.missing_months(countries, months, selection.select_sources(selection.expand_windows(b.source_windows(spark, sf_dir))))
+    months = spark.range(1).select(F.explode(m.months_between(F.lit("199501"), F.lit("200212"))).alias("month"))
+    return selection.missing_months(countries, months, selection.select_sources(b.answered_months(spark, sf_dir)))
 
 
 def classified(spark, sf_dir):
@@ -154,7 +156,7 @@ def code_name_inventory(spark, sf_dir):
 
 
 def code_name_variants(spark, sf_dir):
-    return reference.name_variants(named_facts(spark, sf_dir).withColumn("hs10", F.substring("hs10", 1, 2)))
+    return reference.name_variants(named_facts(spark, sf_dir).withColumn("hs10", F.substring("hs10", 1, 2)), ["l_orderkey", "l_linenumber"])
 
 
 def label_rows(spark, sf_dir):
@@ -172,12 +174,14 @@ def duplicate_label_audit(spark, sf_dir):
 
 
 def adjacent_year_review(spark, sf_dir):
-    p = b.table(spark, sf_dir, "part").selectExpr("p_partkey", "cast(p_partkey as string) as hs10")
-    name = "case when p_partkey % 3 = 0 and reference_year >= 2022 or p_partkey % 3 = 1 and reference_year < 2022 then 'old' else 'new' end"
-    e = p.withColumn("reference_year", F.explode(F.array(*map(F.lit, (2021, 2022, 2023))))).withColumn("name_ko", F.expr(name)).where("p_partkey % 10 <> 0 or reference_year <> 2023")
-    e = e.withColumn("name_en", F.expr("if(p_partkey % 7 = 0, 'same', concat('en ', name_ko))"))
-    pending = e.where("reference_year = 2022").select("reference_year", "hs10", F.lit("old").alias("first_ko"), F.lit("en old").alias("first_en"), F.lit("new").alias("second_ko"), F.lit("en new").alias("second_en"))
-    return reference.adjacent_review(pending, e)
+    pending, e = b.label_conflicts(spark, sf_dir)
+    found = reference.adjacent_review(pending, e)
+    return found.select("reference_year", "hs10", "resolution", "name_ko", "name_en", F.col("adjacent_previous.name_ko").alias("previous_ko"), F.col("adjacent_next.name_ko").alias("next_ko"))
+
+
+def adjacent_rewrites(spark, sf_dir):
+    pending, e = b.label_conflicts(spark, sf_dir)
+    return reference.rewrite_name(e, reference.rewrites(reference.adjacent_review(pending, e)))
 
 
 def tariff_parts(spark, sf_dir):
@@ -202,7 +206,7 @@ def tariff_editions(spark, sf_dir):
 
 
 def tariff_label_audit(spark, sf_dir):
-    return tariff_parts(spark, sf_dir)[2]
+    return tariff_parts(spark, sf_dir)[2].drop("step")
 
 
 def tariff_review(spark, sf_dir):
@@ -214,14 +218,17 @@ def edition_duplicates(spark, sf_dir):
 
 
 def country_enrich(spark, sf_dir):
-    n = b.table(spark, sf_dir, "nation")
-    partners = n.selectExpr("substring(n_name, 1, 2) as country_code", "n_name as country_name_ko")
-    world = n.where("n_nationkey % 3 <> 0").groupBy(F.substring("n_name", 1, 2).alias("alpha2")).agg(F.lpad(F.min("n_nationkey").cast("string"), 3, "0").alias("un_m49"), F.substring(F.min("n_name"), 1, 3).alias("iso_alpha3"), F.min("n_name").alias("country_name_en"))
-    return reference.enrich_partners(partners, world)
+    return reference.enrich_partners(*b.partner_sources(spark, sf_dir))
 
 
 def partner_universe(spark, sf_dir):
-    return reference.partner_universe(country_enrich(spark, sf_dir), ["JA"], ["CH"], na_compat=True).select("country_code", "country_name_ko", "un_match_status")
+    return reference.partner_universe(country_enrich(spark, sf_dir), ["TW"], ["KR"], na_compat=True).select("country_code", "country_name_ko", "un_match_status")
+
+
+def partner_universe_facts(spark, sf_dir):
+    """Facts of the partners that count, by partner."""
+    f = b.trade_facts(spark, sf_dir).withColumnRenamed("country_code", "country_name_ko")
+    return f.join(b.small_side(partner_universe(spark, sf_dir)), "country_name_ko").groupBy("country_code").agg(F.count("*").alias("rows"), F.sum("import_usd").alias("import_usd"))
 
 
 def outcome_status_query(spark, sf_dir):
@@ -233,6 +240,10 @@ def effective_leaves(spark, sf_dir):
     return outcomes.effective_leaves(b.outcomes(spark, sf_dir)).select("event_id", "country", "window_start", "window_end", "status")
 
 
+def outcome_verdicts(spark, sf_dir):
+    return outcomes.outcome_verdicts(b.outcomes(spark, sf_dir)).select("event_id", "verdict", F.array_join("reasons", "; ").alias("reasons"))
+
+
 def root_verdicts(spark, sf_dir):
     found = outcomes.root_verdicts(b.outcome_roots(spark, sf_dir), b.outcomes(spark, sf_dir))
     return found.withColumn("hs_length_counts", F.to_json("hs_length_counts"))
@@ -282,8 +293,9 @@ def plan_roots(spark, sf_dir):
 
 
 def number_text(spark, sf_dir):
-    p = b.table(spark, sf_dir, "part").selectExpr("p_partkey", "case p_partkey % 7 when 0 then '-' when 1 then '' when 2 then '1,234,567' when 3 then cast(p_retailprice as string) when 4 then ' 42 ' when 5 then 'n/a' else cast(p_size as string) end as x")
-    return p.select("p_partkey", t.as_int(F.col("x")).alias("value"), m.parse_year_month(F.concat(F.lit("20"), F.lpad((F.col("p_partkey") % 30).cast("string"), 2, "0"), F.lit("."), F.lpad((F.col("p_partkey") % 13).cast("string"), 2, "0"))).alias("month"))
+    p = b.number_rows(spark, sf_dir)
+    month = m.parse_year_month(F.concat(F.lit("20"), F.lpad((F.col("p_partkey") % 30).cast("string"), 2, "0"), F.lit("."), F.lpad((F.col("p_partkey") % 13).cast("string"), 2, "0")))
+    return p.select("p_partkey", t.as_int(F.col("x")).alias("value"), t.as_wide_int(F.col("x")).cast("string").alias("wide"), month.alias("month"))
 
 
 def monthly_trend(spark, sf_dir):
@@ -333,16 +345,25 @@ def dependency_snapshot(spark, sf_dir):
     return analytics.dependency_snapshot(b.with_levels(b.trade_facts(spark, sf_dir)), "hs2", "42", b.partner_names(spark, sf_dir), 10)
 
 
-def chosen_codes(spark, sf_dir):
-    return analytics.top_codes(b.with_levels(b.trade_facts(spark, sf_dir)), "hs4", PANEL_END, 100)
+def panel_parts(spark, sf_dir):
+    facts = b.with_levels(b.trade_facts(spark, sf_dir))
+    return facts, analytics.panel_bounds(facts)
 
 
 def top_codes_train_only(spark, sf_dir):
-    return chosen_codes(spark, sf_dir)
+    facts, at = panel_parts(spark, sf_dir)
+    return analytics.top_codes(facts, "hs4", at["chosen_from"], at["train_end"], 100)
+
+
+def panel_and_cutoff(spark, sf_dir):
+    """The panel of all months, and the last one that a model may learn from."""
+    facts, at = panel_parts(spark, sf_dir)
+    codes = analytics.top_codes(facts, "hs4", at["chosen_from"], at["train_end"], 100)
+    return analytics.monthly_panel(facts, codes.select("hs4"), "hs4", at["history"], at["last"]), at["train_end"]
 
 
 def monthly_panel(spark, sf_dir):
-    return analytics.monthly_panel(b.with_levels(b.trade_facts(spark, sf_dir)), chosen_codes(spark, sf_dir).select("hs4"), "hs4", PANEL_START, PANEL_END)
+    return panel_and_cutoff(spark, sf_dir)[0]
 
 
 def lag_features(spark, sf_dir):
@@ -361,13 +382,17 @@ def next_month_features(spark, sf_dir):
     return analytics.next_month_features(monthly_panel(spark, sf_dir), "hs4")
 
 
+def held_out_lags(spark, sf_dir):
+    panel, cutoff = panel_and_cutoff(spark, sf_dir)
+    return analytics.lag_features(panel, "hs4").where(F.col("month") > cutoff)
+
+
 def baseline_scores(spark, sf_dir):
-    test = lag_features(spark, sf_dir).where("month > '199706'")
-    return analytics.score_predictions(test, "import_usd", {"lag_1": "lag_1", "lag_12": "lag_12"})
+    return analytics.score_predictions(held_out_lags(spark, sf_dir), "import_usd", {"lag_1": "lag_1", "lag_12": "lag_12"})
 
 
 def by_product_error(spark, sf_dir):
-    return analytics.product_errors(lag_features(spark, sf_dir).where("month > '199706'"), "hs4", "import_usd", "lag_1", "lag_12")
+    return analytics.product_errors(held_out_lags(spark, sf_dir), "hs4", "import_usd", "lag_1", "lag_12")
 
 
 def text_quality_flags(spark, sf_dir):
@@ -460,7 +485,8 @@ def xlsx_ingest(spark, sf_dir):
 def ml_forecast(spark, sf_dir):
     from .operators.forecast import forecast
 
-    return forecast(monthly_panel(spark, sf_dir), "hs4", "199706")
+    panel, cutoff = panel_and_cutoff(spark, sf_dir)
+    return forecast(panel, "hs4", cutoff)
 
 
 def forecast_next(spark, sf_dir):
@@ -472,13 +498,14 @@ def forecast_next(spark, sf_dir):
 def permutation_importance(spark, sf_dir):
     from .operators.forecast import importance
 
-    return importance(monthly_panel(spark, sf_dir), "hs4", "199706")
+    panel, cutoff = panel_and_cutoff(spark, sf_dir)
+    return importance(panel, "hs4", cutoff)
 
 
-NAMES = """rollup_all_levels rollup_with_residuals rollup_reconciliation rollup_reconciliation_monthly fact_totals source_selection source_overlap_counts superseded_rows source_assignments coverage_missing
+NAMES = """rollup_all_levels rollup_with_residuals rollup_reconciliation rollup_reconciliation_monthly fact_totals source_selection source_overlap_counts superseded_rows source_assignments clipped_months coverage_missing
 classify_rows canonical_facts anomaly_table row_reconciliation source_totals summary_reconciliation summary_figures last_summaries short_code_observations short_code_figures duplicate_keys code_length_histogram
-response_metrics revision_lookup reference_gaps reference_conflicts code_name_inventory code_name_variants duplicate_label_fold duplicate_label_audit edition_duplicates adjacent_year_review tariff_index tariff_editions
-tariff_label_audit tariff_review country_enrich partner_universe effective_leaves root_verdicts collection_summary run_totals window_split annual_windows stable_month month_bounds key_text plan_roots number_text
+response_metrics revision_lookup reference_gaps reference_conflicts code_name_inventory code_name_variants duplicate_label_fold duplicate_label_audit edition_duplicates adjacent_year_review adjacent_rewrites tariff_index tariff_editions
+tariff_label_audit tariff_review country_enrich partner_universe partner_universe_facts effective_leaves outcome_verdicts root_verdicts collection_summary run_totals window_split annual_windows stable_month month_bounds key_text plan_roots number_text
 monthly_trend slice_profile top_partners_latest products_hs4_latest product_drilldown concentration_metrics concentration_top15 concentration_labels concentration_summary partner_shares dependency_snapshot
 top_codes_train_only monthly_panel lag_features rolling_features calendar_features next_month_features baseline_scores by_product_error text_quality_flags prefix_integrity dimension_qa partner_qa anomaly_text_qa
 coverage_report_long snapshot_diff partition_verify anomaly_release consolidate_roundtrip xml_ingest xml_inspect xml_names xml_status xlsx_ingest ml_forecast forecast_next permutation_importance""".split()

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -18,13 +20,45 @@ def strip(text: Column) -> Column:
     return F.btrim(text, F.lit(SPACES))
 
 
+#: The grammar of whole numbers and of fractions, in ASCII: digits may be parted by single underscores.
+DIGITS = "[0-9]+(?:_[0-9]+)*"
+WHOLE = f"^[+-]?{DIGITS}$"
+FRACTION = f"^[+-]?(?:{DIGITS}\\.?(?:{DIGITS})?|\\.{DIGITS})(?:[eE][+-]?{DIGITS})?$"
+#: The first double beyond a bigint.
+BEYOND = float(1 << 63)
+
+
+def bare_number(text: Column) -> Column:
+    return F.replace(strip(text), F.lit(","), F.lit(""))
+
+
 def as_int(text: Column) -> Column:
-    """Integer text, commas allowed; a fraction is cut off; empty, ``-`` and anything else are null.
+    """Integer text, commas allowed; a fraction is cut off; empty, ``-`` and anything that is no number are null.
 
-    Plain digits, by far the most, are one cast; only what that leaves is stripped and tried as a fraction.
+    A number beyond a bigint is null too, never its nearest bigint; ``as_wide_int`` has it.  Plain digits, by far
+    the most, are one cast; only what that leaves is stripped and tried by the grammar.
     """
-    bare = F.replace(strip(text), F.lit(","), F.lit(""))
-    return F.coalesce(text.try_cast("bigint"), bare.try_cast("bigint"), bare.try_cast("double").try_cast("bigint"))
+    bare = bare_number(text)
+    digits = F.replace(bare, F.lit("_"), F.lit(""))
+    real = digits.try_cast("double")
+    rest = F.when(bare.rlike(WHOLE), digits.try_cast("bigint")).when(bare.rlike(FRACTION) & (real >= -BEYOND) & (real < BEYOND), real.try_cast("bigint"))
+    return F.when(text.rlike("^-?[0-9]{1,18}$"), text.try_cast("bigint")).otherwise(rest)
+
+
+def as_wide_int(text: Column) -> Column:
+    """As ``as_int``, for numbers of up to 38 digits: a whole number exactly, a fraction as the double that stands for it."""
+    bare = bare_number(text)
+    digits = F.replace(bare, F.lit("_"), F.lit(""))
+    real, wide = digits.try_cast("double"), "decimal(38,0)"
+    size = F.abs(real)
+    high = F.floor(size / 2.0**64)  # a double of over 2^63 is cut into parts that are exact
+    middle = F.floor((size - high.cast("double") * 2.0**64) / 2.0**32)
+    low = size - high.cast("double") * 2.0**64 - middle.cast("double") * 2.0**32
+    place = lambda part, power: part.cast("bigint").cast("decimal(19,0)") * F.lit(Decimal(1 << power))
+    parts = (place(high, 64) + place(middle, 32) + low.cast("bigint").cast("decimal(19,0)")).try_cast(wide)
+    far = F.when(size < 1e38, F.when(real < 0, -parts).otherwise(parts).try_cast(wide))
+    near = (real > -BEYOND) & (real < BEYOND)
+    return F.when(bare.rlike(WHOLE), digits.try_cast(wide)).when(bare.rlike(FRACTION), F.when(near, real.try_cast("bigint").cast(wide)).otherwise(far))
 
 
 def is_full_code(code: Column) -> Column:

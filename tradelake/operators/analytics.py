@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.months import index_month, month_index, month_number
+from ..functions.months import index_month, month_index, month_number, shift_month
 
 
 def monthly_trend(facts: DataFrame) -> DataFrame:
@@ -74,9 +74,16 @@ def require_product(facts: DataFrame, code: str, product: str) -> None:
         raise KeyError(product)
 
 
-def top_codes(facts: DataFrame, code: str, before: str, k: int) -> DataFrame:
-    """The codes of most imports before a month: nothing later leaks into the choice."""
-    sums = facts.where(F.col("month") < before).groupBy(code).agg(F.sum("import_usd").alias("import_usd"))
+def panel_bounds(facts: DataFrame) -> dict[str, str]:
+    """Months of a study: a test of the last twelve, training before it, codes chosen by its last 24, at most 91 months of history."""
+    own = facts.agg(F.min("month").alias("first"), F.max("month").alias("last"))
+    back = lambda n: shift_month(F.col("last"), -n)
+    return own.select("last", back(12).alias("train_end"), back(35).alias("chosen_from"), F.greatest("first", back(102)).alias("history")).first().asDict()
+
+
+def top_codes(facts: DataFrame, code: str, start: str, end: str, k: int) -> DataFrame:
+    """The codes of most imports between two months: nothing later leaks into the choice."""
+    sums = facts.where(F.col("month").between(start, end)).groupBy(code).agg(F.sum("import_usd").alias("import_usd"))
     return sums.orderBy(F.desc("import_usd"), code).limit(k)
 
 

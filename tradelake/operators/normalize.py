@@ -133,7 +133,7 @@ def code_lengths(rows: DataFrame) -> DataFrame:
     return rows.groupBy(F.length("hs_code_raw").alias("length")).agg(F.count("*").alias("rows"))
 
 
-#: Codes with several names that a response's metrics show, and names of each.
+#: Codes with several names that a response's metrics show, by first appearance, and names of each.
 SHOWN_CODES, SHOWN_NAMES = 20, 5
 
 
@@ -157,21 +157,21 @@ def response_metrics(raw: DataFrame, windows: DataFrame | None = None) -> DataFr
     }
     code = F.when(fact, F.col("hs_code_raw")).alias("code")
     names = F.collect_set(F.when(fact, F.nullif(F.col("name_ko"), F.lit("")))).alias("names")
-    keys = rows.groupBy("source", code, F.when(fact, F.col("month")).alias("m"), F.when(fact, F.coalesce("country_code_raw", F.lit(""))).alias("c"), "total").agg(F.count("*").alias("rows"), names, *(n(t, x) for x, t in flags.items()))
+    keys = rows.groupBy("source", code, F.when(fact, F.col("month")).alias("m"), F.when(fact, F.coalesce("country_code_raw", F.lit(""))).alias("c"), "total").agg(F.count("*").alias("rows"), F.min("ordinal").alias("seen"), names, *(n(t, x) for x, t in flags.items()))
     extra = F.when(~F.col("total") & (F.col("rows") > 1), F.col("rows") - 1)
     codes = keys.groupBy("source", "code", "total").agg(
-        F.sum("rows").alias("rows"), F.collect_set("m").alias("months"), F.array_distinct(F.flatten(F.collect_list("names"))).alias("names"), F.coalesce(F.sum(extra), F.lit(0)).alias("duplicate_key_rows"), F.count(extra).alias("duplicate_key_groups"), *(F.sum(x).alias(x) for x in flags),
+        F.sum("rows").alias("rows"), F.min("seen").alias("seen"), F.collect_set("m").alias("months"), F.array_distinct(F.flatten(F.collect_list("names"))).alias("names"), F.coalesce(F.sum(extra), F.lit(0)).alias("duplicate_key_rows"), F.count(extra).alias("duplicate_key_groups"), *(F.sum(x).alias(x) for x in flags),
     )
     lengths = codes.groupBy("source", F.length("code").alias("length"), "total").agg(
         F.sum("rows").alias("rows"), F.array_distinct(F.flatten(F.collect_list("months"))).alias("months"), F.count_if(F.size("names") > 1).alias("hs_name_variant_codes"),
-        F.slice(F.array_sort(F.collect_list(F.when(F.size("names") > 1, F.struct(F.col("code").alias("hs10"), F.slice(F.array_sort("names"), 1, SHOWN_NAMES).alias("names"))))), 1, SHOWN_CODES).alias("shown"), *(F.sum(x).alias(x) for x in (*flags, "duplicate_key_rows", "duplicate_key_groups")),
+        F.slice(F.array_sort(F.collect_list(F.when(F.size("names") > 1, F.struct("seen", F.col("code").alias("hs10"), F.slice(F.array_sort("names"), 1, SHOWN_NAMES).alias("names"))))), 1, SHOWN_CODES).alias("shown"), *(F.sum(x).alias(x) for x in (*flags, "duplicate_key_rows", "duplicate_key_groups")),
     )
     facts_of = lambda x: F.coalesce(F.sum(F.when(~F.col("total"), F.col(x))), F.lit(0))
     entry = F.when(~F.col("total"), F.struct(F.col("length").cast("string").alias("key"), F.col("rows").alias("value")))
     out = lengths.groupBy("source").agg(
         F.sum("rows").alias("row_count"), facts_of("rows").alias("fact_row_count"), F.coalesce(F.sum(F.when(F.col("total"), F.col("rows"))), F.lit(0)).alias("total_row_count"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("months")))).alias("months_found"), F.map_from_entries(F.array_sort(F.collect_list(entry))).alias("hs_length_counts"),
-        *(facts_of(x).alias(x) for x in (*flags, "duplicate_key_rows", "duplicate_key_groups", "hs_name_variant_codes")), F.slice(F.array_sort(F.flatten(F.collect_list("shown"))), 1, SHOWN_CODES).alias("hs_name_variant_examples"),
+        *(facts_of(x).alias(x) for x in (*flags, "duplicate_key_rows", "duplicate_key_groups", "hs_name_variant_codes")), F.transform(F.slice(F.array_sort(F.flatten(F.collect_list("shown"))), 1, SHOWN_CODES), lambda x: F.struct(x["hs10"].alias("hs10"), x["names"].alias("names"))).alias("hs_name_variant_examples"),
     )
     out = out.withColumn("month_count", F.size("months_found"))
     if windows is None:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.months import months_between, split_window
@@ -48,6 +48,31 @@ def total_of_lengths(lists):
     return F.map_from_entries(F.transform(lengths, lambda k: F.struct(k.alias("key"), count(k).alias("value"))))
 
 
+def response_flaws(missing_months: Column) -> Column:
+    """What speaks against rows that came in, as a list of texts (fixed values)."""
+    said = lambda test, *text: F.when(test, F.concat(*[x if not isinstance(x, str) else F.lit(x) for x in text]))
+    number = lambda c: F.col(c).cast("string")
+    return F.array_compact(
+        F.array(
+            said(F.col("fact_row_count") == 0, "no fact rows returned"),
+            said(F.col("non_hs10_fact_rows") > 0, number("non_hs10_fact_rows"), " fact rows are not 10-digit numeric HS"),
+            said(missing_months != "", "missing months: ", missing_months),
+            said(F.col("duplicate_key_rows") > 0, "duplicate extra rows: ", number("duplicate_key_rows")),
+            said(F.col("country_mismatch_rows") > 0, "country mismatch rows: ", number("country_mismatch_rows")),
+        )
+    )
+
+
+def outcome_verdicts(outcomes: DataFrame) -> DataFrame:
+    """Every request judged by itself: verdict and reasons; one that failed is open, whatever its rows."""
+    missing = F.array_join(F.array_except(months_between(F.col("window_start"), F.col("window_end")), F.coalesce("months_found", F.array().cast("array<string>"))), ",")
+    flaws, failed = response_flaws(missing), ~F.coalesce("success", F.lit(False))
+    verdict = F.when(failed, "INCONCLUSIVE").when(F.size(flaws) > 0, "FAIL").otherwise("PASS")
+    fine = F.array(F.lit("all returned fact rows are 10-digit HS; requested months covered; no duplicate keys"))
+    reasons = F.when(failed, F.array(F.concat(F.lit("request status="), F.coalesce("status", F.lit(""))))).when(F.size(flaws) > 0, flaws).otherwise(fine)
+    return outcomes.withColumns({"verdict": verdict, "reasons": reasons})
+
+
 def root_verdicts(roots: DataFrame, outcomes: DataFrame) -> DataFrame:
     """Per root window: its status, the leaves inside it added up, months that no response has, and a verdict.
 
@@ -68,17 +93,7 @@ def root_verdicts(roots: DataFrame, outcomes: DataFrame) -> DataFrame:
     out = out.join(own, key, "left")
     missing = F.array_except(months_between(F.col("window_start"), F.col("window_end")), F.col("found"))
     out = out.withColumns({"missing_months": F.array_join(missing, ","), "month_count": F.size("found"), "failed": F.size("failures")})
-    said = lambda test, *text: F.when(test, F.concat(*[x if not isinstance(x, str) else F.lit(x) for x in text]))
-    number = lambda c: F.col(c).cast("string")
-    flaws = F.array_compact(
-        F.array(
-            said(F.col("fact_row_count") == 0, "no fact rows returned"),
-            said(F.col("non_hs10_fact_rows") > 0, number("non_hs10_fact_rows"), " fact rows are not 10-digit numeric HS"),
-            said(F.col("missing_months") != "", "missing months: ", F.col("missing_months")),
-            said(F.col("duplicate_key_rows") > 0, "duplicate extra rows: ", number("duplicate_key_rows")),
-            said(F.col("country_mismatch_rows") > 0, "country mismatch rows: ", number("country_mismatch_rows")),
-        )
-    )
+    flaws = response_flaws(F.col("missing_months"))
     none, failed = F.col("leaf_requests") == 0, F.col("failed") > 0
     reasons = (
         F.when(none, "no request outcomes found").when(failed, F.concat(F.lit("unresolved leaf failures: "), F.array_join("failures", ", ")))
@@ -111,8 +126,3 @@ def run_totals(outcomes: DataFrame) -> DataFrame:
         has(F.coalesce(auth, F.lit(False))).alias("auth_failed"), has(F.col("status") == "quota_exceeded").alias("quota_exceeded"), has(F.col("status") == "rate_limited").alias("rate_limited"),
     )
 
-
-def latest_attempts(outcomes: DataFrame) -> DataFrame:
-    """The last outcome of each request, if some were sent again."""
-    nth = F.row_number().over(Window.partitionBy("country", "window_start", "window_end", "parent_request").orderBy(F.desc("finished_at")))
-    return outcomes.withColumn("__nth", nth).where("__nth = 1").drop("__nth")

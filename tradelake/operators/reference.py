@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import strip
@@ -52,10 +52,10 @@ def name_inventory(facts: DataFrame, name: str = "name_ko") -> DataFrame:
     )
 
 
-def name_variants(facts: DataFrame, name: str = "name_ko", examples: int = 20, names_each: int = 5) -> DataFrame:
-    """The first codes with several names, and some of these."""
-    sets = facts.groupBy("hs10").agg(F.array_sort(F.collect_set(name)).alias("n"))
-    return sets.where(F.size("n") > 1).orderBy("hs10").limit(examples).select("hs10", F.array_join(F.slice("n", 1, names_each), "|").alias("names"))
+def name_variants(facts: DataFrame, order: list[str], name: str = "name_ko", examples: int = 20, names_each: int = 5) -> DataFrame:
+    """The first codes with several names, by first appearance in ``order``, and some of these names."""
+    sets = facts.groupBy("hs10").agg(F.array_sort(F.collect_set(name)).alias("n"), F.min(F.struct(*order)).alias("seen"))
+    return sets.where(F.size("n") > 1).orderBy("seen", "hs10").limit(examples).select("hs10", F.array_join(F.slice("n", 1, names_each), "|").alias("names"))
 
 
 def labels_compatible(a: Column, b: Column) -> Column:
@@ -111,24 +111,64 @@ def require_same_beside_names(rows: DataFrame, keys: list[str], names: tuple[str
             raise ValueError(f"conflicting copies of {[tuple(r)[:-1] for r in bad]}")
 
 
+#: What a review by the neighbouring years ends in.
+FIRST_IS_CURRENT, SECOND_IS_CURRENT, UNRESOLVED = (
+    "adjacent_year_validated_revision_transition_first_is_current",
+    "adjacent_year_validated_revision_transition_second_is_current",
+    "unresolved_conflicting_label_after_adjacent_year_review",
+)
+PAIR = "struct<name_ko:string,name_en:string>"
+
+
 def adjacent_review(pending: DataFrame, editions: DataFrame) -> DataFrame:
     """Settle pending label conflicts (year, code, first and second pair of labels) by the neighbouring years' pairs.
 
-    Before second, after first: the first is current.  Before first, after second: the second replaces it.
+    Before second, after first: the first is current.  Before first, after second: the second replaces it.  Years are
+    reviewed in order, as a fold over each code's pending years: a year that the review rewrote counts with
+    its new pair for the next.  Several conflicts of one year are told apart by ``step`` (0 where there is
+    none), and the last rewrite of a year stays.  A code's group is its pending years and their conflicts, not rows.
     """
     key = ["reference_year", "hs10"]
-    pair = lambda df, by, name: df.select((F.col("reference_year") + by).alias("reference_year"), "hs10", F.struct("name_ko", "name_en").alias(name))
-    out = pending.join(pair(editions, 1, "previous"), key, "left").join(pair(editions, -1, "following"), key, "left")
-    first, second = (F.struct(F.col(f"{x}_ko").alias("name_ko"), F.col(f"{x}_en").alias("name_en")) for x in ("first", "second"))
-    is_ = lambda a, b: F.coalesce(F.col(a).eqNullSafe(b) & F.col(a).isNotNull(), F.lit(False))
-    decision = F.when(is_("previous", second) & is_("following", first), "keep_first").when(is_("previous", first) & is_("following", second), "use_second").otherwise("unresolved")
-    chosen = F.when(decision == "use_second", second).otherwise(first)
-    return out.withColumns({"decision": decision, "chosen": chosen}).select(*key, "decision", "chosen.name_ko", "chosen.name_en")
+    if "step" not in pending.columns:
+        pending = pending.withColumn("step", F.lit(0))
+    item = F.struct("step", F.struct(F.col("first_ko").alias("name_ko"), F.col("first_en").alias("name_en")).alias("first"), F.struct(F.col("second_ko").alias("name_ko"), F.col("second_en").alias("name_en")).alias("second"))
+    years = pending.groupBy(*key).agg(F.array_sort(F.collect_list(item)).alias("conflicts"))
+    pair = lambda by, name: editions.select((F.col("reference_year") + by).alias("reference_year"), "hs10", F.struct(F.col("name_ko").cast("string").alias("name_ko"), F.col("name_en").cast("string").alias("name_en")).alias(name))
+    years = years.join(pair(1, "previous"), key, "left").join(pair(-1, "following"), key, "left")
+    codes = years.groupBy("hs10").agg(F.array_sort(F.collect_list(F.struct("reference_year", "conflicts", "previous", "following"))).alias("years"))
+
+    same = lambda a, b: F.coalesce(a.isNotNull() & a["name_ko"].eqNullSafe(b["name_ko"]) & a["name_en"].eqNullSafe(b["name_en"]), F.lit(False))
+
+    def decided(x: Column, before: Column, after: Column) -> Column:
+        keep, use = same(before, x["second"]) & same(after, x["first"]), same(before, x["first"]) & same(after, x["second"])
+        resolution = F.when(keep, FIRST_IS_CURRENT).when(use, SECOND_IS_CURRENT).otherwise(UNRESOLVED)
+        return F.struct(x["step"].alias("step"), resolution.alias("resolution"), F.when(use, x["second"]).otherwise(x["first"]).alias("chosen"), before.alias("adjacent_previous"), after.alias("adjacent_next"))
+
+    decision = f"struct<step:int,resolution:string,chosen:{PAIR},adjacent_previous:{PAIR},adjacent_next:{PAIR}>"
+    start = F.struct(F.lit(None).cast("int").alias("year"), F.lit(None).cast(PAIR).alias("rewritten"), F.array().cast(f"array<struct<reference_year:int,decisions:array<{decision}>>>").alias("out"))
+
+    def fold(state: Column, y: Column) -> Column:
+        carried = (state["year"] == y["reference_year"] - 1) & state["rewritten"].isNotNull()
+        before = F.when(F.coalesce(carried, F.lit(False)), state["rewritten"]).otherwise(y["previous"])
+        decisions = F.transform(y["conflicts"], lambda x: decided(x, before, y["following"]))
+        last = F.element_at(F.concat(F.array(F.lit(None).cast(PAIR)), F.transform(F.filter(decisions, lambda d: d["resolution"] == SECOND_IS_CURRENT), lambda d: d["chosen"])), -1)
+        year = y["reference_year"].cast("int")
+        return F.struct(year.alias("year"), last.alias("rewritten"), F.concat(state["out"], F.array(F.struct(year.alias("reference_year"), decisions.cast(f"array<{decision}>").alias("decisions")))).alias("out"))
+
+    out = codes.select("hs10", F.explode(F.aggregate("years", start, fold, lambda s: s["out"])).alias("y")).select("hs10", "y.reference_year", F.explode("y.decisions").alias("d"))
+    year = out["reference_year"].cast(editions.schema["reference_year"].dataType)
+    return out.select(year.alias("reference_year"), "hs10", "d.step", "d.resolution", "d.chosen.name_ko", "d.chosen.name_en", "d.adjacent_previous", "d.adjacent_next")
+
+
+def rewrites(reviewed: DataFrame) -> DataFrame:
+    """The label changes that a review asks for: of a year's several the last."""
+    used = reviewed.where(F.col("resolution") == SECOND_IS_CURRENT)
+    return used.groupBy("reference_year", "hs10").agg(F.max_by(F.struct("name_ko", "name_en"), "step").alias("x")).select("reference_year", "hs10", "x.*")
 
 
 def review_figures(reviewed: DataFrame) -> DataFrame:
-    n = lambda *d: F.count_if(F.col("decision").isin(*d))
-    return reviewed.agg(F.count("*").alias("reviewed"), n("keep_first", "use_second").alias("resolved"), n("unresolved").alias("unresolved"), n("use_second").alias("annual_name_rewrites"))
+    n = lambda *d: F.count_if(F.col("resolution").isin(*d))
+    return reviewed.agg(F.count("*").alias("reviewed"), n(FIRST_IS_CURRENT, SECOND_IS_CURRENT).alias("resolved"), n(UNRESOLVED).alias("unresolved"), n(SECOND_IS_CURRENT).alias("annual_name_rewrites"))
 
 
 def rewrite_name(editions: DataFrame, changes: DataFrame) -> DataFrame:
@@ -171,8 +211,3 @@ def partner_universe(partners: DataFrame, extra: list[str], without: list[str] =
     chosen = partners.where((F.col("un_match_status") == "matched_current_un") | F.col("country_code").isin(list(extra)))
     gone = [*without, *(["NA"] if na_compat else [])]
     return chosen.where(~F.col("country_code").isin(gone)) if gone else chosen
-
-
-def latest_by(rows: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    """The first row of each key in an order that is given, not left to chance."""
-    return rows.withColumn("__nth", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where("__nth = 1").drop("__nth")

@@ -27,7 +27,7 @@ SOURCES = """sources AS (
          strftime(o_orderdate, '%Y%m%d') AS finished_at, o_orderkey AS path, year(o_orderdate) * 12 + month(o_orderdate) - 1 AS i0, o_orderkey % 12 AS span
   FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey),
 months AS (SELECT *, lpad(CAST(i // 12 AS VARCHAR), 4, '0') || lpad(CAST(i % 12 + 1 AS VARCHAR), 2, '0') AS month FROM (SELECT *, unnest(range(i0, i0 + span + 1)) AS i FROM sources)),
-expanded AS (SELECT * FROM months WHERE month BETWEEN '199601' AND '199912')"""
+expanded AS (SELECT * FROM months)"""
 BEST = "row_number() OVER (PARTITION BY country, month ORDER BY finished_at DESC, span, path DESC)"
 SELECTED = f"selected AS (SELECT country, month, path, candidates FROM (SELECT *, {BEST} AS k, count(*) OVER (PARTITION BY country, month) AS candidates FROM expanded) WHERE k = 1)"
 RAW = f"""raw AS (
@@ -75,6 +75,19 @@ BETTER = f"({FITS}) AND {score('b')} > {score('a')}"
 FOLD = f"""{LABELS}, nth AS (SELECT *, row_number() OVER (PARTITION BY hs10 ORDER BY ordinal) AS n FROM labels),
 folded(hs10, n, ko, en, conflicts) AS (SELECT hs10, n, ko, en, 0 FROM nth WHERE n = 1
   UNION ALL SELECT a.hs10, b.n, CASE WHEN {BETTER} THEN b.ko ELSE a.ko END, CASE WHEN {BETTER} THEN b.en ELSE a.en END, a.conflicts + CASE WHEN {FITS} THEN 0 ELSE 1 END FROM folded a JOIN nth b ON a.hs10 = b.hs10 AND b.n = a.n + 1)"""
+LABEL, ENGLISH = "CASE ({0}) WHEN 1 THEN 'new' WHEN 0 THEN 'old' END", "CASE WHEN k % 7 = 0 THEN 'same' WHEN ({0}) = 1 THEN 'en new' ELSE 'en old' END"
+#: Conflicts of two years, the second reviewed after the first: a label is a bit of the part's key.
+REVIEW = """e AS (SELECT p_partkey AS k, CAST(p_partkey AS VARCHAR) AS hs10, y, (p_partkey >> CAST(y - 2020 AS INTEGER)) & 1 AS b FROM part, (SELECT unnest([2020, 2021, 2022, 2023]) AS y) WHERE p_partkey % 10 <> 0 OR y <> 2023),
+near AS (SELECT m.*, p.b AS previous, f.b AS following FROM e m LEFT JOIN e p ON p.hs10 = m.hs10 AND p.y = m.y - 1 LEFT JOIN e f ON f.hs10 = m.hs10 AND f.y = m.y + 1),
+one AS (SELECT *, coalesce(previous = b AND following = 1 - b, false) AS used, coalesce(previous = 1 - b AND following = b, false) AS stays FROM near WHERE y = 2021),
+carried AS (SELECT n.k, n.hs10, n.y, n.b, CASE WHEN o.used THEN 1 - o.b ELSE n.previous END AS previous, n.following FROM near n JOIN one o ON o.hs10 = n.hs10 WHERE n.y = 2022),
+two AS (SELECT *, coalesce(previous = b AND following = 1 - b, false) AS used, coalesce(previous = 1 - b AND following = b, false) AS stays FROM carried),
+judged AS (SELECT *, CASE WHEN stays THEN 'adjacent_year_validated_revision_transition_first_is_current' WHEN used THEN 'adjacent_year_validated_revision_transition_second_is_current' ELSE 'unresolved_conflicting_label_after_adjacent_year_review' END AS resolution FROM (SELECT * FROM one UNION ALL SELECT * FROM two))"""
+#: Nations as partners, and those with an international code.
+PARTNERS = """coded AS (SELECT n_nationkey AS k, n_name, CASE n_nationkey WHEN 0 THEN 'NA' WHEN 1 THEN 'TW' WHEN 2 THEN 'KR' ELSE chr(CAST(65 + n_nationkey % 26 AS INTEGER)) || chr(CAST(66 + n_nationkey // 26 AS INTEGER)) END AS c FROM nation),
+partner AS (SELECT c AS country_code, n_name AS country_name_ko, CASE WHEN k % 3 <> 1 THEN 'Nation ' || CAST(k AS VARCHAR) ELSE '' END AS country_name_en, CASE WHEN k % 3 <> 1 THEN lpad(CAST(k AS VARCHAR), 3, '0') ELSE '' END AS un_m49, CASE WHEN k % 3 <> 1 THEN c || 'X' ELSE '' END AS iso_alpha3,
+  CASE WHEN k % 3 <> 1 THEN 'matched_current_un' ELSE 'unmatched_kcs_code' END AS un_match_status FROM coded),
+universe AS (SELECT country_code, country_name_ko, un_match_status FROM partner WHERE (un_match_status = 'matched_current_un' OR country_code = 'TW') AND country_code NOT IN ('KR', 'NA'))"""
 #: The tariff pages' codes: labels of each year, and the second one that 2022 has for some.
 TARIFF = """p AS (SELECT p_partkey AS k, p_name, lpad(CAST(p_partkey % 20 + 1 AS VARCHAR), 2, '0') AS chapter FROM part),
 t AS (SELECT *, chapter || lpad(CAST(k AS VARCHAR), 8, '0') AS hs10 FROM p, (SELECT unnest([2021, 2022, 2023]) AS y)),
@@ -86,11 +99,17 @@ def json_list(x: str) -> str:
     return f"""'["' || array_to_string(list_sort(list_distinct(list({x}))), '","') || '"]'"""
 
 
-PANEL = """leveled AS (SELECT *, left(hs10, 4) AS hs4 FROM facts),
-chosen AS (SELECT hs4, CAST(sum(import_usd) AS BIGINT) AS import_usd FROM leveled WHERE month < '199712' GROUP BY hs4 ORDER BY 2 DESC, hs4 LIMIT 100),
-grid AS (SELECT hs4, y * 100 + m AS ym FROM chosen, (SELECT unnest([1996, 1997]) AS y), (SELECT unnest(range(1, 13)) AS m)),
+def ym(i: str) -> str:
+    return f"lpad(CAST(({i}) // 12 AS VARCHAR), 4, '0') || lpad(CAST(({i}) % 12 + 1 AS VARCHAR), 2, '0')"
+
+
+PANEL = f"""leveled AS (SELECT *, left(hs10, 4) AS hs4 FROM facts),
+ends AS (SELECT CAST(left(min(month), 4) AS INTEGER) * 12 + CAST(right(min(month), 2) AS INTEGER) - 1 AS i0, CAST(left(max(month), 4) AS INTEGER) * 12 + CAST(right(max(month), 2) AS INTEGER) - 1 AS i1 FROM facts),
+chosen AS (SELECT hs4, CAST(sum(import_usd) AS BIGINT) AS import_usd FROM leveled, ends WHERE month BETWEEN {ym('i1 - 35')} AND {ym('i1 - 12')} GROUP BY hs4 ORDER BY 2 DESC, hs4 LIMIT 100),
+grid AS (SELECT hs4, {ym('i')} AS month FROM chosen, (SELECT unnest(range(CAST(greatest(i0, i1 - 102) AS BIGINT), CAST(i1 + 1 AS BIGINT))) AS i FROM ends)),
+cut AS (SELECT {ym('i1 - 12')} AS train_end, {ym('i1 + 1')} AS following FROM ends),
 sums AS (SELECT month, hs4, CAST(sum(import_usd) AS BIGINT) AS v FROM leveled GROUP BY ALL),
-panel AS (SELECT g.hs4, CAST(g.ym AS VARCHAR) AS month, coalesce(v, 0) AS import_usd FROM grid g LEFT JOIN sums s ON s.hs4 = g.hs4 AND s.month = CAST(g.ym AS VARCHAR))"""
+panel AS (SELECT g.hs4, g.month, coalesce(v, 0) AS import_usd FROM grid g LEFT JOIN sums s ON s.hs4 = g.hs4 AND s.month = g.month)"""
 LAGGED = "lagged AS (SELECT *, " + ", ".join(f"lag(import_usd, {n}) OVER (PARTITION BY hs4 ORDER BY month) AS lag_{n}" for n in (1, 2, 3, 6, 12)) + " FROM panel)"
 
 
@@ -157,7 +176,8 @@ checked AS (SELECT source, fact_rows, status, CASE WHEN status IN ('match', 'rou
         "source_overlap_counts": f"WITH {SOURCES}, {SELECTED} SELECT count(*) AS country_months, count(*) FILTER (candidates > 1) AS overlapping, max(candidates) AS most_candidates FROM selected",
         "superseded_rows": f"WITH {SOURCES}, {SELECTED} SELECT e.country, e.month, e.path FROM expanded e LEFT JOIN selected s ON e.country = s.country AND e.month = s.month AND e.path = s.path WHERE s.path IS NULL",
         "source_assignments": f"WITH {SOURCES}, {SELECTED} SELECT left(month, 4) AS year, path, string_agg(month, ',' ORDER BY month) AS months FROM (SELECT DISTINCT month, path FROM selected) GROUP BY ALL",
-        "coverage_missing": f"WITH {SOURCES} SELECT n_name AS country, month FROM nation, (SELECT {name('i')} AS month FROM (SELECT unnest(range(1995 * 12, 2001 * 12)) AS i)) m WHERE NOT EXISTS (SELECT 1 FROM months s WHERE s.country = n_name AND s.month = m.month)",
+        "clipped_months": f"WITH {SOURCES} SELECT country, month, count(*) AS sources FROM expanded WHERE month BETWEEN '199601' AND '199912' GROUP BY ALL",
+        "coverage_missing": f"WITH {SOURCES} SELECT n_name AS country, month FROM nation, (SELECT i, {name('i')} AS month FROM (SELECT unnest(range(1995 * 12, 2003 * 12)) AS i)) m WHERE i % 11 = CAST(substring(n_name, 8) AS INTEGER) % 11 OR NOT EXISTS (SELECT 1 FROM months s WHERE s.country = n_name AND s.month = m.month)",
         "classify_rows": f"WITH {FACTS}, {RAW} SELECT source, ordinal, hs_code_raw, bucket, reason, warning FROM classified",
         "canonical_facts": f"WITH {FACTS}, {RAW} SELECT month, requested_country AS country_code, hs_code_raw AS hs10, " + ", ".join(f"left(hs_code_raw, {n}) AS hs{n}" for n in (8, 6, 4, 2)) + f", {', '.join(M)} FROM classified WHERE bucket = 'canonical'",
         "anomaly_table": f"WITH {FACTS}, {RAW} SELECT coalesce(reason, warning) AS reason, month, requested_country, country_code_raw, hs_code_raw, length(hs_code_raw) AS hs_length, name_ko, {', '.join(M)}, source_manifest, source AS source_raw_path, source_finished_at FROM classified WHERE coalesce(reason, warning) IS NOT NULL",
@@ -180,24 +200,22 @@ count(*) FILTER (export_usd = 0 AND export_weight_kg = 0 AND import_usd = 0 AND
 count(*) FILTER (export_usd - import_usd <> trade_balance_usd) AS balance_mismatch_rows, count(*) FILTER (mismatch) AS country_mismatch_rows FROM tested GROUP BY source),
 keys AS (SELECT source, count(*) AS c FROM raw GROUP BY source, month, country_code_raw, hs_code_raw), dups AS (SELECT source, CAST(sum(c - 1) AS BIGINT) AS duplicate_key_rows, count(*) FILTER (c > 1) AS duplicate_key_groups FROM keys GROUP BY source),
 lens AS (SELECT source, CAST(length(hs_code_raw) AS VARCHAR) AS l, count(*) AS c FROM raw GROUP BY 1, 2), lengths AS (SELECT source, '{{' || string_agg('"' || l || '":' || CAST(c AS VARCHAR), ',' ORDER BY l) || '}}' AS hs_length_counts FROM lens GROUP BY source),
-vars AS (SELECT source, hs_code_raw AS c, list_sort(list_distinct(list(name_ko))) AS x FROM raw GROUP BY 1, 2), shown AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY c) AS r FROM vars WHERE len(x) > 1),
-names AS (SELECT source, count(*) AS hs_name_variant_codes, string_agg(c || '=' || array_to_string(x[1:5], '|'), ';' ORDER BY c) FILTER (r <= 20) AS hs_name_variant_examples FROM shown GROUP BY source)
+vars AS (SELECT source, hs_code_raw AS c, list_sort(list_distinct(list(name_ko))) AS x, min(ordinal) AS o FROM raw GROUP BY 1, 2), shown AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY o, c) AS r FROM vars WHERE len(x) > 1),
+names AS (SELECT source, count(*) AS hs_name_variant_codes, string_agg(c || '=' || array_to_string(x[1:5], '|'), ';' ORDER BY o, c) FILTER (r <= 20) AS hs_name_variant_examples FROM shown GROUP BY source)
 SELECT b.source, n + t AS row_count, n AS fact_row_count, t AS total_row_count, CAST(month_count AS INTEGER) AS month_count, months_found, hs_length_counts, non_hs10_fact_rows, duplicate_key_rows, duplicate_key_groups, zero_trade_rows, negative_amount_or_weight_rows, balance_mismatch_rows, country_mismatch_rows,
 coalesce(hs_name_variant_codes, 0) AS hs_name_variant_codes, coalesce(hs_name_variant_examples, '') AS hs_name_variant_examples FROM (SELECT *, CAST(CASE WHEN k % 10 = 0 OR NOT readable THEN 0 ELSE 2 END AS BIGINT) AS t FROM base) b JOIN dups USING (source) JOIN lengths USING (source) LEFT JOIN names USING (source)""",
         "revision_lookup": f"WITH {FACTS}, {EDITIONS}, {LOOKED} SELECT left(month, 4) AS year, hs_revision, count(*) AS rows, CAST(sum(import_usd) AS BIGINT) AS import_usd FROM looked GROUP BY 1, 2",
         "reference_gaps": f"WITH {FACTS}, {EDITIONS}, {LOOKED}, u AS (SELECT left(month, 4) AS year, hs10, month, 'name ' || CAST(l_partkey % 40 AS VARCHAR) AS name FROM looked WHERE hs_revision IS NULL) SELECT year, hs10, count(*) AS rows, array_to_string(list_sort(list_distinct(list(month))), ',') AS months, array_to_string(list_sort(list_distinct(list(name))), ' | ') AS names FROM u GROUP BY year, hs10",
         "reference_conflicts": f"WITH {FACTS}, {EDITIONS} SELECT CAST(reference_year AS INTEGER) AS reference_year, hs10, CAST(2 AS BIGINT) AS revisions FROM editions WHERE reference_year = 1996 AND left(hs10, 2) = '10'",
         "code_name_inventory": f"WITH {FACTS}, n AS (SELECT *, 'name ' || CAST(l_partkey % 40 AS VARCHAR) AS name FROM facts) SELECT hs10, count(DISTINCT name) AS name_count, {json_list('name')} AS names_json, {json_list('left(month, 4)')} AS years_observed_json, {json_list('country_code')} AS countries_observed_json, min(month) AS first_trade_month_observed, max(month) AS last_trade_month_observed FROM n GROUP BY hs10",
-        "code_name_variants": f"WITH {FACTS}, n AS (SELECT left(hs10, 2) AS hs10, list_sort(list_distinct(list('name ' || CAST(l_partkey % 40 AS VARCHAR)))) AS x FROM facts GROUP BY 1) SELECT hs10, array_to_string(x[1:5], '|') AS names FROM n WHERE len(x) > 1 ORDER BY hs10 LIMIT 20",
+        "code_name_variants": f"WITH {FACTS}, n AS (SELECT left(hs10, 2) AS hs10, list_sort(list_distinct(list('name ' || CAST(l_partkey % 40 AS VARCHAR)))) AS x, min(l_orderkey * 10 + l_linenumber) AS o FROM facts GROUP BY 1) SELECT hs10, array_to_string(x[1:5], '|') AS names FROM n WHERE len(x) > 1 ORDER BY o, hs10 LIMIT 20",
         "duplicate_label_fold": f"WITH RECURSIVE {FOLD} SELECT hs10, CAST(n AS INTEGER) AS copies, ko AS name_ko, en AS name_en, conflicts FROM folded QUALIFY row_number() OVER (PARTITION BY hs10 ORDER BY n DESC) = 1",
         "duplicate_label_audit": f"""WITH RECURSIVE {FOLD}, steps AS (SELECT b.hs10, b.n AS step_no, a.ko AS first_ko, a.en AS first_en, b.ko AS second_ko, b.en AS second_en, CASE WHEN {BETTER} THEN b.ko ELSE a.ko END AS selected_ko, CASE WHEN {BETTER} THEN b.en ELSE a.en END AS selected_en,
 CASE WHEN {FITS} THEN 'prefer_more_specific_compatible_label' ELSE 'prefer_first_source_order_pending_adjacent_year_review' END AS resolution FROM folded a JOIN nth b ON a.hs10 = b.hs10 AND b.n = a.n + 1 WHERE a.ko <> b.ko OR a.en <> b.en)
 SELECT hs10, CAST(row_number() OVER (PARTITION BY hs10 ORDER BY step_no) - 1 AS INTEGER) AS n, first_ko, first_en, second_ko, second_en, selected_ko, selected_en, resolution FROM steps""",
         "edition_duplicates": f"WITH {LABELS} SELECT hs10, count(*) AS rows FROM labels GROUP BY hs10 HAVING count(*) > 1",
-        "adjacent_year_review": """WITH e AS (SELECT p_partkey AS k, CAST(p_partkey AS VARCHAR) AS hs10, y, CASE WHEN p_partkey % 3 = 0 AND y >= 2022 OR p_partkey % 3 = 1 AND y < 2022 THEN 'old' ELSE 'new' END AS n FROM part, (SELECT unnest([2021, 2022, 2023]) AS y) WHERE p_partkey % 10 <> 0 OR y <> 2023),
-j AS (SELECT m.hs10, m.k, p.n AS previous, f.n AS following FROM e m LEFT JOIN e p ON p.hs10 = m.hs10 AND p.y = 2021 LEFT JOIN e f ON f.hs10 = m.hs10 AND f.y = 2023 WHERE m.y = 2022),
-d AS (SELECT *, CASE WHEN k % 7 = 0 THEN 'unresolved' WHEN previous = 'new' AND following = 'old' THEN 'keep_first' WHEN previous = 'old' AND following = 'new' THEN 'use_second' ELSE 'unresolved' END AS decision FROM j)
-SELECT 2022 AS reference_year, hs10, decision, CASE WHEN decision = 'use_second' THEN 'new' ELSE 'old' END AS name_ko, CASE WHEN decision = 'use_second' THEN 'en new' ELSE 'en old' END AS name_en FROM d""",
+        "adjacent_year_review": f"WITH {REVIEW} SELECT y AS reference_year, hs10, resolution, {LABEL.format('CASE WHEN used THEN 1 - b ELSE b END')} AS name_ko, {ENGLISH.format('CASE WHEN used THEN 1 - b ELSE b END')} AS name_en, {LABEL.format('previous')} AS previous_ko, {LABEL.format('following')} AS next_ko FROM judged",
+        "adjacent_rewrites": f"WITH {REVIEW} SELECT e.y AS reference_year, e.hs10, {LABEL.format('CASE WHEN coalesce(used, false) THEN 1 - e.b ELSE e.b END')} AS name_ko, {ENGLISH.format('CASE WHEN coalesce(used, false) THEN 1 - e.b ELSE e.b END').replace('k %', 'e.k %')} AS name_en FROM e LEFT JOIN judged j ON j.hs10 = e.hs10 AND j.y = e.y",
         "tariff_index": f"WITH {TARIFF} SELECT DISTINCT y AS reference_year, CAST(y AS VARCHAR) || '0101' AS clip_sct_year, '20220101' AS clip_hstd_year, chapter FROM t",
         "tariff_editions": f"""WITH {TARIFF} SELECT y AS reference_year, 'HSK-' || CAST(y AS VARCHAR) AS hs_revision, CAST(y AS VARCHAR) || '-01-01' AS valid_from, CAST(y AS VARCHAR) || '-12-31' AS valid_to, CAST(y AS VARCHAR) || '0101' AS clip_sct_year, '20220101' AS clip_hstd_year, hs10, {tariff_codes},
 mark || ' ' || p_name || CASE WHEN y = 2022 AND k % 10 = 0 AND k % 15 <> 0 THEN ' (상세)' ELSE '' END AS name_ko, 'EN ' || mark AS name_en, 'part' AS source, 'https://example.test' AS source_url FROM named""",
@@ -205,10 +223,13 @@ mark || ' ' || p_name || CASE WHEN y = 2022 AND k % 10 = 0 AND k % 15 <> 0 THEN
 CASE WHEN k % 15 = 0 THEN 'EN 신' ELSE 'EN 품' END AS second_en, CASE WHEN k % 15 = 0 THEN '구 ' || p_name ELSE '품 ' || p_name || ' (상세)' END AS selected_ko, CASE WHEN k % 15 = 0 THEN 'EN 구' ELSE 'EN 품' END AS selected_en,
 CASE WHEN k % 15 = 0 THEN 'prefer_first_source_order_pending_adjacent_year_review' ELSE 'prefer_more_specific_compatible_label' END AS resolution FROM named WHERE y = 2022 AND (k % 15 = 0 OR k % 10 = 0)""",
         "tariff_review": "SELECT count(*) FILTER (p_partkey % 15 = 0) AS reviewed, count(*) FILTER (p_partkey % 15 = 0) AS resolved, CAST(0 AS BIGINT) AS unresolved, count(*) FILTER (p_partkey % 30 = 0) AS annual_name_rewrites FROM part",
-        "country_enrich": """WITH w AS (SELECT left(n_name, 2) AS alpha2, lpad(CAST(min(n_nationkey) AS VARCHAR), 3, '0') AS un_m49, left(min(n_name), 3) AS iso_alpha3, min(n_name) AS country_name_en FROM nation WHERE n_nationkey % 3 <> 0 GROUP BY 1)
-SELECT left(n_name, 2) AS country_code, n_name AS country_name_ko, coalesce(country_name_en, '') AS country_name_en, coalesce(un_m49, '') AS un_m49, coalesce(iso_alpha3, '') AS iso_alpha3, CASE WHEN alpha2 IS NULL THEN 'unmatched_kcs_code' ELSE 'matched_current_un' END AS un_match_status FROM nation LEFT JOIN w ON left(n_name, 2) = alpha2""",
-        "partner_qa": "SELECT count(*) AS rows, count(DISTINCT left(n_name, 2)) AS unique_country_codes, CAST(0 AS BIGINT) AS missing_country_name_ko, CAST(0 AS BIGINT) AS bad_unicode_rows, count(*) AS korean_name_without_hangul, count(*) - count(DISTINCT left(n_name, 2)) AS duplicate_country_codes, false AS ok FROM nation",
-        "partner_universe": "WITH w AS (SELECT DISTINCT left(n_name, 2) AS a FROM nation WHERE n_nationkey % 3 <> 0) SELECT left(n_name, 2) AS country_code, n_name AS country_name_ko, CASE WHEN a IS NULL THEN 'unmatched_kcs_code' ELSE 'matched_current_un' END AS un_match_status FROM nation LEFT JOIN w ON left(n_name, 2) = a WHERE (a IS NOT NULL OR left(n_name, 2) = 'JA') AND left(n_name, 2) NOT IN ('CH', 'NA')",
+        "country_enrich": f"WITH {PARTNERS} SELECT * FROM partner",
+        "partner_qa": f"WITH {PARTNERS} SELECT count(*) AS rows, count(DISTINCT country_code) AS unique_country_codes, CAST(0 AS BIGINT) AS missing_country_name_ko, CAST(0 AS BIGINT) AS bad_unicode_rows, count(*) AS korean_name_without_hangul, count(*) - count(DISTINCT country_code) AS duplicate_country_codes, true AS ok FROM partner",
+        "partner_universe": f"WITH {PARTNERS} SELECT * FROM universe",
+        "partner_universe_facts": f"WITH {FACTS}, {PARTNERS} SELECT u.country_code, count(*) AS rows, CAST(sum(import_usd) AS BIGINT) AS import_usd FROM facts f JOIN universe u ON f.country_code = u.country_name_ko GROUP BY 1",
+        "outcome_verdicts": f"""WITH {EVENTS}, v AS (SELECT event_id, status, concat_ws('; ', CASE WHEN f = 0 THEN 'no fact rows returned' END, CASE WHEN short > 0 THEN CAST(short AS VARCHAR) || ' fact rows are not 10-digit numeric HS' END, CASE WHEN m_last < m1 THEN 'missing months: ' || y || lpad(CAST(m1 AS VARCHAR), 2, '0') END,
+CASE WHEN dup > 0 THEN 'duplicate extra rows: ' || CAST(dup AS VARCHAR) END, CASE WHEN other > 0 THEN 'country mismatch rows: ' || CAST(other AS VARCHAR) END) AS flaws FROM events1)
+SELECT event_id, CASE WHEN status <> 'success' THEN 'INCONCLUSIVE' WHEN flaws <> '' THEN 'FAIL' ELSE 'PASS' END AS verdict, CASE WHEN status <> 'success' THEN 'request status=' || status WHEN flaws <> '' THEN flaws ELSE 'all returned fact rows are 10-digit HS; requested months covered; no duplicate keys' END AS reasons FROM v""",
         "outcome_status": f"WITH {EVENTS} SELECT event_id, status, coalesce(months > 1 AND status = 'transport_error' AND (http IS NULL OR http IN (503, 504)), false) AS split, CASE WHEN months = 1 THEN 'month' WHEN months <= 3 THEN 'quarter' ELSE 'year' END AS level FROM events1",
         "effective_leaves": f"WITH {EVENTS} SELECT event_id, country, window_start, window_end, status FROM leaves",
         "root_verdicts": f"""WITH {EVENTS}, found AS (SELECT DISTINCT root, unnest(range(CAST(m0 AS BIGINT), CAST(m_last AS BIGINT) + 1)) AS m FROM inside WHERE good),
@@ -234,8 +255,11 @@ SELECT path, window_start, window_end, {name('i')} AS part_start, {name('least(i
         "month_bounds": f"WITH o AS (SELECT o_orderkey, o_orderdate AS d, {index} AS i FROM orders) SELECT o_orderkey, {name('i - 11')} AS last_year, {name('i - 23')} AS year_before, {name('i - 12')} AS before_end, {name('i - 90')} AS history FROM o",
         "key_text": "SELECT event_id, 'http://x?' || CASE WHEN event_id % 2 = 0 THEN 'serviceKey' ELSE 'SERVICEKEY' END || '=[REDACTED]&cntyCd=US' AS redacted, 'k+' || CAST(event_id AS VARCHAR) || '+c=' AS decoded FROM events",
         "plan_roots": "SELECT n_name AS country, CAST(y AS VARCHAR) || '01' AS window_start, CAST(y AS VARCHAR) || '12' AS window_end FROM nation, (SELECT unnest(range(1995, 2001)) AS y)",
-        "number_text": f"""WITH p AS (SELECT p_partkey, CASE p_partkey % 7 WHEN 0 THEN NULL WHEN 1 THEN NULL WHEN 2 THEN 1234567 WHEN 3 THEN CAST(trunc(p_retailprice) AS BIGINT) WHEN 4 THEN 42 WHEN 5 THEN NULL ELSE CAST(p_size AS BIGINT) END AS value FROM part)
-SELECT p_partkey, value, '20' || lpad(CAST(p_partkey % 30 AS VARCHAR), 2, '0') || lpad(CAST(p_partkey % 13 AS VARCHAR), 2, '0') AS month FROM p""",
+        # what the source's parser gives: a whole number exactly, else the double cut off, else nothing; "value" as far as it is a bigint
+        "number_text": """WITH p AS (SELECT p_partkey, p_partkey % 23 AS r, CAST(CASE p_partkey % 23 WHEN 2 THEN 1234567 WHEN 3 THEN trunc(p_retailprice) WHEN 4 THEN 42 WHEN 12 THEN 1000 WHEN 13 THEN 7 WHEN 14 THEN 1000 WHEN 15 THEN 0 WHEN 21 THEN p_size WHEN 22 THEN p_size END AS BIGINT) AS small FROM part)
+SELECT p_partkey, CASE r WHEN 11 THEN CAST('-9223372036854775808' AS BIGINT) ELSE small END AS value,
+  CASE r WHEN 10 THEN '9223372036854775808' WHEN 11 THEN '-9223372036854775808' WHEN 17 THEN '10000000000000000000000' WHEN 18 THEN '-12345678901234567890123' WHEN 19 THEN '10000000000000000000' ELSE CAST(small AS VARCHAR) END AS wide,
+  '20' || lpad(CAST(p_partkey % 30 AS VARCHAR), 2, '0') || lpad(CAST(p_partkey % 13 AS VARCHAR), 2, '0') AS month FROM p""",
         "monthly_trend": f"WITH {FACTS}, s AS (SELECT month, CAST(sum(export_usd) AS BIGINT) AS export_usd, CAST(sum(import_usd) AS BIGINT) AS import_usd, CAST(sum(trade_balance_usd) AS BIGINT) AS trade_balance_usd FROM facts GROUP BY month) SELECT *, round(export_usd / 1e9, 6) AS export_bn, round(import_usd / 1e9, 6) AS import_bn FROM s",
         "slice_profile": f"WITH {FACTS} SELECT count(*) AS rows, count(DISTINCT country_code) AS partners, count(DISTINCT hs10) AS products, min(month) AS first_month, max(month) AS last_month, CAST(sum(import_usd) AS BIGINT) AS import_usd, CAST(sum(export_usd) AS BIGINT) AS export_usd FROM facts",
         "top_partners_latest": f"""WITH {FACTS}, {NAMES}, s AS (SELECT month, country_code, CAST(sum(export_usd) AS BIGINT) AS export_usd, CAST(sum(import_usd) AS BIGINT) AS import_usd FROM facts WHERE month = (SELECT max(month) FROM facts) GROUP BY ALL),
@@ -254,10 +278,10 @@ SELECT hs6, exposure, left(coalesce(nullif(trim(name), ''), hs6), 12) AS label F
         "lag_features": f"WITH {FACTS}, {PANEL}, {LAGGED} SELECT * FROM lagged",
         "rolling_features": f"WITH {FACTS}, {PANEL} SELECT *, {ROLLED} FROM panel",
         "calendar_features": f"WITH {FACTS}, {PANEL}, a AS (SELECT *, 2 * 3.141592653589793 * CAST(right(month, 2) AS INTEGER) / 12 AS angle FROM panel) SELECT hs4, month, import_usd, round(sin(angle), 9) + 0.0 AS month_sin, round(cos(angle), 9) + 0.0 AS month_cos, round(ln(1 + greatest(import_usd, 0)), 9) AS log_value FROM a",
-        "next_month_features": f"WITH {FACTS}, {PANEL.replace('panel AS (', 'short AS (')}, panel AS (SELECT * FROM short UNION ALL SELECT DISTINCT hs4, '199801', NULL FROM short), {LAGGED}, f AS (SELECT *, {ROLLED} FROM lagged) SELECT hs4, month, lag_1, lag_2, lag_3, lag_6, lag_12, mean_3, mean_6, mean_12 FROM f WHERE month = '199801'",
-        "baseline_scores": f"""WITH {FACTS}, {PANEL}, {LAGGED}, l AS (SELECT 'lag_1' AS model, import_usd AS a, lag_1 AS p FROM lagged WHERE month > '199706' UNION ALL SELECT 'lag_12', import_usd, lag_12 FROM lagged WHERE month > '199706')
+        "next_month_features": f"WITH {FACTS}, {PANEL.replace('panel AS (', 'short AS (')}, panel AS (SELECT * FROM short UNION ALL SELECT DISTINCT hs4, following, NULL FROM short, cut), {LAGGED}, f AS (SELECT *, {ROLLED} FROM lagged) SELECT hs4, month, lag_1, lag_2, lag_3, lag_6, lag_12, mean_3, mean_6, mean_12 FROM f WHERE month = (SELECT following FROM cut)",
+        "baseline_scores": f"""WITH {FACTS}, {PANEL}, {LAGGED}, l AS (SELECT 'lag_1' AS model, import_usd AS a, lag_1 AS p FROM lagged WHERE month > (SELECT train_end FROM cut) UNION ALL SELECT 'lag_12', import_usd, lag_12 FROM lagged WHERE month > (SELECT train_end FROM cut))
 SELECT model, count(*) AS n, round(sum(abs(p - a)) / sum(abs(a)), 9) AS wape, round(sqrt(avg(pow(ln(1 + p) - ln(1 + a), 2))), 9) AS rmsle FROM l WHERE p IS NOT NULL GROUP BY model""",
-        "by_product_error": f"""WITH {FACTS}, {PANEL}, {LAGGED}, e AS (SELECT hs4, CAST(sum(import_usd) AS BIGINT) AS actual, CAST(sum(abs(lag_1 - import_usd)) AS BIGINT) AS first_error, CAST(sum(abs(lag_12 - import_usd)) AS BIGINT) AS second_error FROM lagged WHERE month > '199706' AND lag_1 IS NOT NULL AND lag_12 IS NOT NULL GROUP BY hs4)
+        "by_product_error": f"""WITH {FACTS}, {PANEL}, {LAGGED}, e AS (SELECT hs4, CAST(sum(import_usd) AS BIGINT) AS actual, CAST(sum(abs(lag_1 - import_usd)) AS BIGINT) AS first_error, CAST(sum(abs(lag_12 - import_usd)) AS BIGINT) AS second_error FROM lagged WHERE month > (SELECT train_end FROM cut) AND lag_1 IS NOT NULL AND lag_12 IS NOT NULL GROUP BY hs4)
 SELECT *, CASE WHEN second_error <> 0 THEN round(1 - CAST(first_error AS DOUBLE) / second_error, 9) END AS improvement FROM e""",
         "text_quality_flags": f"SELECT doc_id, {conditional} AS reason, coalesce(regexp_matches(text, '[ᄀ-ᇿ㄰-㆏가-힣]'), false) AS hangul FROM documents",
         "prefix_integrity": f"WITH {FACTS} SELECT count(*) AS rows, count(*) FILTER (l_orderkey % 1000 = 1) AS prefix_mismatches, CAST(0 AS BIGINT) AS invalid_codes FROM facts",

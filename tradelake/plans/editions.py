@@ -34,15 +34,15 @@ def labelled_rows(chapters: DataFrame) -> tuple[DataFrame, DataFrame]:
     """One row for each year and code, and the audit of copies with other labels.  A code in two chapters is an error."""
     reference.require_same_beside_names(chapters, KEY)
     resolved = reference.resolve_duplicates(chapters, KEY)
-    audit = resolved.select(*KEY, F.explode("audit").alias("a")).select(*KEY, "a.*")
+    audit = resolved.select(*KEY, F.posexplode("audit").alias("step", "a")).select(*KEY, "step", "a.*")
     return resolved.select(*KEY, "name_ko", "name_en"), audit
 
 
 def reviewed(rows: DataFrame, audit: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows whose pending conflicts the neighbouring years have settled, and the decisions."""
-    pending = audit.where(F.col("resolution") == reference.PENDING).select(*KEY, "first_ko", "first_en", "second_ko", "second_en")
+    """Rows whose pending conflicts the neighbouring years have settled, in the years' order, and the decisions."""
+    pending = audit.where(F.col("resolution") == reference.PENDING).select(*KEY, "step", "first_ko", "first_en", "second_ko", "second_en")
     decisions = reference.adjacent_review(pending, rows)
-    changes = decisions.where("decision = 'use_second'").select(*KEY, "name_ko", "name_en")
+    changes = reference.rewrites(decisions)
     reference.require_matches(rows, changes)
     return reference.rewrite_name(rows, changes), decisions
 

@@ -36,9 +36,6 @@ def write_monthly(facts: DataFrame, path: str, order: list[str]) -> None:
     rows.write.mode("overwrite").option("compression", "zstd").option("maxRecordsPerFile", FILE_ROWS).partitionBy("year", "mm").parquet(path)
 
 
-def read_monthly(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
-
 
 def consolidate(spark: SparkSession, source: str, target: str, order: list[str], files: int | None = None) -> dict:
     """One sorted table from monthly folders, row counts compared; returns its figures.
