@@ -2,6 +2,7 @@ import gzip
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from tradelake import schemas, storage
 from tradelake.functions.text import MEASURES
@@ -39,6 +40,29 @@ def test_status_of_responses(spark, collected):
     assert sorted((r["code"], r["message"]) for r in responses.read_status(spark, str(collected / "raw")).collect()) == [("00", "ok"), ("00", "ok"), ("22", "LIMIT")]
 
 
+def test_pulled_responses(spark, tmp_path):
+    """Name spaces, odd items, several gzip members, damage of each kind."""
+    from tradelake.sources import pull
+
+    space = '<?xml version="1.0" encoding="UTF-8"?><k:response xmlns:k="urn:a" xmlns:m="urn:b"><m:header><m:resultCode> 00 </m:resultCode><resultMsg/></m:header><k:body><m:items><m:item><k:year> 2025.01 </k:year><m:hsCd>0101219000</m:hsCd><k:hsCd>second</k:hsCd><x><expDlr>deep</expDlr></x></m:item><item/></m:items></k:body></k:response>'.encode()
+    files = {"space": gzip.compress(space), "plain": space, "members": gzip.compress(space[:100]) + gzip.compress(space[100:]), "cut": gzip.compress(space)[:-9], "half": gzip.compress(space[:-36]), "empty": b"", "none": gzip.compress(b"<a/>"), "text": b"no xml"}
+    many = b"<r>" + b"<item><year>2025.01</year></item>" * (pull.BATCH * 2) + b"</r>"
+    files["many"] = gzip.compress(many)
+    for name, data in files.items():
+        (tmp_path / f"{name}.xml.gz").write_bytes(data)
+    rows = pull.read_responses(spark, str(tmp_path)).withColumn("name", F.regexp_extract("source", r"([a-z]+)\.xml", 1)).cache()
+    ends = {r["name"]: (r["ordinal"], r["code"], r["message"], r["parse_error"] and r["parse_error"].split(":")[0]) for r in rows.where("kind = 'file'").collect()}
+    assert ends == {"space": (2, "00", "", None), "plain": (2, "00", "", None), "members": (2, "00", "", None), "cut": (0, None, None, "EOFError"), "half": (1, None, None, "ParseError"), "none": (0, None, None, None), "text": (0, None, None, "ParseError"), "many": (pull.BATCH * 2, None, None, None)}
+    own = rows.where("kind = 'item' and name = 'space'").orderBy("ordinal").collect()
+    assert [(r["ordinal"], r["year"], r["hsCd"], r["expDlr"]) for r in own] == [(0, "2025.01", "0101219000", None), (1, None, None, None)]
+    assert pull.whole_items(rows).count() == 2 * 3 + pull.BATCH * 2 and {r["items"] for r in pull.damaged_files(rows).collect()} == {0, 1}
+    with pytest.raises(Exception, match="damaged response"):
+        responses.read_items(spark, str(tmp_path)).collect()
+    (tmp_path / "ok").mkdir()
+    (tmp_path / "ok/space.xml.gz").write_bytes(files["space"])
+    assert responses.raw_columns(responses.read_items(spark, str(tmp_path / "ok"))).select("month", "hs_code_raw").where("month is not null").collect() == [("202501", "0101219000")]
+
+
 def test_missing_raw_and_unknown_country(spark, collected):
     sources = responses.read_manifests(spark, str(collected / "audits/manifests"))
     assert responses.without_raw_file(spark, sources, str(collected / "raw")).count() == 0

@@ -122,7 +122,7 @@ def partner_sources(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFr
     two = "case n_nationkey when 0 then 'NA' when 1 then 'TW' when 2 then 'KR' else concat(chr(65 + n_nationkey % 26), chr(66 + n_nationkey div 26)) end"
     n = table(spark, sf_dir, "nation").withColumn("code", F.expr(two))
     world = n.where("n_nationkey % 3 <> 1").selectExpr("code as alpha2", "lpad(cast(n_nationkey as string), 3, '0') as un_m49", "concat(code, 'X') as iso_alpha3", "concat('Nation ', n_nationkey) as country_name_en")
-    return n.selectExpr("code as country_code", "n_name as country_name_ko"), world
+    return n.selectExpr("code as country_code", "concat('나라 ', n_name) as country_name_ko"), world
 
 
 #: Number texts of parts, by the key's remainder; the others have a price or a size.

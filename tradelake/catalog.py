@@ -227,7 +227,7 @@ def partner_universe(spark, sf_dir):
 
 def partner_universe_facts(spark, sf_dir):
     """Facts of the partners that count, by partner."""
-    f = b.trade_facts(spark, sf_dir).withColumnRenamed("country_code", "country_name_ko")
+    f = b.trade_facts(spark, sf_dir).select(F.concat(F.lit("나라 "), "country_code").alias("country_name_ko"), "import_usd")
     return f.join(b.small_side(partner_universe(spark, sf_dir)), "country_name_ko").groupBy("country_code").agg(F.count("*").alias("rows"), F.sum("import_usd").alias("import_usd"))
 
 
@@ -455,6 +455,28 @@ def xml_ingest(spark, sf_dir):
     return normalized_items(xml_items(spark, sf_dir))
 
 
+def xml_prefixed(spark, sf_dir):
+    """All rows as responses whose tags have a name space; files of every seventh source end in the middle."""
+    from .sources.fixtures import xml_responses
+    from .sources.pull import read_responses
+
+    return read_responses(spark, xml_responses(spark, b.raw_rows(spark, sf_dir), prefix="t:", damaged=b.source_number() % 7 == 3))
+
+
+def xml_namespaces(spark, sf_dir):
+    from .sources.pull import whole_items
+    from .sources.responses import normalized_items
+
+    return normalized_items(whole_items(xml_prefixed(spark, sf_dir)))
+
+
+def xml_damaged(spark, sf_dir):
+    from .sources.pull import damaged_files
+
+    found = damaged_files(xml_prefixed(spark, sf_dir)).withColumn("source", F.regexp_extract("source", "source=([^/]+)", 1))
+    return found.groupBy("source").agg(F.count("*").alias("files"), F.bool_and(F.startswith("parse_error", F.lit("ParseError: "))).alias("by_the_parser"))
+
+
 def xml_inspect(spark, sf_dir):
     from .sources.responses import inspect_responses
 
@@ -508,7 +530,7 @@ response_metrics revision_lookup reference_gaps reference_conflicts code_name_in
 tariff_label_audit tariff_review country_enrich partner_universe partner_universe_facts effective_leaves outcome_verdicts root_verdicts collection_summary run_totals window_split annual_windows stable_month month_bounds key_text plan_roots number_text
 monthly_trend slice_profile top_partners_latest products_hs4_latest product_drilldown concentration_metrics concentration_top15 concentration_labels concentration_summary partner_shares dependency_snapshot
 top_codes_train_only monthly_panel lag_features rolling_features calendar_features next_month_features baseline_scores by_product_error text_quality_flags prefix_integrity dimension_qa partner_qa anomaly_text_qa
-coverage_report_long snapshot_diff partition_verify anomaly_release consolidate_roundtrip xml_ingest xml_inspect xml_names xml_status xlsx_ingest ml_forecast forecast_next permutation_importance""".split()
+coverage_report_long snapshot_diff partition_verify anomaly_release consolidate_roundtrip xml_ingest xml_namespaces xml_damaged xml_inspect xml_names xml_status xlsx_ingest ml_forecast forecast_next permutation_importance""".split()
 
 
 def queries() -> dict:

@@ -85,7 +85,7 @@ two AS (SELECT *, coalesce(previous = b AND following = 1 - b, false) AS used, c
 judged AS (SELECT *, CASE WHEN stays THEN 'adjacent_year_validated_revision_transition_first_is_current' WHEN used THEN 'adjacent_year_validated_revision_transition_second_is_current' ELSE 'unresolved_conflicting_label_after_adjacent_year_review' END AS resolution FROM (SELECT * FROM one UNION ALL SELECT * FROM two))"""
 #: Nations as partners, and those with an international code.
 PARTNERS = """coded AS (SELECT n_nationkey AS k, n_name, CASE n_nationkey WHEN 0 THEN 'NA' WHEN 1 THEN 'TW' WHEN 2 THEN 'KR' ELSE chr(CAST(65 + n_nationkey % 26 AS INTEGER)) || chr(CAST(66 + n_nationkey // 26 AS INTEGER)) END AS c FROM nation),
-partner AS (SELECT c AS country_code, n_name AS country_name_ko, CASE WHEN k % 3 <> 1 THEN 'Nation ' || CAST(k AS VARCHAR) ELSE '' END AS country_name_en, CASE WHEN k % 3 <> 1 THEN lpad(CAST(k AS VARCHAR), 3, '0') ELSE '' END AS un_m49, CASE WHEN k % 3 <> 1 THEN c || 'X' ELSE '' END AS iso_alpha3,
+partner AS (SELECT c AS country_code, '나라 ' || n_name AS country_name_ko, CASE WHEN k % 3 <> 1 THEN 'Nation ' || CAST(k AS VARCHAR) ELSE '' END AS country_name_en, CASE WHEN k % 3 <> 1 THEN lpad(CAST(k AS VARCHAR), 3, '0') ELSE '' END AS un_m49, CASE WHEN k % 3 <> 1 THEN c || 'X' ELSE '' END AS iso_alpha3,
   CASE WHEN k % 3 <> 1 THEN 'matched_current_un' ELSE 'unmatched_kcs_code' END AS un_match_status FROM coded),
 universe AS (SELECT country_code, country_name_ko, un_match_status FROM partner WHERE (un_match_status = 'matched_current_un' OR country_code = 'TW') AND country_code NOT IN ('KR', 'NA'))"""
 #: The tariff pages' codes: labels of each year, and the second one that 2022 has for some.
@@ -224,9 +224,9 @@ CASE WHEN k % 15 = 0 THEN 'EN 신' ELSE 'EN 품' END AS second_en, CASE WHEN k %
 CASE WHEN k % 15 = 0 THEN 'prefer_first_source_order_pending_adjacent_year_review' ELSE 'prefer_more_specific_compatible_label' END AS resolution FROM named WHERE y = 2022 AND (k % 15 = 0 OR k % 10 = 0)""",
         "tariff_review": "SELECT count(*) FILTER (p_partkey % 15 = 0) AS reviewed, count(*) FILTER (p_partkey % 15 = 0) AS resolved, CAST(0 AS BIGINT) AS unresolved, count(*) FILTER (p_partkey % 30 = 0) AS annual_name_rewrites FROM part",
         "country_enrich": f"WITH {PARTNERS} SELECT * FROM partner",
-        "partner_qa": f"WITH {PARTNERS} SELECT count(*) AS rows, count(DISTINCT country_code) AS unique_country_codes, CAST(0 AS BIGINT) AS missing_country_name_ko, CAST(0 AS BIGINT) AS bad_unicode_rows, count(*) AS korean_name_without_hangul, count(*) - count(DISTINCT country_code) AS duplicate_country_codes, true AS ok FROM partner",
+        "partner_qa": f"WITH {PARTNERS} SELECT count(*) AS rows, count(DISTINCT country_code) AS unique_country_codes, CAST(0 AS BIGINT) AS missing_country_name_ko, CAST(0 AS BIGINT) AS bad_unicode_rows, CAST(0 AS BIGINT) AS korean_name_without_hangul, count(*) - count(DISTINCT country_code) AS duplicate_country_codes, true AS ok FROM partner",
         "partner_universe": f"WITH {PARTNERS} SELECT * FROM universe",
-        "partner_universe_facts": f"WITH {FACTS}, {PARTNERS} SELECT u.country_code, count(*) AS rows, CAST(sum(import_usd) AS BIGINT) AS import_usd FROM facts f JOIN universe u ON f.country_code = u.country_name_ko GROUP BY 1",
+        "partner_universe_facts": f"WITH {FACTS}, {PARTNERS} SELECT u.country_code, count(*) AS rows, CAST(sum(import_usd) AS BIGINT) AS import_usd FROM facts f JOIN universe u ON '나라 ' || f.country_code = u.country_name_ko GROUP BY 1",
         "outcome_verdicts": f"""WITH {EVENTS}, v AS (SELECT event_id, status, concat_ws('; ', CASE WHEN f = 0 THEN 'no fact rows returned' END, CASE WHEN short > 0 THEN CAST(short AS VARCHAR) || ' fact rows are not 10-digit numeric HS' END, CASE WHEN m_last < m1 THEN 'missing months: ' || y || lpad(CAST(m1 AS VARCHAR), 2, '0') END,
 CASE WHEN dup > 0 THEN 'duplicate extra rows: ' || CAST(dup AS VARCHAR) END, CASE WHEN other > 0 THEN 'country mismatch rows: ' || CAST(other AS VARCHAR) END) AS flaws FROM events1)
 SELECT event_id, CASE WHEN status <> 'success' THEN 'INCONCLUSIVE' WHEN flaws <> '' THEN 'FAIL' ELSE 'PASS' END AS verdict, CASE WHEN status <> 'success' THEN 'request status=' || status WHEN flaws <> '' THEN flaws ELSE 'all returned fact rows are 10-digit HS; requested months covered; no duplicate keys' END AS reasons FROM v""",
@@ -290,6 +290,8 @@ SELECT *, CASE WHEN second_error <> 0 THEN round(1 - CAST(first_error AS DOUBLE)
         "partition_verify": f"WITH {FACTS}, k AS (SELECT month, country_code, hs10, count(*) AS n FROM facts GROUP BY ALL) SELECT month, CAST(sum(n) AS BIGINT) AS rows, CAST(0 AS BIGINT) AS misplaced, CAST(sum(n - 1) AS BIGINT) AS duplicates FROM k GROUP BY month",
         "xml_ingest": f"WITH {FACTS}, {RAW} SELECT month, count(*) AS rows, CAST(sum(export_usd) AS BIGINT) AS export_usd, CAST(sum(import_weight_kg) AS BIGINT) AS import_weight_kg FROM raw GROUP BY month",
         "xlsx_ingest": "SELECT CAST(n_nationkey + 2 AS BIGINT) AS row_number, CAST(n_nationkey AS VARCHAR) AS code, n_name AS name, CAST(n_regionkey AS VARCHAR) AS region FROM nation",
+        "xml_namespaces": f"WITH {FACTS}, {RAW} SELECT month, count(*) AS rows, CAST(sum(export_usd) AS BIGINT) AS export_usd, CAST(sum(import_weight_kg) AS BIGINT) AS import_weight_kg FROM raw WHERE CAST(substring(source, 4) AS INTEGER) % 7 <> 3 GROUP BY month",
+        "xml_damaged": f"WITH {FACTS}, {RAW} SELECT source, CAST(ceil(count(*) / 5000.0) AS BIGINT) AS files, true AS by_the_parser FROM raw WHERE CAST(substring(source, 4) AS INTEGER) % 7 = 3 GROUP BY source",
         "xml_inspect": f"WITH {FACTS}, {RAW} SELECT source, CAST(ceil(count(*) / 5000.0) AS BIGINT) AS files, count(*) + CAST(ceil(count(*) / 5000.0) AS BIGINT) AS items, coalesce(array_to_string(list_sort(list_distinct(list(country_code_raw) FILTER (country_code_raw <> ''))), ','), '') AS countries FROM raw GROUP BY source",
         "xml_names": f"WITH {FACTS}, {RAW} SELECT month, count(*) AS observations, count(DISTINCT hs_code_raw) AS codes, count(DISTINCT name_ko) AS names FROM tested WHERE full_code GROUP BY month",
         "xml_status": "SELECT '00' AS code, 'ok' AS message, count(DISTINCT l_orderkey % 500) AS sources FROM lineitem JOIN supplier ON l_suppkey = s_suppkey",

@@ -16,18 +16,26 @@ from .. import storage
 FILE_ITEMS = 5_000
 
 
-def xml_responses(spark: SparkSession, raw: DataFrame, file_items: int = FILE_ITEMS) -> str:
-    """Write raw rows as gzipped responses, each of one source and of at most ``file_items`` items; returns the folder."""
+def xml_responses(spark: SparkSession, raw: DataFrame, file_items: int = FILE_ITEMS, prefix: str = "", damaged=None) -> str:
+    """Write raw rows as gzipped responses, each of one source and of at most ``file_items`` items; returns the folder.
+
+    ``prefix`` is a name space's that all tags get; files of sources where ``damaged`` holds end in the middle.
+    """
     path = storage.scratch(spark, "responses")
-    field = lambda tag, c: F.concat(F.lit(f"<{tag}>"), F.coalesce(c, F.lit("")), F.lit(f"</{tag}>"))
+    field = lambda tag, c: F.concat(F.lit(f"<{prefix}{tag}>"), F.coalesce(c, F.lit("")), F.lit(f"</{prefix}{tag}>"))
     item = F.concat(
-        F.lit("<item>"), field("year", F.concat(F.substring("month", 1, 4), F.lit("."), F.substring("month", 5, 2))), field("statCd", F.col("country_code_raw")), field("hsCd", F.col("hs_code_raw")), field("statKor", F.col("name_ko")),
-        field("expDlr", F.col("exp_dlr")), field("expWgt", F.col("exp_wgt")), field("impDlr", F.col("imp_dlr")), field("impWgt", F.col("imp_wgt")), field("balPayments", F.col("bal_payments")), F.lit("</item>"),
+        F.lit(f"<{prefix}item>"), field("year", F.concat(F.substring("month", 1, 4), F.lit("."), F.substring("month", 5, 2))), field("statCd", F.col("country_code_raw")), field("hsCd", F.col("hs_code_raw")), field("statKor", F.col("name_ko")),
+        field("expDlr", F.col("exp_dlr")), field("expWgt", F.col("exp_wgt")), field("impDlr", F.col("imp_dlr")), field("impWgt", F.col("imp_wgt")), field("balPayments", F.col("bal_payments")), F.lit(f"</{prefix}item>"),
     )
     nth = F.row_number().over(Window.partitionBy("source").orderBy("ordinal"))
     items = raw.withColumn("part", F.floor((nth - 1) / file_items)).groupBy("source", "part").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ordinal", item.alias("x")))), lambda r: r["x"]), "").alias("items"))
-    total = "<item><year>total</year><statCd>-</statCd><hsCd>-</hsCd><statKor>-</statKor></item>"
-    page = F.concat(F.lit(f"<response><header><resultCode>00</resultCode><resultMsg>ok</resultMsg></header><body><items>{total}"), "items", F.lit("</items></body></response>"))
+    space = f' xmlns:{prefix[:-1]}="urn:example:trade"' if prefix else ""
+    tagged = lambda text: text.replace("</", "\0").replace("<", f"<{prefix}").replace("\0", f"</{prefix}")
+    total = tagged("<item><year>total</year><statCd>-</statCd><hsCd>-</hsCd><statKor>-</statKor></item>")
+    head = tagged("<response><header><resultCode>00</resultCode><resultMsg>ok</resultMsg></header><body><items>").replace("response>", f"response{space}>", 1)
+    page = F.concat(F.lit(f"{head}{total}"), "items", F.lit(tagged("</items></body></response>")))
+    if damaged is not None:
+        page = F.when(damaged, F.substring(page, 1, (F.length(page) * 0.6).cast("int"))).otherwise(page)
     items.select("source", "part", page.alias("value")).write.partitionBy("source", "part").option("compression", "gzip").text(path)
     return path
 

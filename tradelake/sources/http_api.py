@@ -11,7 +11,6 @@ from __future__ import annotations
 
 import gzip
 import hashlib
-import io
 import json
 import os
 import re
@@ -21,13 +20,13 @@ import urllib.parse
 import urllib.request
 from collections.abc import Iterator
 from datetime import datetime, timezone
-from xml.etree import ElementTree
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from ..functions.outcomes import SPLITTABLE_HTTP, TELLING_HTTP
+from . import pull
 
 SCHEMA = (
     "country string, window_start string, window_end string, parent_request string, http_status int, api_result_code string, api_result_msg string, parsed boolean, raised boolean, "
@@ -88,19 +87,8 @@ def store(data_dir: str, name: str, data: bytes) -> str:
 
 def told(body: bytes) -> tuple[str | None, str | None, str | None]:
     """(code, message, parse error) of an answer: the service's header, or else the gateway's envelope; any name spaces."""
-    first: dict[str, str] = {}
-    try:
-        for _, node in ElementTree.iterparse(io.BytesIO(body)):
-            name = node.tag.rpartition("}")[2]
-            if name in ("resultCode", "resultMsg", "returnReasonCode", "returnAuthMsg", "errMsg"):
-                first.setdefault(name, (node.text or "").strip())
-            elif name == "item":
-                node.clear()
-    except ElementTree.ParseError as error:
-        return None, None, f"ParseError: {error}"
-    code = first.get("resultCode") if "resultCode" in first else first.get("returnReasonCode") or None
-    message = first["resultMsg"] if "resultMsg" in first else first.get("returnAuthMsg") or first.get("errMsg") or None
-    return code, message, None
+    *_, (_, _, _, code, message, error) = pull.parsed_file(body)
+    return code, message, error
 
 
 def download(country: str, start: str, end: str, parent: str | None, options: dict[str, str]) -> dict:

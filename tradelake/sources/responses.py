@@ -7,32 +7,21 @@ from pyspark.sql import functions as F
 
 from ..functions.months import months_between, parse_year_month
 from ..functions.text import strip
-from ..schemas import ITEM, MANIFEST
+from ..schemas import MANIFEST
+from . import pull
 
 #: A response's path: raw/year=YYYY/country=CC/response_<start>-<end>.xml.gz
 PATH = r"country=([^/]+)/response_([0-9]{6})-([0-9]{6})"
 
 
-def read_xml(spark: SparkSession, path: str | list[str], tag: str, schema: str) -> DataFrame:
-    """Elements of one tag as text columns; damaged files fail the job.
-
-    Folder names aren't taken for columns: ``year=`` would replace the item's own year.
-    """
-    reader = spark.read.format("xml").option("rowTag", tag).option("recursiveFileLookup", "true").option("mode", "FAILFAST")
-    return reader.schema(schema).load(path)
-
-
 def read_items(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Items with their file and their order in it (a gzip file is one task, so ids ascend in document order)."""
-    rows = read_xml(spark, path, "item", ITEM)
-    return rows.select("*", F.col("_metadata.file_path").alias("source"), F.monotonically_increasing_id().alias("ordinal"))
+    """Items with their file and their order in it, whatever their name spaces; a damaged file fails the job."""
+    return pull.items_or_error(pull.read_responses(spark, path))
 
 
 def read_status(spark: SparkSession, path: str) -> DataFrame:
-    """Result code and message of each response, from its header or else from the gateway's envelope."""
-    header = read_xml(spark, path, "header", "resultCode string, resultMsg string").select(F.col("_metadata.file_path").alias("source"), F.col("resultCode").alias("code"), F.col("resultMsg").alias("message"), F.lit(0).alias("rank"))
-    gateway = read_xml(spark, path, "cmmMsgHeader", "errMsg string, returnAuthMsg string, returnReasonCode string").select(F.col("_metadata.file_path").alias("source"), F.col("returnReasonCode").alias("code"), F.coalesce("returnAuthMsg", "errMsg").alias("message"), F.lit(1).alias("rank"))
-    return header.unionByName(gateway).groupBy("source").agg(F.min_by(F.struct("code", "message"), "rank").alias("x")).select("source", "x.*")
+    """Result code and message of each response, from its header or else from the gateway's envelope; null for a damaged one."""
+    return pull.read_responses(spark, path).where("kind = 'file'").select("source", "code", "message")
 
 
 def raw_columns(items: DataFrame) -> DataFrame:
