@@ -284,9 +284,9 @@ def test_items_in_blocks_are_one_pass_each(spark):
     items = [(i, " ".join(t.split()[5:20])) for i, t in docs[::3]]
     df, bench = spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")
     whole = decontaminate.find_leaks(df, bench)
-    assert sorted(map(str, decontaminate.find_leaks(df, bench, block_bytes=150).collect())) == sorted(map(str, whole.collect()))
+    assert sorted(map(str, decontaminate.find_leaks(df, bench, block_chars=150).collect())) == sorted(map(str, whole.collect()))
     assert {r["doc_id"] for r in whole.where("contaminated").collect()} >= {i for i, _ in docs[::3]}
-    assert decontaminate.decontaminate(df, bench, block_bytes=150).count() == whole.where("not contaminated").count()
+    assert decontaminate.decontaminate(df, bench, block_chars=150).count() == whole.where("not contaminated").count()
 
 
 def test_many_copies_learn_their_component(spark):
@@ -309,3 +309,37 @@ def test_the_shared_folder_must_be_named_on_a_cluster():
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         common.shared_dir(Session)
+
+
+def test_a_block_of_items_fits_a_worker(spark):
+    """Eight million characters of items of a thousand each: blocks of bounded size, automata built in seconds, runs made when met."""
+    import time
+
+    draw = random.Random(8)
+    text = "".join(draw.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(200_000))
+    items = [(i, text[s : s + 1000]) for i, s in enumerate(draw.randrange(199_000) for _ in range(8_000))]
+    bench = spark.createDataFrame(items + [(None, "no id"), (9_000, None), (9_001, " .,! ")], "item_id bigint, text string")
+    began, blocks = time.monotonic(), list(decontaminate.item_blocks(bench, "item_id", "text", decontaminate.BLOCK_CHARS))
+    assert [i for b in blocks for i, _ in b] == list(range(8_000)) and all(sum(len(t) for _, t in b) < decontaminate.BLOCK_CHARS + 1001 for b in blocks) and len(blocks) == 8
+    began = time.process_time()
+    matcher = decontaminate.Matcher(blocks[0], 0.1)
+    assert time.process_time() - began < 5 and not matcher.known  # ten seconds for all eight
+    item = blocks[0][77][1]
+    assert (77, 0) in [x[:2] for x in matcher.find("before " + item + " after")] and 0 < len(matcher.known) <= decontaminate.ITEMS_KEPT
+
+
+def test_words_of_items_have_no_edges(spark):
+    docs = spark.createDataFrame([(1, "concatenate"), (2, "dog")], "doc_id bigint, text string")
+    found = decontaminate.find_leaks(docs, spark.createDataFrame([(5, "Cat")], "item_id bigint, text string")).where("contaminated").collect()
+    assert [(r["doc_id"], r["item_ids"]) for r in found] == [(1, [5])]
+
+
+def test_many_rows_of_one_leaking_text(spark):
+    """Several blocks: a text that many rows share is one hit, and all its rows go."""
+    rows = [(i, "the same leaking passage of words" if i % 3 else f"own text {i}") for i in range(90)] + [(None, "the same leaking passage of words"), (91, None), (92, "")]
+    docs = spark.createDataFrame([(*r, "x") for r in rows], "doc_id bigint, text string, h1 string").repartition(4)
+    bench = spark.createDataFrame([(i, t) for i, t in enumerate(["leaking passage of words", "never there at all", "the same leaking passage"])], "item_id bigint, text string")
+    found = decontaminate.find_leaks(docs, bench, block_chars=10).collect()
+    assert sorted((r["doc_id"] or -1, tuple(r["item_ids"])) for r in found) == sorted((i or -1, (0, 2) if t and "leaking" in t else ()) for i, t in rows)
+    kept = decontaminate.decontaminate(docs, bench, block_chars=10)
+    assert kept.columns == docs.columns and sorted(r["doc_id"] for r in kept.collect()) == sorted(i for i, t in rows if not (t and "leaking" in t))

@@ -289,7 +289,7 @@ def test_leaks_match_brute_force(spark, odd, empty):
         want[d] = sorted(i for i, x in items if i is not None and x and edit_distance(decontaminate.normalize(x), n) <= int(len(decontaminate.normalize(x)) * 0.1))
     got = decontaminate.find_leaks(df, bench)
     assert {r["doc_id"]: r["item_ids"] for r in got.collect()} == want and any(want.values()) and not all(want.values())
-    blocks = decontaminate.find_leaks(df, bench, block_bytes=100)
+    blocks = decontaminate.find_leaks(df, bench, block_chars=100)
     assert {r["doc_id"]: r["item_ids"] for r in blocks.collect()} == want
     kept = decontaminate.decontaminate(df.withColumn("matches", F.lit(1)), bench)
     assert {r["doc_id"] for r in kept.collect()} == {d for d in want if not want[d]} and kept.columns[-1] == "matches"

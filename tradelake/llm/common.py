@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import gc
 import re
 import sys
@@ -241,11 +242,27 @@ class TextEncoder:
         return np.split(ids, ends[last[:-1]]) if len(last) else []
 
 
+def give_back() -> None:
+    """Hand memory that a worker has freed back to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the usual C library
+    if trim is not None:
+        trim(0)
+
+
+def worker_clear() -> None:
+    """Before work that keeps nothing: what another operator kept in this worker goes."""
+    kept = sys.modules.setdefault("_tradelake_worker", types.ModuleType("_tradelake_worker")).__dict__
+    kept["value"] = (None, None)
+    give_back()
+
+
 def worker_value(kind: str, key, make):
     """A value that a Python worker keeps from task to task: one in all, so another operator's goes first."""
     kept = sys.modules.setdefault("_tradelake_worker", types.ModuleType("_tradelake_worker")).__dict__
     if kept.get("value", (None,))[0] != (kind, key):
-        kept["value"] = (None, None)
-        gc.collect()
+        worker_clear()
         kept["value"] = ((kind, key), make())
+    give_back()
     return kept["value"][1]

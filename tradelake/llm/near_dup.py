@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Workspace
+from .common import Workspace, worker_clear
 from .components import connected_components
 from .shingles import WordHashes, chain, mix, shingle_set
 
@@ -74,6 +74,7 @@ def sketches(docs: DataFrame, shingle: int, bands: int, rows: int) -> DataFrame:
     """``doc_id, n_shingles, set_key, bands``; an empty set has no key and no bands."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_clear()
         known = WordHashes()
         for batch in batches:
             n, keys, lists = [], [], []
@@ -91,6 +92,7 @@ def shingle_sets(docs: DataFrame, shingle: int) -> DataFrame:
     """``id, items``: whole shingle sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_clear()
         known = WordHashes()
         for batch in batches:
             sets = [shingle_set(text.as_py(), shingle, known).view(np.int64) for text in batch.column(1)]

@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bound_batches
+from .common import bound_batches, worker_clear
 
 #: Bytes of text that are refined at once; a longer text is one piece.
 CHUNK_BYTES = 6 << 20
@@ -239,6 +239,7 @@ def find_runs(docs: DataFrame, min_length: int = 12, id_col: str = "doc_id", tex
     sha = lambda x: pa.array([hashlib.sha256(v.encode("utf-8", "surrogatepass")).hexdigest() for v in x.to_pylist()], pa.string())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_clear()
         for batch in batches:
             for a, b in pieces(batch.column(1)):
                 out = describe(batch.column(1).slice(a, b - a), min_length)

@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Kept, Workspace, bound_batches, id_remainder, worker_value
+from .common import Kept, Workspace, bound_batches, id_remainder, worker_clear, worker_value
 from .labelled import SAMPLE_ROWS, labelled_sample
 from .shingles import chain
 
@@ -231,6 +231,7 @@ def count_grams(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     """The character model's counts over the words of all texts: one pass, a row for each bin and task at most."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_clear()
         bins = np.zeros(BINS, np.int64)
         for batch in batches:
             words = pc.utf8_split_whitespace(pc.utf8_lower(pc.fill_null(batch.column(0), ""))).flatten().dictionary_encode()
