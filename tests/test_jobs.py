@@ -132,6 +132,48 @@ def test_limits_end_a_run(spark, service, tmp_path):
     assert run["stopped_reason"] == collect.AUTH and Service.asked["AA", "202501", "202512"] == 1
 
 
+def test_a_limit_stops_the_wave_that_it_comes_in(spark, service, tmp_path):
+    """Requests after a quota answer are counted: none in its task, at most the one that each other task was in."""
+    Service.asked.clear()
+    many = ["QQ", *(f"W{i:02}" for i in range(30))]
+    run = collect.collect(spark, roots_of(spark, *many), options(service, tmp_path / "one"), at_once=1, force=True)
+    assert dict(Service.asked) == {("QQ", "202501", "202512"): 1} and (run["stopped_reason"], run["attempted_roots"], run["planned_roots"]) == (collect.QUOTA, 1, 31)
+    Service.asked.clear()
+    slow = options(service, tmp_path / "four") | {"delay": "0.3"}
+    run = collect.collect(spark, roots_of(spark, *many), slow, at_once=3, force=True)
+    assert run["stopped_reason"] == collect.QUOTA and run["attempted_roots"] == sum(Service.asked.values()) < 16
+    assert not list((tmp_path / "four/audits/runs").glob("running-*"))
+    again = collect.collect(spark, roots_of(spark, *many[1:]), options(service, tmp_path / "four"), at_once=3)
+    assert again["successful_roots"] == 30 and again["checkpoint_reused_roots"] == run["successful_roots"]
+
+
+def test_only_what_was_too_fast_is_sent_again(spark, service, tmp_path):
+    Service.asked.clear()
+    run = collect.collect(spark, roots_of(spark, "RR", "V1", "V2", "V3"), options(service, tmp_path), force=True, pause=0.01)
+    assert {k[0]: n for k, n in Service.asked.items()} == {"RR": 2, "V1": 1, "V2": 1, "V3": 1} and run["successful_roots"] == 4
+    assert {r["country"]: r["rate_limit_retries"] for r in run["roots"]} == {"RR": 1, "V1": 0, "V2": 0, "V3": 0}
+    guard = http_api.Guard(options(service, tmp_path) | {"run": "audits/runs/x", "delay": "0.2"})
+    assert guard.pace() == 0.2 and guard.stopped() is None
+    guard.slow_down()
+    guard.slow_down()
+    guard.stop("why")
+    assert guard.pace() == 0.8 and guard.stopped() == "why"
+
+
+def test_an_interrupt_keeps_what_came(spark, service, tmp_path, monkeypatch):
+    lines, old = [], collect.collect_with_split
+
+    def interrupted(spark, asked, *rest):
+        if asked.first()["country"] == "V2":
+            raise KeyboardInterrupt
+        return old(spark, asked, *rest)
+
+    monkeypatch.setattr(collect, "collect_with_split", interrupted)
+    run = collect.collect(spark, roots_of(spark, "V1", "V2", "V3"), options(service, tmp_path), wave=1, force=True, progress=lines.append)
+    assert (run["stopped_reason"], run["attempted_roots"], run["successful_roots"], collect.exit_code(run)) == ("interrupted", 1, 1, 130)
+    assert lines == ["progress=1/3 success=1 rows=12 checkpoint=0 stopping_reason=-"] and list((tmp_path / "audits/runs").glob("collection_*.json"))
+
+
 def test_plan_and_data_source(spark, service, tmp_path):
     partners = spark.createDataFrame([("US",), ("CN",)], "country_code string")
     plan = [tuple(r) for r in collect.root_plan(spark, partners, "202411", "202502").select("country", "window_start", "window_end").collect()]
@@ -258,10 +300,10 @@ def test_failed_checks_leave_the_old_table(spark, collected):  # noqa: F811
 def test_command_line(spark, service, collected, monkeypatch, capsys):  # noqa: F811
     references(collected, ("US", "CN"))
     top = ["--data-dir", str(collected)]
-    assert cli.main([*top, "collect", "backfill", "--url", service, "--start-month", "202301", "--end-month", "202402", "--dry-run"]) == 0
+    assert cli.main([*top, "collect", "backfill", "--key-name", "TRADE_KEY", "--url", service, "--start-month", "202301", "--end-month", "202402", "--dry-run"]) == 0
     assert json.loads(capsys.readouterr().out.splitlines()[-1]) == {"collection_range": "202301-202402", "planned_roots": 4}
-    monkeypatch.setenv("KCS_SERVICE_KEY", KEY)
-    assert cli.main([*top, "collect", "backfill", "--url", service, "--start-month", "202401", "--end-month", "202402", "--countries", "CN", "--max-roots", "1", "--request-delay", "0"]) == 0
+    monkeypatch.setenv("TRADE_KEY", KEY)
+    assert cli.main([*top, "collect", "backfill", "--key-name", "TRADE_KEY", "--url", service, "--start-month", "202401", "--end-month", "202402", "--countries", "CN", "--max-roots", "1", "--request-delay", "0"]) == 0
     assert json.loads(capsys.readouterr().out.splitlines()[-1])["fact_row_count"] == 2
     assert cli.main([*top, "normalize"]) == 0 and cli.main([*top, "derive"]) == 0 and cli.main([*top, "qa"]) == 0
     assert cli.main([*top, "release", "--output", str(collected / "out")]) == 0 and (collected / "out/release_manifest.json").exists()

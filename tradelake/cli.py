@@ -30,7 +30,7 @@ def parser() -> argparse.ArgumentParser:
     c.add_argument("--retries", type=int, default=2)
     c.add_argument("--rate-limit-retries", type=int, default=4)
     c.add_argument("--request-delay", type=float, default=0.15)
-    c.add_argument("--key-name", default="KCS_SERVICE_KEY", help="the environment's or .env file's name of the key")
+    c.add_argument("--key-name", required=True, help="the environment's or .env file's name of the key")
     c.add_argument("--force", action="store_true")
     c.add_argument("--dry-run", action="store_true")
     n = sub.add_parser("normalize", help="responses to canonical facts")
@@ -52,7 +52,7 @@ def parser() -> argparse.ArgumentParser:
 
 
 def main(argv: list[str] | None = None) -> int:
-    """0: well; 2: a check or some requests failed; 3: a limit ended the collection."""
+    """0: well; 2: a check or some requests failed; 3: a limit ended the collection; 130: it was interrupted."""
     a = parser().parse_args(argv)
     spark = build_session("tradelake", a.master)
     partners = lambda wanted=None: dimensions.read_partners(spark, f"{a.data_dir}/reference/country_reference.csv", requested=wanted)
@@ -66,7 +66,7 @@ def main(argv: list[str] | None = None) -> int:
             return 0
         http_api.read_dotenv(".env")
         options = {"url": a.url, "key": os.environ[a.key_name], "data_dir": a.data_dir, "retries": str(a.retries), "delay": str(a.request_delay)}
-        run = collect.collect(spark, roots, options, rate_limit_retries=a.rate_limit_retries, force=a.force or a.mode == "refresh")
+        run = collect.collect(spark, roots, options, rate_limit_retries=a.rate_limit_retries, force=a.force or a.mode == "refresh", progress=lambda line: print(line, file=sys.stderr, flush=True))
         print(json.dumps({k: v for k, v in run.items() if k != "roots"}))
         return collect.exit_code(run)
     try:

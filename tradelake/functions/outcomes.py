@@ -33,6 +33,22 @@ def outcome_status(http: Column, code: Column, message: Column, parsed: Column,
     )
 
 
+#: Why a run stopped.
+QUOTA, AUTH, RATE, INTERRUPTED = "daily_quota_exceeded", "authentication_or_permission_failure", "rate_limit_retries_exhausted", "interrupted"
+
+
+def limit_of(http: int | None, code: str | None, message: str | None, parsed: bool | None, raised: bool | None) -> str | None:
+    """The limit that an answer tells a task of, in the order of ``outcome_status``; a task asks before its next request."""
+    said = (message or "").upper()
+    if raised or (http is not None and 200 <= http < 300 and code == SUCCESS_CODE and parsed is not False):
+        return None
+    if code in QUOTA_CODES or QUOTA_TEXT in said:
+        return QUOTA
+    if code in RATE_CODES or RATE_TEXT in said or http == 429:
+        return RATE
+    return AUTH if code in AUTH_CODES or http in (401, 403) else None
+
+
 def should_split(status: Column, http: Column, months: Column) -> Column:
     """Only a transport failure is worth smaller requests, and only of a window of several months."""
     return (months > 1) & (status == "transport_error") & (http.isNull() | http.isin(SPLITTABLE_HTTP))

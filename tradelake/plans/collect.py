@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import json
-import time
+import uuid
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,14 +12,12 @@ from pyspark.sql import functions as F
 
 from .. import storage
 from ..functions.months import latest_stable_month, shift_month, window_level, window_size
-from ..functions.outcomes import outcome_status, should_split
+from ..functions.outcomes import AUTH, INTERRUPTED, QUOTA, RATE, outcome_status, should_split
 from ..operators import normalize, outcomes
 from ..sources import http_api, responses
 
-#: Roots that a wave asks for; longest pause before a wave that was too fast is sent again, seconds.
-WAVE, LONGEST_PAUSE = 64, 30
-#: Why a run stopped.
-QUOTA, AUTH, RATE = "daily_quota_exceeded", "authentication_or_permission_failure", "rate_limit_retries_exhausted"
+#: Roots that a wave asks for.
+WAVE = 64
 METRICS = [
     "row_count", "fact_row_count", "total_row_count", "month_count", "months_found", "missing_months", "hs_length_counts", "non_hs10_fact_rows", "duplicate_key_rows", "duplicate_key_groups", "zero_trade_rows",
     "negative_amount_or_weight_rows", "balance_mismatch_rows", "country_mismatch_rows", "hs_name_variant_codes", "hs_name_variant_examples",
@@ -70,6 +69,7 @@ def collect_with_split(spark: SparkSession, roots: DataFrame, options: dict[str,
 
     Each round is one DataFrame of requests, so a round's parts are fetched together; there are three at most.
     Unless ``force`` is set, a request that succeeded earlier and whose answer is kept isn't sent again.
+    A limit that a task meets ends the round where it is, and no further one follows.
     """
     path, key, done = storage.scratch(spark, "collect"), ["country", "window_start", "window_end"], []
     todo = roots.select(*key, F.lit(None).cast("string").alias("parent_request"))
@@ -85,7 +85,7 @@ def collect_with_split(spark: SparkSession, roots: DataFrame, options: dict[str,
         done.append(spark.read.schema(found[-1].schema).parquet(f"{path}/outcomes-{len(done)}"))
         failed = done[-1].where(should_split(F.col("status"), F.col("http_status"), window_size(F.col("window_start"), F.col("window_end"))))
         parts = outcomes.split_parts(failed.select(*key)).select("country", F.col("part_start").alias("start"), F.col("part_end").alias("end"), outcomes.request_key().alias("parent_request"))
-        if parts.isEmpty():
+        if parts.isEmpty() or options.get("run") and storage.exists(spark, f"{options['data_dir']}/{options['run']}/stop"):
             return reduce(DataFrame.unionByName, done)
         todo = parts.select("country", F.col("start").alias("window_start"), F.col("end").alias("window_end"), "parent_request")
 
@@ -105,32 +105,40 @@ def save_manifests(spark: SparkSession, done: DataFrame, data_dir: str, url: str
         storage.write_text(spark, f"{data_dir}/{path}", json.dumps(own | {"manifest_path": path, "endpoint": url, "request_params": request, "hsSgn_omitted": True}, ensure_ascii=False, indent=2))
 
 
-def collect(spark: SparkSession, roots: DataFrame, options: dict[str, str], wave: int = WAVE, at_once: int = 4, rate_limit_retries: int = 4, force: bool = False, pause: float = 1.0) -> dict:
+def within(row: dict, root: dict) -> bool:
+    return row["country"] == root["country"] and root["window_start"] <= row["window_start"] and row["window_end"] <= root["window_end"]
+
+
+def collect(spark: SparkSession, roots: DataFrame, options: dict[str, str], wave: int = WAVE, at_once: int = 4, rate_limit_retries: int = 4, force: bool = False, pause: float = 1.0, progress: Callable[[str], None] = lambda line: None) -> dict:
     """Collect a plan of roots, in order, and write its run manifest; returns that.
 
-    A wave is sent again while the service says it's too fast.  A daily quota or a refused key ends the run
-    after its wave: what came in is kept, and the next run asks for the rest only.
+    A request that the service finds too fast is sent again by itself, and all tasks slow down.  A daily quota, a
+    refused key or a rate that no retry mends ends the run: tasks see it before their next request, what came
+    in is kept, and the next run asks for the rest only.  So does an interrupt.
     """
-    data_dir, began = options["data_dir"], http_api.now()
+    data_dir, began, run_id = options["data_dir"], http_api.now(), uuid.uuid4().hex
+    options = options | {"run": f"audits/runs/running-{run_id}", "rate_limit_retries": str(rate_limit_retries), "rate_pause": str(pause)}
     plan = [tuple(r) for r in roots.select("country", "window_start", "window_end").collect()]  # partners by years
     schema, found, stopped, reused = "country string, window_start string, window_end string", [], None, 0
-    for at in range(0, len(plan), wave):
-        asked = spark.createDataFrame(plan[at : at + wave], schema)
-        attempt = 0
-        if not force:
-            reused += kept_outcomes(spark, data_dir, asked, judged(spark, spark.createDataFrame([], http_api.SCHEMA))).count()
-        while True:
+    try:
+        for at in range(0, len(plan), wave):
+            asked = spark.createDataFrame(plan[at : at + wave], schema)
+            if not force:
+                reused += kept_outcomes(spark, data_dir, asked, judged(spark, spark.createDataFrame([], http_api.SCHEMA))).count()
             done = collect_with_split(spark, asked, options, at_once, force)
             totals = outcomes.run_totals(done).first()
-            if not totals["rate_limited"] or attempt == rate_limit_retries:
+            save_manifests(spark, done, data_dir, options["url"])
+            retries = [r.asDict() for r in done.where("rate_limit_retries > 0").select("country", "window_start", "window_end", "rate_limit_retries").collect()]  # a wave's
+            summaries = [{k: plain(v) for k, v in r.asDict().items()} for r in outcomes.collection_summary(asked, done).where("leaf_requests > 0").collect()]
+            found += [r | {"rate_limit_retries": sum(x["rate_limit_retries"] for x in retries if within(x, r))} for r in summaries]
+            stopped = QUOTA if totals["quota_exceeded"] else AUTH if totals["auth_failed"] else RATE if totals["rate_limited"] else None
+            progress(f"progress={min(at + wave, len(plan))}/{len(plan)} success={sum(r['collection_success'] for r in found)} rows={sum(r['fact_row_count'] for r in found)} checkpoint={reused} stopping_reason={stopped or '-'}")
+            if stopped:
                 break
-            attempt += 1
-            time.sleep(min(2**attempt, LONGEST_PAUSE) * pause)
-        save_manifests(spark, done, data_dir, options["url"])
-        found += [{k: plain(v) for k, v in r.asDict().items()} | {"rate_limit_retries": attempt} for r in outcomes.collection_summary(asked, done).collect()]
-        stopped = QUOTA if totals["quota_exceeded"] else AUTH if totals["auth_failed"] else RATE if totals["rate_limited"] else None
-        if stopped:
-            break
+    except KeyboardInterrupt:
+        stopped = INTERRUPTED
+    finally:
+        storage.delete(spark, f"{data_dir}/{options['run']}")
     good = [r for r in found if r["collection_success"]]
     add = lambda k: sum(r[k] for r in good)
     run = {
@@ -143,5 +151,5 @@ def collect(spark: SparkSession, roots: DataFrame, options: dict[str, str], wave
 
 
 def exit_code(run: dict) -> int:
-    """0: all came in; 2: some roots failed; 3: a limit ended the run."""
-    return 3 if run["stopped_reason"] else 2 if run["failed_roots"] else 0
+    """0: all came in; 2: some roots failed; 3: a limit ended the run; 130: it was interrupted."""
+    return 130 if run["stopped_reason"] == INTERRUPTED else 3 if run["stopped_reason"] else 2 if run["failed_roots"] else 0

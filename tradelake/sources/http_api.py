@@ -25,16 +25,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from ..functions.outcomes import SPLITTABLE_HTTP, TELLING_HTTP
+from ..functions.outcomes import RATE, SPLITTABLE_HTTP, TELLING_HTTP, limit_of
 from . import pull
 
 SCHEMA = (
     "country string, window_start string, window_end string, parent_request string, http_status int, api_result_code string, api_result_msg string, parsed boolean, raised boolean, "
-    "response_bytes long, gzip_bytes long, sha256 string, elapsed_seconds double, retry_count int, raw_path string, parse_error string, exception string, requested_at string, finished_at string"
+    "response_bytes long, gzip_bytes long, sha256 string, elapsed_seconds double, retry_count int, raw_path string, parse_error string, exception string, requested_at string, finished_at string, rate_limit_retries int"
 )
 NAMES = [x.split()[0] for x in SCHEMA.split(", ")]
 #: Longest pause between attempts, seconds; bytes that are read at once.
 LONGEST_PAUSE, CHUNK = 8, 1 << 20
+#: Longest pause after an answer that requests come too fast, and between requests then, seconds.
+LONGEST_WAIT, SLOWEST = 30, 10.0
 
 
 def now() -> str:
@@ -91,6 +93,60 @@ def told(body: bytes) -> tuple[str | None, str | None, str | None]:
     return code, message, error
 
 
+class Guard:
+    """What the tasks of a run tell each other on the shared store: a stop, and how long to wait between requests.
+
+    Each task looks before each request, so a limit met by one ends the others' after the request that they are in.
+    """
+
+    def __init__(self, options: dict[str, str]):
+        from pyarrow import fs
+
+        self.top, self.name = options["data_dir"], options.get("run")
+        self.system, self.path = fs.FileSystem.from_uri(self.top if "://" in self.top or self.top.startswith("file:") else f"file://{os.path.abspath(self.top)}")
+        self.delay = float(options.get("delay", 0.15))
+
+    def _read(self, kind: str) -> str | None:
+        from pyarrow import fs
+
+        path = f"{self.path}/{self.name}/{kind}"
+        if not self.name or self.system.get_file_info(path).type != fs.FileType.File:
+            return None
+        with self.system.open_input_stream(path) as f:
+            return f.read().decode()
+
+    def stopped(self) -> str | None:
+        return self._read("stop")
+
+    def stop(self, reason: str) -> None:
+        if self.name:
+            store(self.top, f"{self.name}/stop", reason.encode())
+
+    def pace(self) -> float:
+        """Seconds between a task's requests: the run's own, or what slower answers have made of it."""
+        return max(self.delay, float(self._read("pace") or 0))
+
+    def slow_down(self) -> None:
+        if self.name:
+            store(self.top, f"{self.name}/pace", str(min(SLOWEST, 2 * self.pace())).encode())
+
+
+def ask(request: dict, options: dict[str, str], guard: Guard) -> dict:
+    """Send one request; one that comes too fast waits and is sent again by itself.  Limits that stay stop the run."""
+    retries, pause, attempt = int(options.get("rate_limit_retries", 0)), float(options.get("rate_pause", 1)), 0
+    while True:
+        row = download(request["country"], request["window_start"], request["window_end"], request["parent_request"], options)
+        limit = limit_of(*(row[k] for k in ("http_status", "api_result_code", "api_result_msg", "parsed", "raised")))
+        if limit != RATE or attempt == retries or guard.stopped():
+            break
+        attempt += 1
+        guard.slow_down()
+        time.sleep(min(2**attempt, LONGEST_WAIT) * pause)
+    if limit:
+        guard.stop(limit)
+    return row | {"rate_limit_retries": attempt}
+
+
 def download(country: str, start: str, end: str, parent: str | None, options: dict[str, str]) -> dict:
     """Send one request until its body is whole or attempts run out, keep the body, and say what came.
 
@@ -139,18 +195,20 @@ def download(country: str, start: str, end: str, parent: str | None, options: di
 
 
 def fetch(requests: DataFrame, options: dict[str, str], at_once: int = 4) -> DataFrame:
-    """``download`` over (country, window_start, window_end, parent_request), at most ``at_once`` at a time.
+    """``ask`` over (country, window_start, window_end, parent_request), at most ``at_once`` at a time.
 
-    A task that is lost is run again; its file is written again under the same name.
+    Requests that a stop leaves unsent have no row.  A task that is lost is run again; its file is written again
+    under the same name.
     """
-    delay = float(options.get("delay", 0.15))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        guard = Guard(options)
         for batch in batches:
             for r in batch.to_pylist():
-                row = download(r["country"], r["window_start"], r["window_end"], r["parent_request"], options)
-                yield pa.RecordBatch.from_pylist([row], schema=ARROW)
-                time.sleep(delay)
+                if guard.stopped():
+                    return
+                yield pa.RecordBatch.from_pylist([ask(r, options, guard)], schema=ARROW)
+                time.sleep(guard.pace())
 
     return requests.select("country", "window_start", "window_end", "parent_request").repartition(at_once).mapInArrow(run, SCHEMA)
 
