@@ -63,6 +63,72 @@ def test_pulled_responses(spark, tmp_path):
     assert responses.raw_columns(responses.read_items(spark, str(tmp_path / "ok"))).select("month", "hs_code_raw").where("month is not null").collect() == [("202501", "0101219000")]
 
 
+def monthly(spark, folder):
+    rows = [(f"20250{i % 3 + 1}", f"C{i % 5}", f"{i:010}", i) for i in range(300)]
+    df = spark.createDataFrame(rows, "month string, country_code string, hs10 string, export_usd bigint")
+    release.write_monthly(df, str(folder), ["country_code", "hs10"])
+    return df
+
+
+@pytest.mark.parametrize("files", [1, None])
+@pytest.mark.parametrize("harm", ["lost row", "changed value", "other month", None])
+def test_consolidation_proves_what_was_written(spark, tmp_path, monkeypatch, files, harm):
+    """A file of the written table is tampered with before the check."""
+    import pyarrow.parquet as pq
+
+    from tradelake.sources import footers
+
+    df, own = monthly(spark, tmp_path / "m"), footers.table_figures
+
+    def tampered(spark, path, bounds="month"):
+        if path.endswith("one") and harm:
+            file = next(p for p in sorted((tmp_path / "one").glob("*.parquet")) if pq.ParquetFile(p).metadata.num_rows > 2)
+            t = pq.read_table(file).to_pandas()
+            t = t.iloc[1:] if harm == "lost row" else t.assign(export_usd=t["export_usd"] + (t.index == 0)) if harm == "changed value" else t.assign(month="202512")
+            schema = pq.read_schema(file).remove_metadata()
+            import pyarrow as pa
+
+            pq.write_table(pa.Table.from_pandas(t, schema, preserve_index=False), file)
+            (file.parent / f".{file.name}.crc").unlink(missing_ok=True)
+        return own(spark, path, bounds)
+
+    monkeypatch.setattr(footers, "table_figures", tampered)
+    run = lambda: release.consolidate(spark, str(tmp_path / "m"), str(tmp_path / "one"), ["month", "country_code", "hs10"], files)
+    if harm:
+        with pytest.raises(release.Unequal if harm != "lost row" else release.Unequal):
+            run()
+    else:
+        figures = run()
+        assert (figures["rows"], figures["source_files"], figures["columns"]) == (300, 3, df.columns)
+
+
+def test_footers_tell_rows_columns_and_months(spark, tmp_path):
+    from tradelake.sources import footers
+
+    monthly(spark, tmp_path / "m")
+    told = footers.table_figures(spark, str(tmp_path / "m"))
+    assert (told.files, told.rows, told.low, told.high, len(told.columns)) == (3, 300, "202501", "202503", 4) and told.bytes == sum(p.stat().st_size for p in (tmp_path / "m").rglob("*.parquet"))
+    assert [(f.low, f.high, f.rows) for f in footers.footers(spark, str(tmp_path / "m"))] == [(m, m, 100) for m in ("202501", "202502", "202503")]
+    spark.createDataFrame([(1,)], "month int").write.parquet(str(tmp_path / "m/year=2026/mm=01"))
+    with pytest.raises(ValueError, match="schema mismatch"):
+        footers.table_figures(spark, str(tmp_path / "m"))
+    with pytest.raises(ValueError, match="no files"):
+        (tmp_path / "none").mkdir()
+        footers.table_figures(spark, str(tmp_path / "none"))
+
+
+def test_sorted_csv_comes_from_many_tasks(spark, tmp_path):
+    """The joined parts are the bytes that one task would have written."""
+    rows = [(i * 7919 % 1000, f'text "{i}", {i}' if i % 3 else None, [i, i + 1]) for i in range(1000)]
+    df = spark.createDataFrame(rows, "k int, t string, l array<int>").repartition(5)
+    assert release.write_csv(df, str(tmp_path / "joined"), ["k"]) == 1000
+    flat = df.withColumn("l", F.to_json("l"))
+    flat.orderBy("k").coalesce(1).write.option("header", "true").csv(str(tmp_path / "plain"))
+    one = lambda folder: [p for p in (tmp_path / folder).iterdir() if p.name.startswith("part-")]
+    assert len(one("joined")) == 1 and one("joined")[0].read_bytes() == one("plain")[0].read_bytes()
+    assert release.write_csv(df.limit(0), str(tmp_path / "joined"), ["k"]) == 0 and one("joined")[0].read_text() == "k,t,l\n"
+
+
 def test_missing_raw_and_unknown_country(spark, collected):
     sources = responses.read_manifests(spark, str(collected / "audits/manifests"))
     assert responses.without_raw_file(spark, sources, str(collected / "raw")).count() == 0

@@ -266,6 +266,32 @@ def test_whole_job(spark, collected):  # noqa: F811
     assert (collected / "release/release_manifest.json").exists()
 
 
+def test_whole_responses_without_items_miss_their_totals(spark, collected):  # noqa: F811
+    """Two answers of a trade of nothing, one without any item, one with a total row only that can't be read; one fine."""
+    write_response(collected, "JP", "202501", "202502", [("2025.01", "JP", "0101219000", 5, 1)], "2026-01-01T00:00:00+00:00")
+    for country in ("CN", "DE"):
+        write_response(collected, country, "202501", "202502", [], "2026-01-01T00:00:00+00:00")
+    empty = "<response><header><resultCode>00</resultCode></header><body><items>{}</items></body></response>"
+    for country, items in (("CN", ""), ("DE", "<item><year>total</year><hsCd>-</hsCd><expDlr>12d</expDlr></item>")):
+        (collected / http_api.raw_path(country, "202501", "202502")).write_bytes(gzip.compress(empty.format(items).encode()))
+    references(collected, ("US", "JP"))
+    editions = spark.read.parquet(f"{collected}/reference/hsk_code_reference.parquet")
+    m = stage11.normalize_job(spark, str(collected), editions, spark.createDataFrame([(c,) for c in ("US", "JP", "CN", "DE")], "country_code string"))
+    assert (m["source_summary_checked"], m["source_summary_matches"], m["source_summary_missing"]) == (2, 2, 2) and m["failed_checks"] == []
+    audit = {(r["country_code"], r["month"]): r["raw_path"] for r in spark.read.option("header", "true").csv(str(collected / "audits/normalization/source_selection.csv")).collect()}
+    assert audit["CN", "202502"] == http_api.raw_path("CN", "202501", "202502") and all((collected / p).exists() for p in audit.values())
+
+
+def test_the_release_gate_looks_at_the_editions_columns(spark, collected):  # noqa: F811
+    references(collected)
+    path = str(collected / "reference/hsk_code_reference.parquet")
+    good = release.edition_check(spark, path)
+    assert good["ok"] and good["schema_ok"] and good["bytes"] > 1000 and good["missing_name_en"] == 0
+    wrong = str(collected / "wrong.parquet")
+    spark.read.parquet(path).withColumn("reference_year", F.col("reference_year").cast("bigint")).write.parquet(wrong)
+    assert not release.edition_check(spark, wrong)["ok"] and release.edition_check(spark, wrong)["rows"] == 1
+
+
 def test_failed_checks_leave_the_old_table(spark, collected):  # noqa: F811
     references(collected)
     normalized(spark, collected)

@@ -72,14 +72,6 @@ def partition_metrics(facts: DataFrame, keys: list[str]) -> DataFrame:
     return by_key.groupBy("month").agg(F.sum("n").alias("rows"), F.sum("wrong").alias("misplaced"), F.sum(F.col("n") - 1).alias("duplicates"))
 
 
-def require_zero(metrics: DataFrame, columns: list[str]) -> None:
-    """Raise if any of these metrics of a one-row table isn't zero."""
-    row = metrics.first().asDict()
-    bad = {c: row[c] for c in columns if row[c]}
-    if bad:
-        raise ValueError(f"quality gate failed: {bad}")
-
-
 def whole(value) -> int:
     return int(value or 0)
 
@@ -91,7 +83,7 @@ def normalization_gate(manifest: dict) -> dict:
     report = {k: whole(manifest.get(k)) for k in ("selected_country_months", "fatal_anomalies", "hsk_reference_unknown_rows", "hsk_reference_unknown_unique")}
     report |= {k: whole(stats.get(k)) for k in ("partition_count", "canonical_rows", "non_hs10_rows")}
     report |= {k: whole(verify.get(k)) for k in ("duplicate_keys", "partition_month_mismatches", "parquet_rows", "parquet_bytes")}
-    report |= {f"source_summary_{k}": whole(either(f"source_summary_{k}")) for k in ("checked", "matches", "mismatches", "missing")}
+    report |= {f"source_summary_{k}": whole(either(f"source_summary_{k}")) for k in ("checked", "matches", "mismatches", "missing", "weight_rounding_sources", "weight_rounding_abs_kg")}
     report |= {"schema_ok": bool(verify.get("schema_ok")), "stored_row_reconciliation_ok": bool((either("stored_row_reconciliation") or {}).get("reconciles"))}
     positive, zero = ("selected_country_months", "partition_count"), ("duplicate_keys", "partition_month_mismatches", "fatal_anomalies", "source_summary_mismatches")
     told = report["schema_ok"] and report["stored_row_reconciliation_ok"] and report["parquet_rows"] == report["canonical_rows"]

@@ -13,8 +13,8 @@ from pyspark.sql import types as T
 from .. import storage
 from ..functions.text import MEASURES, bad_unicode_reason
 from ..operators import quality
-from ..schemas import PARTNER
-from ..sources import dimensions
+from ..schemas import EDITION, PARTNER
+from ..sources import dimensions, footers
 
 #: An anomaly's released columns, by the name inside.
 RELEASED = {
@@ -37,24 +37,40 @@ def write_monthly(facts: DataFrame, path: str, order: list[str]) -> None:
 
 
 
+def fingerprint(df: DataFrame) -> list:
+    """Aggregates of a table's rows that no order changes: how many there are, and the sum of their hashes."""
+    return [F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(F.xxhash64(*sorted(df.columns)).cast("decimal(20,0)")), F.lit(0)).cast("decimal(38,0)").alias("hashes")]
+
+
+class Unequal(ValueError):
+    """A written table isn't what was read."""
+
+
+def require_written(seen: dict, written: DataFrame, was: footers.TableFigures, now: footers.TableFigures) -> None:
+    """Raise unless a table's rows are those that its writer got, and its footers state what the source's do."""
+    if not was.rows == now.rows == seen["rows"]:
+        raise Unequal(f"{was.rows} rows were read, {seen['rows']} handed to the writer, {now.rows} written")
+    if (was.low, was.high) != (now.low, now.high) and None not in (was.low, now.low):
+        raise Unequal(f"months {was.low}-{was.high} became {now.low}-{now.high}")
+    if written.agg(*fingerprint(written)).first().asDict() != seen:
+        raise Unequal("written rows differ from those handed to the writer")
+
+
 def consolidate(spark: SparkSession, source: str, target: str, order: list[str], files: int | None = None) -> dict:
-    """One sorted table from monthly folders, row counts compared; returns its figures.
+    """One sorted table from monthly folders, proven to hold the same rows; returns its figures.
 
-    The source is read once: rows are counted while they are written, and then in the written files' footers.
-    ``files=1`` gives the single file of a release; None lets the sort's range partitions be files, which is
-    what a table of many terabytes needs.
+    Row counts, columns and months come from the footers of both sides; a fingerprint is taken of the rows as they go
+    to the writer and again of the written files.  ``files=1`` gives the single file of a release; None lets
+    the sort's range partitions be files, which is what a table of many terabytes needs.
     """
-    inputs = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(source).agg(F.count("*").alias("n"), F.coalesce(F.sum("length"), F.lit(0)).alias("b")).first()
-    if not inputs["n"]:
-        raise ValueError(f"no files below {source}")
+    was = footers.table_figures(spark, source)
+    rows = spark.read.parquet(source).drop("year", "mm")
     seen = Observation()
-    rows = spark.read.parquet(source).drop("year", "mm").observe(seen, F.count("*").alias("rows"))
-    out = rows.repartition(1).sortWithinPartitions(*order) if files == 1 else rows.orderBy(*order)
+    out = (rows.repartition(1).sortWithinPartitions(*order) if files == 1 else rows.orderBy(*order)).observe(seen, *fingerprint(rows))
     out.write.mode("overwrite").option("compression", "zstd").parquet(target)
-    was, now = seen.get["rows"], spark.read.parquet(target).count()
-    if files == 1 and was != now or was < now:  # a sort over ranges looks at its input twice to find them
-        raise ValueError(f"{was} rows became {now}")
-    return {"rows": now, "source_files": inputs["n"], "source_bytes": inputs["b"], "columns": rows.columns} | folder_figures(spark, target)
+    now = footers.table_figures(spark, target)
+    require_written(seen.get, spark.read.schema(rows.schema).parquet(target), was, now)
+    return {"rows": now.rows, "source_files": was.files, "source_bytes": was.bytes, "columns": rows.columns} | folder_figures(spark, target)
 
 
 def roundtrip(spark: SparkSession, facts: DataFrame, order: list[str]) -> DataFrame:
@@ -70,24 +86,32 @@ def release_anomalies(anomalies: DataFrame, reason: str) -> DataFrame:
     return anomalies.where(F.col("reason") == reason).select(*[F.col(c).alias(name) for c, name in RELEASED.items()])
 
 
-def write_csv(df: DataFrame, path: str, order: list[str]) -> None:
-    """A small audit as one sorted CSV file; nested columns become JSON text."""
-    nested = (T.ArrayType, T.MapType, T.StructType)
+def write_csv(df: DataFrame, path: str, order: list[str]) -> int:
+    """An audit as one sorted CSV file in a folder, nested columns as JSON text; returns its rows.
+
+    The sort's range partitions are written by as many tasks, and the file system joins the parts.
+    """
+    spark, nested = df.sparkSession, (T.ArrayType, T.MapType, T.StructType)
     flat = df.select(*[F.to_json(f.name).alias(f.name) if isinstance(f.dataType, nested) else F.col(f.name) for f in df.schema])
-    flat.orderBy(*order).coalesce(1).write.mode("overwrite").option("header", "true").csv(path)
+    parts, seen = storage.scratch(spark, "csv"), Observation()
+    flat.orderBy(*order).observe(seen, F.count(F.lit(1)).alias("rows")).write.csv(parts)
+    storage.delete(spark, path)
+    storage.write_bytes(spark, f"{path}/head", (",".join(df.columns) + "\n").encode())
+    found = [p for p, n in storage.files(spark, parts) if n and "/part-" in p]
+    storage.join_files(spark, [f"{path}/head", *found], f"{path}/part-00000.csv")
+    storage.delete(spark, parts)
+    return seen.get["rows"]
 
 
 def latest_sample(facts: DataFrame, path: str, month: str | None = None) -> int:
-    """A month's rows (the latest, unless one is given) as CSV; returns how many.  No rows are an error."""
+    """A month's rows (the latest, unless one is given) as CSV; returns how many.  No rows, or others than the table has, are an error."""
     if month is None:
-        rows = facts.join(F.broadcast(facts.agg(F.max("month").alias("month"))), "month")  # one row
-    else:
-        rows = facts.where(F.col("month") == month)
-    seen = Observation()
-    write_csv(rows.observe(seen, F.count("*").alias("rows")), path, ["month", *[c for c in facts.columns if c.startswith(("country", "hs"))]])
-    written = facts.sparkSession.read.option("header", "true").csv(path).count()
-    if not written or written > seen.get["rows"]:
-        raise ValueError(f"sample of {month}: {written} rows written")
+        month = facts.agg(F.max("month")).first()[0]
+    rows = facts.where(F.col("month") == month)
+    write_csv(rows, path, ["month", *[c for c in facts.columns if c.startswith(("country", "hs"))]])
+    known, written = rows.count(), facts.sparkSession.read.option("header", "true").csv(path).count()
+    if not written or written != known:
+        raise Unequal(f"sample of {month}: {written} of {known} rows written")
     return written
 
 
@@ -162,6 +186,15 @@ def require_passed(report: dict) -> None:
         raise ValueError(f"release QA has not passed: {report.get('fatal_sections', 'no report')}")
 
 
+def edition_check(spark: SparkSession, path: str) -> dict:
+    """Metrics of the code reference's rows, its bytes and whether its columns and types are the declared ones."""
+    table = spark.read.parquet(path)
+    kinds = [(f.name, f.dataType.simpleString()) for f in table.schema]
+    told = {"schema_ok": kinds == [tuple(x.split()) for x in EDITION.split(", ")], "bytes": sum(n for _, n in footers.parquet_files(spark, path))}
+    found = quality.dimension_metrics(table).first().asDict()
+    return found | told | {"ok": found["ok"] and told["schema_ok"]}
+
+
 def qa_report(spark: SparkSession, data_dir: str, documents: list[str] = ()) -> dict:
     """Check dimensions, manifests, the quarantine's text and documents; write the report and its long form.
 
@@ -174,7 +207,7 @@ def qa_report(spark: SparkSession, data_dir: str, documents: list[str] = ()) ->
     partners, editions, bad = "reference/country_reference.csv", "reference/hsk_code_reference.parquet", "audits/normalization/normalization_anomalies.parquet"
     checks = {
         "country_reference": one(quality.partner_metrics(dimensions.read_csv(spark, f"{data_dir}/{partners}", PARTNER))) if there(partners) else missing,
-        "hsk_reference": one(quality.dimension_metrics(spark.read.parquet(f"{data_dir}/{editions}"))) if there(editions) else missing,
+        "hsk_reference": edition_check(spark, f"{data_dir}/{editions}") if there(editions) else missing,
         "normalization": quality.normalization_gate(read(NORMALIZATION)) if there(NORMALIZATION) else missing,
         "derivation": quality.derivation_gate(read(DERIVATION)) if there(DERIVATION) else missing,
         "anomaly_text": one(quality.anomaly_text_metrics(spark.read.parquet(f"{data_dir}/{bad}"))) if there(bad) else missing,
@@ -223,7 +256,7 @@ def build(spark: SparkSession, data_dir: str, output: str, title: str, documents
     bad = spark.read.parquet(f"{data_dir}/audits/normalization/normalization_anomalies.parquet")
     for name, reason in EXCEPTIONS.items():
         rows = release_anomalies(bad, reason)
-        rows.coalesce(1).write.option("compression", "zstd").parquet(f"{staging}/{name}")
+        (rows.coalesce(1) if files == 1 else rows).write.option("compression", "zstd").parquet(f"{staging}/{name}")
         figures[name] = {"rows": spark.read.parquet(f"{staging}/{name}").count(), "columns": rows.columns} | folder_figures(spark, f"{staging}/{name}")
     figures |= {path.rpartition("/")[2]: copy_with_figures(spark, path, f"{staging}/{path.rpartition('/')[2]}") for path in documents}
     job = json.loads(storage.read_bytes(spark, f"{data_dir}/{NORMALIZATION}"))

@@ -8,16 +8,17 @@ the old ones, and the manifest says which check it was.
 from __future__ import annotations
 
 import json
+import re
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas, storage
 from ..functions.months import months_between, window_size
 from ..functions.text import LEVELS, MEASURES
 from ..operators import normalize, reference, rollup, selection
-from ..sources import responses
+from ..sources import footers, responses
 from . import release
 
 NAME = r"(country=[^/]+/response_[0-9]{6}-[0-9]{6})"
@@ -54,6 +55,11 @@ def chosen_sources(spark: SparkSession, data_dir: str, partners: DataFrame, star
     return sources, selected
 
 
+def raw_name() -> Column:
+    """Where a source's answer is kept, below the data folder."""
+    return F.concat(F.lit("raw/year="), F.substring("window_start", 1, 4), F.lit("/country="), "country", F.lit("/response_"), "window_start", F.lit("-"), "window_end", F.lit(".xml.gz"))
+
+
 def assigned_rows(items: DataFrame, sources: DataFrame, selected: DataFrame) -> DataFrame:
     """Raw rows, totals among them, with where they come from and whether their source counts for their month."""
     own = sources.select(F.concat(F.lit("country="), "country", F.lit("/response_"), "window_start", F.lit("-"), "window_end").alias("name"), F.col("path").alias("source_manifest"), F.col("stated_at").alias("source_finished_at"))
@@ -82,8 +88,8 @@ def normalize_job(spark: SparkSession, data_dir: str, editions: DataFrame, partn
     sources, selected = chosen_sources(spark, data_dir, partners, start, end, full_coverage)
     selected.write.mode("overwrite").parquet(f"{audits}/selected.staging")
     selected = spark.read.parquet(f"{audits}/selected.staging")
-    audit = selected.join(sources.select("path", "window_start", "window_end", "requested_at", F.col("stated_at").alias("finished_at")), "path")
-    audit = audit.select(F.col("country").alias("country_code"), "month", F.col("candidates").alias("candidate_count"), F.col("window_start").alias("selected_window_start"), F.col("window_end").alias("selected_window_end"), "requested_at", "finished_at", F.col("path").alias("manifest_path"))
+    audit = selected.join(sources.select("path", "window_start", "window_end", "requested_at", F.col("stated_at").alias("finished_at"), raw_name().alias("raw_path")), "path")
+    audit = audit.select(F.col("country").alias("country_code"), "month", F.col("candidates").alias("candidate_count"), F.col("window_start").alias("selected_window_start"), F.col("window_end").alias("selected_window_end"), "requested_at", "finished_at", F.col("path").alias("manifest_path"), "raw_path")
     release.write_csv(audit, f"{audits}/source_selection.csv", ["country_code", "month"])
     overlap = selection.overlap_counts(selected).first()
     manifest = {"start_month": start, "end_month": end, "successful_source_manifests": sources.count(), "selected_country_months": overlap["country_months"], "overlap_country_months": overlap["overlapping"], "selected_unique_raw_sources": selected.select("path").distinct().count()}
@@ -135,26 +141,35 @@ def normalize_job(spark: SparkSession, data_dir: str, editions: DataFrame, partn
 
 
 def summary_checks(rows: DataFrame, sources: DataFrame, selected: DataFrame) -> DataFrame:
-    """Totals of each whole source's assigned rows against the last total row of its response."""
-    facts = rows.where(~normalize.is_summary() & F.col("assigned"))
-    totals = normalize.source_totals(facts).withColumnRenamed("source", "name")
-    known = rows.select(F.col("source").alias("name"), "source_manifest").distinct()
-    whole = known.join(whole_sources(sources, selected), "source_manifest").select("name", "whole")
-    # a whole source without any fact row has totals of zero
-    totals = whole.join(totals, "name", "left").select(F.col("name").alias("source"), "whole", F.coalesce("fact_rows", F.lit(0)).alias("fact_rows"), F.coalesce("numeric_ok", F.lit(True)).alias("numeric_ok"), *[F.coalesce(m, F.lit(0)).alias(m) for m in MEASURES])
-    return normalize.summary_reconciliation(totals, normalize.last_summaries(rows))
+    """Totals of each whole source's assigned rows against the last total row of its response.
+
+    Sources come from their manifests, so one whose response has no item at all is there, with totals of zero and none stated.
+    """
+    facts = rows.where(~normalize.is_summary() & F.col("assigned")).withColumn("source", F.col("source_manifest"))
+    totals = normalize.source_totals(facts)
+    known = sources.select(F.col("path").alias("source_manifest")).distinct()
+    whole = known.join(whole_sources(sources, selected), "source_manifest").select(F.col("source_manifest").alias("source"), "whole")
+    totals = whole.join(totals, "source", "left").select("source", "whole", F.coalesce("fact_rows", F.lit(0)).alias("fact_rows"), F.coalesce("numeric_ok", F.lit(True)).alias("numeric_ok"), *[F.coalesce(m, F.lit(0)).alias(m) for m in MEASURES])
+    return normalize.summary_reconciliation(totals, normalize.last_summaries(rows.withColumn("source", F.col("source_manifest"))))
 
 
 def verification(spark: SparkSession, path: str, written: DataFrame) -> dict:
-    """What was written, read again: rows, bytes, columns, rows in a wrong folder, repeated keys, nulls in keys."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(path).agg(F.count("*"), F.coalesce(F.sum("length"), F.lit(0))).first()
-    keys = written.groupBy("month", "country_code", "hs10").agg(F.count("*").alias("n"), F.count_if(F.col("month") != F.concat("year", "mm")).alias("wrong"))
+    """What was written, read again: by footers rows, bytes, columns and months of each folder, by keys repeated ones and nulls."""
+    told = footers.footers(spark, path)
+    folder = lambda p: "".join(re.search(r"/year=([0-9]{4})/mm=([0-9]{2})/", p).groups())
+    misplaced = [f for f in told if f.rows and {f.low, f.high} != {folder(f.path)}]
+    keys = written.groupBy("month", "country_code", "hs10").agg(F.count("*").alias("n"))
     null = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in ("month", "country_code", "hs10")])
     total = lambda c: F.coalesce(F.sum(c), F.lit(0))
-    out = keys.agg(total("n").alias("parquet_rows"), total("wrong").alias("partition_month_mismatches"), total(F.col("n") - 1).alias("duplicate_keys"), F.countDistinct("month").alias("partition_count"), F.count_if(null).alias("nulls")).first()
+    out = keys.agg(total("n").alias("parquet_rows"), total(F.col("n") - 1).alias("duplicate_keys"), F.countDistinct("month").alias("partition_count"), F.count_if(null).alias("nulls")).first()
     kinds = [(f.name, f.dataType.simpleString()) for f in written.schema if f.name not in ("year", "mm")]
-    schema_ok = sorted(kinds) == sorted(tuple(x.split()) for x in schemas.FACT.split(", ")) and out["nulls"] == 0
-    return {k: out[k] for k in ("parquet_rows", "partition_month_mismatches", "duplicate_keys", "partition_count")} | {"parquet_files": files[0], "parquet_bytes": files[1], "schema_ok": schema_ok}
+    same = len({f.columns for f in told}) <= 1
+    schema_ok = sorted(kinds) == sorted(tuple(x.split()) for x in schemas.FACT.split(", ")) and out["nulls"] == 0 and same
+    wrong = written.where(F.col("month") != F.concat("year", "mm")).count() if misplaced else 0  # rows are only looked at where a footer says so
+    rows = sum(f.rows for f in told)
+    if rows != out["parquet_rows"]:
+        raise release.Unequal(f"footers state {rows} rows, {out['parquet_rows']} are read")
+    return {"parquet_rows": rows, "partition_month_mismatches": wrong, **{k: out[k] for k in ("duplicate_keys", "partition_count")}, "parquet_files": len(told), "parquet_bytes": sum(f.bytes for f in told), "schema_ok": schema_ok}
 
 
 def derive_job(spark: SparkSession, data_dir: str, levels: tuple[int, ...] = LEVELS, overwrite: bool = True) -> dict:

@@ -7,6 +7,7 @@ import re
 import tempfile
 import uuid
 
+from pyspark.errors import UnsupportedOperationException
 from pyspark.sql import SparkSession
 
 
@@ -52,6 +53,37 @@ def read_bytes(spark: SparkSession, path: str) -> bytes:
         stream.close()
 
 
+def join_files(spark: SparkSession, parts: list[str], target: str) -> None:
+    """Files one after the other as one file: by the file system itself where it can, else copied as a stream."""
+    if not parts:
+        raise ValueError("no parts to join")
+    fs, there = _fs(spark, target)
+    jvm = spark.sparkContext._jvm
+    rename(spark, parts[0], target)
+    rest = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Path, len(parts) - 1)
+    for i, p in enumerate(parts[1:]):
+        rest[i] = jvm.org.apache.hadoop.fs.Path(p)
+    try:
+        if parts[1:]:
+            fs.concat(there, rest)
+        return
+    except UnsupportedOperationException:
+        pass
+    out = fs.create(_fs(spark, f"{target}.tmp")[1], True)
+    try:
+        for p in [target, *parts[1:]]:
+            stream = fs.open(jvm.org.apache.hadoop.fs.Path(p))
+            try:
+                jvm.org.apache.hadoop.io.IOUtils.copyBytes(stream, out, 1 << 16, False)
+            finally:
+                stream.close()
+    finally:
+        out.close()
+    for p in [target, *parts[1:]]:
+        delete(spark, p)
+    rename(spark, f"{target}.tmp", target)
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     write_bytes(spark, path, text.encode())
 
