@@ -9,6 +9,7 @@ from .functions.months import month_index, months_between
 from .functions.outcomes import outcome_status
 from .functions.text import MEASURES
 from .operators.selection import expand_windows
+from .storage import small_side
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,16 +21,6 @@ def code_expr(key: str, line: str, quantity: str) -> str:
     return f"concat({two(key + ' % 97')}, {two(key + ' % 7')}, {two(key + ' % 5')}, {two(line)}, {two('cast(' + quantity + ' as bigint)')})"
 
 
-#: A dimension is broadcast up to this size by Spark's own estimate; larger ones are joined by sorting.
-BROADCAST_BYTES = 64 << 20
-
-
-def small_side(df: DataFrame) -> DataFrame:
-    """A dimension, to be broadcast if the files that it's read from are small enough."""
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return F.broadcast(df) if int(str(size)) <= BROADCAST_BYTES else df
-
-
 def supplier_nations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Suppliers with their nation's name.  The estimate of a join is a product, so the suppliers' own size is checked."""
     suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")

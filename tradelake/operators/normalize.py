@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.months import months_between
 from ..functions.text import MEASURES, as_int, is_full_code, level_of
+from ..storage import small_side, written
 
 #: Raw columns by measure, in the order in which a missing one is reported.
 RAW = {"export_usd": "exp_dlr", "export_weight_kg": "exp_wgt", "import_usd": "imp_dlr", "import_weight_kg": "imp_wgt", "trade_balance_usd": "bal_payments"}
@@ -25,25 +26,38 @@ def with_measures(raw: DataFrame) -> DataFrame:
     return raw.withColumns({m: as_int(F.col(c)) for m, c in RAW.items()})
 
 
+def repeated_keys(raw: DataFrame, eligible: Column) -> DataFrame:
+    """``source, month, hs_code_raw, first_ordinal`` of the keys that several eligible rows have.
+
+    Counted over keys alone, map-side before the shuffle, and written: few keys repeat, so what meets the rows is small.
+    """
+    counted = raw.where(eligible).groupBy("source", "month", "hs_code_raw").agg(F.count("*").alias("n"), F.min("ordinal").alias("first_ordinal"))
+    return written(counted.where("n > 1").drop("n"), "repeated-keys")
+
+
 def classify(raw: DataFrame) -> DataFrame:
     """Add ``bucket`` (canonical, quarantine, fatal), ``reason`` and ``warning`` to every assigned fact row.
 
     The order of tests decides: another country, a short code, a key seen before in the source, missing
     numbers, negative money, a balance that doesn't add up.  A key counts as seen even if its first row
-    fails later.  A negative weight is a warning on a canonical row.
+    fails later.  A negative weight is a warning on a canonical row.  Rows aren't sorted or dealt anew for the third
+    test: the keys that repeat are found by themselves first (a small job of its own), and meet the rows in a join
+    that broadcasts them if their files are small.
     """
     mismatch = (F.coalesce("country_code_raw", F.lit("")) != "") & (F.col("country_code_raw") != F.col("requested_country"))
     full = F.coalesce(is_full_code(F.col("hs_code_raw")), F.lit(False))
-    seen = F.row_number().over(Window.partitionBy("source", "month", "hs_code_raw", "__eligible").orderBy("ordinal"))
+    repeated = small_side(repeated_keys(raw, ~mismatch & full))
+    # read once below a generator, which filters on the results don't pass: each text is parsed once, not in every test of a number
+    rows = raw.select("*", F.inline(F.array(F.struct(mismatch.alias("__mismatch"), full.alias("__full"), *[as_int(F.col(c)).alias(m) for m, c in RAW.items()]))))
+    key = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in ("source", "month", "hs_code_raw")]
+    rows = rows.join(repeated.select(*[F.col(c).alias(f"__{c}") for c in ("source", "month", "hs_code_raw")], "first_ordinal"), reduce(lambda a, b: a & b, key), "left")
     missing = F.coalesce(*[F.when(F.col(m).isNull(), F.lit(f"missing/invalid numeric field {FIELD_NAMES[c]}")) for m, c in RAW.items()])
     money, weight = (F.col("export_usd") < 0) | (F.col("import_usd") < 0), (F.col("export_weight_kg") < 0) | (F.col("import_weight_kg") < 0)
-    # numbers are read after the shuffle, by as many tasks as there are partitions, not where a few large files are scanned
-    rows = with_measures(raw.withColumn("__eligible", ~mismatch & full).withColumn("__nth", seen))
     reason = (
-        F.when(mismatch, "country_mismatch").when(~full, "non_hs10_code").when(F.col("__nth") > 1, "duplicate_key").when(missing.isNotNull(), missing)
+        F.when(F.col("__mismatch"), "country_mismatch").when(~F.col("__full"), "non_hs10_code").when(F.col("ordinal") > F.col("first_ordinal"), "duplicate_key").when(missing.isNotNull(), missing)
         .when(money, "negative amount").when(F.col("export_usd") - F.col("import_usd") != F.col("trade_balance_usd"), "trade balance mismatch")
     )
-    out = rows.withColumn("reason", reason).drop("__eligible", "__nth")
+    out = rows.select(*raw.columns, *RAW, reason.alias("reason"))
     bucket = F.when(F.col("reason").isNull(), "canonical").when(F.col("reason") == "non_hs10_code", "quarantine").otherwise("fatal")
     return out.withColumn("bucket", bucket).withColumn("warning", F.when((F.col("bucket") == "canonical") & weight, "negative_weight"))
 

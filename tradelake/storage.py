@@ -8,7 +8,8 @@ import tempfile
 import uuid
 
 from pyspark.errors import UnsupportedOperationException
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def _fs(spark: SparkSession, path: str):
@@ -144,3 +145,20 @@ def swap(spark: SparkSession, staging: str, target: str, overwrite: bool = True)
         raise
     if had:
         delete(spark, backup)
+
+
+#: A dimension is broadcast up to this size by Spark's own estimate; larger ones are joined by sorting.
+BROADCAST_BYTES = 64 << 20
+
+
+def small_side(df: DataFrame) -> DataFrame:
+    """A dimension, to be broadcast if the files that it's read from are small enough."""
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return F.broadcast(df) if int(str(size)) <= BROADCAST_BYTES else df
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """A table in the shared folder, read again: it is computed once, its size is known and lineage ends there."""
+    path = f"{scratch(df.sparkSession, name)}/rows"
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
