@@ -163,7 +163,7 @@ def test_tariff_pages():
             html_tables.year_index(page, year)
     page = chapter_page(code_row("010121", "heading", "heading"), code_row("0101211000", "농가 <b>사육용</b>", "For farm &amp; breeding"), code_row("0101219000", "기타"), code_row("0101219000"))
     assert html_tables.chapter_rows(page, "01") == [(0, "0101211000", "농가 사육용", "For farm & breeding"), (1, "0101219000", "기타", None), (2, "0101219000", None, None)]
-    with pytest.raises(ValueError, match="out-of-prefix"):
+    with pytest.raises(ValueError, match="stands on a page"):
         html_tables.chapter_rows(page, "02")
 
 

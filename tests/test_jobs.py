@@ -115,7 +115,7 @@ def test_collection_splits_keeps_and_resumes(spark, service, tmp_path):
     verdicts = {r["country"]: (r["status"], r["verdict"], r["leaf_requests"]) for r in outcomes.root_verdicts(roots_of(spark, "US", "CN"), done).collect()}
     assert verdicts == {"US": ("success", "PASS", 1), "CN": ("split_success", "PASS", 6)}
     figures = report.write_pilot(spark, done, roots_of(spark, "US", "CN"), str(tmp_path / "pilot"))
-    assert figures["Fact rows parsed"] == 24 and figures["Unresolved leaf failures"] == 0 and figures["Non-HSK10 export USD"] == 0
+    assert figures["Rows read"] == 24 and figures["Requests unanswered"] == 0 and figures["Exports of short codes, USD"] == 0
     text = (tmp_path / "pilot/pilot_report.md").read_text()
     assert "| CN | 202501-202512 | split_success | 6 | 12 | `{\"10\": 12}` | 12 | - | PASS: all effective" in text
     assert (tmp_path / "pilot/hs_name_inventory.csv").is_dir() and (tmp_path / "pilot/non_hs10_rows.csv").is_dir()

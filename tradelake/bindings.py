@@ -181,14 +181,14 @@ def outcome_roots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return asked.unionByName(spark.createDataFrame([("XX",)], "country string")).withColumns({"window_start": F.lit("202401"), "window_end": F.lit("202412")})
 
 
-#: Years of the tariff pages, and chapters that their codes are dealt to.
-PAGE_YEARS, CHAPTERS = (2021, 2022, 2023), 20
+#: Years of the tariff pages, chapters that their codes are dealt to, and keys whose codes share a page.
+PAGE_YEARS, CHAPTERS, PAGE_KEYS = (2021, 2022, 2023), 20, 4_000
 
 
 def tariff_pages(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """part as the tariff service's pages: (reference_year, html) of indexes and (reference_year, chapter, html).
 
-    In 2022 every tenth code has a second, longer label, and every fifteenth one of another year's edition.
+    A chapter has as many pages as its codes need.  In 2022 every tenth code has a second, longer label, and every fifteenth one of another year's edition.
     """
     p = table(spark, sf_dir, "part").selectExpr("p_partkey as k", f"lpad(cast(p_partkey % {CHAPTERS} + 1 as string), 2, '0') as chapter", "p_name")
     p = p.withColumn("hs10", F.expr("concat(chapter, lpad(cast(k as string), 8, '0'))")).withColumn("reference_year", F.explode(F.array(*map(F.lit, PAGE_YEARS))))
@@ -200,7 +200,7 @@ def tariff_pages(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
     head = F.concat(F.lit('<tr><td><input name="hsSgn_Mn" value="'), F.substring("hs10", 1, 6), F.lit('" /></td><td class="hlzoneWrd">6</td></tr>'))
     rows = p.withColumn("x", F.concat(head, row(first), F.coalesce(row(second), F.lit(""))))
     body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("k", "x"))), lambda r: r["x"]), "")
-    chapters = rows.groupBy("reference_year", "chapter").agg(F.concat(F.lit('<table><tbody id="tblLstBody">'), body, F.lit("</tbody></table>")).alias("html"))
+    chapters = rows.groupBy("reference_year", "chapter", F.floor(F.col("k") / PAGE_KEYS).alias("page")).agg(F.concat(F.lit('<table><tbody id="tblLstBody">'), body, F.lit("</tbody></table>")).alias("html"))
     inputs = F.array_join(F.transform(F.array_sort(F.collect_set("chapter")), lambda c: F.concat(F.lit('<input name="hstdCd" value="'), c, F.lit('" />'))), "")
     year = F.col("reference_year").cast("string")
     field = lambda name, value: F.concat(F.lit(f'<input name="{name}" value="'), value, F.lit('" />'))

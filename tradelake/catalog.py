@@ -161,7 +161,7 @@ def code_name_variants(spark, sf_dir):
 
 def label_rows(spark, sf_dir):
     p = b.table(spark, sf_dir, "part")
-    return p.selectExpr("cast(p_partkey % 50 as string) as hs10", "p_partkey as ordinal", "substring(p_type, 1, 3 + cast(p_partkey % 9 as int)) as name_ko", "case when p_partkey % 4 = 0 then '' else substring(p_brand, 1, 5 + cast(p_partkey % 4 as int)) end as name_en")
+    return p.selectExpr("cast(p_partkey div 6 as string) as hs10", "p_partkey as ordinal", "substring(p_type, 1, 3 + cast(p_partkey % 9 as int)) as name_ko", "case when p_partkey % 4 = 0 then '' else substring(p_brand, 1, 5 + cast(p_partkey % 4 as int)) end as name_en")
 
 
 def duplicate_label_fold(spark, sf_dir):
@@ -498,10 +498,10 @@ def xml_status(spark, sf_dir):
 
 
 def xlsx_ingest(spark, sf_dir):
-    from .sources.fixtures import nation_workbook
-    from .sources.workbook import read_workbook
+    from .sources.fixtures import part_workbooks
+    from .sources.workbook import workbook_rows
 
-    return read_workbook(spark, nation_workbook(spark, b.table(spark, sf_dir, "nation")), ["code", "name", "region"])
+    return workbook_rows(part_workbooks(b.table(spark, sf_dir, "part")), ["code", "name", "size"])
 
 
 def ml_forecast(spark, sf_dir):

@@ -62,7 +62,7 @@ events1 AS (SELECT event_id, country, y || lpad(CAST(m0 AS VARCHAR), 2, '0') AS
   FROM e2),
 leaves AS (SELECT *, status = 'success' AS good FROM events1 e WHERE NOT EXISTS (SELECT 1 FROM events1 p WHERE p.parent_request = e.country || ':' || e.window_start || '-' || e.window_end)),
 roots AS (SELECT DISTINCT country FROM events1 UNION ALL SELECT 'XX'), inside AS (SELECT r.country AS root, l.* FROM roots r LEFT JOIN leaves l ON l.country = r.country AND l.y = '2024')"""
-LABELS = "labels AS (SELECT CAST(p_partkey % 50 AS VARCHAR) AS hs10, p_partkey AS ordinal, substring(p_type, 1, 3 + CAST(p_partkey % 9 AS INTEGER)) AS ko, CASE WHEN p_partkey % 4 = 0 THEN '' ELSE substring(p_brand, 1, 5 + CAST(p_partkey % 4 AS INTEGER)) END AS en FROM part)"
+LABELS = "labels AS (SELECT CAST(p_partkey // 6 AS VARCHAR) AS hs10, p_partkey AS ordinal, substring(p_type, 1, 3 + CAST(p_partkey % 9 AS INTEGER)) AS ko, CASE WHEN p_partkey % 4 = 0 THEN '' ELSE substring(p_brand, 1, 5 + CAST(p_partkey % 4 AS INTEGER)) END AS en FROM part)"
 FITS = " AND ".join(f"(trim(a.{c}) = '' OR trim(b.{c}) = '' OR starts_with(trim(a.{c}), trim(b.{c})) OR starts_with(trim(b.{c}), trim(a.{c})))" for c in ("ko", "en"))
 
 
@@ -289,7 +289,7 @@ SELECT *, CASE WHEN second_error <> 0 THEN round(1 - CAST(first_error AS DOUBLE)
         "snapshot_diff": f"""WITH {FACTS}, s AS (SELECT month, country_code, CAST(sum(import_usd) AS BIGINT) AS i FROM facts GROUP BY ALL) SELECT month, country_code, CASE WHEN month = '199805' THEN 'added' WHEN month = '199601' THEN 'removed' WHEN month = '199702' THEN 'changed' ELSE 'same' END AS change FROM s""",
         "partition_verify": f"WITH {FACTS}, k AS (SELECT month, country_code, hs10, count(*) AS n FROM facts GROUP BY ALL) SELECT month, CAST(sum(n) AS BIGINT) AS rows, CAST(0 AS BIGINT) AS misplaced, CAST(sum(n - 1) AS BIGINT) AS duplicates FROM k GROUP BY month",
         "xml_ingest": f"WITH {FACTS}, {RAW} SELECT month, count(*) AS rows, CAST(sum(export_usd) AS BIGINT) AS export_usd, CAST(sum(import_weight_kg) AS BIGINT) AS import_weight_kg FROM raw GROUP BY month",
-        "xlsx_ingest": "SELECT CAST(n_nationkey + 2 AS BIGINT) AS row_number, CAST(n_nationkey AS VARCHAR) AS code, n_name AS name, CAST(n_regionkey AS VARCHAR) AS region FROM nation",
+        "xlsx_ingest": "SELECT row_number() OVER (PARTITION BY p_partkey // 400 ORDER BY p_partkey) + 1 AS row_number, CAST(p_partkey AS VARCHAR) AS code, p_name AS name, CAST(p_size AS VARCHAR) AS size FROM part",
         "xml_namespaces": f"WITH {FACTS}, {RAW} SELECT month, count(*) AS rows, CAST(sum(export_usd) AS BIGINT) AS export_usd, CAST(sum(import_weight_kg) AS BIGINT) AS import_weight_kg FROM raw WHERE CAST(substring(source, 4) AS INTEGER) % 7 <> 3 GROUP BY month",
         "xml_damaged": f"WITH {FACTS}, {RAW} SELECT source, CAST(ceil(count(*) / 5000.0) AS BIGINT) AS files, true AS by_the_parser FROM raw WHERE CAST(substring(source, 4) AS INTEGER) % 7 = 3 GROUP BY source",
         "xml_inspect": f"WITH {FACTS}, {RAW} SELECT source, CAST(ceil(count(*) / 5000.0) AS BIGINT) AS files, count(*) + CAST(ceil(count(*) / 5000.0) AS BIGINT) AS items, coalesce(array_to_string(list_sort(list_distinct(list(country_code_raw) FILTER (country_code_raw <> ''))), ','), '') AS countries FROM raw GROUP BY source",

@@ -1,4 +1,4 @@
-"""Response files and a workbook made from the driver's tables, to read them back."""
+"""Response files and workbooks made from the driver's tables, to read them back."""
 
 from __future__ import annotations
 
@@ -6,6 +6,7 @@ import io
 import zipfile
 from xml.sax.saxutils import escape
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -55,9 +56,16 @@ def workbook_bytes(rows: list[list[str]], sheet: str = "codes") -> bytes:
     return out.getvalue()
 
 
-def nation_workbook(spark: SparkSession, nations: DataFrame) -> str:
-    """A workbook of the 25 nations; returns its path."""
-    rows = [["code", "name", "region"]] + [[str(r[0]), r[1], str(r[2])] for r in nations.select("n_nationkey", "n_name", "n_regionkey").orderBy("n_nationkey").collect()]
-    path = f"{storage.scratch(spark, 'workbook')}/nations.xlsx"
-    storage.write_bytes(spark, path, workbook_bytes(rows))
-    return path
+#: Rows of one workbook at most.
+BOOK_ROWS = 400
+
+
+def part_workbooks(parts: DataFrame) -> DataFrame:
+    """``content``: workbooks of the parts (code, name, size), each of ``BOOK_ROWS`` neighbouring keys, made by tasks."""
+
+    def book(group: pd.DataFrame) -> pd.DataFrame:
+        rows = group.sort_values("p_partkey")
+        cells = [["code", "name", "size"], *([str(k), n, str(z)] for k, n, z in zip(rows["p_partkey"], rows["p_name"], rows["p_size"]))]
+        return pd.DataFrame({"content": [workbook_bytes(cells)]})
+
+    return parts.select("p_partkey", "p_name", "p_size").groupBy(F.floor(F.col("p_partkey") / BOOK_ROWS).alias("book")).applyInPandas(book, "content binary")

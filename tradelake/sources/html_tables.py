@@ -114,7 +114,7 @@ def chapter_rows(page: str, chapter: str) -> list[tuple[int, str, str | None, st
             if not FULL_CODE.fullmatch(code):
                 continue
             if not code.startswith(chapter):
-                raise ValueError(f"chapter {chapter} returned out-of-prefix HSK10 {code}")
+                raise ValueError(f"code {code} stands on a page of chapter {chapter}")
             names = [c.text() for c in row.cells if c.has_class(NAME_CLASS)]
             out.append((len(out), code, *(names + [None, None])[:2]))
     return out

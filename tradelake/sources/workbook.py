@@ -51,6 +51,11 @@ def sheet_rows(data: bytes, sheet: str | None = None) -> list[list[str]]:
 
 def read_workbook(spark: SparkSession, path: str, columns: list[str], sheet: str | None = None, header: bool = True) -> DataFrame:
     """Rows of the workbooks at ``path`` as text columns, with their row number."""
+    return workbook_rows(spark.read.format("binaryFile").load(path), columns, sheet, header)
+
+
+def workbook_rows(files: DataFrame, columns: list[str], sheet: str | None = None, header: bool = True) -> DataFrame:
+    """Rows of the workbooks in ``content``, each parsed by one task."""
     schema = "row_number long, " + ", ".join(f"{c} string" for c in columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -61,4 +66,4 @@ def read_workbook(spark: SparkSession, path: str, columns: list[str], sheet: str
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=["row_number", *columns])
 
-    return spark.read.format("binaryFile").load(path).select("content").mapInArrow(run, schema)
+    return files.select("content").mapInArrow(run, schema)
