@@ -192,6 +192,34 @@ def test_editions_of_several_years(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "all")).count() == 4
 
 
+def test_chapters_have_their_provenance(spark, tmp_path):
+    import hashlib
+
+    old, new = code_row("6815910000", "구 정의", "Old"), code_row("6815910000", "신 정의", "New")
+    body = {("2021", "68"): chapter_page(old), ("2022", "68"): chapter_page(old, new, code_row("6815990000", "기타", "Other")), ("2023", "68"): chapter_page(new)}
+    body |= {(y, "69"): chapter_page(code_row("6901000000", "벽돌", "Bricks")) for y in ("2021", "2022", "2023")}
+
+    def fetch(kind, form):
+        y = form["aplyYy"]
+        return (INDEX.replace("2022", y).replace('"01"', '"68"').replace('"02"', '"69"') if kind == "index" else body[y, form["searchVal"]]).encode()
+
+    cache, root, target, manifest = (str(tmp_path / x) for x in ("cache", "root", "all.parquet", "m/manifest.json"))
+    probe, _ = editions.collect_year(spark, 2022, cache, root, fetch, only=["69"])
+    assert probe["annual_parquet"].endswith("year=2022/hsk10_probe_69.parquet") and (probe["full_year"], probe["hsk10_rows"], probe["fetched_files"], probe["cached_files"]) == (False, 1, 2, 0)
+    out = editions.collect_editions(spark, [2021, 2022, 2023], cache, root, target, manifest, fetch, url="u")
+    assert json.loads((tmp_path / "m/manifest.json").read_text()) == out
+    assert out["combined"] == {"rows": 7, "year_rows": {"2021": 2, "2022": 3, "2023": 2}, "reviewed": 1, "resolved": 1, "unresolved": 0, "annual_name_rewrites": 1}
+    year = out["year_stats"][1]
+    assert (year["full_year"], year["hsk10_rows"], year["duplicate_name_variant_count"], year["fetched_files"], year["cached_files"]) == (True, 3, 1, 1, 2)
+    page = body["2022", "68"].encode()
+    assert year["source_files"][0] == {"chapter": "68", "cache_path": f"{cache}/year=2022/chapter=68.html.gz", "bytes": len(page), "sha256": hashlib.sha256(page).hexdigest(), "cache_reused": False, "hsk10_rows": 3} and year["source_files"][1]["cache_reused"]
+    names = {(r["reference_year"], r["hs10"]): r["name_ko"] for r in spark.read.parquet(target).collect()}
+    assert names[2022, "6815910000"] == "신 정의" and names[2021, "6815910000"] == "구 정의" and {f.name: f.dataType.simpleString() for f in spark.read.parquet(target).schema} == dict(x.split() for x in schemas.EDITION.split(", "))
+    assert editions.combine(spark, [2021, 2023], root, target)["rows"] == 4
+    with pytest.raises(FileNotFoundError):
+        editions.combine(spark, [2024], root, target)
+
+
 def test_pages_are_cached(spark, tmp_path):
     asked = []
 

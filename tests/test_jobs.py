@@ -331,6 +331,9 @@ def test_command_line(spark, service, collected, monkeypatch, capsys):  # noqa:
     monkeypatch.setenv("TRADE_KEY", KEY)
     assert cli.main([*top, "collect", "backfill", "--key-name", "TRADE_KEY", "--url", service, "--start-month", "202401", "--end-month", "202402", "--countries", "CN", "--max-roots", "1", "--request-delay", "0"]) == 0
     assert json.loads(capsys.readouterr().out.splitlines()[-1])["fact_row_count"] == 2
+    assert cli.main(["--data-dir", str(collected / "trial"), "pilot", "--key-name", "TRADE_KEY", "--url", service, "--countries", "vn", "--years", "2025", "--retries", "0"]) == 0
+    assert json.loads(capsys.readouterr().out.splitlines()[-1])["Rows read"] == 12 and (collected / "trial/audits/pilot/pilot_report.md").exists()
+    assert cli.main([*top, "editions", "combine", "--start-year", "1990"]) == 2
     assert cli.main([*top, "normalize"]) == 0 and cli.main([*top, "derive"]) == 0 and cli.main([*top, "qa"]) == 0
     assert cli.main([*top, "release", "--output", str(collected / "out")]) == 0 and (collected / "out/release_manifest.json").exists()
     assert cli.main([*top, "normalize"]) == 2 and cli.main([*top, "normalize", "--overwrite"]) == 0

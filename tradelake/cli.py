@@ -1,4 +1,4 @@
-"""Command line of the jobs: ``python -m tradelake.cli collect|normalize|derive|qa|release ...``."""
+"""Command line of the jobs: ``python -m tradelake.cli collect|pilot|editions|normalize|derive|qa|release ...``."""
 
 from __future__ import annotations
 
@@ -6,11 +6,13 @@ import argparse
 import json
 import os
 import sys
+import uuid
 from datetime import date
 
-from .plans import collect, release, stage11
+from . import storage
+from .plans import collect, editions, release, report, stage11
 from .session import build_session
-from .sources import dimensions, http_api
+from .sources import dimensions, http_api, web
 
 
 def parser() -> argparse.ArgumentParser:
@@ -33,6 +35,22 @@ def parser() -> argparse.ArgumentParser:
     c.add_argument("--key-name", required=True, help="the environment's or .env file's name of the key")
     c.add_argument("--force", action="store_true")
     c.add_argument("--dry-run", action="store_true")
+    t = sub.add_parser("pilot", help="a trial of some countries and years, with a report")
+    t.add_argument("--url", required=True)
+    t.add_argument("--countries", nargs="+", required=True)
+    t.add_argument("--years", nargs="+", type=int, required=True)
+    t.add_argument("--retries", type=int, default=2)
+    t.add_argument("--key-name", required=True, help="the environment's or .env file's name of the key")
+    t.add_argument("--force", action="store_true")
+    e = sub.add_parser("editions", help="annual code tables from the tariff service's pages")
+    e.add_argument("step", choices=["probe", "collect", "combine"])
+    e.add_argument("--index-url", default="")
+    e.add_argument("--detail-url", default="")
+    e.add_argument("--start-year", type=int, required=True)
+    e.add_argument("--end-year", type=int)
+    e.add_argument("--chapter", default="01")
+    e.add_argument("--sleep", type=float, default=0.2)
+    e.add_argument("--force", action="store_true")
     n = sub.add_parser("normalize", help="responses to canonical facts")
     n.add_argument("--start-month")
     n.add_argument("--end-month")
@@ -69,10 +87,31 @@ def main(argv: list[str] | None = None) -> int:
         run = collect.collect(spark, roots, options, rate_limit_retries=a.rate_limit_retries, force=a.force or a.mode == "refresh", progress=lambda line: print(line, file=sys.stderr, flush=True))
         print(json.dumps({k: v for k, v in run.items() if k != "roots"}))
         return collect.exit_code(run)
+    if a.job == "pilot":
+        http_api.read_dotenv(".env")
+        plan = [(c.upper(), f"{y}01", f"{y}12") for c in a.countries for y in a.years]
+        roots = spark.createDataFrame(plan, "country string, window_start string, window_end string")
+        options = {"url": a.url, "key": os.environ[a.key_name], "data_dir": a.data_dir, "retries": str(a.retries), "run": f"audits/runs/pilot-{uuid.uuid4().hex}"}
+        done = collect.collect_with_split(spark, roots, options, force=a.force)
+        collect.save_manifests(spark, done, a.data_dir, a.url)
+        storage.delete(spark, f"{a.data_dir}/{options['run']}")
+        figures = report.write_pilot(spark, done, roots, f"{a.data_dir}/audits/pilot")
+        print(json.dumps(figures, ensure_ascii=False))
+        return 3 if done.where("status = 'quota_exceeded'").count() else 2 if figures["Requests unanswered"] else 0
     try:
-        if a.job == "normalize":
-            editions = spark.read.parquet(f"{a.data_dir}/reference/hsk_code_reference.parquet")
-            out = stage11.normalize_job(spark, a.data_dir, editions, partners(), a.start_month, a.end_month, a.require_full_coverage, a.overwrite, a.dry_run)
+        if a.job == "editions":
+            years, top = list(range(a.start_year, (a.end_year or a.start_year) + 1)), f"{a.data_dir}/reference"
+            fetch = lambda kind, form: web.post(a.index_url if kind == "index" else a.detail_url, form)
+            cache, root, target = f"{top}/source/pages", f"{top}/hsk_codes", f"{top}/hsk_code_reference.parquet"
+            if a.step == "probe":
+                out = {k: v for k, v in editions.collect_year(spark, a.start_year, cache, root, fetch, a.force, [a.chapter.zfill(2)], url=a.detail_url)[0].items() if k != "source_files"}
+            elif a.step == "combine":
+                out = editions.combine(spark, years, root, target)
+            else:
+                out = editions.collect_editions(spark, years, cache, root, target, f"{a.data_dir}/audits/hsk_reference/hsk_reference_manifest.json", fetch, a.force, a.sleep, a.detail_url)["combined"]
+        elif a.job == "normalize":
+            codes = spark.read.parquet(f"{a.data_dir}/reference/hsk_code_reference.parquet")
+            out = stage11.normalize_job(spark, a.data_dir, codes, partners(), a.start_month, a.end_month, a.require_full_coverage, a.overwrite, a.dry_run)
         elif a.job == "derive":
             out = stage11.derive_job(spark, a.data_dir, tuple(dict.fromkeys(a.levels)), a.overwrite)
         elif a.job == "qa":
@@ -81,7 +120,7 @@ def main(argv: list[str] | None = None) -> int:
             return 0 if out["release_gate_pass"] else 2
         else:
             out = release.build(spark, a.data_dir, a.output, a.title, a.documents, overwrite=a.overwrite)
-    except (stage11.CheckFailed, FileExistsError, ValueError) as error:
+    except (stage11.CheckFailed, FileExistsError, FileNotFoundError, ValueError) as error:
         print(error, file=sys.stderr)
         return 2
     print(json.dumps(out, default=str))
