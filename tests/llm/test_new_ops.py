@@ -239,3 +239,25 @@ def test_line_query_matches_sql(spark):
     c.sql(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
     got = sorted(map(tuple, queries.op13_line_dedup(spark, SF).collect()))
     assert got == sorted(c.sql(sql.LINE_DEDUP).fetchall())
+
+
+# 6
+
+
+def test_class_words_are_hints_that_a_region_must_prove():
+    from tradelake.llm.html_text import slots_text, token_key
+
+    story = "Main story of several words, told at some length."
+    assert slots_text(f'<div class="card widget-text"><p>{story}</p></div><p>x</p>') == f"{story} x"
+    assert slots_text(f'<article><p>a</p><div class="related-topic-summary">{story}</div><ul class="menu-items-of-restaurant"><li>Soup<li>Fish</ul></article>') == f"a {story} Soup Fish"
+    links = '<div class="related-topic-summary"><a href="1">Another story</a> <a href="2">and one more</a> see</div>'
+    assert slots_text(f"<article><p>{story}</p>{links}</article>") == story  # links outweigh its text
+    note = '<div class="notice-of-site">Shown on every page</div>'
+    key = token_key((1, "/article/div.notice-of-site", 1, 0, "Shown on every page"))
+    assert slots_text(f"<article><p>{story}</p>{note}</article>") == f"{story} Shown on every page" and slots_text(f"<article><p>{story}</p>{note}</article>", [], [], [key]) == story
+    for name in ("ad", "sidebar-left", "comment-list", "site-menu", "cookie_banner", "share-buttons top"):
+        assert slots_text(f'<article><p>{story}</p><div class="{name}">Something else that varies</div></article>') == story, name
+    nested = f'<div class="widget-text"><div class="comments">So wrong</div><p>{story}</p><div id="promo">Buy</div></div>'
+    assert slots_text(nested) == story
+    held = f'<div class="notice-board"><article><p>{story}</p></article></div>'
+    assert slots_text(held) == story

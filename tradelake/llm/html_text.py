@@ -12,7 +12,10 @@ and of occurrences identify it, so classes come from one aggregation over (host,
 a host has.
 
 A page's text is what its slots hold, without those in regions of navigation, notices, adverts, forms or
-comments, which the names of elements, classes and roles around them tell.  Text tokens of the template go,
+comments, which the names of elements and roles around them tell.  A class or id tells it only if all its words
+name such a region or its place and shape (``sidebar-left``, ``comment list``); one that has other words too
+(``widget-text``, ``related-topic-summary``) is a hint, which the region must confirm: half of its characters are in
+links, or are texts of the template.  Text tokens of the template go,
 in an article or main element too.  There pages also repeat prose, so a text is the template's only if it is
 in a class with tags, or stands at one distance from the beginning or the end of the content on all pages that
 have it; and if more of a page's content repeats than varies, the pages are copies and all of it stays.  A
@@ -53,13 +56,15 @@ ASIDE_WORDS = frozenset(
     "widget menu nav navbar navigation breadcrumb breadcrumbs comment comments disqus respond reply replies related recommended share sharing social newsletter subscribe subscription "
     "login signup header footer masthead topbar pagination pager toolbar skip alert disclaimer".split()
 )
+#: Words that say where such a region is or what it looks like, and nothing of what it holds.
+PLACE_WORDS = frozenset("area bar block bottom box button buttons center col column container desktop fixed footer global group header holder home horizontal inner items item left links link list main mobile outer page panel primary right row secondary section site small sticky top vertical wrap wrapper".split())
 SPLIT = re.compile(r"[^a-z]+")
 #: A class or id with one of these says what else a page has; it isn't a component's own name.
 RELATIONS = frozenset("no not with without has have is".split())
 
 
 def region(name: str, attributes: str) -> tuple[str, int]:
-    """(key, kind) of a structural element: its name with its class and role, and whether it is content (1), an aside (2) or one unless it holds the content (3)."""
+    """(key, kind) of a structural element: its name with its class and role, and whether it is content (1), an aside (2), one unless it holds the content (3) or one if it proves so (4)."""
     found = {m[1].lower(): (m[2] or m[3] or m[4] or "").lower() for m in ATTRIBUTE.finditer(attributes)} if attributes else {}
     key = name + "".join(f".{re.sub(r'[0-9]+', '0', found[x])}" for x in ("class", "role") if x in found)
     names = [set(SPLIT.split(w)) for x in ("class", "id") if x in found for w in found[x].split()]
@@ -70,14 +75,17 @@ def region(name: str, attributes: str) -> tuple[str, int]:
         return key, 0
     if name in ASIDE_TAGS - WRAPPER_TAGS or role in ASIDE_ROLES or "hidden" in found or found.get("aria-hidden") == "true":
         return key, 2
-    if name in WRAPPER_TAGS or any(w & ASIDE_WORDS and not w & RELATIONS for w in names):
+    hints = [w - {""} for w in names if w & ASIDE_WORDS and not w & RELATIONS]
+    if name in WRAPPER_TAGS or any(w <= ASIDE_WORDS | PLACE_WORDS for w in hints):
         return key, 3
-    return key, 0
+    return key, 4 if hints else 0
 
 
-def parse(page: str | None) -> list[tuple[int, str, int, int, str]]:
+def parse(page: str | None, repeated: frozenset[int] = frozenset()) -> list[tuple[int, str, int, int, str]]:
     """Tokens of a page in order: (what: 0 tag, 1 text; path; content depth; aside; text or tag).
 
+    ``repeated`` are keys of texts that other pages of the host have: with links they prove asides that are only hinted at.
+
     ``content`` is 1 inside an article or main element, ``aside`` 1 inside a region that isn't main text.
     Unclosed elements end with their parent; stray end tags are dropped.  While a page is read, ``aside`` of
     what only names or forms make an aside lists these elements; those around the content are none then.
@@ -86,14 +94,24 @@ def parse(page: str | None) -> list[tuple[int, str, int, int, str]]:
     stack: list[tuple] = []
     path, content, aside = "", 0, 0
     held: list[list] = []  # content elements in such asides: their asides, first and last token
+    hinted: dict[int, list[int]] = {}  # asides that must prove so: characters of text, of these in links or repeated
     parts: list[str] = []
+    links, linked = 0, 0
 
     def flush() -> None:
+        nonlocal linked
         if parts:
             text = " ".join(entities.unescape("".join(parts)).split())
             parts.clear()
             if text:
                 out.append((1, path, content, aside, text))
+                if hinted and isinstance(aside, tuple):
+                    proof = len(text) if repeated and token_key(out[-1]) in repeated else min(linked, len(text))
+                    for x in aside:
+                        if x in hinted:
+                            hinted[x][0] += len(text)
+                            hinted[x][1] += proof
+        linked = 0
 
     at = 0
     page = page or ""
@@ -101,12 +119,16 @@ def parse(page: str | None) -> list[tuple[int, str, int, int, str]]:
     for m in TOKEN.finditer(page):
         if m.start() > at:
             parts.append(page[at : m.start()])
+            if links:
+                linked += m.start() - at
         at = m.end()
         name = m[3]
         if name is None:  # comments and raw elements leave nothing; raw ones end a block
             continue
         name = name.lower()
         if name in INLINE:
+            if name == "a":
+                links = max(0, links - 1) if m[2] else links + 1
             continue
         flush()
         if name not in STRUCTURAL:
@@ -137,13 +159,20 @@ def parse(page: str | None) -> list[tuple[int, str, int, int, str]]:
             content = 1
         elif own[1] == 2:
             aside = 1
-        elif own[1] == 3 and aside != 1:
+        elif own[1] >= 3 and aside != 1:
             aside = (*(aside or ()), len(out))
+            if own[1] == 4:
+                hinted[len(out)] = [0, 0]
     if at < len(page):
         rest = page[at:]
         cut = re.search(r"<[a-zA-Z/!][^>]*\Z", rest)  # a tag that the page's end cuts off
         parts.append(rest[: cut.start()] if cut else rest)
     flush()
+    unproven = {x for x, (size, proof) in hinted.items() if 2 * proof < size}
+    if unproven:  # as if nothing had been hinted
+        keep = lambda chain: tuple(x for x in chain if x not in unproven) or 0
+        out = [(*t[:3], keep(t[3]), t[4]) if isinstance(t[3], tuple) else t for t in out]
+        held = [[chain, a, b] for own, a, b in held if (chain := keep(own))]
     around: tuple = ()
     if held and not any(t[0] and t[2] and not t[3] for t in out):
         size, best = max(((sum(len(t[4]) for t in out[a:b] if t[0] and t[3] == chain), chain) for chain, a, b in held), key=lambda x: x[0])
@@ -256,7 +285,7 @@ def in_order(keys: list[int], skeleton: list[int]) -> bool:
 
 def slots_text(page: str | None, skeleton: list[int] | None = None, fixed: list[int] | None = None, blocks: list[int] | None = None) -> str:
     """What the slots of a page hold under a host's template; without one, all that isn't in an aside."""
-    tokens = parse(page)
+    tokens = parse(page, frozenset((*(fixed or ()), *(blocks or ()))))
     texts = [t for t in tokens if t[0] == 1 and not t[3]]
     inside = [t for t in texts if t[2]]
     texts, template = (inside, set(blocks or ())) if inside else (texts, set(fixed or ()))
