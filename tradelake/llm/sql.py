@@ -41,7 +41,7 @@ HTML_TEXT = """
 WITH h AS (SELECT page_id, url, regexp_replace(coalesce(html, ''), '<!--.*?-->|<(head|script|style|nav|footer)[ >].*?(</(head|script|style|nav|footer)>|$)|<div class="ad">.*?</div>', ' ', 'gs') AS x FROM pages),
 a AS (SELECT page_id, url, regexp_replace(x, '</?b>', '', 'g') AS x FROM h),
 b AS (SELECT page_id, url, regexp_replace(x, '<[^>]*>', ' ', 'g') AS x FROM a),
-c AS (SELECT page_id, url, replace(replace(replace(replace(replace(x, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#x27;', chr(39)), '&amp;', '&') AS x FROM b),
+c AS (SELECT page_id, url, regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(x, '&lt;?', '<', 'g'), '&gt;?', '>', 'g'), '&quot;?', '"', 'g'), '&#x27;?', chr(39), 'g'), '&amp;?', '&', 'g') AS x FROM b),
 d AS (SELECT page_id, url, trim(regexp_replace(x, '\\s+', ' ', 'g')) AS text FROM c)
 SELECT page_id, url, text, CAST(length(text) AS BIGINT) AS n_chars FROM d
 """
