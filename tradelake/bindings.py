@@ -9,7 +9,7 @@ from .functions.months import month_index, months_between
 from .functions.outcomes import outcome_status
 from .functions.text import MEASURES
 from .operators.selection import expand_windows
-from .storage import small_side
+from .storage import small_side, spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +31,7 @@ def supplier_nations(spark: SparkSession, sf_dir: str) -> DataFrame:
 def trade_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem with its supplier's nation as monthly facts, with the order key for derived flaws."""
     line = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_linestatus", "l_shipdate")
+    line = spread(line, "l_orderkey", "l_linenumber")
     amount, weight, out = "cast(round(l_extendedprice * 100) as bigint)", "cast(l_quantity as bigint)", "l_linestatus = 'O'"
     return line.join(supplier_nations(spark, sf_dir), F.expr("l_suppkey = s_suppkey")).selectExpr(
         "date_format(l_shipdate, 'yyyyMM') as month", "n_name as country_code", f"{code_expr('l_partkey', 'l_linenumber', 'l_quantity')} as hs10",
@@ -46,6 +47,11 @@ def with_levels(facts: DataFrame) -> DataFrame:
 RAW_CODE = "case when l_orderkey % 97 = 0 then substring(hs10, 1, 6) when l_orderkey % 89 = 0 then substring(hs10, 1, 9) when l_orderkey % 83 = 0 then concat(substring(hs10, 1, 9), 'X') else hs10 end"
 
 
+def coded_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All facts under the code that their response has, whole, cut or damaged: one scan for both kinds."""
+    return trade_facts(spark, sf_dir).select("month", "country_code", F.expr(RAW_CODE).alias("hs_code_raw"), *MEASURES)
+
+
 def short_code_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Facts whose code is cut or damaged, as quarantined rows."""
     rows = trade_facts(spark, sf_dir).withColumn("hs_code_raw", F.expr(RAW_CODE)).where("hs_code_raw <> hs10")

@@ -23,7 +23,7 @@ def rollup_all_levels(spark, sf_dir):
 
 
 def rollup_with_residuals(spark, sf_dir):
-    return rollup.all_levels(b.full_code_facts(spark, sf_dir), b.short_code_rows(spark, sf_dir))
+    return rollup.all_levels_mixed(b.coded_rows(spark, sf_dir))
 
 
 def rollup_reconciliation_monthly(spark, sf_dir):

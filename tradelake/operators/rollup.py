@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import LEVELS, MEASURES, level_of, reaches_level
+from ..functions.text import LEVELS, MEASURES, is_full_code, level_of, reaches_level
 
 
 def hierarchy(level: int) -> list[int]:
@@ -73,24 +73,52 @@ def with_residuals(facts: DataFrame, residuals: DataFrame, level: int) -> DataFr
     return level_table(cascade(facts, residuals)[level], level)
 
 
-def all_levels(facts: DataFrame, residuals: DataFrame | None = None) -> DataFrame:
-    """Every level in long form (level, code), from one scan of the facts.
+GROUP_VALUES = [*MEASURES, *(f"residual_{m}" for m in MEASURES), "source_row_count", "exception_row_count"]
+
+
+def finest_rows(rows: DataFrame, code: str = "hs_code_raw") -> DataFrame:
+    """Rows of full and short codes alike as groups of the finest level that each reaches; codes that reach none are left out.
+
+    ``missing`` names a measure that a short row lacks: nothing says what it should add.
+    """
+    full = is_full_code(F.col(code))
+    own = F.when(full, LEVELS[0]).otherwise(F.array_max(F.filter(F.array(*map(F.lit, LEVELS)), lambda n: n <= F.length(code))))
+    extra = [F.when(full, F.lit(0).cast("bigint")).otherwise(F.col(m)).alias(f"residual_{m}") for m in MEASURES]
+    missing = F.when(~full, F.coalesce(*[F.when(F.col(m).isNull(), F.concat(F.lit(f"residual row has missing {m}: "), F.col(code))) for m in MEASURES]))
+    kept = rows.where(full | reaches_level(F.col(code), LEVELS[-1]))
+    return kept.select("month", "country_code", F.substring(F.col(code), F.lit(1), own).alias("code"), own.alias("own"), *MEASURES, *extra, F.lit(1).cast("bigint").alias("source_row_count"), F.when(full, 0).otherwise(1).cast("bigint").alias("exception_row_count"), missing.alias("missing"))
+
+
+def all_levels_mixed(rows: DataFrame, code: str = "hs_code_raw") -> DataFrame:
+    """Every level in long form (level, code) from one scan of rows whose codes are full or short.
 
     Rows are summed, map-side first, to the finest level that each reaches; only those groups are dealt to the
-    coarser levels and summed again.
+    coarser levels and summed again.  Short codes of months without facts don't count: the months come from
+    the finest groups (a row a month, so it is broadcast), not from another look at the rows.
     """
-    zero = [F.lit(0).cast("bigint").alias(f"residual_{m}") for m in MEASURES]
-    rows = facts.select("month", "country_code", level_of(F.col("hs10"), LEVELS[0]).alias("code"), F.lit(LEVELS[0]).alias("own"), *MEASURES, *zero, F.lit(1).cast("bigint").alias("source_row_count"), F.lit(0).cast("bigint").alias("exception_row_count"))
-    if residuals is not None:
-        short = in_months_of(facts, residuals).withColumn("own", F.array_max(F.filter(F.array(*map(F.lit, LEVELS)), lambda n: n <= F.length("hs_code_raw"))))
-        rows = rows.unionByName(short.select("month", "country_code", F.substring("hs_code_raw", F.lit(1), F.col("own")).alias("code"), "own", *MEASURES, *[F.col(m).alias(f"residual_{m}") for m in MEASURES], F.lit(1).cast("bigint").alias("source_row_count"), F.lit(1).cast("bigint").alias("exception_row_count")))
-    values = [c for c in rows.columns if c not in (*KEYS, "own")]
-    finest = rows.groupBy(*KEYS, "own").agg(*[F.sum(c).alias(c) for c in values])
+    finest = finest_rows(rows, code).groupBy(*KEYS, "own").agg(*[F.sum(c).alias(c) for c in GROUP_VALUES], F.max("missing").alias("missing"))
+    months = finest.where("source_row_count > exception_row_count").select("month").distinct()
+    finest = finest.join(F.broadcast(months), "month", "left_semi")
+    finest = finest.where(F.when(F.col("missing").isNotNull(), F.raise_error(F.col("missing")).cast("boolean")).otherwise(F.lit(True)))
+    return dealt_levels(finest).withColumn("has_residual", F.col("exception_row_count") > 0)
+
+
+def dealt_levels(finest: DataFrame) -> DataFrame:
+    """Groups of their finest levels (``own``) summed to every level that they reach."""
     dealt = finest.withColumn("level", F.explode(F.filter(F.array(*map(F.lit, LEVELS)), lambda n: n <= F.col("own")))).withColumn("code", F.substring("code", F.lit(1), F.col("level")))
-    out = dealt.groupBy("level", *KEYS).agg(*[F.sum(c).alias(c) for c in values])
+    return dealt.groupBy("level", *KEYS).agg(*[F.sum(c).alias(c) for c in GROUP_VALUES])
+
+
+def all_levels(facts: DataFrame, residuals: DataFrame | None = None) -> DataFrame:
+    """Every level in long form (level, code) of facts and, if there are any, quarantined rows with short codes."""
+    rows = facts.select("month", "country_code", F.col("hs10").alias("hs_code_raw"), *MEASURES)
     if residuals is None:
-        return out.select("level", *KEYS, *MEASURES, "source_row_count")
-    return out.withColumn("has_residual", F.col("exception_row_count") > 0)
+        zero = [F.lit(0).cast("bigint").alias(f"residual_{m}") for m in MEASURES]
+        rows = rows.select("month", "country_code", level_of(F.col("hs_code_raw"), LEVELS[0]).alias("code"), F.lit(LEVELS[0]).alias("own"), *MEASURES, *zero, F.lit(1).cast("bigint").alias("source_row_count"), F.lit(0).cast("bigint").alias("exception_row_count"))
+        finest = rows.groupBy(*KEYS, "own").agg(*[F.sum(c).alias(c) for c in GROUP_VALUES])
+        return dealt_levels(finest).select("level", *KEYS, *MEASURES, "source_row_count")
+    short = residuals.where(~is_full_code(F.col("hs_code_raw"))).select("month", F.col("requested_country").alias("country_code"), "hs_code_raw", *MEASURES)
+    return all_levels_mixed(rows.unionByName(short))
 
 
 def totals(facts: DataFrame) -> DataFrame:

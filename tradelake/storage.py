@@ -157,6 +157,15 @@ def small_side(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if int(str(size)) <= BROADCAST_BYTES else df
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """A table of fewer splits than cores, dealt out by its keys before anything is computed from its rows.
+
+    A file of one row group is one task's, however many cores there are; a table of many splits stays as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """A table in the shared folder, read again: it is computed once, its size is known and lineage ends there."""
     path = f"{scratch(df.sparkSession, name)}/rows"
