@@ -1,10 +1,11 @@
 """Quality by Bradley-Terry ranking: document scores from preference pairs, cut at a quantile.
 
-Each labelled good document of a bounded sample is preferred to some labelled poor ones.  The score is
+Each labelled good document is preferred to some labelled poor ones.  The score is
 linear in features of the text: numbers that describe its form, and how often it has the words of each of
 ``WORD_BINS`` hashed classes.  The weights minimise the logistic loss of the difference between the two
-documents of each pair.  The cut is the quantile of the sample's scores at the share of poor documents,
-and scores are mapped so that the cut becomes 0.3.
+documents of each pair.  All labelled rows teach: tasks fit blocks of them, which hashes of the ids deal out, and the
+weights are averaged.  The cut is the exact quantile of their scores at the share of poor documents, and scores are
+mapped so that the cut becomes 0.3.
 """
 
 from __future__ import annotations
@@ -19,11 +20,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Kept, bound_batches, id_remainder, worker_value
-from .labelled import SAMPLE_ROWS, labelled_sample
+from .common import Kept, Workspace, bound_batches, id_remainder, worker_value
+from .labelled import labelled_rows
 
 THRESHOLD = 0.3
-#: Preference pairs for each document of the sample.
+#: Rows of a block, which one task fits; their number grows with the rows.
+BLOCK_ROWS = 12_000
+#: Bins of a search for a quantile, and scores that end it.
+RANK_BINS, RANK_ROWS = 1_024, 4_096
+#: Preference pairs for each document of a block.
 PAIRS_EACH = 8
 #: Hashed classes of words, the weight of their differences against the other features', words that a worker keeps.
 WORD_BINS, WORD_SCALE, WORDS_KEPT = 256, 0.25, 150_000
@@ -133,10 +138,22 @@ def fit(x: np.ndarray, y: np.ndarray, rounds: int = 400) -> Ranker:
     """From features and labels (0 poor, 1 good); with one kind only, every document gets the same score."""
     width = x.shape[1]
     ranker = Ranker(x.mean(0) if len(x) else np.zeros(width), (x.std(0) if len(x) else np.zeros(width)) + 1e-6, np.zeros(2 * len(FEATURES) + width), 0.0)
-    good, poor = np.flatnonzero(y == 1), np.flatnonzero(y == 0)
-    if not len(good) or not len(poor):
-        ranker.cut = -30.0 if len(good) or not len(x) else 30.0
+    good, poor = int((y == 1).sum()), int((y == 0).sum())
+    if not good or not poor:
+        ranker.cut = one_kind_cut(good, len(x))
         return ranker
+    ranker.weights = fit_weights(ranker, x, y, rounds)
+    ranker.cut = quantile_cut(ranker.rank(x), poor)
+    return ranker
+
+
+def one_kind_cut(good: int, rows: int) -> float:
+    return -30.0 if good or not rows else 30.0
+
+
+def fit_weights(ranker: Ranker, x: np.ndarray, y: np.ndarray, rounds: int = 400) -> np.ndarray:
+    """Weights from rows of both kinds."""
+    good, poor = np.flatnonzero(y == 1), np.flatnonzero(y == 0)
     z, draw = ranker.expand(x), np.random.default_rng(7)
     a = np.concatenate([np.repeat(good, PAIRS_EACH), draw.choice(good, len(poor) * PAIRS_EACH)])
     b = np.concatenate([draw.choice(poor, len(good) * PAIRS_EACH), np.repeat(poor, PAIRS_EACH)])
@@ -145,9 +162,7 @@ def fit(x: np.ndarray, y: np.ndarray, rounds: int = 400) -> Ranker:
         _, gradient = loss(w, z, a, b)
         speed, square = 0.9 * speed + 0.1 * gradient, 0.99 * square + 0.01 * gradient**2
         w = w - 0.05 * (speed / (1 - 0.9**k)) / (np.sqrt(square / (1 - 0.99**k)) + 1e-8)
-    ranker.weights = w
-    ranker.cut = quantile_cut(ranker.rank(x), len(poor))
-    return ranker
+    return w
 
 
 def quantile_cut(scores: np.ndarray, poor: int) -> float:
@@ -156,14 +171,73 @@ def quantile_cut(scores: np.ndarray, poor: int) -> float:
     return float((s[poor - 1] + s[min(poor, len(s) - 1)]) / 2)
 
 
-def learn(docs: DataFrame, labels: DataFrame, label: str = "quality", train=None, rows: int = SAMPLE_ROWS, id_col: str = "doc_id", text_col: str = "text") -> Ranker:
-    """Learn a ranking from at most ``rows`` labelled documents that satisfy ``train``.
+def features_in(x: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(v.as_py() for v in x), "<f4").astype(float).reshape(len(x), len(FEATURES) + WORD_BINS)
+
+
+def by_block(rows: DataFrame, make, columns: str) -> DataFrame:
+    """A row of ``columns`` for each block, from its features and labels in the order of the ids."""
+    names = [c.split()[0] for c in columns.split(", ")]
+
+    def run(block: pa.Table) -> pa.Table:
+        block = block.combine_chunks().sort_by("doc_id")
+        made = make(features_in(block["x"]), block["label"].to_numpy())
+        return pa.table({"block": block["block"][:1]} | {n: pa.array([v]) for n, v in zip(names, made)})
+
+    return rows.groupBy("block").applyInArrow(run, f"block long, {columns}").orderBy("block")
+
+
+def moments(x: np.ndarray, y: np.ndarray) -> tuple:
+    mean = x.mean(0)
+    return len(x), mean.tolist(), ((x - mean) ** 2).sum(0).tolist()
+
+
+def spread_of(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Mean and deviation of each feature over all rows: the blocks' own, put together one by one."""
+    n, mean, square = 0, 0.0, 0.0
+    for r in by_block(rows, moments, "n long, mean array<double>, square array<double>").toLocalIterator():
+        gap = np.array(r["mean"]) - mean
+        mean = mean + gap * (r["n"] / (n + r["n"]))
+        square = square + np.array(r["square"]) + gap * gap * (n * r["n"] / (n + r["n"]))
+        n += r["n"]
+    return mean, np.sqrt(square / n)
+
+
+def smallest(scores: DataFrame, k: int) -> float:
+    """The ``k``-th smallest ``r`` (from 1): ranges are counted and narrowed until few scores are left, which are then sorted."""
+    low, high = scores.agg(F.min("r"), F.max("r")).first()
+    while True:
+        inside = scores.where(F.col("r").between(low, high))
+        width = (high - low) / RANK_BINS
+        if inside.count() <= RANK_ROWS or not low < low + width < high:
+            # a range that doubles can't divide holds a value or two, however many rows have them
+            for r in inside.groupBy("r").count().orderBy("r").collect():
+                if k <= r["count"]:
+                    return r["r"]
+                k -= r["count"]
+        at = F.least(F.floor((F.col("r") - low) / width), F.lit(RANK_BINS - 1))
+        for r in inside.groupBy(at.alias("at")).agg(F.count("*").alias("n"), F.min("r").alias("low"), F.max("r").alias("high")).orderBy("at").collect():
+            if k <= r["n"]:
+                low, high = r["low"], r["high"]
+                break
+            k -= r["n"]
+
+
+def exact_cut(scores: DataFrame, poor: int) -> float:
+    """``quantile_cut`` of a table of scores ``r``."""
+    last = smallest(scores, poor)
+    more = scores.agg(F.count_if(F.col("r") <= last).alias("n"), F.min(F.when(F.col("r") > last, F.col("r"))).alias("next")).first()
+    return (last + (last if more["n"] > poor or more["next"] is None else more["next"])) / 2
+
+
+def learn(docs: DataFrame, labels: DataFrame, label: str = "quality", train=None, rows: int = BLOCK_ROWS, id_col: str = "doc_id", text_col: str = "text") -> Ranker:
+    """Learn a ranking from all labelled documents that satisfy ``train``, in blocks of about ``rows``.
 
     Rows with a null id or label teach nothing; null texts count as empty; of repeated rows of an id one counts.
     Without labels, or with one kind only, every text gets the same score (0 if all are poor, else 1).
     """
     bound_batches(docs.sparkSession)
-    sample = labelled_sample(docs, labels, label, train, rows, id_col, text_col)
+    work = Workspace(docs.sparkSession, "quality")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Features.of_worker()
@@ -171,9 +245,36 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "quality", train=None
             x = [row.astype("<f4").tobytes() for row in own.table(batch.column(2))]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(x, pa.binary())], names=["doc_id", "label", "x"])
 
-    data = sorted((r["doc_id"], r["label"], bytes(r["x"])) for r in sample.mapInArrow(run, "doc_id long, label int, x binary").collect())  # rows x features
-    x = np.frombuffer(b"".join(r[2] for r in data), "<f4").astype(float).reshape(len(data), len(FEATURES) + WORD_BINS)
-    return fit(x, np.array([r[1] for r in data]))
+    found = work.table("rows", labelled_rows(docs, labels, label, train, id_col, text_col).mapInArrow(run, "doc_id long, label int, x binary"))
+    kinds = {r["label"]: r["count"] for r in found.groupBy("label").count().collect()}
+    n, good, poor = sum(kinds.values()), kinds.get(1, 0), kinds.get(0, 0)
+    width = len(FEATURES) + WORD_BINS
+    ranker = Ranker(np.zeros(width), np.zeros(width) + 1e-6, np.zeros(2 * len(FEATURES) + width), one_kind_cut(good, n))
+    if good and poor:
+        blocks = found.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.lit(-(-n // rows))).cast("long"))
+        mean, scale = spread_of(blocks)
+        ranker = Ranker(mean, scale + 1e-6, ranker.weights, 0.0)
+        plain = ranker.plain()
+
+        def weights(x: np.ndarray, y: np.ndarray) -> tuple:
+            both = (y == 1).any() and (y == 0).any()
+            return (len(x), fit_weights(Ranker.of(plain), x, y).tolist()) if both else (0, [])
+
+        taught = 0
+        for r in by_block(blocks, weights, "n long, w array<double>").where("n > 0").toLocalIterator():
+            ranker.weights = ranker.weights + np.array(r["w"]) * r["n"]
+            taught += r["n"]
+        ranker.weights = ranker.weights / max(1, taught)
+        plain = ranker.plain()
+
+        def ranks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            own = Ranker.of(plain)
+            for batch in batches:
+                yield pa.RecordBatch.from_arrays([pa.array(own.rank(features_in(batch.column(0))), pa.float64())], names=["r"])
+
+        ranker.cut = exact_cut(work.table("ranks", found.select("x").mapInArrow(ranks, "r double")), poor)
+    work.close()
+    return ranker
 
 
 def score_texts(docs: DataFrame, ranker: Ranker, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
