@@ -106,9 +106,10 @@ def require_same_beside_names(rows: DataFrame, keys: list[str], names: tuple[str
     """Raise if copies of a key differ in anything but their labels."""
     rest = [c for c in rows.columns if c not in (*keys, *names)]
     if rest:
-        bad = rows.groupBy(*keys).agg(F.countDistinct(F.struct(*rest)).alias("n")).where("n > 1").limit(5).collect()
+        own = F.struct(*rest)
+        bad = rows.groupBy(*keys).agg(F.min(own).alias("least"), F.max(own).alias("most")).where("not least <=> most").select(*keys).limit(5).collect()
         if bad:
-            raise ValueError(f"conflicting copies of {[tuple(r)[:-1] for r in bad]}")
+            raise ValueError(f"conflicting copies of {[tuple(r) for r in bad]}")
 
 
 #: What a review by the neighbouring years ends in.

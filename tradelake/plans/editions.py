@@ -102,9 +102,12 @@ def collect_editions(spark: SparkSession, years: list[int], cache: str, root: st
 
 
 def labelled_rows(chapters: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """One row for each year and code, and the audit of copies with other labels.  A code in two chapters is an error."""
+    """One row for each year and code, and the audit of copies with other labels.  A code in two chapters is an error.
+
+    ``chapters`` is read twice, so it should be a written table; the folded codes are written, because rows and audit read them.
+    """
     reference.require_same_beside_names(chapters, KEY)
-    resolved = reference.resolve_duplicates(chapters, KEY)
+    resolved = storage.written(reference.resolve_duplicates(chapters, KEY), "labels")
     audit = resolved.select(*KEY, F.posexplode("audit").alias("step", "a")).select(*KEY, "step", "a.*")
     return resolved.select(*KEY, "name_ko", "name_en"), audit
 
@@ -112,7 +115,7 @@ def labelled_rows(chapters: DataFrame) -> tuple[DataFrame, DataFrame]:
 def reviewed(rows: DataFrame, audit: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Rows whose pending conflicts the neighbouring years have settled, in the years' order, and the decisions."""
     pending = audit.where(F.col("resolution") == reference.PENDING).select(*KEY, "step", "first_ko", "first_en", "second_ko", "second_en")
-    decisions = reference.adjacent_review(pending, rows)
+    decisions = storage.written(reference.adjacent_review(pending, rows), "decisions")
     changes = reference.rewrites(decisions)
     reference.require_matches(rows, changes)
     return reference.rewrite_name(rows, changes), decisions
