@@ -21,7 +21,7 @@ def read_items(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 def read_status(spark: SparkSession, path: str) -> DataFrame:
     """Result code and message of each response, from its header or else from the gateway's envelope; null for a damaged one."""
-    return pull.read_responses(spark, path).where("kind = 'file'").select("source", "code", "message")
+    return pull.read_responses(spark, path, pull.file_row).where("kind = 'file'").select("source", "code", "message")
 
 
 def raw_columns(items: DataFrame) -> DataFrame:
