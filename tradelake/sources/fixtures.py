@@ -21,6 +21,7 @@ def xml_responses(spark: SparkSession, raw: DataFrame, file_items: int = FILE_IT
     """Write raw rows as gzipped responses, each of one source and of at most ``file_items`` items; returns the folder.
 
     ``prefix`` is a name space's that all tags get; files of sources where ``damaged`` holds end in the middle.
+    An item is a line, so no page is held whole.
     """
     path = storage.scratch(spark, "responses")
     field = lambda tag, c: F.concat(F.lit(f"<{prefix}{tag}>"), F.coalesce(c, F.lit("")), F.lit(f"</{prefix}{tag}>"))
@@ -28,16 +29,24 @@ def xml_responses(spark: SparkSession, raw: DataFrame, file_items: int = FILE_IT
         F.lit(f"<{prefix}item>"), field("year", F.concat(F.substring("month", 1, 4), F.lit("."), F.substring("month", 5, 2))), field("statCd", F.col("country_code_raw")), field("hsCd", F.col("hs_code_raw")), field("statKor", F.col("name_ko")),
         field("expDlr", F.col("exp_dlr")), field("expWgt", F.col("exp_wgt")), field("impDlr", F.col("imp_dlr")), field("impWgt", F.col("imp_wgt")), field("balPayments", F.col("bal_payments")), F.lit(f"</{prefix}item>"),
     )
-    nth = F.row_number().over(Window.partitionBy("source").orderBy("ordinal"))
-    items = raw.withColumn("part", F.floor((nth - 1) / file_items)).groupBy("source", "part").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ordinal", item.alias("x")))), lambda r: r["x"]), "").alias("items"))
     space = f' xmlns:{prefix[:-1]}="urn:example:trade"' if prefix else ""
     tagged = lambda text: text.replace("</", "\0").replace("<", f"<{prefix}").replace("\0", f"</{prefix}")
     total = tagged("<item><year>total</year><statCd>-</statCd><hsCd>-</hsCd><statKor>-</statKor></item>")
     head = tagged("<response><header><resultCode>00</resultCode><resultMsg>ok</resultMsg></header><body><items>").replace("response>", f"response{space}>", 1)
-    page = F.concat(F.lit(f"{head}{total}"), "items", F.lit(tagged("</items></body></response>")))
+    tail = tagged("</items></body></response>")
+    own = Window.partitionBy("source")
+    raw = raw.withColumn("source", F.coalesce("source", F.lit("")))
+    rows = raw.select("source", "ordinal", item.alias("x"), F.row_number().over(own.orderBy("ordinal")).alias("nth"), F.count("*").over(own).alias("n"))
+    at = (F.col("nth") - 1) % file_items + 1
+    size = F.least(F.lit(file_items), F.col("n") - F.col("nth") + at)
+    line = F.concat(F.when(at == 1, F.lit(head + total)).otherwise(""), "x", F.when(at == size, F.lit(tail)).otherwise(""))
     if damaged is not None:
-        page = F.when(damaged, F.substring(page, 1, (F.length(page) * 0.6).cast("int"))).otherwise(page)
-    items.select("source", "part", page.alias("value")).write.partitionBy("source", "part").option("compression", "gzip").text(path)
+        last = F.ceil(size * 0.6)
+        opened = F.concat(F.when(at == 1, F.lit(head + total)).otherwise(""), F.expr("substring(x, 1, cast(length(x) * 0.6 as int))"))
+        line = F.when(~damaged | (at < last), line).when(at == last, opened).otherwise("")
+    # the window has sorted the rows already; a task has whole sources, so a file's lines are neighbours in order
+    pages = rows.select("source", "ordinal", line.alias("value")).sortWithinPartitions("source", "ordinal").drop("ordinal")
+    pages.write.partitionBy("source").option("compression", "gzip").option("maxRecordsPerFile", file_items).text(path)
     return path
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.months import months_between, parse_year_month
-from ..functions.text import strip
+from ..functions.text import as_int, strip
 from ..schemas import MANIFEST
 from . import pull
 
@@ -14,9 +14,9 @@ from . import pull
 PATH = r"country=([^/]+)/response_([0-9]{6})-([0-9]{6})"
 
 
-def read_items(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Items with their file and their order in it, whatever their name spaces; a damaged file fails the job."""
-    return pull.items_or_error(pull.read_responses(spark, path))
+def read_items(spark: SparkSession, path: str | list[str], fields: list[str] = pull.FIELDS) -> DataFrame:
+    """Items (the asked fields) with their file and their order in it, whatever their name spaces; a damaged file fails the job."""
+    return pull.items_or_error(pull.read_responses(spark, path, fields=fields))
 
 
 def read_status(spark: SparkSession, path: str) -> DataFrame:
@@ -25,19 +25,27 @@ def read_status(spark: SparkSession, path: str) -> DataFrame:
 
 
 def raw_columns(items: DataFrame) -> DataFrame:
-    """Items under the names that normalization reads."""
+    """Items under the names that normalization reads, as far as their fields were asked for."""
     text = lambda c: F.coalesce(strip(F.col(c)), F.lit(""))
+    texts = {"statCd": "country_code_raw", "hsCd": "hs_code_raw", "statKor": "name_ko"}
+    plain = {"expDlr": "exp_dlr", "expWgt": "exp_wgt", "impDlr": "imp_dlr", "impWgt": "imp_wgt", "balPayments": "bal_payments"}
+    month = [parse_year_month(text("year")).alias("month")] if "year" in items.columns else []
     return items.select(
-        "source", "ordinal", parse_year_month(text("year")).alias("month"), F.regexp_extract("source", PATH, 1).alias("requested_country"), text("statCd").alias("country_code_raw"), text("hsCd").alias("hs_code_raw"), text("statKor").alias("name_ko"),
-        F.col("expDlr").alias("exp_dlr"), F.col("expWgt").alias("exp_wgt"), F.col("impDlr").alias("imp_dlr"), F.col("impWgt").alias("imp_wgt"), F.col("balPayments").alias("bal_payments"),
+        "source", "ordinal", *month, F.regexp_extract("source", PATH, 1).alias("requested_country"), *[text(c).alias(x) for c, x in texts.items() if c in items.columns],
+        *[F.col(c).alias(x) for c, x in plain.items() if c in items.columns],
     )
 
 
+#: Fields that the queries of items need.
+SUM_FIELDS, NAME_FIELDS, COUNTRY_FIELDS = ["year", "hsCd", "expDlr", "impWgt"], ["year", "hsCd", "statKor"], ["statCd"]
+
+
 def normalized_items(items: DataFrame) -> DataFrame:
     """Rows and sums of a folder of responses by month."""
-    from ..operators.normalize import is_summary, with_measures
+    from ..operators.normalize import is_summary
 
-    return with_measures(raw_columns(items)).where(~is_summary()).groupBy("month").agg(F.count("*").alias("rows"), F.sum("export_usd").alias("export_usd"), F.sum("import_weight_kg").alias("import_weight_kg"))
+    kept = raw_columns(items).where(~is_summary())
+    return kept.groupBy("month").agg(F.count("*").alias("rows"), F.sum(as_int(F.col("exp_dlr"))).alias("export_usd"), F.sum(as_int(F.col("imp_wgt"))).alias("import_weight_kg"))
 
 
 def name_observations(items: DataFrame) -> DataFrame:
