@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import LEVELS, MEASURES, is_full_code, level_of, reaches_level
+from ..storage import written
 
 
 def hierarchy(level: int) -> list[int]:
@@ -79,27 +80,43 @@ GROUP_VALUES = [*MEASURES, *(f"residual_{m}" for m in MEASURES), "source_row_cou
 def finest_rows(rows: DataFrame, code: str = "hs_code_raw") -> DataFrame:
     """Rows of full and short codes alike as groups of the finest level that each reaches; codes that reach none are left out.
 
-    ``missing`` names a measure that a short row lacks: nothing says what it should add.
+    ``missing`` is a number for a measure that a short row lacks (``missing_text`` says it): nothing says what it
+    should add.  Sums and maxima of numbers are hashed; a greatest text would have all rows sorted.
     """
-    full = is_full_code(F.col(code))
-    own = F.when(full, LEVELS[0]).otherwise(F.array_max(F.filter(F.array(*map(F.lit, LEVELS)), lambda n: n <= F.length(code))))
+    rows = rows.withColumn("__digits", counted_digits(code)).where("__digits is not null")
+    full, one = F.col("__digits") == 10, F.lit(1).cast("bigint")
+    own = reduce(lambda found, n: F.when(F.col("__digits") >= n, n).otherwise(found), reversed(LEVELS), F.lit(None).cast("int"))
     extra = [F.when(full, F.lit(0).cast("bigint")).otherwise(F.col(m)).alias(f"residual_{m}") for m in MEASURES]
-    missing = F.when(~full, F.coalesce(*[F.when(F.col(m).isNull(), F.concat(F.lit(f"residual row has missing {m}: "), F.col(code))) for m in MEASURES]))
-    kept = rows.where(full | reaches_level(F.col(code), LEVELS[-1]))
-    return kept.select("month", "country_code", F.substring(F.col(code), F.lit(1), own).alias("code"), own.alias("own"), *MEASURES, *extra, F.lit(1).cast("bigint").alias("source_row_count"), F.when(full, 0).otherwise(1).cast("bigint").alias("exception_row_count"), missing.alias("missing"))
+    first = F.coalesce(*[F.when(F.col(m).isNull(), F.lit(i)) for i, m in enumerate(MEASURES, 1)])
+    missing = F.when(~full & first.isNotNull(), (first.cast("bigint") * 100 + F.col("__digits")) * 10**10 + F.col(code).try_cast("bigint"))
+    return rows.select("month", "country_code", F.substring(F.col(code), F.lit(1), own).alias("code"), own.alias("own"), *MEASURES, *extra, one.alias("source_row_count"), F.when(full, one - 1).otherwise(one).alias("exception_row_count"), missing.alias("missing"))
 
 
-def all_levels_mixed(rows: DataFrame, code: str = "hs_code_raw") -> DataFrame:
-    """Every level in long form (level, code) from one scan of rows whose codes are full or short.
+def counted_digits(code: str) -> Column:
+    """How many digits of a full or short code count; null if it reaches no level."""
+    return F.when(F.col(code).rlike(f"^[0-9]{{{LEVELS[-1]},10}}$"), F.length(code))
+
+
+def missing_text(missing: Column) -> Column:
+    """What ``missing`` of ``finest_rows`` stands for: the measure and the row's code."""
+    digits = lambda n, low, size: F.floor(n / F.lit(10**low)).cast("bigint") % 10**size
+    measure = F.element_at(F.array(*map(F.lit, MEASURES)), F.floor(missing / F.lit(10**12)).cast("int"))
+    return F.concat(F.lit("residual row has missing "), measure, F.lit(": "), F.lpad((missing % 10**10).cast("string"), digits(missing, 10, 2).cast("int"), F.lit("0")))
+
+
+def all_levels_mixed(rows: DataFrame, code: str = "hs_code_raw", months: DataFrame | None = None) -> DataFrame:
+    """Every level in long form (level, code) from rows whose codes are full or short.
 
     Rows are summed, map-side first, to the finest level that each reaches; only those groups are dealt to the
-    coarser levels and summed again.  Short codes of months without facts don't count: the months come from
-    the finest groups (a row a month, so it is broadcast), not from another look at the rows.
+    coarser levels and summed again.  Short codes of months without facts don't count: the months (a row each, so
+    they are broadcast) come from a look at the months of full codes alone, unless they are known.
     """
     finest = finest_rows(rows, code).groupBy(*KEYS, "own").agg(*[F.sum(c).alias(c) for c in GROUP_VALUES], F.max("missing").alias("missing"))
-    months = finest.where("source_row_count > exception_row_count").select("month").distinct()
+    if months is None:
+        months = rows.where(is_full_code(F.col(code))).select("month").distinct()
     finest = finest.join(F.broadcast(months), "month", "left_semi")
-    finest = finest.where(F.when(F.col("missing").isNotNull(), F.raise_error(F.col("missing")).cast("boolean")).otherwise(F.lit(True)))
+    # as a column, for a filter would pass the join and see months without facts
+    finest = finest.withColumn("own", F.when(F.col("missing").isNotNull(), F.raise_error(missing_text(F.col("missing"))).cast("int")).otherwise(F.col("own")))
     return dealt_levels(finest).withColumn("has_residual", F.col("exception_row_count") > 0)
 
 
@@ -135,10 +152,29 @@ def expected(facts: DataFrame, residuals: DataFrame, by: list[str]) -> DataFrame
     return both.agg(*[F.coalesce(F.sum(f"e_{m}"), F.lit(0)).alias(f"e_{m}") for m in MEASURES], F.sum("mapped").alias("mapped"))
 
 
+def compared(rolled: DataFrame, wanted: DataFrame, by: list[str]) -> DataFrame:
+    """The levels' totals beside what they should be."""
+    sums = rolled.groupBy("level", *by).agg(*[F.sum(m).alias(m) for m in MEASURES], F.sum("exception_row_count").alias("exceptions"))
+    joined = sums.join(wanted, ["level", *by], "full")
+    same = reduce(lambda a, b: a & b, [F.col(m).eqNullSafe(F.col(f"e_{m}")) for m in MEASURES]) & F.col("exceptions").eqNullSafe(F.col("mapped"))
+    return joined.select("level", *by, *MEASURES, "exceptions", "mapped", same.alias("reconciles"))
+
+
 def reconciliation(facts: DataFrame, residuals: DataFrame, by: list[str] = ()) -> DataFrame:
     """Per level (and month, if asked for): the roll-up's totals against facts plus the residuals that reach it."""
+    return compared(all_levels(facts, residuals), expected(facts, residuals, list(by)), list(by))
+
+
+def reconciliation_mixed(rows: DataFrame, by: list[str] = (), code: str = "hs_code_raw") -> DataFrame:
+    """``reconciliation`` of rows whose codes are full or short: one look for the totals, one for the roll-up.
+
+    The totals are those of rows, by month and by how many digits count, which the roll-up has no part in; they
+    are a few rows, written, and say which months have facts.
+    """
     by = list(by)
-    rolled = all_levels(facts, residuals).groupBy("level", *by).agg(*[F.sum(m).alias(m) for m in MEASURES], F.sum("exception_row_count").alias("exceptions"))
-    joined = rolled.join(expected(facts, residuals, by), ["level", *by], "full")
-    same = reduce(lambda a, b: a & b, [F.col(m).eqNullSafe(F.col(f"e_{m}")) for m in MEASURES]) & F.col("exceptions").eqNullSafe(F.col("mapped"))
-    return joined.select("level", *by, *MEASURES, "exceptions", "mapped", same.alias("reconciles"))
+    own = written(rows.groupBy("month", counted_digits(code).alias("digits")).agg(*[F.sum(m).alias(f"e_{m}") for m in MEASURES], F.count("*").alias("n")).where("digits is not null"), "months")
+    months = own.where("digits = 10").select("month")
+    dealt = own.join(F.broadcast(months), "month", "left_semi").withColumn("level", F.explode(F.filter(F.array(*map(F.lit, LEVELS)), lambda n: n <= F.col("digits"))))
+    short = F.coalesce(F.sum(F.when(F.col("digits") < 10, F.col("n"))), F.lit(0)).alias("mapped")
+    wanted = dealt.groupBy("level", *by).agg(*[F.coalesce(F.sum(f"e_{m}"), F.lit(0)).alias(f"e_{m}") for m in MEASURES], short)
+    return compared(all_levels_mixed(rows, code, months), wanted, by)
