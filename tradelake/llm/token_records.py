@@ -21,23 +21,29 @@ lost or run twice leaves no half-written or doubled file.
 from __future__ import annotations
 
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import Kept, TextEncoder, Workspace, total_bytes, worker_value
+from .common import TextEncoder, Workspace, packed_parts, total_bytes, worker_value
 
 #: Bytes of text that go to one record file.
 SHARD_TEXT_BYTES = 8 << 20
-#: Segments that a worker keeps in each of two generations, rows written at once.
-CACHE_SEGMENTS, WRITE_ROWS = 220_000, 500
-#: Up to here all libraries agree on what is a letter.
-LAST_LETTER = "\u024f"
+#: Rows written at once; texts are encoded in chunks of so many times ``CHUNK_BYTES``, which has a shard in one.
+WRITE_ROWS, CHUNKS = 500, 3
+#: First words of texts that a worker keeps in each of two generations, times 8.
+CACHE_SEGMENTS = 220_000
+#: Bytes of words that the library gets as one text, and words as one pre-token where their ends are ends of tokens anyway.
+PART_BYTES, GROUP_WORDS = 1 << 19, 64
+#: Characters on whose kind all libraries agree: letters, digits, marks (an apostrophe may begin a pre-token of its own).
+LETTERS, DIGITS, MARKS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f", "0-9", "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 MASK_DELTA = 0xA282EAD8
 HEAD_BYTES, ID_FORMAT, ID_BYTES = 12, "<qBB", 10
 INDEX_SCHEMA = "shard int, ordinal long, offset long, length long, doc_id long, n_tokens long, ids_crc32 long, local_start long"
@@ -83,12 +89,21 @@ def byte_characters() -> dict[int, str]:
     return {b: chr(b) for b in visible} | {b: chr(256 + i) for i, b in enumerate(hidden)}
 
 
+def crosses(token: bytes, marks: str) -> bool:
+    """Whether this token could be in a text of letters, digits, these marks and single white space, in two pre-tokens at once."""
+    text = re.sub(rb"^[\x80-\xbf]|[\xc3-\xc9]$", b"a", token).decode(errors="replace")  # parts of a letter of two bytes
+    kinds = LETTERS, DIGITS, re.escape(marks)
+    inside = re.fullmatch(f"[ \\n]?([{''.join(kinds)}]+([ \\n]|$))*", text)
+    return inside is not None and re.fullmatch(f" ?|\\n|{'|'.join(f' ?[{k}]+' for k in kinds)}", text) is None
+
+
 def tokenizer_encoder(tokenizer_path: str, end_id: int, special_as_text: bool) -> TextEncoder:
     """An encoder by a byte-level tokenizer of the tokenizers library.
 
-    New segments are encoded as one text.  Their ends are ends of pre-tokens, so of tokens too; the bytes
-    that tokens stand for tell which ids are whose.  A word of letters, and a mark after it, are pre-tokens of
-    the usual pattern; there the library's model gets them without running the pattern.
+    A chunk's distinct segments are encoded as one text.  Their ends are ends of pre-tokens, so of tokens too;
+    the bytes that tokens stand for tell which ids are whose.  Where no token of the vocabulary has parts of two
+    pre-tokens, words of letters, digits and marks needn't be cut by the pattern: the library's model gets many
+    of them at once, and no merge joins what the pattern would have parted.
     """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are parallel already
     from tokenizers import Tokenizer, pre_tokenizers
@@ -99,65 +114,62 @@ def tokenizer_encoder(tokenizer_path: str, end_id: int, special_as_text: bool) -
     vocabulary = tokenizer.get_vocab()
     n = max(vocabulary.values(), default=0) + 1
     kind = "<u2" if max(n, end_id + 1) <= 1 << 16 else "<u4"
-    width = np.dtype(kind).itemsize
     sizes = np.zeros(n, np.int64)
     for token, i in vocabulary.items():
         sizes[i] = special.get(token) or len(token)  # a byte-level vocabulary writes each byte as one character
 
-    quick = None
-    if str(tokenizer.pre_tokenizer).startswith("ByteLevel(add_prefix_space=False") and "use_regex=True" in str(tokenizer.pre_tokenizer) and tokenizer.normalizer is None:
-        quick = Tokenizer.from_file(tokenizer_path)
-        quick.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(" ")
     written = byte_characters()
-    words = Kept(CACHE_SEGMENTS // 4)
-
-    def cut(ids: list[int], ends: np.ndarray) -> list[bytes]:
-        """The packed ids of the parts of a text that end at these bytes."""
-        reached = np.cumsum(sizes[ids])
-        if len(ids) and reached[-1] != ends[-1]:
+    bytes_of = {c: b for b, c in written.items()}
+    opening = {next((c for c in t if c in MARKS), "") for t in special}  # a word without these holds no special token
+    marks = "".join(c for c in MARKS if c not in opening)
+    simple, quick = f"\\A[{LETTERS}{DIGITS}{re.escape(marks)}]+(\n[{LETTERS}{DIGITS}{re.escape(marks)}]+)*\\z", None
+    usual = str(tokenizer.pre_tokenizer).startswith("ByteLevel(add_prefix_space=False") and "use_regex=True" in str(tokenizer.pre_tokenizer)
+    if usual and tokenizer.normalizer is None and "" not in opening and not getattr(tokenizer.model, "ignore_merges", True):
+        if not any(crosses(bytes(map(bytes_of.get, t)), marks) for t in vocabulary if bytes_of.keys() >= set(t)):
+            quick = Tokenizer.from_file(tokenizer_path)
+            quick.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(" ")
+    characters = np.array([ord(written[b]) for b in range(256)], "<u2")
+    characters[0] = ord(" ")  # no simple word has the character 0, which parts groups
+
+    def cut(text: str, by, lengths: np.ndarray) -> pa.Array:
+        """The packed ids of the parts of a text that have so many bytes, which are ends of tokens."""
+        ids = np.array(by.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int64)
+        reached, ends = np.cumsum(sizes[ids]), np.cumsum(lengths)
+        last = np.searchsorted(reached, ends)
+        if len(ids) and reached[-1] != ends[-1] or not np.array_equal(reached[last], ends):
             raise ValueError("this tokenizer isn't byte-level")
-        packed, out, start = np.array(ids, kind).tobytes(), [], 0
-        for at in ((np.searchsorted(reached, ends) + 1) * width).tolist():
-            out.append(packed[start:at])
-            start = at
-        return out
-
-    def letters(parts: list[str]) -> list[bytes]:
-        """Words of letters alone, each with a space before it: these are one pre-token, so the model can have them as such."""
-        own = [written[32] + (w if w.isascii() else w.encode().decode("latin-1").translate(written)) for w in parts]
-        return cut(quick.encode_batch_fast([" ".join(own)], add_special_tokens=False)[0].ids, np.cumsum(np.fromiter(map(len, own), np.int64, len(own))))
-
-    def joined(parts: list[str], before: str) -> list[bytes]:
-        whole = before + before.join(parts)
-        lengths = map(len, parts if whole.isascii() else map(str.encode, parts))
-        return cut(tokenizer.encode_batch_fast([whole], add_special_tokens=False)[0].ids, np.cumsum(np.fromiter(lengths, np.int64, len(parts)) + len(before)))
-
-    marks = {c: np.array(tokenizer.encode(c, add_special_tokens=False).ids, kind).tobytes() for c in ",."}
+        return packed_parts(ids.astype(kind), np.diff(last, prepend=-1))
+
+    def together(parts: pa.Array, between: str, most: int) -> pa.Array:
+        """Words joined, up to so many in one."""
+        offsets = np.append(np.arange(0, len(parts), most), len(parts)).astype(np.int32)
+        return pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets), parts), between)
+
+    def groups(parts: pa.Array) -> pa.Array:
+        """Simple words, each with a space before it."""
+        text = " " + together(together(parts, " ", GROUP_WORDS), "\0 ", len(parts))[0].as_py()
+        own = characters[np.frombuffer(text.encode(), np.uint8)].tobytes().decode("utf-16-le")
+        return cut(own, quick, pc.binary_length(parts).to_numpy() + 1)
+
+    def joined(parts: pa.Array) -> pa.Array:
+        return cut(" " + together(parts, " ", len(parts))[0].as_py(), tokenizer, pc.binary_length(parts).to_numpy() + 1)
+
+    def bulk(words: pa.Array) -> pa.Array:
+        mask = pc.match_substring_regex(words, simple) if quick else pa.array(np.zeros(len(words), bool))
+        out = [pa.array([], pa.binary())]
+        for some, by in ((words.filter(mask), groups), (words.filter(pc.invert(mask)), joined)):
+            part = np.cumsum(pc.binary_length(some).to_numpy() + 1) // PART_BYTES
+            ends = [0, *np.flatnonzero(np.diff(part)) + 1, len(some)]
+            out += [by(some.slice(a, b - a)) for a, b in zip(ends, ends[1:]) if b > a]
+        place = np.argsort(np.argsort(~mask.to_numpy(zero_copy_only=False), kind="stable"))
+        return pa.concat_arrays(out).take(pa.array(place))
 
     def encode(parts: list[str], before: str) -> list[bytes]:
-        if not before:
-            return [np.array(x.ids, kind).tobytes() for x in tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
-        if quick is None:
-            return joined(parts, before)
-        out: list[bytes | None] = [None] * len(parts)
-        plain, where, ends, rest = [], [], [], []
-        for i, part in enumerate(parts):
-            end = marks.get(part[-1:])
-            word = part[:-1] if end else part
-            if word.isalpha() and (word.isascii() or max(word) <= LAST_LETTER):
-                plain.append(word)
-                where.append(i)
-                ends.append(end or b"")
-            else:
-                rest.append(i)
-        for i, x, end in zip(where, words.all(plain, letters), ends):
-            out[i] = x + end
-        if rest:
-            for i, x in zip(rest, joined([parts[i] for i in rest], before)):
-                out[i] = x
-        return out
-
-    return TextEncoder(encode, kind, CACHE_SEGMENTS)
+        if before:
+            return joined(pa.array(parts)).to_pylist()
+        return [np.array(x.ids, kind).tobytes() for x in tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
+
+    return TextEncoder(encode, kind, CACHE_SEGMENTS, bulk, CHUNKS)
 
 
 def write_token_records(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", shard_text_bytes: int = SHARD_TEXT_BYTES, special_as_text: bool = False) -> DataFrame:
