@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import strip
+from ..storage import by_sorting
 
 
 def revision_lookup(facts: DataFrame, editions: DataFrame) -> DataFrame:
@@ -135,7 +136,7 @@ def adjacent_review(pending: DataFrame, editions: DataFrame) -> DataFrame:
     item = F.struct("step", F.struct(F.col("first_ko").alias("name_ko"), F.col("first_en").alias("name_en")).alias("first"), F.struct(F.col("second_ko").alias("name_ko"), F.col("second_en").alias("name_en")).alias("second"))
     years = pending.groupBy(*key).agg(F.array_sort(F.collect_list(item)).alias("conflicts"))
     pair = lambda by, name: editions.select((F.col("reference_year") + by).alias("reference_year"), "hs10", F.struct(F.col("name_ko").cast("string").alias("name_ko"), F.col("name_en").cast("string").alias("name_en")).alias(name))
-    years = years.join(pair(1, "previous"), key, "left").join(pair(-1, "following"), key, "left")
+    years = years.join(by_sorting(pair(1, "previous")), key, "left").join(by_sorting(pair(-1, "following")), key, "left")
     codes = years.groupBy("hs10").agg(F.array_sort(F.collect_list(F.struct("reference_year", "conflicts", "previous", "following"))).alias("years"))
 
     same = lambda a, b: F.coalesce(a.isNotNull() & a["name_ko"].eqNullSafe(b["name_ko"]) & a["name_en"].eqNullSafe(b["name_en"]), F.lit(False))
@@ -175,14 +176,14 @@ def review_figures(reviewed: DataFrame) -> DataFrame:
 def rewrite_name(editions: DataFrame, changes: DataFrame) -> DataFrame:
     """Editions with the changed labels (year, code, name_ko, name_en)."""
     new = changes.select("reference_year", "hs10", F.struct("name_ko", "name_en").alias("__new"))
-    out = editions.join(new, ["reference_year", "hs10"], "left")
+    out = editions.join(by_sorting(new), ["reference_year", "hs10"], "left")
     label = lambda c: F.when(F.col("__new").isNotNull(), F.col(f"__new.{c}")).otherwise(F.col(c))
     return out.withColumns({c: label(c) for c in ("name_ko", "name_en")}).select(editions.columns)
 
 
 def require_matches(editions: DataFrame, changes: DataFrame) -> None:
     """Raise unless each change meets exactly one row."""
-    counts = changes.join(editions.select("reference_year", "hs10", F.lit(1).alias("one")), ["reference_year", "hs10"], "left").groupBy("reference_year", "hs10").agg(F.count("one").alias("n"))
+    counts = changes.join(by_sorting(editions.select("reference_year", "hs10", F.lit(1).alias("one"))), ["reference_year", "hs10"], "left").groupBy("reference_year", "hs10").agg(F.count("one").alias("n"))
     if not counts.where("n <> 1").isEmpty():
         raise ValueError("a label change must match exactly one row")
 

@@ -84,7 +84,7 @@ def combine(spark: SparkSession, years: list[int], root: str, target: str, audit
         figures = reference.review_figures(decisions).first().asDict()
         if figures["unresolved"]:
             raise ValueError(f"{figures['unresolved']} labels conflict after the neighbouring years' review")
-        whole = whole.drop("name_ko", "name_en").join(names.withColumn("reference_year", F.col("reference_year").cast("smallint")), KEY).select(found[0].columns)
+        whole = whole.drop("name_ko", "name_en").join(storage.by_sorting(names.withColumn("reference_year", F.col("reference_year").cast("smallint"))), KEY).select(found[0].columns)
     whole.orderBy(*KEY).write.mode("overwrite").option("compression", "zstd").parquet(f"{target}.staging")
     storage.swap(spark, f"{target}.staging", target)
     counts = {str(r["reference_year"]): r["count"] for r in spark.read.parquet(target).groupBy("reference_year").count().collect()}
